@@ -33,10 +33,10 @@ def failures(jobs: DataFrame) -> DataFrame:
 
 def job_summary(jobs: DataFrame) -> DataFrame:
     """Attempts, first start, last end and seconds spent, per feature table, status and message."""
-    seconds = F.timestamp_diff("MICROSECOND", F.col("started"), F.col("ended")) / 1_000_000
+    micros = F.timestamp_diff("MICROSECOND", F.col("started"), F.col("ended"))
     return jobs.groupBy("feature_table", "status", "status_msg").agg(
         F.count("*").alias("n_jobs"),
         F.min("started").alias("first_started"),
         F.max("ended").alias("last_ended"),
-        F.sum(seconds).alias("seconds"),
+        (F.sum(micros) / 1_000_000).alias("seconds"),
     )
