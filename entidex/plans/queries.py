@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from entidex.functions import keys, values
 from entidex.operators import checks, jobs, lookups
 from entidex.operators.extract import entity_rows
-from entidex.operators.latest import latest, latest_by_group, newest_event_per_load
+from entidex.operators.latest import latest, latest_by_window, newest_event_per_load
 from entidex.operators.routes import routes_for_parents, routes_of
 from entidex.plans import inputs
 from entidex.plans.streamed import streamed_index
@@ -52,12 +52,12 @@ select id, feature_table, event_timestamp, created_timestamp, path, rk from rank
 
 @query(_LATEST)
 def latest_entity(spark, sf_dir):
-    return latest(inputs.user_index(spark, sf_dir))
+    return latest_by_window(inputs.user_index(spark, sf_dir))
 
 
 @query(_LATEST)
 def latest_by_max_struct(spark, sf_dir):
-    return latest_by_group(inputs.user_index(spark, sf_dir))
+    return latest(inputs.user_index(spark, sf_dir))
 
 
 @query(
