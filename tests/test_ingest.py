@@ -1,0 +1,199 @@
+import random
+from datetime import datetime
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from feature_store import NOW, Store, registry
+
+from entidex.operators import checks, jobs
+from entidex.streaming.ingest import ingest_batch
+
+TRIPS = ("lake/trips", "trips", {"driver": "INT64"})
+DAY = 86_400_000_000
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return Store(spark, tmp_path)
+
+
+def _ingest(store, reg, *events, batch_id=0, **options):
+    ingest_batch(store.notifications(*events), batch_id, store.index, reg, store.data, **options)
+
+
+def test_every_kind_of_file(spark, store):
+    reg = registry(spark, TRIPS, ("lake/rides", "rides", {"driver": "INT64", "car": "INT64"}))
+    good = store.rows("lake/trips/good.parquet", [1, 2, 3], [NOW, NOW + 1, NOW + DAY * 60])
+    odd_name = store.rows("lake/trips/o'dd [x]{y}*+%20 \"é\".parquet", [4])
+    wall = store.put(
+        "lake/trips/wall.parquet",
+        driver=pa.array([5, 6], pa.int32()),
+        ev=pa.array([datetime(2024, 1, 1)] * 2, pa.timestamp("us")),
+        cr=pa.array([datetime(2024, 1, 1, 5)] * 2, pa.timestamp("ms", tz="Asia/Kolkata")),
+        other=[["not", "read"], []],
+    )
+    early = store.rows("lake/trips/early.parquet", [7], [-1], -NOW)
+    far = store.rows("lake/trips/far.parquet", [7], [NOW * 1000])
+    empty = store.rows("lake/trips/empty.parquet", [])
+    text = store.put("lake/trips/text.parquet", driver=["8", "009"], ev=[str(NOW)] * 2, cr=[float(NOW)] * 2)
+    null_id = store.rows("lake/trips/null_id.parquet", [10, None])
+    null_time = store.rows("lake/trips/null_time.parquet", [11], [None])
+    bad_text = store.put("lake/trips/bad_text.parquet", driver=["12", "x"], ev=[NOW] * 2, cr=[NOW] * 2)
+    twice = store.rows("lake/trips/twice.parquet", [13, 13])
+    missing = store.put("lake/trips/missing.parquet", driver=[14], cr=[NOW])
+    fraction = store.put("lake/trips/fraction.parquet", driver=[1.5], ev=[NOW], cr=[NOW])
+    nanos = store.put("lake/trips/nanos.parquet", driver=[15], ev=pa.array([1], pa.timestamp("ns")), cr=[NOW])
+    stored = store.rows("lake/trips/stored.parquet", [99, 1], [NOW, NOW])
+    several = store.put("lake/rides/several.parquet", driver=[1, 1, 2], car=[7, 7, 7], ev=[NOW] * 3, cr=[NOW] * 3)
+    broken = "lake/trips/broken.parquet"
+    with open(f"{store.data}/{broken}", "wb") as f:
+        f.write(b"PAR1 this is no footer PAR1")
+    torn = store.rows("lake/trips/torn.parquet", list(range(1000, 2000)))
+    content = bytearray(open(f"{store.data}/{torn}", "rb").read())
+    content[40:400] = b"\xff" * 360
+    open(f"{store.data}/{torn}", "wb").write(content)
+
+    _ingest(
+        store, reg, good, odd_name, wall, early, far, empty, text, null_id, null_time, bad_text, twice, missing,
+        fraction, nanos, stored, several, broken, torn, "lake/trips/none.parquet", "lake/other/x.parquet",
+        "name.parquet", "lake//trips/./good.parquet", "/lake/trips/good.parquet", "lake/x/../trips/good.parquet",
+        ("s3:ObjectRemoved:Delete", good), "lake/trips/file.csv", ("s3:ObjectAccessed:Get", good), empty,
+    )
+    assert store.outcomes() == [
+        (good, None),
+        (odd_name, None),
+        (wall, None),
+        (early, None),
+        (far, None),
+        (empty, None),
+        (text, None),
+        (null_id, checks.NULL_KEY),
+        (null_time, checks.NULL_KEY),
+        (bad_text, checks.NULL_KEY),
+        (twice, checks.DUPLICATE_KEY),
+        (missing, "column missing: ev"),
+        (fraction, "unsupported column type: driver"),
+        (nanos, "unsupported column type: ev"),
+        (stored, checks.STORED_KEY),
+        (several, None),
+        (broken, checks.UNREADABLE),
+        (torn, checks.UNREADABLE),
+        ("lake/trips/none.parquet", checks.NO_FILE),
+        ("lake/other/x.parquet", checks.NO_ROUTE),
+        ("name.parquet", checks.NO_ROUTE),
+        ("lake//trips/./good.parquet", checks.STORED_KEY),
+        ("/lake/trips/good.parquet", checks.NO_FILE),
+        ("lake/x/../trips/good.parquet", checks.NO_ROUTE),
+        (empty, None),
+    ]
+    now = datetime(2023, 11, 14, 22, 13, 20)
+    trips = [r for r in store.index.entity("driver").filter("year(event_timestamp) < 9999").collect()]
+    assert sorted((r.id, r.path) for r in trips) == sorted(
+        [(1, good), (2, good), (3, good), (4, odd_name), (5, wall), (6, wall), (7, early), (8, text), (9, text)]
+        + [(1, several), (2, several)]
+    )
+    by_path = {r.path: r for r in trips}
+    assert by_path[wall].event_timestamp == datetime(2024, 1, 1)
+    assert by_path[wall].created_timestamp == datetime(2024, 1, 1, 5)
+    assert by_path[early].event_timestamp == datetime(1969, 12, 31, 23, 59, 59, 999999)
+    assert by_path[text].created_timestamp == now
+    assert store.index.entity("driver").filter("year(event_timestamp) > 9999").count() == 1
+    assert store.index_rows("car") == [(7, "rides", now, now, several)]
+    log = store.index.jobs()
+    assert {tuple(r.entity_names) for r in log.filter(log.feature_table == "rides").collect()} == {("car", "driver")}
+    unrouted = log.filter(log.status_msg == checks.NO_ROUTE).first()
+    assert unrouted.entity_names is None and unrouted.feature_table is None and unrouted.status == "failed"
+    assert jobs.failures(log).count() == 16
+
+
+def test_later_batches_see_earlier_ones(spark, store):
+    reg = registry(spark, TRIPS)
+    a, b = store.rows("lake/trips/a.parquet", [1, 2]), store.rows("lake/trips/b.parquet", [2, 3])
+    c = store.rows("lake/trips/c.parquet", [3], [NOW + 1])
+    _ingest(store, reg, a)
+    _ingest(store, reg, b, c, a, batch_id=1)
+    assert store.outcomes() == [(a, None), (b, checks.STORED_KEY), (c, None), (a, checks.STORED_KEY)]
+    assert [r[0] for r in store.index_rows()] == [1, 2, 3]
+    assert [r.id for r in store.index.jobs().orderBy("id").collect()] == [1, 2**32 + 1, 2**32 + 2, 2**32 + 3]
+
+
+def test_replayed_batch_replaces_itself(spark, store):
+    reg = registry(spark, TRIPS)
+    a, b = store.rows("lake/trips/a.parquet", [1, 2]), store.rows("lake/trips/b.parquet", [3])
+    _ingest(store, reg, a)
+    _ingest(store, reg, b, batch_id=1)
+    before = store.index_rows(), store.outcomes()
+    _ingest(store, reg, b, batch_id=1)
+    assert (store.index_rows(), store.outcomes()) == before
+    # A replay that yields nothing leaves nothing of the first attempt.
+    _ingest(store, reg, ("s3:ObjectRemoved:Delete", b), batch_id=1)
+    assert [r[0] for r in store.index_rows()] == [1, 2]
+    assert store.outcomes() == [(a, None)]
+
+
+def test_entity_type_is_fixed_by_the_first_file(spark, store):
+    reg = registry(spark, ("lake/flags", "flags", {"active": "BOOL"}), ("lake/ids", "ids", {"active": "INT64"}))
+    flags = store.put("lake/flags/a.parquet", active=[True, False], ev=[NOW] * 2, cr=[NOW] * 2)
+    zero_one = store.put("lake/flags/b.parquet", active=[0, 1], ev=[NOW + 1] * 2, cr=[NOW] * 2)
+    two = store.put("lake/flags/c.parquet", active=[2], ev=[NOW + 2], cr=[NOW])
+    ids = store.put("lake/ids/a.parquet", active=[5], ev=[NOW], cr=[NOW])
+    _ingest(store, reg, flags, zero_one, two, ids)
+    other = "entity table has another id type: active"
+    assert store.outcomes() == [(flags, None), (zero_one, None), (two, checks.NULL_KEY), (ids, other)]
+    assert [r[0] for r in store.index_rows("active")] == [False, False, True, True]
+    _ingest(store, reg, ids, batch_id=1)
+    assert store.outcomes()[-1] == (ids, other)
+
+
+@pytest.mark.parametrize("max_files", [1, 3, 100])
+def test_parts_and_batches_give_the_same_index(spark, tmp_path, max_files):
+    """Any split of the same arrival order gives the same index and outcomes."""
+    random.seed(4)
+    reg = registry(spark, TRIPS)
+    expected = None
+    for n_batches in (1, 3) if max_files > 2 else (1,):
+        store = Store(spark, tmp_path / str(n_batches))
+        random.seed(4)
+        keys = [store.rows(f"lake/trips/{i}.parquet", random.sample(range(12), 2)) for i in range(8)]
+        size = -(-len(keys) // n_batches)
+        for batch in range(n_batches):
+            _ingest(store, reg, *keys[batch * size : (batch + 1) * size], batch_id=batch, max_files=max_files)
+        seen, outcomes = {}, []
+        for key in keys:
+            ids = pq.read_table(f"{store.data}/{key}")["driver"].to_pylist()
+            fails = any(i in seen for i in ids)
+            outcomes.append((key, checks.STORED_KEY if fails else None))
+            seen |= {} if fails else dict.fromkeys(ids, key)
+        assert store.outcomes() == outcomes
+        rows = {(r[0], r[4]) for r in store.index_rows()}
+        assert rows == set(seen.items())
+        expected = expected or rows
+        assert rows == expected
+
+
+def test_footers_by_spark_itself(spark, store):
+    reg = registry(spark, TRIPS)
+    a = store.rows("lake/trips/a [1].parquet", [1])
+    missing = store.put("lake/trips/missing.parquet", driver=[14], cr=[NOW])
+    broken = "lake/trips/broken.parquet"
+    open(f"{store.data}/{broken}", "wb").write(b"no parquet")
+    _ingest(store, reg, a, missing, broken, "lake/trips/none.parquet", probe="spark")
+    assert [m for _, m in store.outcomes()] == [None, "column missing: ev", checks.UNREADABLE, checks.NO_FILE]
+
+
+def test_bucket_and_empty_batches(spark, store):
+    reg = registry(spark, TRIPS, ("pond/trips", "trips", {"driver": "INT64"}))
+    a, b = store.rows("lake/trips/a.parquet", [1]), store.rows("pond/trips/b.parquet", [2])
+    _ingest(store, reg, a, b, bucket="pond")
+    assert store.outcomes() == [(b, None)]
+    ingest_batch(store.notifications(a).limit(0), 1, store.index, reg, store.data)
+    assert store.outcomes() == [(b, None)]
+
+
+def test_clock(spark, store):
+    times = iter([datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 0, 3)])
+    _ingest(store, registry(spark, TRIPS), store.rows("lake/trips/a.parquet", [1]), clock=lambda: next(times))
+    summary = jobs.job_summary(store.index.jobs()).first()
+    assert (summary.feature_table, summary.status, summary.n_jobs, summary.seconds) == ("trips", "success", 1, 3.0)
+    assert (summary.first_started, summary.last_ended) == (datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 0, 3))
