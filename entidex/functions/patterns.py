@@ -42,14 +42,12 @@ def anchor_of(pattern: Column) -> Column:
 
 def grams_of(text: Column) -> Column:
     """All (width, gram) structs that `text` offers to an anchor."""
-    return F.flatten(F.array(*[_grams_of_width(text, width) for width in WIDTHS]))
 
+    def of_width(width: Column) -> Column:
+        # A text shorter than the width gets one start, whose gram is too short and dropped.
+        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - width + 1, F.lit(1)))
+        grams = F.array_distinct(F.transform(starts, lambda start: F.substr(text, start, width)))
+        grams = F.filter(grams, lambda gram: F.length(gram) == width)
+        return F.transform(grams, lambda gram: F.struct(width.alias("width"), gram.alias("gram")))
 
-def _grams_of_width(text: Column, width: int) -> Column:
-    # A text shorter than the width has no positions; the last filter drops what is cut off.
-    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - width + 1, F.lit(1)))
-    if width == 0:
-        starts = F.array(F.lit(1))
-    grams = F.array_distinct(F.transform(starts, lambda start: F.substr(text, start, F.lit(width))))
-    grams = F.filter(grams, lambda gram: F.length(gram) == width)
-    return F.transform(grams, lambda gram: F.struct(F.lit(width).alias("width"), gram.alias("gram")))
+    return F.flatten(F.transform(F.array(*map(F.lit, WIDTHS)), of_width))

@@ -62,11 +62,15 @@ def features_for_rows(
     `features` holds the columns of the feature files; its time columns are wall
     times already. All its columns are kept.
     """
-    wanted = rows.select("id", "event_timestamp", "created_timestamp").distinct()
-    return features.join(
+    wanted = rows.select("id", "event_timestamp", "created_timestamp").alias("wanted")
+    return features.alias("features").join(
         wanted,
-        (features[entity] == wanted["id"])
-        & (features[timestamp_column] == wanted["event_timestamp"])
-        & (features[created_timestamp_column] == wanted["created_timestamp"]),
+        (_feature(entity) == F.col("wanted.id"))
+        & (_feature(timestamp_column) == F.col("wanted.event_timestamp"))
+        & (_feature(created_timestamp_column) == F.col("wanted.created_timestamp")),
         "left_semi",
     )
+
+
+def _feature(name: str) -> Column:
+    return F.col("features.`" + name.replace("`", "``") + "`")

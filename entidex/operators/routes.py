@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entidex.functions.patterns import anchor_of, containing_pattern, grams_of
+from entidex.sources.registry import Registry, located_sources, registered_sources
 
 _GROUP = ["feature_table", "timestamp_column", "created_timestamp_column"]
 
@@ -40,14 +41,15 @@ def routes_of(sources: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def routes_for_parents(parents: DataFrame, sources: DataFrame, literal: bool = False) -> DataFrame:
+def routes_for_parents(parents: DataFrame, registry: Registry, literal: bool = False) -> DataFrame:
     """The route of each directory in `parents`; directories without one are left out.
 
     Several routes may match. The first by (feature table, event time column,
     creation time column), NULL first, is taken; `n_candidates` counts them all.
     """
-    matches = matching_locations(parents, sources, literal)
-    candidates = routes_of(matches.join(sources, "file_url"), ["parent"])
+    located = located_sources(registry)
+    matched = located.join(matching_locations(parents, located, literal), "file_url")
+    candidates = routes_of(registered_sources(registry, matched), ["parent"])
     return (
         candidates.groupBy("parent")
         .agg(F.min(F.struct(*_GROUP, "entities")).alias("route"), F.count("*").alias("n_candidates"))

@@ -333,7 +333,7 @@ from parents left join routes using (parent)"""
 def route_for_parent(spark, sf_dir):
     events = notifications.created(inputs.part_notifications(spark, sf_dir).withColumn("event_name", F.lit("")))
     parents = events.select(keys.parent_of(F.col("key")).alias("parent")).distinct()
-    routes = routes_for_parents(parents, registered_sources(inputs.registry(spark, sf_dir)))
+    routes = routes_for_parents(parents, inputs.registry(spark, sf_dir))
     return parents.join(routes, "parent", "left").withColumn("entities", _entities_as_text())
 
 
@@ -351,7 +351,7 @@ def _outcomes(spark, sf_dir):
     events = notifications.created(inputs.part_notifications(spark, sf_dir)).withColumn(
         "parent", keys.parent_of(F.col("key"))
     )
-    routes = routes_for_parents(events, registered_sources(inputs.registry(spark, sf_dir)))
+    routes = routes_for_parents(events, inputs.registry(spark, sf_dir))
     route = ["feature_table", "timestamp_column", "created_timestamp_column"]
     return events.join(routes, "parent", "left").withColumn("problem", checks.route_problem("entities", *route))
 

@@ -32,32 +32,35 @@ def read_registry_jdbc(spark: SparkSession, url: str, schema: str = "public", **
     return Registry(**{name: reader.option("dbtable", f"{schema}.{name}").load() for name in TABLES})
 
 
-def registered_sources(registry: Registry) -> DataFrame:
+def located_sources(registry: Registry) -> DataFrame:
+    """Data sources with their `file_url`. One whose configuration is no JSON has none and matches nothing."""
+    return registry.data_sources.select(
+        "id",
+        json_field(F.col("config"), "file_url").alias("file_url"),
+        "timestamp_column",
+        "created_timestamp_column",
+    ).filter(F.col("file_url").isNotNull())
+
+
+def registered_sources(registry: Registry, located: DataFrame | None = None) -> DataFrame:
     """One row per (source, entity) of live feature tables in active projects.
 
     Columns: file_url, entity_name, entity_type, feature_table, timestamp_column,
-    created_timestamp_column. A flag that is NULL counts as not live. A source
-    whose configuration is no JSON has no location and matches nothing.
+    created_timestamp_column. A flag that is NULL counts as not live. With `located`,
+    only those of the located sources, whose further columns are kept.
     """
-    ds, ft = registry.data_sources.alias("ds"), registry.feature_tables.alias("ft")
-    fte, en, pr = (
-        registry.feature_tables_entities_v2.alias("fte"),
-        registry.entities_v2.alias("en"),
-        registry.projects.alias("pr"),
-    )
+    located = located_sources(registry) if located is None else located
+    kept = [F.col(f"ds.{c}") for c in located.columns if c != "id"]
     return (
-        ds.join(ft.filter(~F.col("is_deleted")), F.col("ds.id") == F.col("ft.batch_source_id"))
-        .join(pr.filter(~F.col("archived")), F.col("ft.project_name") == F.col("pr.name"))
-        .join(fte, F.col("ft.id") == F.col("fte.feature_table_id"))
-        .join(en, F.col("fte.entity_v2_id") == F.col("en.id"))
+        located.alias("ds")
+        .join(registry.feature_tables.filter(~F.col("is_deleted")).alias("ft"), F.col("ds.id") == F.col("batch_source_id"))
+        .join(registry.projects.filter(~F.col("archived")).alias("pr"), F.col("project_name") == F.col("pr.name"))
+        .join(registry.feature_tables_entities_v2.alias("fte"), F.col("ft.id") == F.col("feature_table_id"))
+        .join(registry.entities_v2.alias("en"), F.col("entity_v2_id") == F.col("en.id"))
         .select(
-            json_field(F.col("ds.config"), "file_url").alias("file_url"),
+            *kept,
             F.col("en.name").alias("entity_name"),
             F.col("en.type").alias("entity_type"),
             F.col("ft.name").alias("feature_table"),
-            F.col("ds.timestamp_column").alias("timestamp_column"),
-            F.col("ds.created_timestamp_column").alias("created_timestamp_column"),
         )
-        .filter(F.col("file_url").isNotNull())
-        .distinct()
     )

@@ -11,13 +11,15 @@ micro-batch writes carries its batch id, so a replay starts by deleting that.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entidex import storage
 from entidex.operators.latest import latest
-from entidex.operators.lookups import month_of
+from entidex.operators.lookups import in_span, month_of
 from entidex.schemas import INDEX_COLUMNS, JOBS, entity_schema
 
 _PARTITIONS = T.StructType([T.StructField("event_month", T.IntegerType()), T.StructField("batch_id", T.LongType())])
@@ -60,12 +62,30 @@ class EntityIndex:
 
     # reads
 
-    def entity(self, name: str) -> DataFrame:
-        """Index rows of an entity, with the partition columns event_month and batch_id."""
-        types = self.entity_types()
-        if name not in types:
+    def entity(self, name: str, months: tuple[int, int] | None = None, id_type: str | None = None) -> DataFrame:
+        """Index rows of an entity, with the partition columns event_month and batch_id.
+
+        With `months` (first and last, such as 202401), only the folders of those
+        months are listed at all.
+        """
+        id_type = id_type or self.entity_types().get(name)
+        if id_type is None:
             raise ValueError(f"no entity table: {name}")
-        return self._read(f"entity_{name}", _both(entity_schema(types[name]), _PARTITIONS))
+        schema = _both(entity_schema(id_type), _PARTITIONS)
+        if months is None:
+            return self._read(f"entity_{name}", schema)
+        table = self._table(f"entity_{name}")
+        folders = storage.matching(self.spark, f"{storage.literal_path(table)}/event_month=*")
+        wanted = [f for f in folders if months[0] <= int(f.rsplit("=", 1)[1]) <= months[1]]
+        if not wanted:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", table)
+        return reader.parquet(*map(storage.literal_path, wanted))
+
+    def span(self, name: str, start: datetime, end: datetime) -> DataFrame:
+        """Index rows of an entity whose event time lies in the span, both ends included."""
+        months = tuple(t.year * 100 + t.month for t in (start, end))
+        return in_span(self.entity(name, months), start, end)
 
     def latest(self, name: str) -> DataFrame:
         """Latest row per id of an entity."""

@@ -37,7 +37,7 @@ from entidex.operators.lookups import month_of
 from entidex.operators.routes import routes_for_parents
 from entidex.schemas import ENTITY, ID_TYPES
 from entidex.sources import feature_files, notifications as source
-from entidex.sources.registry import Registry, registered_sources
+from entidex.sources.registry import Registry
 from entidex.store import EntityIndex
 
 STAGED = "piece string, load bigint, entity string, id bigint, feature_table string, event_timestamp timestamp_ntz, created_timestamp timestamp_ntz"
@@ -129,7 +129,7 @@ def _routeless_as_null(outcomes: DataFrame) -> DataFrame:
 
 def _routed(events: DataFrame, registry: Registry, storage_root: str, literal: bool) -> DataFrame:
     events = events.withColumn("parent", parent_of(F.col("key")))
-    routes = routes_for_parents(events, registered_sources(registry), literal)
+    routes = routes_for_parents(events, registry, literal)
     route = ["feature_table", "timestamp_column", "created_timestamp_column"]
     return events.join(routes, "parent", "left").select(
         "seq",
@@ -292,13 +292,16 @@ TIMES = ["event_timestamp", "created_timestamp"]
 
 
 def _profile(staged: DataFrame) -> list:
-    """Rows, rows with a NULL key and bounds of both times (epoch microseconds) per load and entity."""
+    """Rows, rows with a NULL key, and bounds of month and times (epoch microseconds) per load and entity."""
     micros = {c: to_epoch_micros(F.col(c)) for c in TIMES}
+    month = month_of(F.col("event_timestamp"))
     return (
         staged.groupBy("load", "entity")
         .agg(
             F.count("*").alias("n_rows"),
             F.count_if(checks.has_null_key()).alias("n_null"),
+            F.min(month).alias("min_month"),
+            F.max(month).alias("max_month"),
             *[F.min(m).alias(f"min_{c}") for c, m in micros.items()],
             *[F.max(m).alias(f"max_{c}") for c, m in micros.items()],
         )
@@ -313,14 +316,14 @@ def _stored_keys(index: EntityIndex, profile: list[tuple]) -> DataFrame | None:
         by_entity[row.entity].append((row, f))
     tables = []
     for entity, loaded in by_entity.items():
-        table = index.entity(entity).filter(F.col("feature_table").isin(sorted({f.feature_table for _, f in loaded})))
+        months = min(row.min_month for row, _ in loaded), max(row.max_month for row, _ in loaded)
+        id_type = loaded[0][1].id_types[entity]
+        table = index.entity(entity, months, id_type)
+        table = table.filter(F.col("feature_table").isin(sorted({f.feature_table for _, f in loaded})))
         for c in TIMES:
             low = F.lit(min(row[f"min_{c}"] for row, _ in loaded))
             high = F.lit(max(row[f"max_{c}"] for row, _ in loaded))
             table = table.filter(F.col(c).between(from_epoch_micros(low), from_epoch_micros(high)))
-            if c == "event_timestamp":
-                months = [month_of(from_epoch_micros(t)) for t in (low, high)]
-                table = table.filter(F.col("event_month").between(*months))
         tables.append(
             table.select(
                 F.lit(entity).alias("entity"), F.col("id").cast("bigint").alias("id"), "feature_table", *TIMES
@@ -332,7 +335,6 @@ def _stored_keys(index: EntityIndex, profile: list[tuple]) -> DataFrame | None:
 def _append(
     spark: SparkSession, accepted: list[_File], staged: DataFrame, rows_of: dict[int, int], batch_id: int, index: EntityIndex
 ) -> None:
-    types = index.entity_types()
     by_entity = defaultdict(list)
     for f in accepted:
         for name in f.names if rows_of.get(f.load) else []:
@@ -347,7 +349,7 @@ def _append(
                 # At most `max_files` rows, so the broadcast is bounded.
                 part = rows.join(F.broadcast(paths), "load")
                 parts.append(part.dropDuplicates(["load", *checks.KEY]) if collapsed else part)
-        index.append_entity(name, union_all(parts).withColumn("id", F.col("id").cast(types[name])), batch_id)
+        index.append_entity(name, union_all(parts).withColumn("id", F.col("id").cast(files[0].id_types[name])), batch_id)
 
 
 def _settle_repeats(files: list[_File], rows_of: dict[int, int]) -> None:

@@ -7,7 +7,7 @@ from entidex.sources.registry import Registry, read_registry, registered_sources
 
 def _routes(spark, reg, *parents, **options):
     frame = spark.createDataFrame([(p,) for p in parents], "parent string")
-    rows = routes_for_parents(frame, registered_sources(reg), **options).collect()
+    rows = routes_for_parents(frame, reg, **options).collect()
     return {r.parent: r for r in rows}
 
 
@@ -75,7 +75,7 @@ def test_route_problems(spark):
     )
     names = ["good", "text", "long", "edge", "blank", "null", "same", "clash", "none"]
     parents = spark.createDataFrame([(f"b/{n}",) for n in names], "parent string")
-    routes = parents.join(routes_for_parents(parents, registered_sources(reg)), "parent", "left")
+    routes = parents.join(routes_for_parents(parents, reg), "parent", "left")
     problem = checks.route_problem("entities", "feature_table", "timestamp_column", "created_timestamp_column")
     assert {r[0][2:]: r[1] for r in routes.select("parent", problem).collect()} == {
         "good": None,

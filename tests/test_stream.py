@@ -124,6 +124,11 @@ def test_lookups_over_a_stored_index(spark, store):
     plan = span._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(event_month" in plan and "GreaterThanOrEqual(event_timestamp" in plan
 
+    listed = store.index.span("driver", datetime(2023, 11, 15), datetime(2023, 11, 30))
+    assert sorted(listed.collect()) == sorted(span.collect())
+    assert {f.rsplit("event_month=")[1][:6] for f in listed.inputFiles()} == {"202311"}
+    assert store.index.span("driver", datetime(2025, 1, 1), datetime(2025, 2, 1)).count() == 0
+
     ids = spark.createDataFrame([(1,)], "id bigint")
     assert {r.path for r in lookups.paths_for_ids(index, ids).collect()} == {a, b}
     rows = lookups.rows_for_ids(index, ids)
