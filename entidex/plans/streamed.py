@@ -9,7 +9,7 @@ from entidex.functions.values import to_epoch_micros
 from entidex.plans import inputs
 from entidex.sources.notifications import stream_notifications
 from entidex.sources.registry import Registry
-from entidex.storage import comparable, comparable_uri, scratch_root
+from entidex.storage import scratch_root
 from entidex.store import EntityIndex
 from entidex.streaming.ingest import start_ingest
 
@@ -59,11 +59,10 @@ def write_event_files(events: DataFrame, root: str) -> DataFrame:
         .parquet(f"{root}/lake")
     )
     found = events.sparkSession.read.parquet(f"{root}/lake").select(
-        "event_type", "day", comparable_uri(F.col("_metadata.file_path")).alias("file")
-    )
-    return found.distinct().select(
-        "event_type", "day", F.replace("file", comparable(F.lit(f"{root}/")), F.lit("")).alias("key")
+        "event_type", "day", F.col("_metadata.file_path").alias("uri")
     )
+    # Neither names nor values need escapes here.
+    return found.distinct().select("event_type", "day", F.regexp_replace("uri", "^.*/lake/", "lake/").alias("key"))
 
 
 def write_notifications(files: DataFrame, folder: str) -> None:

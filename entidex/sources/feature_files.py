@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from entidex.functions.keys import normalized
 from entidex.functions.values import as_wall_time
 from entidex.operators.extract import as_id, entity_rows, quoted
-from entidex.storage import comparable, comparable_uri, literal_path
+from entidex.storage import bare, files_by_location, literal_path
 
 # What a column of a file may be, by its use.
 ID_COLUMN_TYPES = {
@@ -128,11 +128,23 @@ def probe_footers(
         yield number, problem, types and json.loads(types)
 
 
-def scan(spark: SparkSession, locations: list[str], types: dict[str, str]) -> DataFrame:
-    """Only the columns in `types`, plus `source_file`, which equals `comparable(location)`."""
+def scan(spark: SparkSession, locations: dict[str, int], types: dict[str, str]) -> DataFrame:
+    """Only the columns in `types`, plus `load`, the number of the row's file.
+
+    The numbers are looked up by the URI that Spark reports for a row, unchanged, so
+    that no row has its URI decoded. `load` is NULL if Spark reports an unknown file.
+    """
     schema = ", ".join("`" + name.replace("`", "``") + f"` {kind}" for name, kind in types.items())
     rows = spark.read.schema(schema).parquet(*map(literal_path, locations))
-    return rows.select(*[quoted(name) for name in types], comparable_uri(F.col("_metadata.file_path")).alias("source_file"))
+    uris = files_by_location(rows)
+    numbered = [(uris.get(bare(location)), number) for location, number in locations.items()]
+    # One row per file of a part, so the broadcast is bounded.
+    by_uri = F.broadcast(spark.createDataFrame(numbered, "source_uri string, load bigint"))
+    return (
+        rows.select(*[quoted(name) for name in types], F.input_file_name().alias("source_uri"))
+        .join(by_uri, "source_uri", "left")
+        .drop("source_uri")
+    )
 
 
 def staged_rows(
@@ -183,9 +195,10 @@ def read_features(
         as_wall_time(quoted(c), types[c]).alias(c) if c in times else quoted(c)
         for c in dict.fromkeys([*columns, *times])
     ]
-    by_file = spark.createDataFrame(files, "path string, location string")
+    uris = files_by_location(rows)
+    by_uri = spark.createDataFrame([(path, uris[bare(l)]) for path, l in files], "path string, source_uri string")
     return (
-        rows.select(*wanted, comparable_uri(F.col("_metadata.file_path")).alias("source_file"))
-        .join(by_file.select("path", comparable(F.col("location")).alias("source_file")), "source_file")
-        .drop("source_file")
+        rows.select(*wanted, F.input_file_name().alias("source_uri"))
+        .join(by_uri, "source_uri")
+        .drop("source_uri")
     )

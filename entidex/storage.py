@@ -5,9 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from urllib.parse import unquote
 
-from pyspark.sql import Column, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -55,11 +55,11 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
-def comparable(location: Column) -> Column:
-    """A location without scheme and slashes before its first name."""
-    return F.regexp_replace(location, "^([A-Za-z][A-Za-z0-9+.-]*:)?/*", "")
+def files_by_location(frame: DataFrame) -> dict[str, str]:
+    """URI of each file of a scan, as `input_file_name` shows it, by its `bare` location."""
+    return {bare(unquote(uri)): uri for uri in frame.inputFiles()}
 
 
-def comparable_uri(uri: Column) -> Column:
-    """The same for a file's URI, as Spark reports it: escapes undone, `+` kept."""
-    return comparable(F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))))
+def bare(location: str) -> str:
+    """A location without scheme and slashes before its first name."""
+    return re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*:)?/*", "", location)

@@ -113,13 +113,14 @@ class EntityIndex:
     def append_entity(self, name: str, rows: DataFrame, batch_id: int) -> None:
         """Appends canonical rows.
 
-        Rebalancing by month gives each month few files of a good size, and splits
-        a month that is too big for one; sorted rows make row groups easy to skip.
+        Rebalancing gives each month few files of a good size, mostly of one feature
+        table each, and splits what is too big for one file. Sorted ids let a lookup
+        of ids skip pages.
         """
         (
             rows.select(*INDEX_COLUMNS, *_partition_values(batch_id))
-            .hint("rebalance", F.col("event_month"))
-            .sortWithinPartitions("event_month", "batch_id", "feature_table", "id")
+            .hint("rebalance", F.col("event_month"), F.col("feature_table"))
+            .sortWithinPartitions("event_month", "batch_id", "id")
             .write.mode("append")
             .partitionBy("event_month", "batch_id")
             .parquet(self._table(f"entity_{name}"))

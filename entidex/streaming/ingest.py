@@ -231,12 +231,7 @@ def _stage(spark: SparkSession, loads: list[_File], path: str, piece: str = "0")
 
 def _staged_group(spark: SparkSession, group: list[_File]) -> DataFrame:
     f = group[0]
-    rows = feature_files.scan(spark, [g.location for g in group], f.types)
-    loads = spark.createDataFrame([(g.load, g.location) for g in group], "load bigint, location string").select(
-        "load", storage.comparable(F.col("location")).alias("source_file")
-    )
-    # At most `max_files` rows, so the broadcast is bounded.
-    numbered = rows.join(F.broadcast(loads), "source_file")
+    numbered = feature_files.scan(spark, {g.location: g.load for g in group}, f.types)
     return feature_files.staged_rows(
         numbered,
         f.types,
@@ -261,6 +256,8 @@ def _check_rows(
                 f.problem = problem
 
     profile = _profile(staged)
+    if any(row.load is None for row in profile):
+        raise RuntimeError("rows of an unknown file: does the storage root redirect?")
     for row in profile:
         if row.n_null:
             by_load[row.load].problem = checks.NULL_KEY
