@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from entidex.functions import keys, values
 from entidex.operators import checks, jobs, lookups
-from entidex.operators.extract import entity_rows
+from entidex.operators.extract import entity_rows, union_all
 from entidex.operators.latest import latest, latest_by_window, newest_event_per_load
 from entidex.operators.routes import routes_for_parents, routes_of
 from entidex.plans import inputs
-from entidex.plans.streamed import streamed_index
+from entidex.plans.streamed import irregular_index, streamed_index
+from entidex.schemas import ROW_KEY
 from entidex.sources import notifications
 from entidex.sources.registry import registered_sources
 from entidex.storage import scratch_root
@@ -531,3 +532,105 @@ def stream_jobs(spark, sf_dir):
         "feature_table",
         keys.parent_of(F.col("path")).alias("parent"),
     )
+
+
+_IRREGULAR = """attempts as (
+    select event_type as feature_table, cast(ts as date) as day,
+           case event_type
+               when 'click' then case when max(value) > 100 then 'duplicate key in file' end
+               when 'error' then case when min(value) < 1 then 'null in key' end
+               when 'purchase' then 'column missing: created_ts' end as status_msg
+    from events group by event_type, cast(ts as date))"""
+
+
+@query(
+    f"""with {_IRREGULAR}
+select case when status_msg is null then 'success' else 'failed' end as status, status_msg,
+       case when feature_table = 'signup' then 'big,user' else 'user' end as entity_names, feature_table,
+       concat('lake/event_type=', feature_table, '/day=', cast(day as varchar)) as parent
+from attempts"""
+)
+def stream_irregular_jobs(spark, sf_dir):
+    """The job log of files with NULL keys, duplicate keys, a missing column, several entities."""
+    return irregular_index(spark, sf_dir).jobs().select(
+        "status",
+        "status_msg",
+        F.array_join("entity_names", ",").alias("entity_names"),
+        "feature_table",
+        keys.parent_of(F.col("path")).alias("parent"),
+    )
+
+
+@query(
+    f"""with {inputs.USER_INDEX}, {_IRREGULAR},
+loaded as (
+    select events.*, cast(ts as date) as day from events
+    join attempts on event_type = feature_table and cast(ts as date) = day where status_msg is null)
+select 'user' as entity, user_id as id, event_type as feature_table, ts as event_timestamp,
+       cast(day as timestamp) as created_timestamp from loaded
+union all
+select distinct 'big', cast(value > 50 as bigint), event_type, ts, cast(day as timestamp) from loaded
+where event_type = 'signup'"""
+)
+def stream_irregular_index(spark, sf_dir):
+    """The index rows of the same files, for both entities."""
+    index = irregular_index(spark, sf_dir)
+    rows = [
+        index.entity(name)
+        .withColumn("id", F.col("id").cast("bigint"))
+        .select(F.lit(name).alias("entity"), *ROW_KEY)
+        for name in ("user", "big")
+    ]
+    return rows[0].unionByName(rows[1])
+
+
+@query(_LATEST)
+def stored_latest_view(spark, sf_dir):
+    """Writes the index, defines its views and asks one of them in SQL."""
+    index = EntityIndex(spark, scratch_root(spark))
+    index.define({"user": "bigint"}, 0)
+    index.append_entity("user", inputs.user_index(spark, sf_dir), 0)
+    index.create_views()
+    return spark.sql("select * from max_entity_user")
+
+
+_MESSAGES = """messages as (
+    select ts, case when value < 3 then '{broken'
+                    when value < 6 then concat('{"EventName": "s3:ObjectCreated:Put", "size": ', event_id, '}')
+                    when value < 50 then concat('{"EventName": "s3:ObjectCreated:Put", "Key": "lake/', event_id,
+                        '.parquet", "Records": [{"eventTime": "2024-02-01T00:00:00.250Z"}]}')
+                    else concat('{"Key": "lake/', event_id, '.parquet", "EventName": "s3:ObjectRemoved:Delete"}')
+               end as value
+    from events),
+read as (
+    select case when json_valid(value) then json_extract_string(value, '$.EventName') end as event_name,
+           case when json_valid(value) then json_extract_string(value, '$.Key') end as key,
+           case when json_valid(value) and json_exists(value, '$.Records') then timestamp '2024-02-01 00:00:00.25'
+                else ts end as received_at
+    from messages)"""
+
+
+@query(
+    f"""with {_MESSAGES}
+select 'malformed' as kind, * from read where event_name is null or key is null union all
+select 'removed', * from read where key is not null and event_name like 's3:ObjectRemoved:%' union all
+select 'created', * from read where key is not null and event_name not like 's3:ObjectRemoved:%'"""
+)
+def queue_messages(spark, sf_dir):
+    """Messages of a queue as notifications, the broken ones included."""
+    number, value = F.col("event_id").cast("string"), F.col("value")
+    created = F.lit('{"EventName": "s3:ObjectCreated:Put", ')
+    sent = F.lit('.parquet", "Records": [{"eventTime": "2024-02-01T00:00:00.250Z"}]}')
+    text = (
+        F.when(value < 3, "{broken")
+        .when(value < 6, F.concat(created, F.lit('"size": '), number, F.lit("}")))
+        .when(value < 50, F.concat(created, F.lit('"Key": "lake/'), number, sent))
+        .otherwise(F.concat(F.lit('{"Key": "lake/'), number, F.lit('.parquet", "EventName": "s3:ObjectRemoved:Delete"}')))
+    )
+    # The queue's time stamps are zoned.
+    arrived = F.timestamp_micros(values.to_epoch_micros(F.col("ts")))
+    messages = inputs.table(spark, sf_dir, "events").select(arrived.alias("timestamp"), text.alias("value"))
+    events = notifications.parse_notifications(messages)
+    kinds = {"malformed": notifications.malformed, "removed": notifications.removed, "created": notifications.created}
+    parts = [of(events).withColumn("kind", F.lit(kind)) for kind, of in kinds.items()]
+    return union_all(parts)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entidex.functions.values import to_epoch_micros
+from entidex.functions.values import from_epoch_micros, to_epoch_micros
 from entidex.plans import inputs
 from entidex.sources.notifications import stream_notifications
 from entidex.sources.registry import Registry
@@ -14,11 +14,15 @@ from entidex.store import EntityIndex
 from entidex.streaming.ingest import start_ingest
 
 
-def event_registry(events: DataFrame) -> Registry:
-    """One source per event type and day; the event types are the feature tables, with one entity."""
+def event_registry(events: DataFrame, flagged: str | None = None) -> Registry:
+    """One source per event type and day; the event types are the feature tables.
+
+    All have the entity `user`; with `flagged`, that one also has the entity `big`.
+    """
     spark = events.sparkSession
     days = events.select("event_type", F.col("ts").cast("date").cast("string").alias("day")).distinct()
     days = days.withColumn("id", F.xxhash64("event_type", "day"))
+    entities = F.when(F.col("event_type") == flagged, F.sequence(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     url = [F.lit('{"file_url": "s3a://lake/event_type='), "event_type", F.lit("/day="), "day", F.lit('/"}')]
     return Registry(
         data_sources=days.select(
@@ -35,34 +39,55 @@ def event_registry(events: DataFrame) -> Registry:
             F.lit(False).alias("is_deleted"),
         ),
         feature_tables_entities_v2=days.select(
-            F.col("id").alias("feature_table_id"), F.lit(1).cast("bigint").alias("entity_v2_id")
+            F.col("id").alias("feature_table_id"), F.explode(entities).alias("entity_v2_id")
         ),
-        entities_v2=spark.range(1, 2).select("id", F.lit("user").alias("name"), F.lit("INT64").alias("type")),
+        entities_v2=spark.createDataFrame([(1, "user", "INT64"), (2, "big", "bool")], "id int, name string, type string"),
         projects=spark.range(1).select(F.lit("p").alias("name"), F.lit(False).alias("archived")),
     )
 
 
-def write_event_files(events: DataFrame, root: str) -> DataFrame:
-    """Writes one feature file per event type and day to the bucket `lake`; returns their keys."""
+def feature_rows(events: DataFrame) -> DataFrame:
+    """Rows of the feature files, all regular."""
     day = F.col("ts").cast("date")
-    (
-        events.select(
-            F.col("user_id").alias("user"),
-            to_epoch_micros(F.col("ts")).alias("event_ts"),
-            to_epoch_micros(day.cast("timestamp_ntz")).alias("created_ts"),
-            "value",
-            "event_type",
-            day.cast("string").alias("day"),
-        )
-        .repartition("event_type", "day")
-        .write.partitionBy("event_type", "day")
-        .parquet(f"{root}/lake")
-    )
-    found = events.sparkSession.read.parquet(f"{root}/lake").select(
-        "event_type", "day", F.col("_metadata.file_path").alias("uri")
+    return events.select(
+        F.col("user_id").alias("user"),
+        to_epoch_micros(F.col("ts")).alias("event_ts"),
+        to_epoch_micros(day.cast("timestamp_ntz")).alias("created_ts"),
+        "value",
+        "event_type",
+        day.cast("string").alias("day"),
     )
-    # Neither names nor values need escapes here.
-    return found.distinct().select("event_type", "day", F.regexp_replace("uri", "^.*/lake/", "lake/").alias("key"))
+
+
+def irregular_rows(events: DataFrame) -> list[DataFrame]:
+    """The same per event type, each in a way of its own.
+
+    Clicks above 100 come twice; errors below 1 have no user; purchases lack the
+    creation time; sign-ups have wall times and a flag; views are regular.
+    """
+    rows = feature_rows(events)
+    of = {kind: rows.filter(F.col("event_type") == kind) for kind in ("click", "error", "purchase", "signup", "view")}
+    wall_time = from_epoch_micros(F.col("event_ts"))
+    return [
+        of["click"].unionByName(of["click"].filter(F.col("value") > 100)),
+        of["error"].withColumn("user", F.when(F.col("value") >= 1, F.col("user"))),
+        of["purchase"].drop("created_ts"),
+        of["signup"].withColumn("event_ts", wall_time).withColumn("big", F.col("value") > 50),
+        of["view"],
+    ]
+
+
+def write_files(rows: DataFrame, root: str) -> None:
+    """Writes one feature file per event type and day to the bucket `lake`."""
+    files = rows.repartition("event_type", "day").write.partitionBy("event_type", "day")
+    files.mode("append").parquet(f"{root}/lake")
+
+
+def written_files(spark: SparkSession, root: str) -> DataFrame:
+    """Event type, day and key of all files."""
+    files = spark.read.parquet(f"{root}/lake").select("event_type", "day", F.col("_metadata.file_path").alias("uri"))
+    # The names need no escapes, so a URI ends in the key.
+    return files.distinct().select("event_type", "day", F.regexp_replace("uri", "^.*/lake/", "lake/").alias("key"))
 
 
 def write_notifications(files: DataFrame, folder: str) -> None:
@@ -73,22 +98,37 @@ def write_notifications(files: DataFrame, folder: str) -> None:
     ).write.mode("append").json(folder)
 
 
+def _stream(index: EntityIndex, registry: Registry, files: DataFrame, root: str) -> None:
+    write_notifications(files, f"{root}/notifications")
+    start_ingest(
+        stream_notifications(index.spark, f"{root}/notifications"),
+        index,
+        lambda: registry,
+        f"{root}/data/",
+        f"{root}/checkpoint",
+        trigger={"availableNow": True},
+        bucket="lake",
+    ).awaitTermination()
+
+
 def streamed_index(spark: SparkSession, sf_dir: str) -> EntityIndex:
     """Streams all event files into a new index, then the files of one type once more."""
     root = scratch_root(spark)
     events = inputs.table(spark, sf_dir, "events")
-    files = write_event_files(events, f"{root}/data")
+    write_files(feature_rows(events), f"{root}/data")
+    files = written_files(spark, f"{root}/data")
     index = EntityIndex(spark, f"{root}/index")
-    registry = event_registry(events)
     for arrived in (files, files.filter(F.col("event_type") == "click")):
-        write_notifications(arrived, f"{root}/notifications")
-        start_ingest(
-            stream_notifications(spark, f"{root}/notifications"),
-            index,
-            lambda: registry,
-            f"{root}/data/",
-            f"{root}/checkpoint",
-            trigger={"availableNow": True},
-            bucket="lake",
-        ).awaitTermination()
+        _stream(index, event_registry(events), arrived, root)
+    return index
+
+
+def irregular_index(spark: SparkSession, sf_dir: str) -> EntityIndex:
+    """Streams irregular files into a new index."""
+    root = scratch_root(spark)
+    events = inputs.table(spark, sf_dir, "events")
+    for rows in irregular_rows(events):
+        write_files(rows, f"{root}/data")
+    index = EntityIndex(spark, f"{root}/index")
+    _stream(index, event_registry(events, flagged="signup"), written_files(spark, f"{root}/data"), root)
     return index

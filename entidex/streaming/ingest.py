@@ -219,10 +219,11 @@ def _stage(spark: SparkSession, loads: list[_File], path: str, piece: str = "0")
         union.write.partitionBy("entity").parquet(f"{path}/piece={piece}")
         return True
     except feature_files.READ_ERRORS as error:
-        if feature_files.read_problem(error) is None:
+        problem = feature_files.read_problem(error)
+        if problem is None:
             raise
         if len(loads) == 1:
-            loads[0].problem = checks.UNREADABLE
+            loads[0].problem = checks.NO_FILE if problem == feature_files.MISSING else checks.UNREADABLE
             return False
         half = len(loads) // 2
         staged = [_stage(spark, part, path, piece + side) for part, side in ((loads[:half], "0"), (loads[half:], "1"))]

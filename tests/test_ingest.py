@@ -197,3 +197,41 @@ def test_clock(spark, store):
     summary = jobs.job_summary(store.index.jobs()).first()
     assert (summary.feature_table, summary.status, summary.n_jobs, summary.seconds) == ("trips", "success", 1, 3.0)
     assert (summary.first_started, summary.last_ended) == (datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 0, 3))
+
+
+def test_column_types(spark, store):
+    """Every way to write a whole number, a time and a flag."""
+    reg = registry(spark, TRIPS, ("lake/flags", "flags", {"active": "BOOL"}))
+    micros = pa.array([NOW], pa.int64())
+    keys, expected = [], []
+    for i, kind in enumerate(["int8", "int16", "int32", "int64", "uint8", "uint16", "uint32"]):
+        column = pa.array([i], getattr(pa, kind)())
+        keys.append(store.put(f"lake/trips/{kind}.parquet", driver=column, ev=micros, cr=micros))
+        expected.append(None)
+    for kind in (pa.uint64(), pa.decimal128(9, 0), pa.date32(), pa.bool_(), pa.list_(pa.int64())):
+        column = pa.array([[1]] if pa.types.is_list(kind) else [True if kind == pa.bool_() else 1], kind)
+        keys.append(store.put(f"lake/trips/{len(keys)}.parquet", driver=column, ev=micros, cr=micros))
+        expected.append(f"{'column missing' if pa.types.is_list(kind) else 'unsupported column type'}: driver")
+    for kind in (pa.large_string(), pa.dictionary(pa.int32(), pa.string())):
+        column = pa.array([str(len(keys))], pa.string()).cast(kind)
+        keys.append(store.put(f"lake/trips/{len(keys)}.parquet", driver=column, ev=micros, cr=micros))
+        expected.append(None)
+    time = datetime(2024, 1, 1, 0, 0, 0, 5000)
+    for kind in (pa.timestamp("us"), pa.timestamp("ms"), pa.timestamp("us", tz="America/New_York")):
+        column = pa.array([time], kind)
+        keys.append(store.put(f"lake/trips/{len(keys)}.parquet", driver=[len(keys)], ev=column, cr=micros))
+        expected.append(None)
+    old = store.put("lake/trips/old.parquet", driver=[50], ev=pa.array([time], pa.timestamp("us")), cr=micros)
+    old_table = pq.read_table(f"{store.data}/{old}")
+    pq.write_table(old_table, f"{store.data}/{old}", use_deprecated_int96_timestamps=True)
+    keys.append(old)
+    expected.append(None)
+    for i, column in enumerate([["yes"], pa.array([1], pa.int8())]):
+        keys.append(store.put(f"lake/flags/{i}.parquet", active=column, ev=[NOW + i], cr=[NOW]))
+        expected.append(None)
+    _ingest(store, reg, *keys)
+    assert store.outcomes() == list(zip(keys, expected))
+    rows = store.index_rows()
+    assert [r[0] for r in rows] == sorted(r[0] for r in rows) and len(rows) == 13
+    assert {r[2] for r in rows if r[0] > 13} == {time}
+    assert [r[0] for r in store.index_rows("active")] == [True, True]
