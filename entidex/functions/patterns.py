@@ -2,10 +2,10 @@
 
 A directory is a pattern here, not plain text: its `_` and `%` are wildcards. To
 match many directories with many locations without comparing all pairs, each
-pattern gets an *anchor*, a literal piece of it whose length is one of a few
-fixed widths. A location can only match if the anchor is one of its substrings
-of that width, so an equi-join on (width, substring) finds every candidate and
-`LIKE` then decides.
+pattern offers *anchors*: literal pieces of it whose length is one of a few fixed
+widths. A location can only match if every anchor is one of its substrings of that
+width. So an equi-join on (width, substring), with the rarest anchor of each
+pattern, finds every candidate, and `LIKE` then decides.
 """
 
 from __future__ import annotations
@@ -28,16 +28,15 @@ def containing_pattern(directory: Column, literal: bool = False) -> Column:
     return F.regexp_replace(pattern, r"(?s)(\\[%_\\])|\\(.)", "$1$2")
 
 
-def anchor_of(pattern: Column) -> Column:
-    """Struct (width, gram): the end of the longest literal run in the pattern."""
-    run = F.aggregate(
-        F.split(pattern, r"(?s)\\.|[%_]"),
-        F.lit(""),
-        lambda best, s: F.when(F.length(s) > F.length(best), s).otherwise(best),
-    )
-    width = F.coalesce(*[F.when(F.length(run) >= w, F.lit(w)) for w in WIDTHS])
-    gram = F.when(width == 0, F.lit("")).otherwise(F.right(run, width))
-    return F.struct(width.alias("width"), gram.alias("gram"))
+def anchors_of(pattern: Column) -> Column:
+    """(width, gram) structs: start and end of each literal run in the pattern."""
+
+    def of_run(run: Column) -> Column:
+        width = F.coalesce(*[F.when(F.length(run) >= w, F.lit(w)) for w in WIDTHS])
+        start, end = F.substr(run, F.lit(1), width), F.substr(run, F.length(run) - width + 1, width)
+        return F.array(*[F.struct(width.alias("width"), gram.alias("gram")) for gram in (start, end)])
+
+    return F.array_distinct(F.flatten(F.transform(F.split(pattern, r"(?s)\\.|[%_]"), of_run)))
 
 
 def grams_of(text: Column) -> Column:

@@ -5,26 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entidex.functions.patterns import anchor_of, containing_pattern, grams_of
+from entidex.functions.patterns import anchors_of, containing_pattern, grams_of
 from entidex.sources.registry import Registry, located_sources, registered_sources
 
 _GROUP = ["feature_table", "timestamp_column", "created_timestamp_column"]
 
 
-def matching_locations(parents: DataFrame, locations: DataFrame, literal: bool = False) -> DataFrame:
-    """All (parent, file_url) where the location is LIKE '%parent%'; see `patterns`."""
-    patterns = (
-        parents.select("parent")
-        .distinct()
-        .withColumn("pattern", containing_pattern(F.col("parent"), literal))
-        .withColumn("anchor", anchor_of(F.col("pattern")))
-    )
+def candidate_locations(parents: DataFrame, locations: DataFrame, literal: bool = False) -> DataFrame:
+    """(parent, pattern, file_url) where the location holds the rarest anchor of the parent; see `patterns`.
+
+    Which anchor is rare is counted first: names such as `lake/features/table_000123`
+    share most of their pieces with all others.
+    """
+    patterns = parents.select("parent").distinct().withColumn("pattern", containing_pattern(F.col("parent"), literal))
     grams = locations.select("file_url").distinct().withColumn("anchor", F.explode(grams_of(F.col("file_url"))))
-    return (
-        grams.join(patterns, "anchor")
-        .filter(F.like("file_url", F.col("pattern")))
-        .select("parent", "file_url")
+    rarest = (
+        patterns.withColumn("anchor", F.explode(anchors_of(F.col("pattern"))))
+        .join(grams.groupBy("anchor").agg(F.count("*").alias("n")), "anchor", "left")
+        .groupBy("parent", "pattern")
+        .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "anchor")).alias("rarest"))
+        .filter(F.col("rarest.n") > 0)
+        .select("parent", "pattern", "rarest.anchor")
     )
+    return rarest.join(grams, "anchor").select("parent", "pattern", "file_url")
+
+
+def matching_locations(parents: DataFrame, locations: DataFrame, literal: bool = False) -> DataFrame:
+    """All (parent, file_url) where the location is LIKE '%parent%'."""
+    candidates = candidate_locations(parents, locations, literal)
+    return candidates.filter(F.like("file_url", F.col("pattern"))).select("parent", "file_url")
 
 
 def routes_of(sources: DataFrame, keys: list[str]) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from entidex.functions import keys, patterns, values
-from entidex.operators.routes import matching_locations
+from entidex.operators.routes import candidate_locations, matching_locations
 from entidex.storage import bare
 
 KEYS = [
@@ -65,8 +65,16 @@ def test_locations_match_like_every_pair_compared(spark, literal):
 
 def test_anchor_widths(spark):
     frame = spark.createDataFrame([("x" * 70,), ("abc",), ("_",)], "p string")
-    anchors = [r[0] for r in frame.select(patterns.anchor_of(patterns.containing_pattern(F.col("p")))).collect()]
-    assert [(a.width, len(a.gram)) for a in anchors] == [(32, 32), (2, 2), (0, 0)]
+    pattern = patterns.containing_pattern(F.col("p"))
+    anchors = [{tuple(a) for a in r[0]} for r in frame.select(patterns.anchors_of(pattern)).collect()]
+    assert anchors == [{(0, ""), (32, "x" * 32)}, {(0, ""), (2, "ab"), (2, "bc")}, {(0, "")}]
+
+
+def test_names_that_differ_at_the_end_are_no_pairs(spark):
+    names = spark.range(2000).select(F.format_string("lake/features/table_%06d", "id").alias("parent"))
+    urls = names.select(F.concat(F.lit("s3a://"), "parent", F.lit("/")).alias("file_url"))
+    assert matching_locations(names, urls).count() == 2000
+    assert candidate_locations(names, urls).count() < 20_000
 
 
 def test_micros_in_any_time_zone(spark):
