@@ -29,6 +29,9 @@ TIME_COLUMN_TYPES = ["tinyint", "smallint", "int", "bigint", "float", "double",
 
 MISSING, BROKEN = "missing", "broken"
 
+# Longest list of files that is broadcast.
+MAX_LISTED = 100_000
+
 READ_ERRORS = (PySparkException, Py4JJavaError)
 
 
@@ -197,6 +200,8 @@ def read_features(
     ]
     uris = files_by_location(rows)
     by_uri = spark.createDataFrame([(path, uris[bare(l)]) for path, l in files], "path string, source_uri string")
+    if len(files) <= MAX_LISTED:
+        by_uri = F.broadcast(by_uri)
     return (
         rows.select(*wanted, F.input_file_name().alias("source_uri"))
         .join(by_uri, "source_uri")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -106,10 +108,10 @@ def sequenced(notifications: DataFrame, batch_id: int, scratch: str) -> DataFram
         .parquet(ranged)
     )
     rows = spark.read.parquet(ranged)
-    # One row per sorted partition, so this window is small.
-    before = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = rows.groupBy("slot").agg(F.count("*").alias("size"))
-    offsets = sizes.select("slot", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+    # One number per sorted partition.
+    sizes = {row.slot: row["count"] for row in rows.groupBy("slot").count().collect()}
+    starts = zip(sorted(sizes), accumulate((sizes[slot] for slot in sorted(sizes)), initial=0))
+    offsets = spark.createDataFrame(list(starts), "slot int, offset bigint")
     rank = F.row_number().over(Window.partitionBy("slot").orderBy(*order)) + F.col("offset")
     return rows.join(offsets, "slot").select(
         "event_name", "key", "received_at", (F.lit(batch_id).cast("bigint") * F.lit(2**32) + rank).alias("seq")

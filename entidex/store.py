@@ -104,6 +104,12 @@ class EntityIndex:
 
     # writes
 
+    def last_batch(self) -> int | None:
+        """Highest batch id of any table, or None in a new index."""
+        patterns = ("entity_*/event_month=*", "jobs", "definitions")
+        found = [p for t in patterns for p in storage.matching(self.spark, f"{self.root}/{t}/batch_id=*")]
+        return max((int(path.rsplit("=", 1)[1]) for path in found), default=None)
+
     def clear_batch(self, batch_id: int) -> None:
         """Deletes what an earlier attempt at this batch wrote."""
         for pattern in ("entity_*/event_month=*", "jobs", "definitions"):

@@ -366,16 +366,24 @@ def start_ingest(
     storage_root: str,
     checkpoint: str,
     trigger: dict | None = None,
+    first_batch: int = 0,
     **options,
 ) -> StreamingQuery:
     """Starts continuous ingest of a stream of notifications.
 
-    The registry is read anew for each batch. Batch ids belong to the checkpoint,
-    so one index takes one stream.
+    The registry is read anew for each batch. A checkpoint numbers its batches from
+    zero, and a batch replaces what the index holds under its number. So a new
+    checkpoint on an index with batches needs a `first_batch` beyond them, which must
+    then stay with that checkpoint.
     """
+    spark = events.sparkSession
+    if not storage.matching(spark, f"{storage.literal_path(checkpoint)}/offsets/*"):
+        last = index.last_batch()
+        if last is not None and last >= first_batch:
+            raise ValueError(f"the index has batches up to {last}: a new checkpoint needs first_batch={last + 1}")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, batch_id, index, registry(), storage_root, **options)
+        ingest_batch(batch, first_batch + batch_id, index, registry(), storage_root, **options)
 
     return (
         events.writeStream.foreachBatch(handle)

@@ -235,3 +235,41 @@ def test_column_types(spark, store):
     assert [r[0] for r in rows] == sorted(r[0] for r in rows) and len(rows) == 13
     assert {r[2] for r in rows if r[0] > 13} == {time}
     assert [r[0] for r in store.index_rows("active")] == [True, True]
+
+
+def test_replay_after_a_crash_before_the_job_log(spark, store, monkeypatch):
+    reg = registry(spark, TRIPS)
+    a, b = store.rows("lake/trips/a.parquet", [1, 2]), store.rows("lake/trips/b.parquet", [2, 3])
+
+    def crash(*_):
+        raise RuntimeError("crash")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(store.index, "append_jobs", crash)
+        with pytest.raises(RuntimeError, match="crash"):
+            _ingest(store, reg, a, b)
+    assert [r[0] for r in store.index_rows()] == [1, 2]
+    _ingest(store, reg, a, b)
+    assert [r[0] for r in store.index_rows()] == [1, 2]
+    assert store.outcomes() == [(a, None), (b, checks.STORED_KEY)]
+
+
+def test_many_events_for_one_file(spark, store):
+    """A third of all events may name one file: it is read once."""
+    reg = registry(spark, TRIPS)
+    hot = store.rows("lake/trips/hot.parquet", range(50))
+    others = [store.rows(f"lake/trips/{i}.parquet", [100 + i]) for i in range(20)]
+    _ingest(store, reg, *[hot] * 200, *others)
+    outcomes = store.outcomes()
+    assert outcomes[:200] == [(hot, None)] + [(hot, checks.STORED_KEY)] * 199
+    assert outcomes[200:] == [(key, None) for key in others]
+    assert len(store.index_rows()) == 70
+
+
+def test_small_loads_do_not_shuffle_the_stored_index(spark, store):
+    reg = registry(spark, TRIPS)
+    _ingest(store, reg, store.rows("lake/trips/a.parquet", range(1000)))
+    index = store.index.entity("driver").selectExpr("'driver' as entity", *checks.ROW_KEY)
+    index.withColumn("load", index.id).write.parquet(f"{store.root}/staged")
+    plan = checks.stored_key_loads(spark.read.parquet(f"{store.root}/staged"), index)._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

@@ -62,13 +62,13 @@ def test_arrival_order(spark, tmp_path):
     assert order == sorted((t, k) for _, k, t in rows)
 
 
-def _run(store, reg, **options):
+def _run(store, reg, checkpoint="checkpoint", **options):
     start_ingest(
         source.stream_notifications(store.spark, f"{store.root}/notes", max_files_per_trigger=1),
         store.index,
         lambda: reg,
         f"{store.data}/",
-        f"{store.root}/checkpoint",
+        f"{store.root}/{checkpoint}",
         trigger={"availableNow": True},
         **options,
     ).awaitTermination()
@@ -91,11 +91,20 @@ def test_stream_equals_one_batch(spark, store, tmp_path):
         (keys[0], checks.STORED_KEY),
         (keys[3], checks.STORED_KEY),
     ]
+    # A new checkpoint must not overwrite the batches of the old one.
+    with pytest.raises(ValueError, match="first_batch=3"):
+        _run(store, reg, "other")
+    rows, outcomes = store.index_rows(), store.outcomes()
+    _run(store, reg, "other", first_batch=3)
+    assert store.index_rows() == rows and store.outcomes()[: len(outcomes)] == outcomes
+    assert {m for _, m in store.outcomes()[len(outcomes) :]} == {checks.STORED_KEY}
+    assert store.index.last_batch() == 5
+
     whole = Store(spark, tmp_path / "whole")
     events = source.read_notifications(spark, f"{store.root}/notes")
     ingest_batch(events, 0, whole.index, reg, store.data)
-    assert whole.index_rows() == store.index_rows()
-    assert whole.outcomes() == store.outcomes()
+    assert whole.index_rows() == rows
+    assert whole.outcomes() == outcomes
 
 
 def test_nothing_is_left_in_the_scratch_folder(spark, store):
