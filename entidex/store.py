@@ -27,6 +27,14 @@ _BATCH = T.StructType([T.StructField("batch_id", T.LongType())])
 _TYPES = T.StructType([T.StructField("entity", T.StringType()), T.StructField("id_type", T.StringType())])
 
 
+def _escaped(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _both(a: T.StructType, b: T.StructType) -> T.StructType:
     return T.StructType([*a.fields, *b.fields])
 
@@ -98,9 +106,35 @@ class EntityIndex:
         """Temporary views `jobs` and, per entity, `entity_<name>` and `max_entity_<name>`."""
         self.jobs().drop("batch_id").createOrReplaceTempView("jobs")
         for name in self.entity_types():
-            escaped = name.replace("`", "``")
-            self.entity(name).select(*INDEX_COLUMNS).createOrReplaceTempView(f"`entity_{escaped}`")
-            self.latest(name).createOrReplaceTempView(f"`max_entity_{escaped}`")
+            self.entity(name).select(*INDEX_COLUMNS).createOrReplaceTempView(_escaped(f"entity_{name}"))
+            self.latest(name).createOrReplaceTempView(_escaped(f"max_entity_{name}"))
+
+    def publish(self, database: str = "entity_lookup") -> None:
+        """Makes the index a database of the session's catalog, with the same names as `create_views`.
+
+        Tables and views that exist stay as they are; tables learn their new
+        partitions. Call it again after new batches. Catalogs take names of letters,
+        digits and underscores only.
+        """
+        sql = self.spark.sql
+        in_database = lambda name: f"{_escaped(database)}.{_escaped(name)}"
+        sql(f"CREATE DATABASE IF NOT EXISTS {_escaped(database)} LOCATION {_literal(self.root)}")
+        tables = {f"entity_{name}": entity_schema(kind) for name, kind in self.entity_types().items()}
+        for name, schema in {"jobs": JOBS, **tables}.items():
+            partitions = _BATCH if name == "jobs" else _PARTITIONS
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in _both(schema, partitions).fields)
+            sql(
+                f"CREATE TABLE IF NOT EXISTS {in_database(name)} ({columns}) USING parquet "
+                f"PARTITIONED BY ({', '.join(partitions.fieldNames())}) LOCATION {_literal(self._table(name))}"
+            )
+            sql(f"MSCK REPAIR TABLE {in_database(name)}")
+        for name in tables:
+            sql(
+                f"""CREATE VIEW IF NOT EXISTS {in_database(f"max_{name}")} AS
+                SELECT id, load.feature_table, load.event_timestamp, load.created_timestamp, load.path, 1L AS rk
+                FROM (SELECT id, max(struct(created_timestamp, path IS NULL, path, feature_table, event_timestamp)) AS load
+                      FROM {in_database(name)} GROUP BY id)"""
+            )
 
     # writes
 

@@ -155,3 +155,24 @@ def test_lookups_over_a_stored_index(spark, store):
     assert spark.sql("select status from jobs").count() == 2
     with pytest.raises(ValueError):
         store.index.entity("unknown")
+
+
+def test_published_database(spark, store):
+    reg = registry(spark, ("lake/trips", "trips", {"driver_id": "INT64"}))
+    keys = [
+        store.put(f"lake/trips/{i}.parquet", **{"driver_id": [1, i]}, ev=[NOW + i] * 2, cr=[NOW + i] * 2) for i in (2, 3)
+    ]
+    try:
+        for batch, key in enumerate(keys):
+            ingest_batch(store.notifications(key), batch, store.index, reg, store.data)
+            store.index.publish("entity_lookup_test")
+        rows = spark.sql("select id, path, rk from entity_lookup_test.`max_entity_driver_id`").collect()
+        assert sorted(map(tuple, rows)) == [(1, keys[1], 1), (2, keys[0], 1), (3, keys[1], 1)]
+        assert spark.sql("select * from entity_lookup_test.`entity_driver_id`").count() == 4
+        assert spark.sql("select * from entity_lookup_test.jobs where status = 'success'").count() == 2
+    finally:
+        for name in ("max_entity_driver_id",):
+            spark.sql(f"drop view if exists entity_lookup_test.`{name}`")
+        for name in ("entity_driver_id", "jobs"):
+            spark.sql(f"drop table if exists entity_lookup_test.`{name}`")
+        spark.sql("drop database if exists entity_lookup_test")
