@@ -104,15 +104,13 @@ def ingest_batch(
     try:
         index.clear_batch(batch_id)
         wanted = source.created(source.subscribed(events, bucket))
+        # `seq` counts on from here without gaps, so it tells the part.
+        first = batch_id * 2**32 + 1
+        part_of = F.floor((F.col("seq") - first) / max_files).cast("int").alias("part")
         routed = _routed(source.sequenced(wanted, batch_id, scratch), registry, root, literal)
-        routed.repartitionByRange("seq").sortWithinPartitions("seq").write.parquet(f"{scratch}/routed")
-        routed = spark.read.parquet(f"{scratch}/routed")
-        first, last = routed.agg(F.min("seq"), F.max("seq")).first()
-        if first is None:
-            return
-        # `seq` has no gaps, so a range of it is a part of known size.
-        for part, start in enumerate(range(first, last + 1, max_files)):
-            rows = routed.filter(F.col("seq").between(start, start + max_files - 1)).orderBy("seq").collect()
+        routed.select("*", part_of).repartition("part").write.partitionBy("part").parquet(f"{scratch}/routed")
+        for part in range(len(storage.matching(spark, f"{scratch}/routed/part=*"))):
+            rows = spark.read.parquet(f"{scratch}/routed/part={part}").orderBy("seq").collect()
             files = [_File(**row.asDict()) for row in rows]
             started = clock()
             _ingest_part(spark, files, batch_id, index, f"{scratch}/part={part}", probe)
