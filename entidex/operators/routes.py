@@ -18,7 +18,10 @@ def candidate_locations(parents: DataFrame, locations: DataFrame, literal: bool
     share most of their pieces with all others.
     """
     patterns = parents.select("parent").distinct().withColumn("pattern", containing_pattern(F.col("parent"), literal))
-    grams = locations.select("file_url").distinct().withColumn("anchor", F.explode(grams_of(F.col("file_url"))))
+    # Few bytes turn into many grams here, so the number of tasks must not follow the bytes.
+    tasks = min(locations.sparkSession.sparkContext.defaultParallelism, 64)
+    urls = locations.select("file_url").repartition(tasks, "file_url").distinct()
+    grams = urls.withColumn("anchor", F.explode(grams_of(F.col("file_url"))))
     rarest = (
         patterns.withColumn("anchor", F.explode(anchors_of(F.col("pattern"))))
         .join(grams.groupBy("anchor").agg(F.count("*").alias("n")), "anchor", "left")
