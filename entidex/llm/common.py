@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -16,9 +17,21 @@ from entidex.storage import scratch_root
 CHUNK_CHARS = 4_000_000
 
 
+def importable(frame: DataFrame) -> DataFrame:
+    """The frame; its Python workers look for this package where the driver found it.
+
+    Where it is installed elsewhere on the executors, the extra entry does nothing.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = frame.sparkSession.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+    return frame
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     frame = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return frame.select(*columns) if columns else frame
+    return importable(frame.select(*columns) if columns else frame)
 
 
 def written(frame: DataFrame, folder: str, name: str) -> DataFrame:
@@ -63,7 +76,7 @@ def map_texts(docs: DataFrame, id_col: str, text_col: str, make: Callable[[], Ca
                 arrays = [ids, *apply(texts[start:end])]
                 yield pa.RecordBatch.from_arrays([a.cast(f.type) if a.type != f.type else a for a, f in zip(arrays, arrow)], schema=arrow)
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return importable(docs).select(id_col, text_col).mapInArrow(run, schema)
 
 
 def replace_texts(docs: DataFrame, text_col: str, make: Callable[[], Callable[[list], list]]) -> DataFrame:
@@ -81,7 +94,7 @@ def replace_texts(docs: DataFrame, text_col: str, make: Callable[[], Callable[[l
                 arrays = [new if i == at else part.column(i) for i in range(part.num_columns)]
                 yield pa.RecordBatch.from_arrays([a.cast(f.type) if a.type != f.type else a for a, f in zip(arrays, arrow)], schema=arrow)
 
-    return docs.mapInArrow(run, docs.schema)
+    return importable(docs).mapInArrow(run, docs.schema)
 
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"

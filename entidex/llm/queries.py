@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from entidex.llm import bpe, html, secrets
+from entidex.llm import bpe, html, pii, rules, secrets, shards
 from entidex.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,7 +38,130 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+@query
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and revealing terms in every document."""
+    return pii.digests(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 @query
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html.with_url(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every document; cutoffs are learnt from `labels`, per language."""
+    verdicts = rules.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return verdicts.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+SQL["op9_quality_rules"] = """
+with docs as (
+  select row_number() over () as r, doc_id, lang, coalesce(text, '') as t from documents
+), words as (
+  select r, list_filter(string_split_regex(t, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w,
+    list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) as lines
+  from docs
+), windows as (
+  select r, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] || ' ' || w[p + 3] || ' ' || w[p + 4] as v
+  from (select r, w, unnest(range(1, len(w) - 3)) as p from words where len(w) >= 5)
+), again as (
+  select r, p from (select r, p, count(*) over (partition by r, v) as n from windows) where n > 1
+), covered as (
+  select r, sum(least(5, p - coalesce(prev, p - 5))) as n
+  from (select r, p, lag(p) over (partition by r order by p) as prev from again) group by r
+), counted as (
+  select d.doc_id, d.lang, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,
+    (length(t) - length(translate(t, '#*$%%&|<>', '')))::bigint as n_symbols,
+    (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
+    coalesce(c.n, 0)::bigint as n_repeat_words, len(lines)::bigint as n_lines,
+    (length(t) - length(translate(t, '!', '')))::bigint as n_shouts,
+    (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')))::bigint as n_capitals
+  from docs d join words using (r) left join covered c using (r)
+), based as (
+  select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from counted
+), good as (
+  select doc_id as label_of, min(quality) >= 1 as good from labels where quality is not null group by 1
+), held as (
+  select lang, good, unnest([
+    {'m': 'symbols', 'a': n_symbols, 'b': word_chars}, {'m': 'shouts', 'a': n_shouts, 'b': n_words},
+    {'m': 'capitals', 'a': n_capitals, 'b': word_chars}, {'m': 'dup_lines', 'a': n_dup_lines, 'b': n_lines},
+    {'m': 'repeats', 'a': n_repeat_words, 'b': n_words}]) as x
+  from based join good on doc_id = label_of where not base_failed
+), tests as (
+  select lang, x.m as metric, c as cutoff, count(*) filter (good) as n, count(*) filter (not good) as n_bad,
+    count(*) filter (good and 100 * x.a > c * x.b) as k, count(*) filter (not good and 100 * x.a > c * x.b) as k_bad
+  from held, (select unnest(%(cutoffs)s) as c) group by all
+), terms as (
+  select lang, metric, cutoff, n * ln(1 - %(rate)r) + sum(coalesce(ln((n - j + 1) / j) + ln(%(rate)r / (1 - %(rate)r)), 0))
+    over (partition by lang, metric, cutoff order by j) as term
+  from (select *, unnest(range(0, k + 1)) as j0, nullif(j0, 0) as j from tests where k < %(rate)r * n)
+), passes as (
+  select t.*, coalesce(k < %(rate)r * n and ln(s.p) <= ln(%(delta)r / ((select count(*) from (select distinct lang from held)) * %(metrics)d)), false) as passed
+  from tests t left join (select lang, metric, cutoff, sum(exp(term)) as p from terms group by all) s
+    on t.lang is not distinct from s.lang and t.metric = s.metric and t.cutoff = s.cutoff
+), sound as (
+  select *, bool_and(passed) over (partition by lang, metric order by cutoff desc) as sound,
+    k_bad * n - %(penalty)d * k * n_bad as gain
+  from passes
+), chosen as (
+  select lang, metric, cutoff from sound where sound and gain > 0
+  qualify row_number() over (partition by lang, metric order by gain desc, cutoff desc) = 1
+), limits as (
+  select lang as lang_of, max(cutoff) filter (metric = 'symbols') as symbols, max(cutoff) filter (metric = 'shouts') as shouts,
+    max(cutoff) filter (metric = 'capitals') as capitals, max(cutoff) filter (metric = 'dup_lines') as dup_lines,
+    max(cutoff) filter (metric = 'repeats') as repeats
+  from chosen group by lang
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not (base_failed or coalesce(100 * n_symbols > symbols * word_chars, false) or coalesce(100 * n_shouts > shouts * n_words, false)
+    or coalesce(100 * n_capitals > capitals * word_chars, false) or coalesce(100 * n_dup_lines > dup_lines * n_lines, false)
+    or coalesce(100 * n_repeat_words > repeats * n_words, false)) as kept
+from based left join limits on lang is not distinct from lang_of
+""" % {
+    "cutoffs": list(rules.CUTOFFS),
+    "rate": rules.ALPHA / len(rules.METRICS),
+    "delta": rules.DELTA,
+    "metrics": len(rules.METRICS),
+    "penalty": rules.PENALTY,
+}
+
+SHARDS = 40
+
+
+@query
+def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 40 shards that all hold the sources in proportion."""
+    placed = shards.interleave(table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit(shards.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source"
+    )
+
+
+SQL["op10_shards"] = """
+with table_of as (
+  select list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)), lambda c, i:
+    case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as crc
+), docs as (
+  select doc_id, source, coalesce(text, '') as t, md5('%(seed)s:' || coalesce(doc_id::varchar, 'null')) as key from documents
+), sized as (
+  select doc_id, source, key, octet_length(encode(t)) + %(extra)d as size,
+    xor(list_reduce(list_concat([4294967295], list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda h: ('0x' || h)::bigint)),
+      lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) as text_crc32
+  from docs, table_of
+), fractions as (
+  select *, (2 * (row_number() over (partition by source order by key, doc_id, text_crc32, size) - 1) + 1)
+    / (2 * count(*) over (partition by source)) as fraction
+  from sized
+), placed as (
+  select *, row_number() over (order by fraction, source nulls first, key, doc_id, text_crc32, size) - 1 as place, count(*) over () as total
+  from fractions
+), cut as (
+  select *, (place * %(shards)d // total)::int as shard from placed
+)
+select doc_id, size::bigint as size, text_crc32::bigint as text_crc32, 'rows' as law, shard,
+  (place - (shard * total + %(shards)d - 1) // %(shards)d)::bigint as slot, null::int as grown_shard, source
+from cut
+""" % {"seed": shards.SEED, "extra": shards.ROW_BYTES, "shards": SHARDS}
