@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entidex.llm import bpe, html, pii, rules, secrets, shards
+from entidex.llm import bpe, decontamination, html, jaccard, pii, pitman_yor, quality, rules, secrets, shards
 from entidex.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,47 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probabilities of every document; kept if it is likely good."""
+    docs = table(spark, sf_dir, "documents")
+    ratings = table(spark, sf_dir, "labels").withColumn("grade", quality.grade_of(F.col("quality"), F.col("toxic")))
+    scored = quality.selected(quality.score(docs, quality.train(docs, ratings)))
+    return scored.select("doc_id", "score", "expected_grade", F.get("tails", F.lit(0)).alias("p_not_toxic"), F.get("tails", F.lit(1)).alias("p_good"), "kept")
+
+
+@query
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under Jaccard links of 5-word shingles."""
+    return jaccard.join_texts(table(spark, sf_dir, "documents"))
+
+
+SQL["op2_jaccard_join"] = """
+with docs as (
+  select row_number() over () as r, doc_id,
+    list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w
+  from documents
+), shingles as (
+  select distinct r, array_to_string(w[p:p + 4], ' ') as s
+  from (select r, w, unnest(range(1, greatest(2, len(w) - 3))) as p from docs where len(w) > 0)
+), sizes as (
+  select r, count(*) as n from shingles group by r
+), links as (
+  select x.r as a, y.r as b from shingles x join shingles y on x.s = y.s and x.r < y.r
+    join sizes m on m.r = x.r join sizes n on n.r = y.r
+  group by x.r, y.r, m.n, n.n having 100 * count(*) >= 80 * (m.n + n.n - count(*))
+), both_ways as (
+  select a, b from links union all select b, a from links
+), reach as (
+  with recursive go(a, b) as (
+    select r, r from docs union select g.a, l.b from go g join both_ways l on g.b = l.a
+  ) select * from go
+)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, component_id from docs d left join sizes using (r)
+  join (select a as r, min(e.doc_id) as component_id from reach join docs e on e.r = b group by a) using (r)
+"""
+
+
 @query
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
@@ -44,6 +85,44 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find_personal_data(table(spark, sf_dir, "documents")))
 
 
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a window of a benchmark item."""
+    return decontamination.digests(decontamination.phrase_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+SQL["op6_decontamination"] = """
+with docs as (
+  select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from documents
+), items as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from benchmark
+), windows as (
+  select distinct item_id, least(10, len(w)) as n, array_to_string(w[p:p + least(10, len(w)) - 1], ' ') as v
+  from (select item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) as p from items where len(w) > 0)
+), spans as (
+  select r, p, n, array_to_string(w[p:p + n - 1], ' ') as v
+  from (select r, w, n, unnest(range(1, len(w) - n + 2)) as p from docs, (select distinct n from windows) where len(w) >= n)
+), found as (
+  select r, p, n, item_id from spans join windows using (n, v)
+), hits as (
+  select r, count(distinct q) as n_hit from (select r, unnest(range(p, p + n)) as q from found) group by r
+), named as (
+  select r, count(distinct item_id) as n_items, string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as names from found group by r
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join hits using (r) left join named using (r)
+"""
+
+
+@query
+def op7_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every document."""
+    return pitman_yor.score_texts(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
