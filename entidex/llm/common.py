@@ -34,10 +34,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return importable(frame.select(*columns) if columns else frame)
 
 
-def written(frame: DataFrame, folder: str, name: str) -> DataFrame:
-    """The frame, written below a scratch folder and read again: cuts the lineage."""
+def written(frame: DataFrame, folder: str, name: str, few: bool = False) -> DataFrame:
+    """The frame, written below a scratch folder and read again: cuts the lineage.
+
+    few: for tables of few rows, which need no more files than there are cores.
+    """
     path = f"{folder}/{name}"
-    frame.write.parquet(path)
+    (frame.coalesce(frame.sparkSession.sparkContext.defaultParallelism) if few else frame).write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

@@ -334,7 +334,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
     """The rows of `docs` whose text holds no window of any item, with their own columns."""
     keyed = docs.select(F.sha2(text_col, 256).alias("text_key"), F.col(text_col).alias("text_of")).filter("text_of is not null")
     found = phrase_matches(keyed, items, "text_key", "text_of", item_id, item_text)
-    flagged = written(found.filter("n_hit > 0").select("text_key").distinct(), scratch(docs.sparkSession), "flagged")
+    flagged = written(found.filter("n_hit > 0").select("text_key").distinct(), scratch(docs.sparkSession), "flagged", few=True)
     if flagged.limit(SENT_ROWS + 1).count() <= SENT_ROWS:
         flagged = F.broadcast(flagged)
     return docs.join(flagged, F.sha2(docs[text_col], 256) == flagged["text_key"], "left_anti")

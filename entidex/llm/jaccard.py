@@ -11,12 +11,14 @@ corpus would tell nothing apart. The space is cut in three steps instead, each e
    texts of sizes a and b differ in at most (a + b) / 9 shingles, each of which spoils one
    slice, so of the k slices that a text fills at least k - (a + b) / 9 are the very same
    in the other. Texts with the same slice form a region; a text that shares fewer
-   filled slices than that bound with anyone has no link and goes.
-3. Pivots. In each region a text is made the pivot, and the distances to it of all others
-   are computed. Regions whose texts all hang together by then are done. In the rest, the
-   texts outside the largest component are compared with the texts of other components
-   that lie within the triangle-inequality window |d(x, p) - d(y, p)| <= 0.2; large
-   regions take further pivots, one per round, and join again on what is left.
+   filled slices than that bound with anyone has no link and goes. Regions with common
+   texts make an area, which no link leaves.
+3. Pivots. A small area is compared whole in one place. In a large one some texts are
+   made pivots, and all others are compared with them: most fall into the cell of a pivot,
+   at 0.2 or less. Rounds of pivots are repeated on what is left outside the largest
+   component as long as that helps. The rest is compared with the texts of other
+   components within the triangle-inequality window |d(x, p) - d(y, p)| <= 0.2 of the area's
+   first pivot: bands of that width, each replicated to its neighbours, in blocks.
 
 Texts with the same set count as one throughout. Nothing is sampled or capped.
 """
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -46,8 +48,11 @@ SPARE = 1.3
 SENT_ROWS = 1_000_000
 #: Partners that meet a pivot in one task; more are dealt over several.
 PARTNERS = 1_000
-#: Pairs per region row up to which all open pairs are compared at once.
-OPEN_PAIRS = 20
+#: Shingles of the sets that are compared with one another in one place.
+BLOCK = 1_000_000
+#: Pivots per area and round after the first, which takes one; another round follows if
+#: this one left at most a share outside.
+PIVOTS, PROGRESS = 4, 0.7
 
 _MULTIPLIERS = np.array([pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64) for k in range(WORDS)], np.uint64)
 
@@ -249,150 +254,230 @@ def viable(rows: DataFrame, folder: str) -> DataFrame:
     return rows
 
 
-def distances(docs: DataFrame, text_col: str, nodes: DataFrame, pairs: DataFrame, folder: str, name: str) -> DataFrame:
-    """`pairs` (x, p) with `linked` and `distance`, by exact comparison of the sets.
+def delivered(docs: DataFrame, text_col: str, nodes: DataFrame, targets: DataFrame, folder: str, name: str) -> DataFrame:
+    """A text of each target node at its place: (g, a, b, side, node, mark, text), together and in order per place.
 
-    Texts are cut into shingles again where they lie, and each set travels to the
-    pivots it meets; pivots with many partners are met in several places.
+    targets: `node`, the place (g, a, b), `side` and `mark`. Texts travel, since they are
+    smaller than their sets. Places are sorted by side, then node.
     """
-    spark = docs.sparkSession
-    pairs = written(pairs, folder, f"pairs-{name}")
-    places = pairs.groupBy("p").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("places"))
-    # Where the pivot itself has to go, and where each partner goes.
-    to = pairs.join(places, "p").select("p", F.pmod(F.xxhash64("x"), "places").cast("int").alias("place"), F.col("x").alias("node"), F.lit(1).alias("side"))
-    own = places.select("p", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"), F.col("p").alias("node"), F.lit(0).alias("side"))
-    targets = to.unionByName(own).groupBy("node").agg(F.collect_list(F.struct("p", "place", "side")).alias("targets"))
-    asked = written(nodes.select("node", "text_key").join(targets, "node").select("node", "text_key", "targets"), folder, f"asked-{name}")
-    wanted = asked.withColumnRenamed("text_key", "k")
+    of = targets.groupBy("node").agg(F.collect_list(F.struct("g", "a", "b", "side", "mark")).alias("targets"))
+    asked = written(nodes.select("node", "one").join(of, "node"), folder, f"asked-{name}", few=True)
+    wanted = asked.select("node", F.col("one.text_key").alias("key_of"), F.col("one.id").alias("id_of"), "targets")
     if (asked.agg(F.sum(F.size("targets"))).first()[0] or 0) <= SENT_ROWS:
         wanted = F.broadcast(wanted)
-    texts = docs.select(F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("t")).join(wanted, F.col("text_key") == F.col("k")).select("t", "node", "targets")
-    schema = "p bigint, place int, side int, node bigint, shingles binary"
-    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+    texts = docs.select("id", F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
+    # By the text's key, and of the texts with one key only that of the id: copies do not travel.
+    found = texts.join(wanted, (F.col("text_key") == F.col("key_of")) & F.col("id").eqNullSafe(F.col("id_of")))
+    placed = found.select(F.inline("targets"), "node", "text").select("g", "a", "b", "side", "node", "mark", "text")
+    return importable(placed.repartition("g", "a", "b").sortWithinPartitions("g", "a", "b", "side", "node"))
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
-        met = set()
-        for batch in batches:
-            rows, size = [], 0
-            for text, node, targets in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                if node in met:
-                    continue
-                shingles = shingler.set_of(text)
-                if name_of(shingles) != node:  # another text under the same key
-                    continue
-                met.add(node)
-                packed = shingles.tobytes()
-                for target in targets:
-                    rows.append({**target, "node": node, "shingles": packed})
-                    size += len(packed)
-                    if size > 8_000_000:
-                        yield pa.RecordBatch.from_pylist(rows, schema=arrow)
-                        rows, size = [], 0
-            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
+def sets_of(batch: pa.RecordBatch, shingler: Shingler) -> Iterator[tuple[dict, np.ndarray]]:
+    """Delivered rows with their sets; rows of another text under the same key are left out."""
+    columns = {name: batch.column(name).to_pylist() for name in ("g", "a", "b", "side", "node", "mark")}
+    texts = batch.column("text")
+    for i in range(batch.num_rows):
+        shingles = shingler.set_of(texts[i].as_py())
+        if name_of(shingles) == columns["node"][i]:
+            yield {name: values[i] for name, values in columns.items()}, shingles
+
+
+def distances(docs: DataFrame, text_col: str, nodes: DataFrame, pairs: DataFrame, folder: str, name: str) -> DataFrame:
+    """`pairs` (x, p) with `linked` and `distance`, by exact comparison of the sets.
+
+    Every partner travels to its pivot; pivots with many partners are met in several places.
+    """
+    pairs = written(pairs, folder, f"pairs-{name}", few=True)
+    places = pairs.groupBy("p").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("places"))
+    rest = [F.lit(0).alias("b"), F.lit(None).cast("bigint").alias("mark")]
+    to = pairs.join(places, "p").select(F.col("x").alias("node"), F.col("p").alias("g"), F.pmod(F.xxhash64("x"), "places").cast("int").alias("a"), F.lit(1).alias("side"), *rest)
+    own = places.select(F.col("p").alias("node"), F.col("p").alias("g"), F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("a"), F.lit(0).alias("side"), *rest)
     result = "x bigint, p bigint, linked boolean, distance double"
     out = to_arrow_schema(T.StructType.fromDDL(result))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Sorted by pivot, the pivot's own set first: one pivot is held at a time.
-        pivot, own, last = None, None, None
+        # The pivot's own set comes first: one set is held at a time.
+        place, own, last, shingler = None, None, None, Shingler()
         for batch in batches:
             rows = []
-            for row in batch.to_pylist():
-                shingles = np.frombuffer(row["shingles"], np.uint64)
+            for row, shingles in sets_of(batch, shingler):
                 if row["side"] == 0:
-                    pivot, own, last = (row["p"], row["place"]), shingles, None
-                elif pivot == (row["p"], row["place"]) and row["node"] != last:
+                    place, own, last = (row["g"], row["a"]), shingles, None
+                elif place == (row["g"], row["a"]) and row["node"] != last:
                     last = row["node"]
                     both = len(np.intersect1d(own, shingles, assume_unique=True))
                     union = len(own) + len(shingles) - both
-                    rows.append({"x": last, "p": row["p"], "linked": 100 * both >= SIMILAR * union, "distance": 1 - both / union})
+                    rows.append({"x": last, "p": row["g"], "linked": 100 * both >= SIMILAR * union, "distance": 1 - both / union})
             yield pa.RecordBatch.from_pylist(rows, schema=out)
 
-    sent = texts.mapInArrow(send, schema).repartition("p", "place").sortWithinPartitions("p", "place", "side", "node")
+    sent = delivered(docs, text_col, nodes, to.unionByName(own), folder, name)
     return written(sent.mapInArrow(compare, result), folder, f"distances-{name}")
 
 
+def links_within(left: list[tuple[int, int, np.ndarray]], right: list[tuple[int, int, np.ndarray]]) -> list[tuple[int, int]]:
+    """Links between two lists of (node, mark, set), as few as hold them together.
+
+    Sets of one mark already hang together. Intersections are counted by a merged list of
+    all shingles of `right`: no pair without a common shingle costs anything.
+    """
+    root = {mark: mark for _, mark, _ in [*left, *right]}
+
+    def find(mark: int) -> int:
+        while root[mark] != mark:
+            root[mark] = mark = root[root[mark]]
+        return mark
+
+    sizes = np.array([len(x) for _, _, x in right], np.int64)
+    values = np.concatenate([x for _, _, x in right])
+    owners = np.repeat(np.arange(len(right)), sizes)
+    order = np.argsort(values, kind="stable")
+    values, owners = values[order], owners[order]
+    out = []
+    for node, mark, shingles in left:
+        low, high = np.searchsorted(values, shingles, "left"), np.searchsorted(values, shingles, "right")
+        n = high - low
+        at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        both = np.bincount(owners[at], minlength=len(right))
+        for i in np.flatnonzero(100 * both >= SIMILAR * (len(shingles) + sizes - both)).tolist():
+            a, b = find(mark), find(right[i][1])
+            if a != b:
+                root[a] = b
+                out.append((node, right[i][0]))
+    return out
+
+
+def compared_blocks(docs: DataFrame, text_col: str, nodes: DataFrame, targets: DataFrame, folder: str, name: str) -> DataFrame:
+    """Links (u, v) between the sets that meet at a place: side 0 with side 1, side 2 with all."""
+    result = "u bigint, v bigint"
+    out = to_arrow_schema(T.StructType.fromDDL(result))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, held, shingler = None, {}, Shingler()
+
+        def finish() -> pa.RecordBatch:
+            left = [(n, m, s) for (n, side), (m, s) in held.items() if side != 1]
+            right = [(n, m, s) for (n, side), (m, s) in held.items() if side != 0]
+            found = links_within(left, right) if left and right else []
+            return pa.RecordBatch.from_pylist([{"u": u, "v": v} for u, v in found], schema=out)
+
+        for batch in batches:
+            for row, shingles in sets_of(batch, shingler):
+                if (row["g"], row["a"], row["b"]) != place:
+                    if held:
+                        yield finish()
+                    place, held = (row["g"], row["a"], row["b"]), {}
+                held[row["node"], row["side"]] = row["mark"], shingles
+        if held:
+            yield finish()
+
+    sent = delivered(docs, text_col, nodes, targets, folder, name)
+    return written(sent.mapInArrow(run, result), folder, f"links-{name}")
+
+
 def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
     """`node`, `comp` of all nodes of the edges (u, v), by contracting to the least name.
 
     Names are hashes, so a round contracts a chain to a fraction of its length.
     """
-    edges = written(edges.filter("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), folder, f"edges-{name}-0")
-    labels = written(edges.select(F.explode(F.array("u", "v")).alias("node")).distinct().withColumn("comp", F.col("node")), folder, f"labels-{name}-0")
+    edges = written(edges.filter("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), folder, f"edges-{name}-0", few=True)
+    labels = written(edges.select(F.explode(F.array("u", "v")).alias("node")).distinct().withColumn("comp", F.col("node")), folder, f"labels-{name}-0", few=True)
     step = 0
     while not edges.isEmpty():
         step += 1
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("to"))
-        least = written(least, folder, f"least-{name}-{step}")
+        least = written(least, folder, f"least-{name}-{step}", few=True)
         moved = labels.join(least.select(F.col("u").alias("comp"), "to"), "comp", "left")
-        labels = written(moved.select("node", F.coalesce("to", "comp").alias("comp")), folder, f"labels-{name}-{step}")
+        labels = written(moved.select("node", F.coalesce("to", "comp").alias("comp")), folder, f"labels-{name}-{step}", few=True)
         a, b = least.select("u", F.col("to").alias("a")), least.select(F.col("u").alias("v"), F.col("to").alias("b"))
         edges = edges.join(a, "u").join(b, "v").filter("a != b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
-        edges = written(edges, folder, f"edges-{name}-{step}")
+        edges = written(edges, folder, f"edges-{name}-{step}", few=True)
     return labels
 
 
-def _sizes_fit(a: str, b: str):
-    return (5 * F.least(a, b)) >= (4 * F.greatest(a, b))
-
-
 def linked_components(docs: DataFrame, text_col: str, nodes: DataFrame, folder: str) -> DataFrame:
-    """`node`, `comp` of every set that has a link to a different set.
+    """`node`, `comp` of every set that has a link to a different set (and of some that have none).
 
-    nodes: `node`, `text_key` of one of its texts, `n_shingles`; one row each.
+    docs: `id` and the text. nodes: `node`, `one` (id and text_key of one of its texts),
+    `n_shingles`; one row each.
     """
     spark = docs.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = written(region_rows(docs, text_col, shards), folder, "regions")
-    rows = viable(rows, folder).join(nodes.select("node", "n_shingles"), "node")
+    rows = viable(written(region_rows(docs, text_col, shards), folder, "regions"), folder)
+    # Overlapping regions make one area; no link leaves it.
+    least = rows.groupBy("region").agg(F.min("node").alias("v"))
+    area = components(rows.join(least, "region").select(F.col("node").alias("u"), "v"), folder, "areas").withColumnRenamed("comp", "area")
     degree = rows.groupBy("node").agg(F.count("*").alias("degree"))
-    rows = written(rows.join(degree, "node").select("region", "node", "n_shingles", "degree"), folder, "rows")
-    rows_total = rows.count()
-    edges = spark.createDataFrame([], "u bigint, v bigint")
-    labels = spark.createDataFrame([], "node bigint, comp bigint")
-    known = None  # distances to the first pivot of each region
-    step = 0
+    members = area.join(degree, "node").join(nodes.select("node", "n_shingles"), "node")
+    weight = members.groupBy("area").agg(F.sum("n_shingles").alias("weight"))
+    members = written(members.join(weight, "area"), folder, "members", few=True)
+
+    # Small areas are compared whole, each in one place.
+    small = members.filter(F.col("weight") <= BLOCK)
+    targets = small.select("node", F.col("area").alias("g"), F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(2).alias("side"), F.col("node").alias("mark"))
+    edges = compared_blocks(docs, text_col, nodes, targets, folder, "small")
+    large = members.filter(F.col("weight") > BLOCK)
+    if not large.isEmpty():
+        edges = edges.unionByName(_large_areas(docs, text_col, nodes, written(large, folder, "large", few=True), folder))
+    return components(edges, folder, "all")
+
+
+def _large_areas(docs: DataFrame, text_col: str, nodes: DataFrame, members: DataFrame, folder: str) -> DataFrame:
+    """Links (u, v) of areas that are too large for one place: first by pivots, then by windows."""
+    edges, known, before, step = None, None, None, 0
     while True:
-        now = rows.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        parts = now.groupBy("region", "comp").agg(F.count("*").alias("n"))
-        spans = parts.groupBy("region").agg(F.count("*").alias("comps"), F.sum("n").alias("members"), F.max(F.struct("n", "comp")).alias("main")).filter("comps > 1")
-        now = written(now.join(spans.select("region", "members", F.col("main.comp").alias("main"), F.col("main.n").alias("main_n")), "region"), folder, f"open-{step}")
-        total = now.groupBy("region").agg(F.first("members").alias("n"), F.first("main_n").alias("m")).agg(F.sum(F.col("n") * (F.col("n") - F.col("m")))).first()[0]
-        if not total:
-            return labels
-        last = step > 0 and total <= OPEN_PAIRS * max(rows_total, 1000)
-        pivots = now.select("region", F.col("node").alias("p"), F.col("n_shingles").alias("p_size"), F.col("comp").alias("p_comp"), "degree", "main")
-        if last:
-            pivots = pivots.filter("p_comp != main").drop("degree", "main")
+        # A round of pivots: first the best connected, then such outside the largest component.
+        if edges is None:
+            now = members.withColumn("comp", F.col("node"))
+            outside = now
         else:
-            # First the best connected member of all, then of those outside the largest component.
-            pivots = pivots if step == 0 else pivots.filter("p_comp != main")
-            pivots = pivots.groupBy("region").agg(F.max(F.struct("degree", "p", "p_size", "p_comp")).alias("of")).select("region", "of.p", "of.p_size", "of.p_comp")
-        met = now.select("region", F.col("node").alias("x"), "n_shingles", "comp", "main").join(pivots, "region").filter((F.col("comp") != F.col("p_comp")) & _sizes_fit("n_shingles", "p_size"))
-        if last:
-            # Two texts outside the largest component meet once.
-            met = met.filter((F.col("comp") == F.col("main")) | (F.col("x") < F.col("p")))
-            window = known.groupBy("region", "x").agg(F.min("distance").alias("d"))
-            to_x, to_p = window.withColumnRenamed("d", "dx"), window.select("region", F.col("x").alias("p"), F.col("d").alias("dp"))
-            met = met.join(to_x, ["region", "x"], "left").join(to_p, ["region", "p"], "left").filter("dx is null or dp is null or abs(dx - dp) <= 0.2000001")
-        pairs = met.select("x", "p").distinct()
-        found = distances(docs, text_col, nodes, pairs, folder, str(step))
-        if step == 0:
-            first = written(pivots, folder, "first-pivots")
-            here = rows.select("region", F.col("node").alias("x")).join(first, "region").join(found.select("x", "p", "distance"), ["x", "p"])
-            known = written(here.select("region", "x", "distance"), folder, "known")
-        edges = edges.unionByName(found.filter("linked").select(F.col("x").alias("u"), F.col("p").alias("v")))
-        labels = components(edges, folder, str(step))
-        if last:
-            return labels
-        # A pivot has met all of its region: it leaves, and stands for nobody any more.
-        gone = pivots.select("region", F.col("p").alias("node"))
-        rows = written(rows.join(gone, ["region", "node"], "left_anti"), folder, f"rows-{step}")
+            labels = components(edges, folder, f"large-{step}")
+            now = members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+            parts = now.groupBy("area", "comp").agg(F.count("*").alias("n"))
+            main = parts.groupBy("area").agg(F.max(F.struct("n", "comp")).alias("main")).select("area", F.col("main.comp").alias("main"))
+            now = written(now.join(main, "area"), folder, f"now-{step}", few=True)
+            outside = now.filter("comp != main")
+            left, heaviest = outside.groupBy("area").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w")).agg(F.sum("n"), F.max("w")).first()
+            if not left:
+                return edges
+            if heaviest <= BLOCK or before is not None and left > PROGRESS * before:
+                break
+            before = left
+        best = outside.groupBy("area", "comp").agg(F.max(F.struct("degree", "node", "n_shingles")).alias("of"))
+        order = F.row_number().over(Window.partitionBy("area").orderBy(F.desc("of")))
+        # Of each area at most PIVOTS rows are kept, a limit that is applied before the rows meet.
+        pivots = best.withColumn("r", order).filter(F.col("r") <= (PIVOTS if step else 1)).select("area", F.col("comp").alias("p_comp"), F.col("of.node").alias("p"), F.col("of.n_shingles").alias("p_size"), "r")
+        pivots = written(pivots, folder, f"pivots-{step}", few=True)
+        sizes_fit = 5 * F.least("n_shingles", "p_size") >= 4 * F.greatest("n_shingles", "p_size")
+        met = now.join(F.broadcast(pivots) if pivots.count() <= SENT_ROWS else pivots, "area")
+        met = met.filter((F.col("comp") != F.col("p_comp")) & (sizes_fit | (F.col("r") == 1)))
+        found = distances(docs, text_col, nodes, met.select(F.col("node").alias("x"), "p").distinct(), folder, f"large-{step}")
+        if known is None:
+            # Distance of every member to the first pivot of its area, which is at 0.
+            to_first = found.join(pivots.filter("r = 1").select("p", "area"), "p").select(F.col("x").alias("node"), "distance")
+            own = pivots.filter("r = 1").select(F.col("p").alias("node"), F.lit(0.0).alias("distance"))
+            known = written(to_first.unionByName(own), folder, "known", few=True)
+        linked = found.filter("linked").select(F.col("x").alias("u"), F.col("p").alias("v"))
+        edges = linked if edges is None else edges.unionByName(linked)
         step += 1
 
+    # What is outside meets all members of other components within its window: distances
+    # to the pivot are cut into bands as wide as the threshold, and bands meet their neighbours.
+    width = (100 - SIMILAR) / 100 + 1e-9
+    now = now.join(known, "node").withColumn("band", F.floor(F.col("distance") / width).cast("int"))
+    blocks = now.groupBy("area", "band").agg(F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("all_blocks"), F.ceil(F.sum(F.when(F.col("comp") != F.col("main"), F.col("n_shingles"))) / BLOCK).cast("int").alias("out_blocks"))
+    blocks = written(blocks, folder, "blocks", few=True)
+    near = F.explode(F.array(*(F.col("band") + d for d in (-1, 0, 1))))
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    place = lambda band, block: (F.col(band) * F.lit(1 << 24) + block).cast("int")
+    own = now.join(blocks, ["area", "band"]).withColumn("all_block", F.pmod(F.xxhash64("node"), "all_blocks")).withColumn("out_block", F.pmod(F.xxhash64("node"), "out_blocks"))
+    there = blocks.select("area", F.col("band").alias("to"), F.col("all_blocks").alias("to_all"), F.col("out_blocks").alias("to_out"))
+    outs = own.filter("comp != main").withColumn("to", near).join(there, ["area", "to"]).withColumn("to_block", spread("to_all"))
+    outs = outs.select("node", F.col("area").alias("g"), place("band", F.col("out_block")).alias("a"), place("to", F.col("to_block")).alias("b"), F.lit(0).alias("side"), F.col("comp").alias("mark"))
+    alls = own.withColumn("to", near).join(there.filter("to_out > 0"), ["area", "to"]).withColumn("to_block", spread("to_out"))
+    alls = alls.select("node", F.col("area").alias("g"), place("to", F.col("to_block")).alias("a"), place("band", F.col("all_block")).alias("b"), F.lit(1).alias("side"), F.col("comp").alias("mark"))
+    return edges.unionByName(compared_blocks(docs, text_col, nodes, outs.unionByName(alls), folder, "large"))
+
 
 def join_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: `id_col`, `n_shingles`, `component_id` (least id reachable by links).
@@ -404,7 +489,7 @@ def join_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     folder = scratch(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     all_rows = written(described(docs, "id", "text"), folder, "described")
-    nodes = all_rows.filter("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.min("text_key").alias("text_key"), F.first("n_shingles").alias("n_shingles"))
+    nodes = all_rows.filter("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.min(F.struct("id", "text_key")).alias("one"), F.first("n_shingles").alias("n_shingles"))
     nodes = written(nodes, folder, "nodes")
     labels = linked_components(docs, "text", nodes, folder)
     named = nodes.join(labels, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"), "id")

@@ -169,7 +169,7 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", folder: str | None
         .agg(F.sum("n").alias("df_near"), F.count("*").alias("contexts"))
         .filter(F.col("contexts") >= LEAST_CONTEXTS)
     )
-    near = written(near.join(entities, ["kind", "value"]), folder, "near")
+    near = written(near.join(entities, ["kind", "value"]), folder, "near", few=True)
     total = docs.count()
     terms = near.select("term").distinct()
     sent = terms.limit(SENT_TERMS + 1).collect()
@@ -187,7 +187,7 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", folder: str | None
         .filter(F.col("disclosure") >= GENERALISE)
         .select("term", F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise").alias("action"), "disclosure")
     )
-    return written(revealing, folder, "revealing")
+    return written(revealing, folder, "revealing", few=True)
 
 
 def with_term_spans(text: str, terms: dict[str, str]) -> list[tuple[str, int, int]]:

@@ -181,7 +181,7 @@ def assess(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: st
     """
     folder = scratch(docs.sparkSession)
     counted = written(features(docs, id_col, stratum, text_col=text_col), folder, "counted")
-    cutoffs = written(certified_cutoffs(counted, labels, stratum, id_col), folder, "cutoffs")
+    cutoffs = written(certified_cutoffs(counted, labels, stratum, id_col), folder, "cutoffs", few=True)
     return judged(counted, cutoffs, stratum)
 
 
@@ -189,7 +189,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id_col:
     """The rows of `docs` that no rule rejects, with their own columns."""
     folder = scratch(docs.sparkSession)
     counted = written(features(docs, id_col, stratum, text_col=text_col), folder, "counted")
-    cutoffs = written(certified_cutoffs(counted, labels, stratum, id_col), folder, "cutoffs")
+    cutoffs = written(certified_cutoffs(counted, labels, stratum, id_col), folder, "cutoffs", few=True)
     whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(stratum).alias("stratum_of"), F.col(text_col).alias("text_of"))
     verdicts = judged(features(whole, "row", "stratum_of", text_col="text_of"), cutoffs, "stratum_of")
     return verdicts.filter("kept").select("row.*")
