@@ -23,7 +23,7 @@ from entidex.llm.common import scratch, written
 LAW = "rows"
 SEED = "s1"
 #: Rows per bucket, on average; bounds what one task sorts at a time.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 #: Bytes counted for a row besides its text.
 ROW_BYTES = 16
 
