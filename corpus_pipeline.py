@@ -1,21 +1,61 @@
-"""A training-corpus pipeline: five stages over `documents`, each one operator of `entidex.llm`."""
+"""A training-corpus pipeline: five stages over `documents`, each one operator of `entidex.llm`.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read
+again as the next stage's docs. All but the last return the columns of `documents`.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from entidex.llm import bpe, decontamination, jaccard, pii, rules
 from entidex.llm.common import scratch, table, written
+from entidex.llm.queries import tokenizer_path
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go; the cutoffs are learnt from `labels`."""
+    return rules.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked texts stays: the one with the least id."""
+    return jaccard.keep_one(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and revealing terms are replaced; `n_chars` follows the text."""
+    clean = pii.sanitise(docs)
+    return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokens of every document, its text decoded from them, and its language and source."""
+    keyed = docs.select(F.struct("doc_id", "lang", "source").alias("doc"), "text")
+    encoded = bpe.encode(keyed, tokenizer_path(), "doc")
+    return encoded.select("doc.*", "ids", F.size("ids").cast("long").alias("n_tokens"), F.col("decoded").alias("text"))
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
-STAGES: list = []
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("PII", personal_data),
+    ("BPE encoding and decoding", encoding),
+]
 
-#: SQL cannot express the stages; tests compare them with brute force.
+#: SQL cannot express byte-pair merges or overlapping spans; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over `documents`, each written and read again before the next."""
+    """All stages over `documents`."""
     docs, folder = table(spark, sf_dir, "documents"), scratch(spark)
     for i, (_, stage) in enumerate(STAGES):
         docs = written(stage(spark, docs, sf_dir), folder, str(i))
