@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from entidex.llm.common import map_texts
 
 #: Bound on the labelled rows of a fit.
-MOST_LABELLED = 20_000
+MOST_LABELLED = 10_000
 #: Hash buckets (a power of two) and the rows a bucket must occur in to get a weight.
 BUCKETS, LEAST_ROWS = 1 << 20, 5
 #: Strength of the penalty on weights, and steps of the fit.
