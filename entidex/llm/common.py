@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,16 +51,23 @@ def scratch(spark: SparkSession) -> str:
     return scratch_root(spark)
 
 
-def chunks(values: list, size_of: Callable = lambda v: len(v) if v else 0, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
-    """Ranges of a list whose sizes add up to about `limit`; a larger value stands alone."""
-    start = total = 0
-    for i, value in enumerate(values):
-        if i > start and total + size_of(value) > limit:
-            yield start, i
-            start, total = i, 0
-        total += size_of(value) + 16
-    if start < len(values):
-        yield start, len(values)
+def text_chunks(column: pa.Array, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, list]]:
+    """(first row, values) of parts of a column whose bytes add up to about `limit`.
+
+    A larger value stands alone. Only one part at a time is held as Python objects. Columns
+    other than strings are cut by rows.
+    """
+    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+        sizes = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+    else:
+        sizes = np.full(len(column), 4000)
+    ends = np.cumsum(sizes + 16)
+    start = 0
+    while start < len(column):
+        base = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
+        yield start, column.slice(start, end - start).to_pylist()
+        start = end
 
 
 def map_texts(docs: DataFrame, id_col: str, text_col: str, make: Callable[[], Callable[[list], Iterable]], columns: str) -> DataFrame:
@@ -73,10 +82,8 @@ def map_texts(docs: DataFrame, id_col: str, text_col: str, make: Callable[[], Ca
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = make()
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for start, end in chunks(texts):
-                ids = batch.column(0).slice(start, end - start)
-                arrays = [ids, *apply(texts[start:end])]
+            for start, texts in text_chunks(batch.column(1)):
+                arrays = [batch.column(0).slice(start, len(texts)), *apply(texts)]
                 yield pa.RecordBatch.from_arrays([a.cast(f.type) if a.type != f.type else a for a, f in zip(arrays, arrow)], schema=arrow)
 
     return importable(docs).select(id_col, text_col).mapInArrow(run, schema)
@@ -90,10 +97,9 @@ def replace_texts(docs: DataFrame, text_col: str, make: Callable[[], Callable[[l
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = make()
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            for start, end in chunks(texts):
-                part = batch.slice(start, end - start)
-                new = pa.array(apply(texts[start:end]), pa.string())
+            for start, texts in text_chunks(batch.column(at)):
+                part = batch.slice(start, len(texts))
+                new = pa.array(apply(texts), pa.string())
                 arrays = [new if i == at else part.column(i) for i in range(part.num_columns)]
                 yield pa.RecordBatch.from_arrays([a.cast(f.type) if a.type != f.type else a for a, f in zip(arrays, arrow)], schema=arrow)
 

@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from entidex.llm.common import chunks, importable, scratch, written
+from entidex.llm.common import importable, scratch, text_chunks, written
+from entidex.storage import delete
 
 #: Words of a window. An item of fewer words is one window.
 WINDOW = 10
@@ -93,11 +94,10 @@ def build_index(docs: DataFrame, words: list[bytes] | None = None, id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n = TaskContext.get().partitionId(), 0
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for start, end in chunks(texts):
-                ids = batch.column(0).slice(start, end - start)
+            for start, texts in text_chunks(batch.column(1)):
+                ids = batch.column(0).slice(start, len(texts))
                 columns = [pa.array([f"{part}-{n}"]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)]
-                for values in segment_of(texts[start:end], known):
+                for values in segment_of(texts, known):
                     columns.append(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values)))
                 n += 1
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) if c.type != f.type else c for c, f in zip(columns, arrow)], schema=arrow)
@@ -246,7 +246,7 @@ def n_hit(hits: Column) -> Column:
 
 
 def phrase_matches(
-    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_chars: int = BLOCK_CHARS
+    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_chars: int = BLOCK_CHARS, folder: str | None = None
 ) -> DataFrame:
     """Per document: `id_col`, `n_words`, `n_hit`, `hits` (word ranges), `items` (ids of found items).
 
@@ -255,8 +255,7 @@ def phrase_matches(
     rows repeat, repeated items count once; empty tables give no rows or no hits; other
     columns are not read.
     """
-    spark = docs.sparkSession
-    folder = scratch(spark)
+    folder = folder or scratch(docs.sparkSession)
     item_type = items.schema[item_id].dataType
     total = items.agg(F.sum(F.char_length(item_text))).first()[0] or 0
     blocks = int(total // block_chars) + 1
@@ -333,8 +332,10 @@ def digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of `docs` whose text holds no window of any item, with their own columns."""
     keyed = docs.select(F.sha2(text_col, 256).alias("text_key"), F.col(text_col).alias("text_of")).filter("text_of is not null")
-    found = phrase_matches(keyed, items, "text_key", "text_of", item_id, item_text)
+    folder = scratch(docs.sparkSession)
+    found = phrase_matches(keyed, items, "text_key", "text_of", item_id, item_text, folder=folder)
     flagged = written(found.filter("n_hit > 0").select("text_key").distinct(), scratch(docs.sparkSession), "flagged", few=True)
+    delete(docs.sparkSession, folder)
     if flagged.limit(SENT_ROWS + 1).count() <= SENT_ROWS:
         flagged = F.broadcast(flagged)
     return docs.join(flagged, F.sha2(docs[text_col], 256) == flagged["text_key"], "left_anti")

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from entidex.llm.common import chunks, importable, scratch, written
+from entidex.llm.common import importable, scratch, text_chunks, written
 from entidex.storage import delete
 
 #: Words of a shingle; linked at 100 * intersection >= 80 * union.
@@ -161,10 +161,9 @@ def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
-            texts = batch.column(2).to_pylist()
             nodes, sizes = [], []
-            for text in texts:
-                shingles = shingler.set_of(text)
+            for text in batch.column(2):
+                shingles = shingler.set_of(text.as_py())
                 sizes.append(len(shingles))
                 nodes.append(name_of(shingles) if len(shingles) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(arrow.field(0).type), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())], schema=arrow)
@@ -185,11 +184,10 @@ def region_rows(docs: DataFrame, text_col: str, shards: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for start, end in chunks(texts):
+            for _, texts in text_chunks(batch.column(0)):
                 made, nodes, rings, leasts = [], [], [], []
                 met = set()
-                for text in texts[start:end]:
+                for text in texts:
                     shingles = shingler.set_of(text)
                     node = name_of(shingles)
                     if len(shingles) < FIRST_RING or node in met:
@@ -491,7 +489,9 @@ def join_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     all_rows = written(described(docs, "id", "text"), folder, "described")
     nodes = all_rows.filter("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.min(F.struct("id", "text_key")).alias("one"), F.first("n_shingles").alias("n_shingles"))
     nodes = written(nodes, folder, "nodes")
-    labels = linked_components(docs, "text", nodes, folder)
+    work = scratch(docs.sparkSession)
+    labels = written(linked_components(docs, "text", nodes, work), folder, "labels", few=True)
+    delete(docs.sparkSession, work)
     named = nodes.join(labels, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"), "id")
     least = named.groupBy("comp").agg(F.min("id").alias("component_id"))
     of = named.join(least, "comp").select("node", "component_id")

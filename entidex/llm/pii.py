@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql import types as T
 
-from entidex.llm.common import SPANS, chunks, importable, map_texts, replace_texts, scratch, span_array, span_digest, written
+from entidex.llm.common import SPANS, importable, map_texts, replace_texts, scratch, span_array, span_digest, text_chunks, written
+from entidex.storage import delete
 
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("generalise", "remove")
@@ -122,11 +123,10 @@ def entity_rows(docs: DataFrame, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for start, end in chunks(texts):
+            for _, texts in text_chunks(batch.column(0)):
                 rows = [
                     {"kind": k, "value": v, "context": c, "terms": sorted(near)}
-                    for text in texts[start:end]
+                    for text in texts
                     if text
                     for (k, v), (c, near) in {(k, v): (c, near) for k, v, c, near in contexts(text)}.items()
                 ]
@@ -142,10 +142,9 @@ def term_counts(docs: DataFrame, text_col: str, terms: frozenset | None) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for start, end in chunks(texts):
+            for _, texts in text_chunks(batch.column(0)):
                 count: Counter = Counter()
-                for text in texts[start:end]:
+                for text in texts:
                     words = set(WORD.findall((text or "").lower()))
                     count.update(words if terms is None else words & terms)
                 yield pa.RecordBatch.from_pydict({"term": list(count), "n": list(count.values())}, schema=arrow)
@@ -153,12 +152,12 @@ def term_counts(docs: DataFrame, text_col: str, terms: frozenset | None) -> Data
     return importable(docs).select(text_col).mapInArrow(run, schema).groupBy("term").agg(F.sum("n").alias("df"))
 
 
-def disclosing_terms(docs: DataFrame, text_col: str = "text", folder: str | None = None) -> DataFrame:
+def disclosing_terms(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """`term`, `action` (generalise or remove) and `disclosure`: words that reveal an entity.
 
     All documents count. Where no entity recurs in different surroundings there are none.
     """
-    folder = folder or scratch(docs.sparkSession)
+    folder, result = scratch(docs.sparkSession), scratch(docs.sparkSession)
     rows = written(entity_rows(docs, text_col), folder, "contexts")
     entities = rows.groupBy("kind", "value").agg(F.count("*").alias("df_e"))
     near = (
@@ -187,7 +186,9 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", folder: str | None
         .filter(F.col("disclosure") >= GENERALISE)
         .select("term", F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise").alias("action"), "disclosure")
     )
-    return written(revealing, folder, "revealing", few=True)
+    found = written(revealing, result, "revealing", few=True)
+    delete(docs.sparkSession, folder)
+    return found
 
 
 def with_term_spans(text: str, terms: dict[str, str]) -> list[tuple[str, int, int]]:
@@ -211,9 +212,9 @@ def _own_terms(docs: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for start, end in chunks(texts):
-                rows = [{"key": k, "term": w} for k, t in zip(keys[start:end], texts[start:end]) for w in set(WORD.findall(t.lower()))]
+            keys = batch.column(0).to_pylist()
+            for start, texts in text_chunks(batch.column(1)):
+                rows = [{"key": k, "term": w} for k, t in zip(keys[start:], texts) for w in set(WORD.findall(t.lower()))]
                 yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
     keyed = importable(docs).filter(F.col(text_col).isNotNull()).select(F.sha2(text_col, 256).alias("key"), text_col).dropDuplicates(["key"])

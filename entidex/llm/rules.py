@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entidex.llm.common import scratch, written
+from entidex.storage import delete
 
 #: Bound on false rejections per stratum, and on the chance that any bound is wrong.
 ALPHA, DELTA = 0.05, 0.05
@@ -189,7 +190,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id_col:
     """The rows of `docs` that no rule rejects, with their own columns."""
     folder = scratch(docs.sparkSession)
     counted = written(features(docs, id_col, stratum, text_col=text_col), folder, "counted")
-    cutoffs = written(certified_cutoffs(counted, labels, stratum, id_col), folder, "cutoffs", few=True)
+    cutoffs = written(certified_cutoffs(counted, labels, stratum, id_col), scratch(docs.sparkSession), "cutoffs", few=True)
+    delete(docs.sparkSession, folder)
     whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(stratum).alias("stratum_of"), F.col(text_col).alias("text_of"))
     verdicts = judged(features(whole, "row", "stratum_of", text_col="text_of"), cutoffs, "stratum_of")
     return verdicts.filter("kept").select("row.*")
