@@ -31,7 +31,7 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: Longest word, in bytes, whose ranks are scanned.
 SHORT = 64
 #: Words a worker keeps per generation.
-KEPT_WORDS = 150_000
+KEPT_WORDS = 80_000
 
 _BITS = 20
 _LOW = (1 << _BITS) - 1

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from entidex.llm.common import importable, scratch, text_chunks, written
+from entidex.llm.common import importable, scratch, text_chunks, tidied, written
 from entidex.storage import delete
 
 #: Words of a window. An item of fewer words is one window.
@@ -102,7 +102,7 @@ def build_index(docs: DataFrame, words: list[bytes] | None = None, id_col: str =
                 n += 1
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) if c.type != f.type else c for c, f in zip(columns, arrow)], schema=arrow)
 
-    return importable(docs).select(id_col, text_col).mapInArrow(run, schema)
+    return importable(docs).select(id_col, text_col).mapInArrow(tidied(run), schema)
 
 
 class Phrases:
@@ -232,7 +232,7 @@ def _matched(index: DataFrame, phrases: list[Phrases], ids: list, item_type: T.D
                 ]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) if c.type != f.type else c for c, f in zip(columns, arrow)], schema=arrow)
 
-    return importable(index).mapInArrow(run, schema)
+    return importable(index).mapInArrow(tidied(run), schema)
 
 
 def n_hit(hits: Column) -> Column:
@@ -314,7 +314,7 @@ def proximity_matches(index: DataFrame, queries: list[tuple[int, list[bytes]]],
                     chosen = ids.take(pa.array(np.concatenate(docs)))
                     yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), chosen.cast(arrow.field("id").type)], schema=arrow)
 
-    return importable(index).mapInArrow(run, schema)
+    return importable(index).mapInArrow(tidied(run), schema)
 
 
 def digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

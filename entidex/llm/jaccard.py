@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from entidex.llm.common import importable, scratch, text_chunks, written
+from entidex.llm.common import importable, scratch, text_chunks, tidied, written
 from entidex.storage import delete
 
 #: Words of a shingle; linked at 100 * intersection >= 80 * union.
@@ -67,7 +67,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Shingle sets of texts; keeps the hashes of words it has met."""
 
-    def __init__(self, kept_words: int = 300_000):
+    def __init__(self, kept_words: int = 100_000):
         self.kept: dict[bytes, int] = {}
         self.kept_words = kept_words
 
@@ -168,7 +168,7 @@ def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 nodes.append(name_of(shingles) if len(shingles) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(arrow.field(0).type), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())], schema=arrow)
 
-    return importable(docs).select(F.col(id_col), F.xxhash64(text_col).alias("text_key"), F.col(text_col)).mapInArrow(run, schema)
+    return importable(docs).select(F.col(id_col), F.xxhash64(text_col).alias("text_key"), F.col(text_col)).mapInArrow(tidied(run), schema)
 
 
 _BLOCKS = "shard int, signatures binary, nodes binary, rings binary, least binary"
@@ -212,7 +212,7 @@ def region_rows(docs: DataFrame, text_col: str, shards: int) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
-    blocks = importable(docs).select(text_col).mapInArrow(sign, _BLOCKS)
+    blocks = importable(docs).select(text_col).mapInArrow(tidied(sign), _BLOCKS)
     schema = "region bigint, ring int, node bigint, least int"
     out = to_arrow_schema(T.StructType.fromDDL(schema))
 
@@ -236,7 +236,7 @@ def region_rows(docs: DataFrame, text_col: str, shards: int) -> DataFrame:
             for at in range(0, len(region), 200_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 200_000]) for c in columns], schema=out)
 
-    return blocks.repartitionById(shards, F.col("shard")).mapInArrow(meet, schema)
+    return blocks.repartitionById(shards, F.col("shard")).mapInArrow(tidied(meet), schema)
 
 
 def viable(rows: DataFrame, folder: str) -> DataFrame:
@@ -309,7 +309,7 @@ def distances(docs: DataFrame, text_col: str, nodes: DataFrame, pairs: DataFrame
             yield pa.RecordBatch.from_pylist(rows, schema=out)
 
     sent = delivered(docs, text_col, nodes, to.unionByName(own), folder, name)
-    return written(sent.mapInArrow(compare, result), folder, f"distances-{name}")
+    return written(sent.mapInArrow(tidied(compare), result), folder, f"distances-{name}")
 
 
 def links_within(left: list[tuple[int, int, np.ndarray]], right: list[tuple[int, int, np.ndarray]]) -> list[tuple[int, int]]:
@@ -369,7 +369,7 @@ def compared_blocks(docs: DataFrame, text_col: str, nodes: DataFrame, targets: D
             yield finish()
 
     sent = delivered(docs, text_col, nodes, targets, folder, name)
-    return written(sent.mapInArrow(run, result), folder, f"links-{name}")
+    return written(sent.mapInArrow(tidied(run), result), folder, f"links-{name}")
 
 
 def components(edges: DataFrame, folder: str, name: str) -> DataFrame:

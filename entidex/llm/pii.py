@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql import types as T
 
-from entidex.llm.common import SPANS, importable, map_texts, replace_texts, scratch, span_array, span_digest, text_chunks, written
+from entidex.llm.common import SPANS, importable, map_texts, replace_texts, scratch, span_array, span_digest, text_chunks, tidied, written
 from entidex.storage import delete
 
 KINDS = ("email", "ip", "card", "phone")
@@ -132,7 +132,7 @@ def entity_rows(docs: DataFrame, text_col: str) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
-    return importable(docs).select(text_col).mapInArrow(run, schema)
+    return importable(docs).select(text_col).mapInArrow(tidied(run), schema)
 
 
 def term_counts(docs: DataFrame, text_col: str, terms: frozenset | None) -> DataFrame:
@@ -149,7 +149,7 @@ def term_counts(docs: DataFrame, text_col: str, terms: frozenset | None) -> Data
                     count.update(words if terms is None else words & terms)
                 yield pa.RecordBatch.from_pydict({"term": list(count), "n": list(count.values())}, schema=arrow)
 
-    return importable(docs).select(text_col).mapInArrow(run, schema).groupBy("term").agg(F.sum("n").alias("df"))
+    return importable(docs).select(text_col).mapInArrow(tidied(run), schema).groupBy("term").agg(F.sum("n").alias("df"))
 
 
 def disclosing_terms(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -218,7 +218,7 @@ def _own_terms(docs: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
     keyed = importable(docs).filter(F.col(text_col).isNotNull()).select(F.sha2(text_col, 256).alias("key"), text_col).dropDuplicates(["key"])
-    held = keyed.mapInArrow(run, schema).join(terms.select("term", "action"), "term")
+    held = keyed.mapInArrow(tidied(run), schema).join(terms.select("term", "action"), "term")
     return held.groupBy("key").agg(F.collect_list(F.concat_ws(":", "action", "term")).alias("own"))
 
 
