@@ -11,26 +11,38 @@ from entidex.sources.registry import Registry, located_sources, registered_sourc
 _GROUP = ["feature_table", "timestamp_column", "created_timestamp_column"]
 
 
+# Most anchors of a batch that are sent to every task; more meet the locations in a shuffle.
+MAX_SENT = 1_000_000
+
+
 def candidate_locations(parents: DataFrame, locations: DataFrame, literal: bool = False) -> DataFrame:
     """(parent, pattern, file_url) where the location holds the rarest anchor of the parent; see `patterns`.
 
     Which anchor is rare is counted first: names such as `lake/features/table_000123`
-    share most of their pieces with all others.
+    share most of their pieces with all others. Of the many pieces of a location only
+    those that are an anchor of this batch leave their task, as two numbers each.
     """
+    spark = parents.sparkSession
     patterns = parents.select("parent").distinct().withColumn("pattern", containing_pattern(F.col("parent"), literal))
-    # Few bytes turn into many grams here, so the number of tasks must not follow the bytes.
-    tasks = min(locations.sparkSession.sparkContext.defaultParallelism, 64)
-    urls = locations.select("file_url").repartition(tasks, "file_url").distinct()
-    grams = urls.withColumn("anchor", F.explode(grams_of(F.col("file_url"))))
+    anchored = patterns.withColumn("anchor", F.explode(anchors_of(F.col("pattern"))))
+    wanted = anchored.select("anchor").distinct()
+    if wanted.limit(MAX_SENT + 1).count() <= MAX_SENT:
+        wanted = F.broadcast(wanted)
+    # Few bytes turn into many pieces here, so the number of tasks must not follow the bytes.
+    urls = locations.select("file_url").distinct().repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file_url")
+    urls = urls.withColumn("location", F.xxhash64("file_url"))
+    grams = urls.select("location", F.explode(grams_of(F.col("file_url"))).alias("anchor"))
+    # Counted and joined by the same partitioning, which Spark makes once.
+    cut = grams.join(wanted, "anchor", "left_semi").repartition("anchor")
     rarest = (
-        patterns.withColumn("anchor", F.explode(anchors_of(F.col("pattern"))))
-        .join(grams.groupBy("anchor").agg(F.count("*").alias("n")), "anchor", "left")
+        anchored.join(cut.groupBy("anchor").agg(F.count("*").alias("n")), "anchor", "left")
         .groupBy("parent", "pattern")
         .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "anchor")).alias("rarest"))
         .filter(F.col("rarest.n") > 0)
         .select("parent", "pattern", "rarest.anchor")
     )
-    return rarest.join(grams, "anchor").select("parent", "pattern", "file_url")
+    found = rarest.join(cut, "anchor").select("parent", "pattern", "location")
+    return found.join(urls, "location").select("parent", "pattern", "file_url")
 
 
 def matching_locations(parents: DataFrame, locations: DataFrame, literal: bool = False) -> DataFrame:

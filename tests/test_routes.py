@@ -1,7 +1,9 @@
+import pytest
 from feature_store import registry
+from pyspark.sql import functions as F
 
 from entidex.operators import checks
-from entidex.operators.routes import routes_for_parents, routes_of
+from entidex.operators.routes import candidate_locations, matching_locations, routes_for_parents, routes_of
 from entidex.sources.registry import Registry, read_registry, registered_sources
 
 
@@ -95,3 +97,37 @@ def test_registry_from_files(spark, tmp_path):
     for name in Registry.__dataclass_fields__:
         getattr(reg, name).write.parquet(str(tmp_path / name))
     assert registered_sources(read_registry(spark, str(tmp_path))).count() == 1
+
+
+@pytest.mark.parametrize("n", [100, 400])
+def test_lookalike_directories_make_few_candidates(spark, n):
+    """Names that share a long start and a long end, and differ in between."""
+    number = F.lpad(F.col("id").cast("string"), 5, "0")
+    directory = F.concat(F.lit("lake/warehouse/online/features/team"), number, F.lit("/daily/aggregated/feature/tables/v1"))
+    parents = spark.range(n).select(directory.alias("parent"))
+    locations = parents.select(F.concat(F.lit("s3a://"), "parent", F.lit("/")).alias("file_url"))
+    assert candidate_locations(parents, locations).count() <= 2 * n
+    assert matching_locations(parents, locations).count() == n
+
+
+def test_pieces_that_are_no_anchor_stay_in_their_task(spark):
+    """What is shuffled follows the batch's directories, not the registry."""
+    locations = spark.range(2000).select(F.concat(F.lit("s3a://lake/some/where/table_"), F.lpad(F.col("id").cast("string"), 6, "0"), F.lit("/")).alias("file_url"))
+    parents = spark.createDataFrame([("lake/some/where/table_000123",)], "parent string")
+    plan = candidate_locations(parents, locations)._jdf.queryExecution().executedPlan().toString()
+    lines = [line.strip(" :+-") for line in plan.splitlines()]
+    semi = next(i for i, line in enumerate(lines) if line.startswith("BroadcastHashJoin [anchor") and "LeftSemi" in line)
+    # Straight above the pieces: no exchange in between.
+    assert any(line.startswith("Generate explode") for line in lines[semi + 1 : semi + 4])
+    assert candidate_locations(parents, locations).count() <= 20
+
+
+def test_shuffled_anchors_find_the_same(spark, monkeypatch):
+    from entidex.operators import routes
+
+    parents = spark.createDataFrame([("lake/a_b",), ("lake/x",), ("%",)], "parent string")
+    locations = spark.createDataFrame([("s3a://lake/a_b/",), ("s3a://lake/axb/",), ("s3a://lake/x/y",)], "file_url string")
+    want = sorted(map(tuple, matching_locations(parents, locations).collect()))
+    assert len(want) == 6
+    monkeypatch.setattr(routes, "MAX_SENT", 0)
+    assert sorted(map(tuple, matching_locations(parents, locations).collect())) == want
