@@ -25,6 +25,7 @@ BLANK_COLUMN = "time column not named"
 TWICE_NAMED = "column named twice"
 LONG_NAME = "feature table name too long"
 NO_FILE = "file not found"
+REMOVED_FILE = "file removed"
 UNREADABLE = "unreadable file"
 NULL_KEY = "null in key"
 DUPLICATE_KEY = "duplicate key in file"
@@ -60,15 +61,15 @@ def null_key_loads(rows: DataFrame) -> DataFrame:
     return rows.filter(has_null_key()).groupBy("load").agg(F.count("*").alias("n_rows"))
 
 
-def repeated_keys(rows: DataFrame) -> DataFrame:
-    """Keys with more than one row, in one load or over several. Keys with NULL are left out."""
-    counts = rows.filter(~has_null_key()).groupBy(*KEY).agg(F.count("*").alias("n"))
-    return counts.filter(F.col("n") > 1).select(*KEY)
+def key_holders(rows: DataFrame) -> DataFrame:
+    """(key, load, n): the rows that each load has of each key with more than one row in all.
 
-
-def key_holders(rows: DataFrame, repeated: DataFrame) -> DataFrame:
-    """(key, load, n): the rows that each load has of each repeated key."""
-    return rows.join(repeated, KEY, "left_semi").groupBy(*KEY, "load").agg(F.count("*").alias("n"))
+    Keys with NULL are left out. The rows are read once: counted per key and load, then
+    those counts per key, whose loads are at most `MAX_LOADS`.
+    """
+    counts = rows.filter(~has_null_key()).groupBy(*KEY, "load").agg(F.count("*").alias("n"))
+    held = counts.groupBy(*KEY).agg(F.sum("n").alias("total"), F.collect_list(F.struct("load", "n")).alias("held"))
+    return held.filter(F.col("total") > 1).select(*KEY, F.inline("held"))
 
 
 def duplicate_key_loads(holders: DataFrame) -> DataFrame:

@@ -32,10 +32,15 @@ def failures(jobs: DataFrame) -> DataFrame:
 
 
 def job_summary(jobs: DataFrame) -> DataFrame:
-    """Attempts, first start, last end and seconds spent, per feature table, status and message."""
+    """Attempts, first start, last end and seconds spent, per feature table, status and message.
+
+    Files that were handled together share their times; such a span counts once.
+    """
+    group = ["feature_table", "status", "status_msg"]
     micros = F.timestamp_diff("MICROSECOND", F.col("started"), F.col("ended"))
-    return jobs.groupBy("feature_table", "status", "status_msg").agg(
-        F.count("*").alias("n_jobs"),
+    spans = jobs.groupBy(*group, "started", "ended").agg(F.count("*").alias("n"))
+    return spans.groupBy(*group).agg(
+        F.sum("n").alias("n_jobs"),
         F.min("started").alias("first_started"),
         F.max("ended").alias("last_ended"),
         (F.sum(micros) / 1_000_000).alias("seconds"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entidex.functions.keys import normalized
 from entidex.operators.latest import latest
 
 
@@ -50,26 +51,32 @@ def paths_for_ids(index: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def without_removed(index: DataFrame, removed: DataFrame) -> DataFrame:
-    """Index rows whose file is not among the removed keys (column `key`)."""
-    return index.join(removed.select(F.col("key").alias("path")), "path", "left_anti").select(*index.columns)
+    """Index rows whose file is not among the removed keys (column `key`), however these are spelt.
+
+    A removed file stays out for good; `EntityIndex.live` knows which loads came later.
+    """
+    gone = removed.select(normalized(F.col("key")).alias("__file")).distinct()
+    return index.join(gone, normalized(F.col("path")) == F.col("__file"), "left_anti")
 
 
 def features_for_rows(
     rows: DataFrame, features: DataFrame, entity: str, timestamp_column: str, created_timestamp_column: str
 ) -> DataFrame:
-    """Feature rows of the looked-up index rows.
+    """Feature rows of the looked-up index rows, with the `feature_table` each belongs to.
 
-    `features` holds the columns of the feature files; its time columns are wall
-    times already. All its columns are kept.
+    `features` holds the columns of the feature files and the `path` of each row's file; its
+    time columns are wall times already. All its columns are kept. A row is found in the
+    file that the index names for it: other files may hold the same id and times.
     """
-    wanted = rows.select("id", "event_timestamp", "created_timestamp").alias("wanted")
-    return features.alias("features").join(
+    wanted = rows.select("id", "event_timestamp", "created_timestamp", "path", "feature_table").distinct().alias("wanted")
+    found = features.alias("features").join(
         wanted,
-        (_feature(entity) == F.col("wanted.id"))
+        (_feature("path") == F.col("wanted.path"))
+        & (_feature(entity) == F.col("wanted.id"))
         & (_feature(timestamp_column) == F.col("wanted.event_timestamp"))
         & (_feature(created_timestamp_column) == F.col("wanted.created_timestamp")),
-        "left_semi",
     )
+    return found.select("features.*", "wanted.feature_table")
 
 
 def _feature(name: str) -> Column:

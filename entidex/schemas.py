@@ -39,6 +39,11 @@ JOBS = T.StructType(
     ]
 )
 
+MALFORMED = T.StructType([T.StructField("text", T.StringType()), T.StructField("received_at", T.TimestampNTZType())])
+
+# `file` is the normalised key.
+REMOVALS = T.StructType([T.StructField("file", T.StringType()), T.StructField("seq", T.LongType())])
+
 # Registry types that can be indexed, and the Spark type of their `id` column (fixed values).
 ID_TYPES = {"INT64": "bigint", "BOOL": "boolean"}
 

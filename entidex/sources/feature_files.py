@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import time
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from multiprocessing.pool import ThreadPool
 
@@ -17,8 +19,8 @@ from pyspark.sql import functions as F
 
 from entidex.functions.keys import normalized
 from entidex.functions.values import as_wall_time
-from entidex.operators.extract import as_id, entity_rows, quoted
-from entidex.storage import bare, files_by_location, literal_path
+from entidex.operators.extract import as_id, entity_rows, quoted, union_all
+from entidex.storage import bare, files_by_location, literal_path, qualified
 
 # What a column of a file may be, by its use.
 ID_COLUMN_TYPES = {
@@ -29,8 +31,8 @@ TIME_COLUMN_TYPES = ["tinyint", "smallint", "int", "bigint", "float", "double",
 
 MISSING, BROKEN = "missing", "broken"
 
-# Longest list of files that is broadcast.
-MAX_LISTED = 100_000
+# Attempts at a file whose store fails, and seconds before the second one.
+ATTEMPTS, WAIT = 4, 0.5
 
 READ_ERRORS = (PySparkException, Py4JJavaError)
 
@@ -43,8 +45,31 @@ def read_problem(error: Exception) -> str | None:
     return BROKEN if any(condition in str(error) for condition in unreadable) else None
 
 
-def _footer_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """The task that reads footers. All nested, so that executors need not have this package."""
+def s3_settings(spark: SparkSession) -> dict[str, str]:
+    """Settings of Arrow's S3 file system from the session's `fs.s3a.*` settings."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    names = {
+        "access_key": "fs.s3a.access.key",
+        "secret_key": "fs.s3a.secret.key",
+        "session_token": "fs.s3a.session.token",
+        "endpoint_override": "fs.s3a.endpoint",
+        "region": "fs.s3a.endpoint.region",
+    }
+    found = {name: value for name, key in names.items() if (value := conf.get(key))}
+    if conf.get("fs.s3a.connection.ssl.enabled") == "false" or found.get("endpoint_override", "").startswith("http://"):
+        found["scheme"] = "http"
+    if "endpoint_override" in found:
+        found["endpoint_override"] = found["endpoint_override"].split("://")[-1]
+    return found
+
+
+def _footer_reader(store: dict[str, str], opener: Callable | None = None) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The task that reads footers. All nested, so that executors need not have this package.
+
+    Only a file that is not there or whose footer makes no sense has an outcome. Other
+    errors are the store's: they are tried again, then raised, so that the batch runs again.
+    """
+    attempts, wait, missing, broken = ATTEMPTS, WAIT, MISSING, BROKEN
 
     def spark_type(column) -> str:
         """Spark type to read a Parquet column with; what it is, in brackets, if it is of no use."""
@@ -67,25 +92,48 @@ def _footer_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame
         rest = rest.lstrip("/")
         if scheme == "file":
             return fs.LocalFileSystem().open_input_file("/" + rest)
-        scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
         authority, path = rest.split("/", 1)
+        if scheme in ("s3", "s3a", "s3n"):
+            return fs.S3FileSystem(**store).open_input_file(f"{authority}/{path}")
         system, _ = fs.FileSystem.from_uri(f"{scheme}://{authority}")
-        return system.open_input_file(f"{authority}/{path}" if scheme in ("s3", "gs") else f"/{path}")
+        return system.open_input_file(f"{authority}/{path}" if scheme == "gs" else f"/{path}")
+
+    def tail(location: str) -> bytes | None:
+        """The end of a file from its footer on; None if it is too short to have one."""
+        with (opener or opened)(location) as source:
+            size = source.size()
+            if size < 12:
+                return None
+            source.seek(size - 8)
+            length = int.from_bytes(source.read(4), "little")
+            if length + 12 > size:
+                return None
+            source.seek(size - 8 - length)
+            return source.read(length + 8)
 
     def footer(location: str, wanted: list[str]) -> tuple[str | None, str | None]:
+        for attempt in range(attempts):
+            try:
+                end = tail(location)
+                break
+            except FileNotFoundError:
+                return missing, None
+            except (pa.ArrowException, OSError):
+                if attempt + 1 == attempts:
+                    raise
+                time.sleep(wait * 2**attempt)
         try:
-            source = opened(location)
-        except FileNotFoundError:
-            return MISSING, None
-        except (pa.ArrowInvalid, OSError) as error:
-            return str(error), None
-        try:
-            with source:
-                schema = pq.ParquetFile(source).schema
-                columns = [schema.column(i) for i in range(len(schema))]
-        except (pa.ArrowInvalid, OSError):
-            return BROKEN, None
+            # What comes before the footer is not looked at.
+            schema = pq.ParquetFile(pa.BufferReader(b"PAR1" + (end or b""))).schema
+            columns = [schema.column(i) for i in range(len(schema))]
+        except (pa.ArrowException, OSError):
+            return broken, None
         types = {c.name: spark_type(c) for c in columns if c.path == c.name and c.name in wanted}
+        # Columns that are no single values take part in the shape of a file only.
+        for c in columns:
+            root = c.path.split(".")[0]
+            if c.path != c.name and root in wanted:
+                types[f"[{root}"] = types.get(f"[{root}", "") + f"{c.path}:{spark_type(c)};"
         return None, json.dumps(types, sort_keys=True)
 
     def footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,15 +157,20 @@ def _footer_by_spark(spark: SparkSession, location: str, wanted: list[str]) -> t
 
 
 def probe_footers(
-    spark: SparkSession, files: list[tuple[int, str, list[str]]], probe: str = "arrow"
+    spark: SparkSession,
+    files: list[tuple[int, str, list[str]]],
+    probe: str = "arrow",
+    store: dict[str, str] | None = None,
+    opener: Callable | None = None,
 ) -> Iterator[tuple[int, str | None, dict[str, str] | None]]:
     """(number, problem, types) of each (number, location, wanted): the types of the wanted columns.
 
     Reads footers only. Spark's own reader has no outcome per file: one missing or
     broken file fails the whole read, and a column that a file lacks turns into
-    NULL. With "arrow", executors read the footers in parallel. With "spark", each
-    footer is a small Spark read of its own: slower, but it uses the Hadoop file
-    systems, for stores whose credentials only those have.
+    NULL. With "arrow", executors read the footers in parallel; `store` holds the settings
+    of Arrow's S3 file system, by default those of `fs.s3a.*`, and `opener` opens a location
+    in another way. With "spark", each footer is a small Spark read of its own: slower, but
+    it uses the Hadoop file systems, for stores whose credentials only those have.
     """
     if probe == "spark":
         with ThreadPool(16) as pool:
@@ -125,29 +178,34 @@ def probe_footers(
     else:
         tasks = max(1, min(len(files) // 4, spark.sparkContext.defaultParallelism * 4))
         listed = spark.createDataFrame(files, "file bigint, location string, wanted array<string>")
-        found = listed.repartition(tasks).mapInPandas(_footer_reader(), "file bigint, problem string, types string")
+        reader = _footer_reader(s3_settings(spark) if store is None else store, opener)
+        found = listed.repartition(tasks).mapInPandas(reader, "file bigint, problem string, types string")
         footers = map(tuple, found.collect())
     for number, problem, types in footers:
         yield number, problem, types and json.loads(types)
 
 
-def scan(spark: SparkSession, locations: dict[str, int], types: dict[str, str]) -> DataFrame:
-    """Only the columns in `types`, plus `load`, the number of the row's file.
+def _with_source(rows: DataFrame, files: list[tuple], columns: str, *selected: Column) -> DataFrame:
+    """Selected columns of a scan, and what `files` says about the file of each row.
 
-    The numbers are looked up by the URI that Spark reports for a row, unchanged, so
-    that no row has its URI decoded. `load` is NULL if Spark reports an unknown file.
+    files: rows of (location, *values); `columns` declares the values. They are looked up by
+    the URI that Spark reports for a row, unchanged, so that no row has its URI decoded.
+    They are NULL if Spark reports an unknown file.
     """
-    schema = ", ".join("`" + name.replace("`", "``") + f"` {kind}" for name, kind in types.items())
-    rows = spark.read.schema(schema).parquet(*map(literal_path, locations))
     uris = files_by_location(rows)
-    numbered = [(uris.get(bare(location)), number) for location, number in locations.items()]
-    # One row per file of a part, so the broadcast is bounded.
-    by_uri = F.broadcast(spark.createDataFrame(numbered, "source_uri string, load bigint"))
-    return (
-        rows.select(*[quoted(name) for name in types], F.input_file_name().alias("source_uri"))
-        .join(by_uri, "source_uri", "left")
-        .drop("source_uri")
-    )
+    known = [(uris.get(bare(location)), *values) for location, *values in files]
+    by_uri = rows.sparkSession.createDataFrame(known, f"`__uri` string, {columns}")
+    return rows.select(*selected, F.input_file_name().alias("__uri")).join(by_uri, "__uri", "left").drop("__uri")
+
+
+def scan(spark: SparkSession, files: list[tuple[str, int, str]], types: dict[str, str]) -> DataFrame:
+    """Only the columns in `types`, plus `__load` and `__feature_table` of the row's file.
+
+    files: (location, load, feature table), at most as many as a part holds.
+    """
+    schema = ", ".join("`" + name.replace("`", "``") + f"` {kind}" for name, kind in types.items())
+    rows = spark.read.schema(schema).parquet(*[literal_path(location) for location, *_ in files])
+    return _with_source(rows, files, "`__load` bigint, `__feature_table` string", *map(quoted, types))
 
 
 def staged_rows(
@@ -180,30 +238,52 @@ def location_of(key: Column, storage_root: str) -> Column:
 
 
 def read_features(
-    paths: DataFrame, storage_root: str, columns: list[str], timestamp_column: str, created_timestamp_column: str
+    paths: DataFrame,
+    storage_root: str,
+    columns: list[str],
+    timestamp_column: str,
+    created_timestamp_column: str,
+    **probing,
 ) -> DataFrame:
     """The given columns of the files in `paths`, time columns as wall times, plus `path`.
 
-    Only the list of files passes through the driver, as in every scan.
+    Files are read in groups of one shape, as ingest does, so every file's times are taken
+    by its own types. A file without one of the feature columns has NULL there; one
+    that is missing, broken or has no usable time column is an error. Only the list of
+    files passes through the driver, as in every scan. `probing` goes to `probe_footers`.
     """
     spark = paths.sparkSession
+    times = [timestamp_column, created_timestamp_column]
+    wanted = list(dict.fromkeys([*columns, *times]))
+    storage_root = storage_root if "://" in storage_root else qualified(spark, storage_root) + "/"
     files = [
         (row.path, row.location)
         for row in paths.select("path", location_of(F.col("path"), storage_root).alias("location")).distinct().collect()
     ]
-    rows = spark.read.parquet(*[literal_path(location) for _, location in files])
-    types = dict(rows.dtypes)
-    times = [timestamp_column, created_timestamp_column]
-    wanted = [
-        as_wall_time(quoted(c), types[c]).alias(c) if c in times else quoted(c)
-        for c in dict.fromkeys([*columns, *times])
-    ]
-    uris = files_by_location(rows)
-    by_uri = spark.createDataFrame([(path, uris[bare(l)]) for path, l in files], "path string, source_uri string")
-    if len(files) <= MAX_LISTED:
-        by_uri = F.broadcast(by_uri)
-    return (
-        rows.select(*wanted, F.input_file_name().alias("source_uri"))
-        .join(by_uri, "source_uri")
-        .drop("source_uri")
-    )
+    if not files:
+        raise ValueError("no files to read")
+    listed = [(i, location, wanted) for i, (_, location) in enumerate(files)]
+    groups: dict[str, list[tuple[str, str]]] = defaultdict(list)
+    for i, problem, types in probe_footers(spark, listed, **probing):
+        path, location = files[i]
+        unusable = [c for c in times if not problem and types.get(c) not in TIME_COLUMN_TYPES]
+        if problem or unusable:
+            raise ValueError(f"{path}: {problem or f'no usable time column {unusable[0]}'}")
+        groups[json.dumps(types, sort_keys=True)].append((location, path))
+    return union_all([_features_of(spark, group, wanted, times, json.loads(shape)) for shape, group in groups.items()])
+
+
+def _features_of(spark: SparkSession, files: list[tuple[str, str]], wanted: list[str], times: list[str], types: dict[str, str]) -> DataFrame:
+    """Feature rows of files of one shape."""
+    rows = spark.read.parquet(*[literal_path(location) for location, _ in files])
+    chosen = []
+    for name in wanted:
+        if name in times:
+            chosen.append(as_wall_time(quoted(name), dict(rows.dtypes)[name]).alias(name))
+        elif name in rows.columns:
+            chosen.append(quoted(name))
+        else:
+            chosen.append(F.lit(None).alias(name))
+    found = _with_source(rows, files, "`path` string", *chosen)
+    unknown = F.raise_error(F.lit("a row of an unknown file: does the storage root redirect?"))
+    return found.withColumn("path", F.coalesce("path", unknown.cast("string")))

@@ -16,7 +16,6 @@ MESSAGE = T.StructType(
         T.StructField("EventName", T.StringType()),
         T.StructField("Key", T.StringType()),
         T.StructField("Records", T.ArrayType(T.StructType([T.StructField("eventTime", T.StringType())]))),
-        T.StructField("_corrupt_record", T.StringType()),
     ]
 )
 
@@ -26,18 +25,27 @@ REMOVED = "s3:ObjectRemoved:"
 SUFFIX = ".parquet"
 
 
-def _shaped(messages: DataFrame, arrived: Column) -> DataFrame:
-    sent = F.try_to_timestamp(F.get(F.col("Records"), F.lit(0))["eventTime"])
-    return messages.select(
-        F.col("EventName").alias("event_name"),
-        F.col("Key").alias("key"),
-        F.coalesce(from_epoch_micros(F.unix_micros(sent)), arrived).alias("received_at"),
+def _parsed(messages: DataFrame, value: Column, arrived: Column) -> DataFrame:
+    """Columns event_name, key, received_at, and of malformed messages their text.
+
+    Broken JSON has neither name nor key.
+    """
+    message = F.from_json(value, MESSAGE)
+    read = messages.select(message.alias("m"), value.alias("text"), arrived.alias("arrived"))
+    sent = F.try_to_timestamp(F.get(F.col("m.Records"), F.lit(0))["eventTime"])
+    name, key = F.col("m.EventName"), F.col("m.Key")
+    return read.select(
+        name.alias("event_name"),
+        key.alias("key"),
+        F.coalesce(from_epoch_micros(F.unix_micros(sent)), F.col("arrived")).alias("received_at"),
+        F.when(name.isNull() | key.isNull(), F.col("text")).alias("text"),
     )
 
 
 def _files(reader, path: str) -> DataFrame:
-    messages = reader.schema(MESSAGE).option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-    return _shaped(messages, from_epoch_micros(F.unix_micros(F.col("_metadata.file_modification_time"))))
+    """Lines of the files; blank ones are no messages."""
+    lines = reader.text(path).filter(F.trim("value") != "")
+    return _parsed(lines, F.col("value"), from_epoch_micros(F.unix_micros(F.col("_metadata.file_modification_time"))))
 
 
 def read_notifications(spark: SparkSession, path: str) -> DataFrame:
@@ -55,15 +63,12 @@ def parse_notifications(messages: DataFrame, value: str = "value", arrived: str
 
     `arrived` is the queue's time stamp; it counts where the message has none.
     """
-    parsed = messages.select(
-        F.from_json(F.col(value).cast("string"), MESSAGE, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("m"),
-        F.col(arrived).cast("timestamp").alias("arrived"),
-    ).select("m.*", "arrived")
-    return _shaped(parsed, from_epoch_micros(F.unix_micros(F.col("arrived"))))
+    zoned = F.col(arrived).cast("timestamp")
+    return _parsed(messages, F.col(value).cast("string"), from_epoch_micros(F.unix_micros(zoned)))
 
 
 def malformed(notifications: DataFrame) -> DataFrame:
-    """Messages without an event name or a key: broken JSON or a missing field."""
+    """Messages without an event name or a key: broken JSON or a missing field. Their `text` is kept."""
     return notifications.filter(F.col("event_name").isNull() | F.col("key").isNull())
 
 

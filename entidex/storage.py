@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 from urllib.parse import unquote
 
@@ -11,15 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder for tables that live during one run: below `spark.checkpoint.dir`.
+    """A new folder for tables that live during one run: below `spark.checkpoint.dir`.
 
-    Only a local session may do without that setting.
+    Where that is unset, below the warehouse, which all executors share as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="entidex-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
     return f"{qualified(spark, base)}/entidex-{uuid.uuid4().hex}"
 
 
@@ -50,6 +45,15 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a folder; what leads to the target is made."""
+    fs, hadoop_path = _file_system(spark, source)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(hadoop_path, to):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
 def literal_path(path: str) -> str:
     """The path with glob characters escaped, so that a reader takes it as it is."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)

@@ -2,6 +2,8 @@
 
     entity_<name>/event_month=<yyyymm>/batch_id=<n>/   index rows
     jobs/batch_id=<n>/                                 job log
+    malformed/batch_id=<n>/                            messages that are no notification
+    removals/batch_id=<n>/                             removed files, if they are kept
     definitions/batch_id=<n>/                          entity name and id type, as first seen
 
 Index rows are partitioned by event month, so span lookups and key checks list
@@ -11,6 +13,7 @@ micro-batch writes carries its batch id, so a replay starts by deleting that.
 
 from __future__ import annotations
 
+from collections.abc import Container
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,15 +21,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entidex import storage
+from entidex.functions.keys import normalized
 from entidex.operators.latest import latest
 from entidex.operators.lookups import in_span, month_of
-from entidex.schemas import INDEX_COLUMNS, JOBS, entity_schema
+from entidex.schemas import INDEX_COLUMNS, JOBS, MALFORMED, REMOVALS, entity_schema
 
 _PARTITIONS = T.StructType([T.StructField("event_month", T.IntegerType()), T.StructField("batch_id", T.LongType())])
 _BATCH = T.StructType([T.StructField("batch_id", T.LongType())])
 _TYPES = T.StructType([T.StructField("entity", T.StringType()), T.StructField("id_type", T.StringType())])
 
 
+# What a batch may write.
+_WRITTEN = ("entity_*/event_month=*", "jobs", "definitions", "malformed", "removals")
+
+
 def _escaped(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -70,11 +78,10 @@ class EntityIndex:
 
     # reads
 
-    def entity(self, name: str, months: tuple[int, int] | None = None, id_type: str | None = None) -> DataFrame:
+    def entity(self, name: str, months: Container[int] | None = None, id_type: str | None = None) -> DataFrame:
         """Index rows of an entity, with the partition columns event_month and batch_id.
 
-        With `months` (first and last, such as 202401), only the folders of those
-        months are listed at all.
+        With `months` (such as 202401), only the folders of those months are listed at all.
         """
         id_type = id_type or self.entity_types().get(name)
         if id_type is None:
@@ -84,7 +91,7 @@ class EntityIndex:
             return self._read(f"entity_{name}", schema)
         table = self._table(f"entity_{name}")
         folders = storage.matching(self.spark, f"{storage.literal_path(table)}/event_month=*")
-        wanted = [f for f in folders if months[0] <= int(f.rsplit("=", 1)[1]) <= months[1]]
+        wanted = [f for f in folders if int(f.rsplit("=", 1)[1]) in months]
         if not wanted:
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read.schema(schema).option("basePath", table)
@@ -92,8 +99,8 @@ class EntityIndex:
 
     def span(self, name: str, start: datetime, end: datetime) -> DataFrame:
         """Index rows of an entity whose event time lies in the span, both ends included."""
-        months = tuple(t.year * 100 + t.month for t in (start, end))
-        return in_span(self.entity(name, months), start, end)
+        first, last = (t.year * 100 + t.month for t in (start, end))
+        return in_span(self.entity(name, range(first, last + 1)), start, end)
 
     def latest(self, name: str) -> DataFrame:
         """Latest row per id of an entity."""
@@ -102,6 +109,23 @@ class EntityIndex:
     def jobs(self) -> DataFrame:
         return self._read("jobs", _both(JOBS, _BATCH))
 
+    def malformed(self) -> DataFrame:
+        """Messages that could not be read: their text and time of arrival."""
+        return self._read("malformed", _both(MALFORMED, _BATCH))
+
+    def removals(self) -> DataFrame:
+        """Removed files, as far as ingest was told to keep them."""
+        return self._read("removals", _both(REMOVALS, _BATCH))
+
+    def live(self, rows: DataFrame) -> DataFrame:
+        """Index rows (with batch_id) whose file was not removed after they were loaded.
+
+        A batch never loads a file that it then sees removed, so batches tell the order.
+        """
+        last = self.removals().groupBy("file").agg(F.max("batch_id").alias("removed_in"))
+        marked = rows.withColumn("file", normalized(F.col("path"))).join(last, "file", "left")
+        return marked.filter(F.coalesce("removed_in", F.lit(-1)) <= F.col("batch_id")).select(*rows.columns)
+
     def create_views(self) -> None:
         """Temporary views `jobs` and, per entity, `entity_<name>` and `max_entity_<name>`."""
         self.jobs().drop("batch_id").createOrReplaceTempView("jobs")
@@ -127,7 +151,8 @@ class EntityIndex:
                 f"CREATE TABLE IF NOT EXISTS {in_database(name)} ({columns}) USING parquet "
                 f"PARTITIONED BY ({', '.join(partitions.fieldNames())}) LOCATION {_literal(self._table(name))}"
             )
-            sql(f"MSCK REPAIR TABLE {in_database(name)}")
+            if storage.exists(self.spark, self._table(name)):
+                sql(f"MSCK REPAIR TABLE {in_database(name)}")
         for name in tables:
             sql(
                 f"""CREATE VIEW IF NOT EXISTS {in_database(f"max_{name}")} AS
@@ -140,13 +165,12 @@ class EntityIndex:
 
     def last_batch(self) -> int | None:
         """Highest batch id of any table, or None in a new index."""
-        patterns = ("entity_*/event_month=*", "jobs", "definitions")
-        found = [p for t in patterns for p in storage.matching(self.spark, f"{self.root}/{t}/batch_id=*")]
+        found = [p for t in _WRITTEN for p in storage.matching(self.spark, f"{self.root}/{t}/batch_id=*")]
         return max((int(path.rsplit("=", 1)[1]) for path in found), default=None)
 
     def clear_batch(self, batch_id: int) -> None:
         """Deletes what an earlier attempt at this batch wrote."""
-        for pattern in ("entity_*/event_month=*", "jobs", "definitions"):
+        for pattern in _WRITTEN:
             for path in storage.matching(self.spark, f"{self.root}/{pattern}/batch_id={batch_id}"):
                 storage.delete(self.spark, path)
 
@@ -167,7 +191,56 @@ class EntityIndex:
         )
 
     def append_jobs(self, jobs: DataFrame, batch_id: int) -> None:
-        jobs.select(*JOBS.fieldNames()).write.mode("append").parquet(f"{self._table('jobs')}/batch_id={batch_id}")
+        """Appends the job rows of one part, at most `max_files`, as one file."""
+        jobs.select(*JOBS.fieldNames()).coalesce(1).write.mode("append").parquet(f"{self._table('jobs')}/batch_id={batch_id}")
+
+    def append_malformed(self, messages: DataFrame, batch_id: int) -> None:
+        """Appends messages that are no notification, with their text."""
+        messages.select(*MALFORMED.fieldNames()).write.mode("append").parquet(f"{self._table('malformed')}/batch_id={batch_id}")
+
+    def append_removals(self, removed: DataFrame, batch_id: int) -> None:
+        removed.select(*REMOVALS.fieldNames()).coalesce(1).write.mode("append").parquet(f"{self._table('removals')}/batch_id={batch_id}")
+
+    def compact(self, before_batch: int, least: int = 2) -> None:
+        """Merges the folders of closed batches, those below `before_batch`, month by month.
+
+        Only batches that no stream will run again are closed. Months with fewer than
+        `least` such folders stay as they are. Rows of removed files are dropped for good.
+        Merged rows are written aside, then take the place of the old folders under the
+        highest merged batch id. A run that broke off is finished by the next one. Run it
+        while nothing reads or writes the index: between delete and rename, rows are missing.
+        """
+        aside = f"{self.root}/_compact"
+        self._finish_compaction(aside)
+        for name, id_type in self.entity_types().items():
+            table = self._table(f"entity_{name}")
+            for month in storage.matching(self.spark, f"{storage.literal_path(table)}/event_month=*"):
+                folders = storage.matching(self.spark, f"{storage.literal_path(month)}/batch_id=*")
+                closed = [f for f in folders if _number(f) < before_batch]
+                if len(closed) < least:
+                    continue
+                schema = _both(entity_schema(id_type), _PARTITIONS)
+                reader = self.spark.read.schema(schema).option("basePath", table)
+                rows = self.live(reader.parquet(*map(storage.literal_path, closed)))
+                to = f"{aside}/entity_{name}/{month.rsplit('/', 1)[1]}/batch_id={max(map(_number, closed))}"
+                rows.select(*INDEX_COLUMNS).hint("rebalance", F.col("feature_table")).sortWithinPartitions("id").write.parquet(to)
+        self._finish_compaction(aside)
+
+    def _finish_compaction(self, aside: str) -> None:
+        """Puts what was written whole in its place; deletes what was not."""
+        for path in storage.matching(self.spark, f"{storage.literal_path(aside)}/entity_*/event_month=*/batch_id=*"):
+            if storage.exists(self.spark, f"{path}/_SUCCESS"):
+                month = path.rsplit("/", 1)[0]
+                place = self.root + month.split("/_compact", 1)[1]
+                for old in storage.matching(self.spark, f"{storage.literal_path(place)}/batch_id=*"):
+                    if _number(old) <= _number(path):
+                        storage.delete(self.spark, old)
+                storage.move(self.spark, path, f"{place}/batch_id={_number(path)}")
+        storage.delete(self.spark, aside)
+
+
+def _number(folder: str) -> int:
+    return int(folder.rsplit("=", 1)[1])
 
 
 def _partition_values(batch_id: int) -> list[Column]:

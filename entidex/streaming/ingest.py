@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from entidex import storage
-from entidex.functions.keys import parent_of
+from entidex.functions.keys import normalized, parent_of
 from entidex.functions.values import from_epoch_micros, to_epoch_micros
 from entidex.operators import checks
 from entidex.operators.extract import union_all
@@ -86,15 +86,19 @@ def ingest_batch(
     *,
     bucket: str | None = None,
     literal: bool = False,
+    removals: bool = False,
     max_files: int = 10_000,
-    probe: str = "arrow",
     clock: Callable[[], datetime] = datetime.now,
+    **probing,
 ) -> None:
-    """Ingests one batch of notifications (event_name, key, received_at).
+    """Ingests one batch of notifications (event_name, key, received_at, maybe text).
 
     Files lie at `storage_root` + key: `s3a://`, or a folder that holds the buckets.
-    With `literal`, the wildcards of a directory name match only themselves. `probe`
-    says who reads footers, see `feature_files`.
+    With `literal`, the wildcards of a directory name match only themselves. `probing`
+    (probe, store, opener) says how footers are read, see `feature_files.probe_footers`.
+    Malformed messages are kept with their text. With `removals`, removal events are kept
+    too: a file that is removed later in the batch is refused, keys of files that were
+    removed since they were loaded count as free, and `EntityIndex.live` leaves their rows out.
     """
     if not 0 < max_files <= checks.MAX_LOADS:
         raise ValueError(f"max_files must be within 1 and {checks.MAX_LOADS}")
@@ -103,17 +107,23 @@ def ingest_batch(
     root = storage_root if "://" in storage_root else storage.qualified(spark, storage_root) + "/"
     try:
         index.clear_batch(batch_id)
-        wanted = source.created(source.subscribed(events, bucket))
+        if "text" in events.columns and not (malformed := source.malformed(events)).isEmpty():
+            index.append_malformed(malformed, batch_id)
+        wanted = source.subscribed(events, bucket)
+        wanted = wanted.filter(F.col("key").isNotNull()) if removals else source.created(wanted)
         # `seq` counts on from here without gaps, so it tells the part.
         first = batch_id * 2**32 + 1
         part_of = F.floor((F.col("seq") - first) / max_files).cast("int").alias("part")
-        routed = _routed(source.sequenced(wanted, batch_id, scratch), registry, root, literal)
+        arrived = source.sequenced(wanted, batch_id, scratch)
+        routed = _routed(source.created(arrived), registry, root, literal)
+        if removals:
+            routed = _without_removed_later(routed, source.removed(arrived), batch_id, index)
         routed.select("*", part_of).repartition("part").write.partitionBy("part").parquet(f"{scratch}/routed")
-        for part in range(len(storage.matching(spark, f"{scratch}/routed/part=*"))):
+        for part in sorted(int(p.rsplit("=", 1)[1]) for p in storage.matching(spark, f"{scratch}/routed/part=*")):
             rows = spark.read.parquet(f"{scratch}/routed/part={part}").orderBy("seq").collect()
             files = [_File(**row.asDict()) for row in rows]
             started = clock()
-            _ingest_part(spark, files, batch_id, index, f"{scratch}/part={part}", probe)
+            _ingest_part(spark, files, batch_id, index, f"{scratch}/part={part}", probing, removals)
             outcomes = spark.createDataFrame([(f.seq, f.key, f.problem, f.entities, f.feature_table) for f in files], OUTCOME)
             times = [F.lit(t).cast("timestamp_ntz") for t in (started, clock())]
             index.append_jobs(job_rows(_routeless_as_null(outcomes), *times), batch_id)
@@ -139,16 +149,27 @@ def _routed(events: DataFrame, registry: Registry, storage_root: str, literal: b
     )
 
 
-def _ingest_part(spark: SparkSession, files: list[_File], batch_id: int, index: EntityIndex, scratch: str, probe: str) -> None:
+def _without_removed_later(routed: DataFrame, removed: DataFrame, batch_id: int, index: EntityIndex) -> DataFrame:
+    """Keeps the removals, and refuses files that the batch sees removed after their event."""
+    index.append_removals(removed.select(normalized(F.col("key")).alias("file"), "seq"), batch_id)
+    last = index.removals().filter(F.col("batch_id") == batch_id).groupBy("file").agg(F.max("seq").alias("removed_at"))
+    marked = routed.withColumn("file", normalized(F.col("key"))).join(last, "file", "left")
+    gone = F.coalesce(F.col("removed_at") > F.col("seq"), F.lit(False))
+    return marked.withColumn("problem", F.when(gone, checks.REMOVED_FILE).otherwise(F.col("problem"))).select(*routed.columns)
+
+
+def _ingest_part(
+    spark: SparkSession, files: list[_File], batch_id: int, index: EntityIndex, scratch: str, probing: dict, removals: bool
+) -> None:
     _check_definitions(files, batch_id, index)
     _number_loads(files)
-    _check_footers(spark, [f for f in files if f.load >= 0 and not f.problem], probe)
+    _check_footers(spark, [f for f in files if f.load >= 0 and not f.problem], probing)
     loads = [f for f in files if f.load >= 0 and not f.problem]
     rows_of = {}
     if loads:
         if _stage(spark, loads, f"{scratch}/staged"):
             staged = spark.read.schema(STAGED).parquet(f"{scratch}/staged")
-            rows_of = _check_rows(spark, loads, staged, index, f"{scratch}/checks")
+            rows_of = _check_rows(spark, loads, staged, index, f"{scratch}/checks", removals)
             _append(spark, [f for f in loads if not f.problem], staged, rows_of, batch_id, index)
     _settle_repeats(files, rows_of)
 
@@ -179,20 +200,18 @@ def _number_loads(files: list[_File]) -> None:
             seen.add(f.location)
 
 
-def _check_footers(spark: SparkSession, loads: list[_File], probe: str) -> None:
+def _check_footers(spark: SparkSession, loads: list[_File], probing: dict) -> None:
     if not loads:
         return
     by_load = {f.load: f for f in loads}
     wanted = {f.load: [*f.names, f.timestamp_column, f.created_timestamp_column] for f in loads}
     files = [(f.load, f.location, wanted[f.load]) for f in loads]
-    for load, problem, types in feature_files.probe_footers(spark, files, probe):
+    for load, problem, types in feature_files.probe_footers(spark, files, **probing):
         f = by_load[load]
         if problem:
-            f.problem = {feature_files.MISSING: checks.NO_FILE, feature_files.BROKEN: checks.UNREADABLE}.get(
-                problem, f"{checks.UNREADABLE}: {problem}"
-            )
+            f.problem = {feature_files.MISSING: checks.NO_FILE, feature_files.BROKEN: checks.UNREADABLE}[problem]
             continue
-        f.types = types
+        f.types = {name: kind for name, kind in types.items() if name in wanted[load]}
         allowed = {name: feature_files.ID_COLUMN_TYPES[kind] for name, kind in f.id_types.items()}
         for name in wanted[f.load]:
             if name not in f.types:
@@ -206,12 +225,13 @@ def _check_footers(spark: SparkSession, loads: list[_File], probe: str) -> None:
 def _stage(spark: SparkSession, loads: list[_File], path: str, piece: str = "0") -> bool:
     """Writes the key columns of the files to a table; returns whether any file was read.
 
-    Normally that is one job. If a file breaks while it is read, the list is halved
+    Files with the same columns and types are one scan, whatever their feature table.
+    Normally all is one job. If a file breaks while it is read, the list is halved
     until the broken files are alone.
     """
     groups = defaultdict(list)
     for f in loads:
-        groups[(f.feature_table, f.timestamp_column, f.created_timestamp_column, *f.names, json.dumps(f.types))].append(f)
+        groups[(f.timestamp_column, f.created_timestamp_column, *f.names, json.dumps(f.types))].append(f)
     try:
         union = union_all([_staged_group(spark, group) for group in groups.values()])
         union.write.partitionBy("entity").parquet(f"{path}/piece={piece}")
@@ -230,20 +250,20 @@ def _stage(spark: SparkSession, loads: list[_File], path: str, piece: str = "0")
 
 def _staged_group(spark: SparkSession, group: list[_File]) -> DataFrame:
     f = group[0]
-    numbered = feature_files.scan(spark, {g.location: g.load for g in group}, f.types)
+    numbered = feature_files.scan(spark, [(g.location, g.load, g.feature_table) for g in group], f.types)
     return feature_files.staged_rows(
         numbered,
         f.types,
         f.id_types,
         f.timestamp_column,
         f.created_timestamp_column,
-        F.lit(f.feature_table).alias("feature_table"),
-        F.col("load"),
+        F.col("__feature_table").alias("feature_table"),
+        F.col("__load").alias("load"),
     )
 
 
 def _check_rows(
-    spark: SparkSession, loads: list[_File], staged: DataFrame, index: EntityIndex, scratch: str
+    spark: SparkSession, loads: list[_File], staged: DataFrame, index: EntityIndex, scratch: str, removals: bool
 ) -> dict[int, int]:
     """Sets the problems of loads by their rows; returns the number of rows per load."""
     by_load = {f.load: f for f in loads}
@@ -254,24 +274,22 @@ def _check_rows(
             if not f.problem and applies(f):
                 f.problem = problem
 
-    profile = _profile(staged)
+    profile = profile_of(staged)
     if any(row.load is None for row in profile):
         raise RuntimeError("rows of an unknown file: does the storage root redirect?")
     for row in profile:
         if row.n_null:
             by_load[row.load].problem = checks.NULL_KEY
 
-    repeated_path = f"{scratch}/repeated"
-    checks.repeated_keys(staged).write.parquet(repeated_path)
-    repeated = spark.read.parquet(repeated_path)
-    holders = None
-    if not repeated.isEmpty():
-        checks.key_holders(staged, repeated).write.parquet(f"{scratch}/holders")
-        holders = spark.read.parquet(f"{scratch}/holders")
+    checks.key_holders(staged).write.parquet(f"{scratch}/holders")
+    holders = spark.read.parquet(f"{scratch}/holders")
+    if holders.isEmpty():
+        holders = None
+    else:
         # Rows of several entities may repeat one of them; such rows are collapsed instead.
         refuse(checks.duplicate_key_loads(holders), checks.DUPLICATE_KEY, lambda f: len(f.entities) == 1)
 
-    stored = _stored_keys(index, [(row, by_load[row.load]) for row in profile if not by_load[row.load].problem])
+    stored = stored_keys_near(index, [(row, by_load[row.load]) for row in profile if not by_load[row.load].problem], removals)
     if stored is not None:
         refuse(checks.stored_key_loads(staged, stored), checks.STORED_KEY)
 
@@ -287,8 +305,8 @@ def _check_rows(
 TIMES = ["event_timestamp", "created_timestamp"]
 
 
-def _profile(staged: DataFrame) -> list:
-    """Rows, rows with a NULL key, and bounds of month and times (epoch microseconds) per load and entity."""
+def profile_of(staged: DataFrame) -> list:
+    """Rows, rows with a NULL key, months and bounds of the times (epoch microseconds) per load and entity."""
     micros = {c: to_epoch_micros(F.col(c)) for c in TIMES}
     month = month_of(F.col("event_timestamp"))
     return (
@@ -296,8 +314,7 @@ def _profile(staged: DataFrame) -> list:
         .agg(
             F.count("*").alias("n_rows"),
             F.count_if(checks.has_null_key()).alias("n_null"),
-            F.min(month).alias("min_month"),
-            F.max(month).alias("max_month"),
+            F.collect_set(month).alias("months"),
             *[F.min(m).alias(f"min_{c}") for c, m in micros.items()],
             *[F.max(m).alias(f"max_{c}") for c, m in micros.items()],
         )
@@ -305,21 +322,34 @@ def _profile(staged: DataFrame) -> list:
     )
 
 
-def _stored_keys(index: EntityIndex, profile: list[tuple]) -> DataFrame | None:
-    """Keys of the stored index within the bounds of the profiled rows, or None without any."""
+def stored_keys_near(index: EntityIndex, profile: list[tuple], removals: bool = False) -> DataFrame | None:
+    """Keys of the stored index that the profiled rows could meet, or None without any.
+
+    Per entity one scan, of the months that the rows have; of each month only the
+    feature tables that have rows there, within their own bounds of both times. With
+    `removals`, keys of removed files are none.
+    """
     by_entity = defaultdict(list)
     for row, f in profile:
         by_entity[row.entity].append((row, f))
     tables = []
     for entity, loaded in by_entity.items():
-        months = min(row.min_month for row, _ in loaded), max(row.max_month for row, _ in loaded)
+        bounds: dict[tuple, list] = {}
+        for row, f in loaded:
+            times = [row[f"{side}_{c}"] for c in TIMES for side in ("min", "max")]
+            for month in row.months:
+                known = bounds.setdefault((f.feature_table, month), times)
+                bounds[f.feature_table, month] = [(min, max)[i % 2](a, b) for i, (a, b) in enumerate(zip(known, times))]
         id_type = loaded[0][1].id_types[entity]
-        table = index.entity(entity, months, id_type)
-        table = table.filter(F.col("feature_table").isin(sorted({f.feature_table for _, f in loaded})))
+        table = index.entity(entity, {month for _, month in bounds}, id_type)
+        names = [f"{side}_{c}" for c in TIMES for side in ("min", "max")]
+        schema = "feature_table string, event_month int, " + ", ".join(f"{n} bigint" for n in names)
+        # One row per feature table and month of a part's files.
+        wanted = table.sparkSession.createDataFrame([(*at, *times) for at, times in bounds.items()], schema)
+        table = table.join(F.broadcast(wanted), ["feature_table", "event_month"])
         for c in TIMES:
-            low = F.lit(min(row[f"min_{c}"] for row, _ in loaded))
-            high = F.lit(max(row[f"max_{c}"] for row, _ in loaded))
-            table = table.filter(F.col(c).between(from_epoch_micros(low), from_epoch_micros(high)))
+            table = table.filter(F.col(c).between(from_epoch_micros(F.col(f"min_{c}")), from_epoch_micros(F.col(f"max_{c}"))))
+        table = index.live(table) if removals else table
         tables.append(
             table.select(
                 F.lit(entity).alias("entity"), F.col("id").cast("bigint").alias("id"), "feature_table", *TIMES

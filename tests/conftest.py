@@ -14,8 +14,8 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("8")
+def spark(tmp_path_factory):
+    session = local_session("8", **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     # Tests break files on purpose; Spark logs each at length.
     session.sparkContext.setLogLevel("OFF")
     yield session

@@ -14,8 +14,7 @@ def _rows(spark, held):
 
 def _refused(spark, held):
     rows = _rows(spark, held)
-    holders = checks.key_holders(rows, checks.repeated_keys(rows))
-    sharers = {r.load: bytes(r.sharers) for r in checks.key_sharers(holders).collect()}
+    sharers = {r.load: bytes(r.sharers) for r in checks.key_sharers(checks.key_holders(rows)).collect()}
     return checks.refused_by_earlier(sharers)
 
 
@@ -33,10 +32,8 @@ def _refused_one_by_one(held):
 def test_null_and_duplicate_keys(spark):
     rows = _rows(spark, [(1, 1), (1, None), (1, None), (2, 2), (2, 2), (2, 2), (2, 3), (3, 2), (3, 9)])
     assert [tuple(r) for r in checks.null_key_loads(rows).collect()] == [(1, 2)]
-    repeated = checks.repeated_keys(rows)
-    assert [r.id for r in repeated.collect()] == [2]
-    holders = checks.key_holders(rows, repeated)
-    assert sorted((r.load, r.n) for r in holders.collect()) == [(2, 3), (3, 1)]
+    holders = checks.key_holders(rows)
+    assert sorted((r.id, r.load, r.n) for r in holders.collect()) == [(2, 2, 3), (2, 3, 1)]
     assert [tuple(r) for r in checks.duplicate_key_loads(holders).collect()] == [(2, 1)]
 
 

@@ -273,3 +273,172 @@ def test_small_loads_do_not_shuffle_the_stored_index(spark, store):
     index.withColumn("load", index.id).write.parquet(f"{store.root}/staged")
     plan = checks.stored_key_loads(spark.read.parquet(f"{store.root}/staged"), index)._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def failing_opener(folder, failures):
+    """Opens local files; fails as a store does for the first `failures` calls of each."""
+    folder = str(folder)
+
+    def opened(location):
+        import hashlib
+        import os
+
+        import pyarrow.fs as fs
+
+        mark = f"{folder}/{hashlib.md5(location.encode()).hexdigest()}"
+        tried = os.path.getsize(mark) if os.path.exists(mark) else 0
+        with open(mark, "ab") as file:
+            file.write(b"x")
+        if tried < failures:
+            raise OSError("AWS Error SLOW_DOWN at http://10.0.0.1 for key secret")
+        return fs.LocalFileSystem().open_input_file("/" + location.split(":", 1)[1].lstrip("/"))
+
+    return opened
+
+
+def test_a_failing_store_is_tried_again(spark, store, tmp_path):
+    (tmp_path / "marks").mkdir()
+    key = store.rows("lake/trips/a.parquet", [1])
+    _ingest(store, registry(spark, TRIPS), key, "lake/trips/none.parquet", opener=failing_opener(tmp_path / "marks", 1))
+    assert store.outcomes() == [(key, None), ("lake/trips/none.parquet", checks.NO_FILE)]
+
+
+def test_a_store_that_keeps_failing_fails_the_batch(spark, store, tmp_path, monkeypatch):
+    from entidex.sources import feature_files
+
+    monkeypatch.setattr(feature_files, "WAIT", 0.01)
+    (tmp_path / "marks").mkdir()
+    key = store.rows("lake/trips/a.parquet", [1])
+    with pytest.raises(Exception, match="SLOW_DOWN"):
+        _ingest(store, registry(spark, TRIPS), key, opener=failing_opener(tmp_path / "marks", 10**6))
+    assert store.index.jobs().count() == 0
+    _ingest(store, registry(spark, TRIPS), key)
+    assert store.outcomes() == [(key, None)]
+
+
+def test_store_settings_come_from_the_session(spark):
+    from entidex.sources.feature_files import s3_settings
+
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    names = {"fs.s3a.access.key": "a", "fs.s3a.secret.key": "s", "fs.s3a.endpoint": "http://store:9000"}
+    before = {name: conf.get(name) for name in names}
+    try:
+        for name, value in names.items():
+            conf.set(name, value)
+        found = s3_settings(spark)
+        assert {k: found[k] for k in ("access_key", "secret_key", "endpoint_override", "scheme")} == {
+            "access_key": "a", "secret_key": "s", "endpoint_override": "store:9000", "scheme": "http",
+        }
+    finally:
+        for name, value in before.items():
+            conf.unset(name) if value is None else conf.set(name, value)
+
+
+def test_one_scan_for_many_feature_tables(spark, store, monkeypatch):
+    from entidex.sources import feature_files
+
+    names = [f"t{i}" for i in range(12)]
+    reg = registry(spark, *[(f"lake/{n}", n, {"driver": "INT64"}) for n in names])
+    keys = [store.rows(f"lake/{n}/a.parquet", [i]) for i, n in enumerate(names)]
+    scans, real = [], feature_files.scan
+    monkeypatch.setattr(feature_files, "scan", lambda *args: scans.append(1) or real(*args))
+    _ingest(store, reg, *keys)
+    assert len(scans) == 1
+    assert [(r[0], r[1], r[4]) for r in store.index_rows()] == sorted((i, n, k) for i, (n, k) in enumerate(zip(names, keys)))
+
+
+def test_only_the_months_of_the_rows_are_listed(spark, store):
+    """One late file of long ago beside one of today reads two months, each for its own feature table."""
+    from types import SimpleNamespace
+
+    from entidex.streaming import ingest
+
+    reg = registry(spark, TRIPS, ("lake/rides", "rides", {"driver": "INT64"}))
+    for month in range(24):
+        _ingest(store, reg, store.rows(f"lake/trips/{month}.parquet", [1], [NOW + month * 30 * DAY]), batch_id=month)
+    rows = spark.createDataFrame(
+        [(0, "driver", 1, "trips", NOW), (1, "driver", 1, "rides", NOW + 23 * 30 * DAY)], "load long, entity string, id long, feature_table string, ev long"
+    ).selectExpr("load", "entity", "id", "feature_table", "cast(timestamp_micros(ev) as timestamp_ntz) event_timestamp", "timestamp_ntz '2023-11-14 22:13:20' created_timestamp")
+    files = [SimpleNamespace(feature_table=t, id_types={"driver": "bigint"}) for t in ("trips", "rides")]
+    found = ingest.stored_keys_near(store.index, [(r, files[r.load]) for r in ingest.profile_of(rows)])
+    assert len({f.split("event_month=")[1][:6] for f in found.inputFiles()}) == 2
+    assert [(r.feature_table, r.id) for r in found.collect()] == [("trips", 1)]
+
+
+def test_one_job_file_per_part(spark, store):
+    import glob
+
+    reg = registry(spark, TRIPS)
+    _ingest(store, reg, *[store.rows(f"lake/trips/{i}.parquet", [i]) for i in range(9)])
+    assert len(glob.glob(f"{store.root}/index/jobs/batch_id=0/*.parquet")) == 1
+
+
+def test_files_of_one_part_share_their_seconds(spark, store):
+    times = iter([datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 0, 3)])
+    keys = [store.rows(f"lake/trips/{i}.parquet", [i]) for i in range(5)]
+    _ingest(store, registry(spark, TRIPS), *keys, clock=lambda: next(times))
+    summary = jobs.job_summary(store.index.jobs()).first()
+    assert (summary.n_jobs, summary.seconds) == (5, 3.0)
+
+
+REMOVED = "s3:ObjectRemoved:Delete"
+
+
+def test_removed_files(spark, store):
+    reg = registry(spark, TRIPS)
+    a, b, c = (store.rows(f"lake/trips/{n}.parquet", [i]) for i, n in enumerate("abc"))
+    _ingest(store, reg, a, b, removals=True)
+    # Removed under another spelling; its key is free again, for another file and for itself.
+    d = store.rows("lake/trips/d.parquet", [0], [NOW], NOW)
+    _ingest(store, reg, (REMOVED, "lake//trips/./a.parquet"), batch_id=1, removals=True)
+    live = lambda: sorted((r.id, r.path) for r in store.index.live(store.index.entity("driver")).collect())
+    assert live() == [(1, b)]
+    _ingest(store, reg, d, batch_id=2, removals=True)
+    _ingest(store, reg, c, (REMOVED, c), b, batch_id=3, removals=True)
+    assert live() == [(0, d), (1, b)]
+    assert store.outcomes() == [(a, None), (b, None), (d, None), (c, checks.REMOVED_FILE), (b, checks.STORED_KEY)]
+    _ingest(store, reg, (REMOVED, d), batch_id=4, removals=True)
+    _ingest(store, reg, a, batch_id=5, removals=True)
+    assert live() == [(0, a), (1, b)]
+    # A replay gives the same.
+    _ingest(store, reg, a, batch_id=5, removals=True)
+    assert live() == [(0, a), (1, b)]
+
+
+def test_removals_are_ignored_by_default(spark, store):
+    reg = registry(spark, TRIPS)
+    a = store.rows("lake/trips/a.parquet", [1])
+    _ingest(store, reg, a)
+    _ingest(store, reg, (REMOVED, a), batch_id=1)
+    assert len(store.index_rows()) == 1 and store.index.removals().isEmpty()
+
+
+def test_compaction(spark, store):
+    import glob
+    import os
+
+    reg = registry(spark, TRIPS)
+    keys = [store.rows(f"lake/trips/{i}.parquet", [i, i + 100], [NOW, NOW + 60 * DAY]) for i in range(5)]
+    for batch, key in enumerate(keys):
+        _ingest(store, reg, key, batch_id=batch, removals=True)
+    _ingest(store, reg, (REMOVED, keys[1]), batch_id=5, removals=True)
+    live = lambda: sorted(map(tuple, store.index.live(store.index.entity("driver")).select("id", "path").collect()))
+    want = live()
+    table = f"{store.root}/index/entity_driver"
+    store.index.compact(4)
+    assert live() == want
+    assert {p.rsplit("=", 1)[1] for p in glob.glob(f"{table}/event_month=*/batch_id=*")} == {"3", "4"}
+    # A later removal of a merged file, and a batch that comes again.
+    _ingest(store, reg, keys[4], batch_id=4, removals=True)
+    _ingest(store, reg, (REMOVED, keys[0]), batch_id=6, removals=True)
+    want = [r for r in want if r[1] != keys[0]]
+    assert live() == want
+    # One that broke off after it had written aside.
+    store.index.compact(7)
+    assert live() == want and len(glob.glob(f"{table}/event_month=*/batch_id=*")) == 2
+    month = glob.glob(f"{table}/event_month=*")[0]
+    aside = f"{store.root}/index/_compact/entity_driver/{os.path.basename(month)}"
+    os.makedirs(aside)
+    os.rename(glob.glob(f"{month}/batch_id=*")[0], f"{aside}/batch_id=9")
+    store.index.compact(0)
+    assert live() == want and not os.path.exists(f"{store.root}/index/_compact")

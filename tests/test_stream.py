@@ -35,6 +35,9 @@ def test_reading_notifications(spark, store):
     )
     events = source.read_notifications(spark, f"{store.root}/notes")
     assert source.malformed(events).count() == 3
+    assert sorted(r.text for r in source.malformed(events).collect()) == sorted(
+        ["{broken", json.dumps({"EventName": CREATED}), json.dumps({"Key": "lake/b.parquet"})]
+    )
     rows = {r.key: r for r in source.created(events).collect()}
     assert set(rows) == {"lake/a.parquet", "lake/c.parquet"}
     assert rows["lake/a.parquet"].received_at == datetime(2024, 1, 1, 10, 0, 0, 500_000)
@@ -91,6 +94,7 @@ def test_stream_equals_one_batch(spark, store, tmp_path):
         (keys[0], checks.STORED_KEY),
         (keys[3], checks.STORED_KEY),
     ]
+    assert [r.text for r in store.index.malformed().collect()] == ["{broken"]
     # A new checkpoint must not overwrite the batches of the old one.
     with pytest.raises(ValueError, match="first_batch=3"):
         _run(store, reg, "other")
@@ -176,3 +180,51 @@ def test_published_database(spark, store):
         for name in ("entity_driver_id", "jobs"):
             spark.sql(f"drop table if exists entity_lookup_test.`{name}`")
         spark.sql("drop database if exists entity_lookup_test")
+
+
+def test_rows_are_found_in_their_own_file(spark, store):
+    """Two files with the same ids and times: each row comes from the file the index names."""
+    from entidex.operators import lookups
+    from entidex.sources.feature_files import read_features
+
+    reg = registry(spark, ("lake/a", "ta", {"driver": "INT64"}), ("lake/b", "tb", {"driver": "INT64"}))
+    same = {"driver": [1, 2], "ev": [NOW] * 2, "cr": [NOW] * 2}
+    a, b = store.put("lake/a/x.parquet", **same, speed=[1.0, 2.0]), store.put("lake/b/x.parquet", **same, speed=[3.0, 4.0])
+    ingest_batch(store.notifications(a, b), 0, store.index, reg, store.data)
+    index = store.index.entity("driver")
+    rows = index.filter(f"(id = 1 and path = '{a}') or (id = 2 and path = '{b}')")
+    features = read_features(rows.select("path"), f"{store.data}/", ["driver", "speed"], "ev", "cr")
+    found = lookups.features_for_rows(rows, features, "driver", "ev", "cr")
+    assert sorted((r.driver, r.speed, r.path, r.feature_table) for r in found.collect()) == [(1, 1.0, a, "ta"), (2, 4.0, b, "tb")]
+
+
+def test_features_of_files_of_many_shapes(spark, store):
+    """Times in microseconds, milliseconds, text and INT96; a column that a file lacks; nested columns."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from entidex.sources.feature_files import read_features
+
+    time = datetime(2024, 1, 1, 12)
+    shapes = {
+        "micros": [1_704_110_400_000_000],
+        "millis": pa.array([time], pa.timestamp("ms")),
+        "text": ["1704110400000000"],
+        "int96": pa.array([time], pa.timestamp("us")),
+    }
+    keys = []
+    for name, column in shapes.items():
+        extra = {} if name == "millis" else {"speed": [0.5]}
+        keys.append(store.put(f"lake/trips/{name}.parquet", driver=[1], ev=column, cr=column, tags=[["a", "b"]], **extra))
+    path = f"{store.data}/{keys[-1]}"
+    pq.write_table(pq.read_table(path), path, use_deprecated_int96_timestamps=True)
+    paths = spark.createDataFrame([(k,) for k in keys], "path string")
+    rows = read_features(paths, f"{store.data}/", ["driver", "speed", "tags"], "ev", "cr").collect()
+    assert {r.path: (r.ev, r.cr, r.speed, r.tags) for r in rows} == {
+        k: (time, time, None if "millis" in k else 0.5, ["a", "b"]) for k in keys
+    }
+    with pytest.raises(ValueError, match="missing"):
+        read_features(paths.limit(0).unionAll(spark.createDataFrame([("lake/none.parquet",)], "path string")), f"{store.data}/", ["driver"], "ev", "cr")
+    untimed = store.put("lake/trips/untimed.parquet", driver=[1], ev=[NOW])
+    with pytest.raises(ValueError, match="no usable time column cr"):
+        read_features(spark.createDataFrame([(untimed,)], "path string"), f"{store.data}/", ["driver"], "ev", "cr")
