@@ -159,6 +159,15 @@ sources as (
     where ft.is_deleted = false and pr.archived = false)"""
 
 
+def lookalike_directory(number):
+    """Directories that differ in a few digits amid long names, such as a team's number."""
+    team = F.lpad(number.cast("string"), 7, "0")
+    return F.concat(F.lit("lake/warehouse/features/online-serving-team-"), team, F.lit("/daily-aggregated-feature-tables/v1"))
+
+
+LOOKALIKE = "'lake/warehouse/features/online-serving-team-' || lpad({}::varchar, 7, '0') || '/daily-aggregated-feature-tables/v1'"
+
+
 def part_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One notification per event, for a file in the directory of the part numbered like the user.
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +13,16 @@ from entidex.functions import keys, values
 from entidex.operators import checks, jobs, lookups
 from entidex.operators.extract import entity_rows, union_all
 from entidex.operators.latest import latest, latest_by_window, newest_event_per_load
-from entidex.operators.routes import routes_for_parents, routes_of
+from entidex.operators.routes import matching_locations, routes_for_parents, routes_of
 from entidex.plans import inputs
-from entidex.plans.streamed import irregular_index, streamed_index
+from entidex.plans.streamed import irregular_index, late_index, malformed_index, removals_index, shared_files, streamed_index
 from entidex.schemas import ROW_KEY
 from entidex.sources import notifications
+from entidex.sources.feature_files import read_features
 from entidex.sources.registry import registered_sources
 from entidex.storage import scratch_root
 from entidex.store import EntityIndex
+from entidex.streaming.ingest import profile_of, stored_keys_near
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,7 +115,8 @@ def paths_for_ids(spark, sf_dir):
     select distinct o_custkey as id, o_orderdate as event_timestamp
     from orders join customer on o_custkey = c_custkey
     where c_mktsegment = 'BUILDING' and o_orderdate between timestamp '1996-01-01' and timestamp '1996-12-31')
-select o_orderkey, o_custkey, o_orderdate, o_orderstatus, o_totalprice
+select o_orderkey, o_custkey, o_orderdate, o_orderstatus, o_totalprice, 'lake/orders/0.parquet' as path,
+       'orders' as feature_table
 from orders join wanted on o_custkey = id and o_orderdate = event_timestamp"""
 )
 def features_for_ids(spark, sf_dir):
@@ -121,11 +126,42 @@ def features_for_ids(spark, sf_dir):
         lookups.in_span(index, "1996-01-01", "1996-12-31"), customers.select(F.col("c_custkey").alias("id"))
     )
     features = inputs.table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_totalprice"
+        "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_totalprice", F.lit("lake/orders/0.parquet").alias("path")
     )
     return lookups.features_for_rows(rows, features, "o_custkey", "o_orderdate", "o_orderdate")
 
 
+@query(
+    """with shared as (
+    select user_id as id, date_trunc('second', ts) as event_timestamp, date_trunc('day', ts) as created_timestamp,
+           value * factor as value, feature_table
+    from events, (values ('int96', 1), ('micros', 2), ('millis', 3)) as t(feature_table, factor)),
+loads as (
+    select id, feature_table, created_timestamp, max(event_timestamp) as event_timestamp from shared group by all),
+newest as (
+    select * from loads qualify row_number() over (partition by id order by created_timestamp desc, feature_table desc) = 1)
+select 'latest' as kind, id as user, value, event_timestamp as event_ts, created_timestamp as created_ts, feature_table
+from shared join newest using (id, feature_table, event_timestamp, created_timestamp)
+union all
+select 'span', id, value, event_timestamp, created_timestamp, feature_table from shared
+where feature_table <> 'int96' and event_timestamp between timestamp '2024-01-08' and timestamp '2024-01-09'"""
+)
+def features_by_path(spark, sf_dir):
+    """Feature rows read from files of several feature tables that share ids and times.
+
+    The files hold their times in three ways. Once for the latest rows, once for a span of
+    two of the tables.
+    """
+    root, index = shared_files(spark, sf_dir)
+    span = lookups.in_span(index.filter("feature_table != 'int96'"), "2024-01-08", "2024-01-09")
+    parts = []
+    for kind, rows in {"latest": latest(index), "span": span}.items():
+        features = read_features(rows.select("path"), root, ["user", "value"], "event_ts", "created_ts")
+        found = lookups.features_for_rows(rows, features, "user", "event_ts", "created_ts")
+        parts.append(found.drop("path").withColumn("kind", F.lit(kind)))
+    return union_all(parts)
+
+
 _REMOVED = """removed as (
     select concat('lake/', event_type, '/', cast(cast(ts as date) as varchar), '.parquet') as key
     from events where value > 400)"""
@@ -338,6 +374,21 @@ def route_for_parent(spark, sf_dir):
     return parents.join(routes, "parent", "left").withColumn("entities", _entities_as_text())
 
 
+@query(
+    f"""with parents as (select distinct {inputs.LOOKALIKE.format("user_id")} as parent from events),
+locations as (select 's3a://' || {inputs.LOOKALIKE.format("p_partkey")} || '/' as file_url from part)
+select parent, file_url from parents join locations on file_url like '%' || parent || '%'"""
+)
+def route_for_lookalikes(spark, sf_dir):
+    """Directories whose names differ in a few digits only: no more candidates than matches."""
+    users = inputs.table(spark, sf_dir, "events").select(F.col("user_id")).distinct()
+    parts = inputs.table(spark, sf_dir, "part")
+    located = F.concat(F.lit("s3a://"), inputs.lookalike_directory(F.col("p_partkey")), F.lit("/"))
+    return matching_locations(
+        users.select(inputs.lookalike_directory(F.col("user_id")).alias("parent")), parts.select(located.alias("file_url"))
+    )
+
+
 @query(
     f"""with {inputs.REGISTRY}
 select id, type, case upper(type) when 'INT64' then 'bigint' when 'BOOL' then 'boolean' end as id_type
@@ -388,12 +439,19 @@ def job_failures(spark, sf_dir):
 
 @query(
     f"""with {_JOBS}
-select feature_table, status, status_msg, count(*) as n_jobs, min(started) as first_started,
+select feature_table, status, status_msg, cast(sum(n) as bigint) as n_jobs, min(started) as first_started,
        max(ended) as last_ended, cast(sum(epoch_us(ended) - epoch_us(started)) as bigint) / 1000000 as seconds
-from jobs group by feature_table, status, status_msg"""
+from (
+    select feature_table, status, status_msg, date_trunc('hour', started) as started,
+           date_trunc('hour', started) + interval 90 second as ended, count(*) as n
+    from jobs group by all)
+group by feature_table, status, status_msg"""
 )
 def job_summary(spark, sf_dir):
-    return jobs.job_summary(_job_log(spark, sf_dir))
+    """Files that arrive within an hour are one part here, and share their times."""
+    hour = F.date_trunc("hour", F.col("started")).cast("timestamp_ntz")
+    log = _job_log(spark, sf_dir).withColumn("started", hour)
+    return jobs.job_summary(log.withColumn("ended", F.timestamp_add("SECOND", F.lit(90), F.col("started"))))
 
 
 # Checks
@@ -427,7 +485,7 @@ def duplicate_keys(spark, sf_dir):
         F.col("l_returnflag").alias("feature_table"),
         (F.year("l_shipdate") * 100 + F.month("l_shipdate")).alias("load"),
     )
-    return checks.duplicate_key_loads(checks.key_holders(rows, checks.repeated_keys(rows)))
+    return checks.duplicate_key_loads(checks.key_holders(rows))
 
 
 @query(
@@ -447,6 +505,33 @@ def key_conflicts(spark, sf_dir):
     return checks.stored_key_loads(arrived.withColumn("load", _day_number()), stored)
 
 
+@query(
+    f"""with {inputs.USER_INDEX},
+arrived as (
+    select dense_rank() over (order by feature_table, cast(event_timestamp as date)) - 1 as load, * from user_index
+    where cast(event_timestamp as date) in (date '2024-01-02', date '2024-01-29', date '2024-01-30')
+        and feature_table in ('click', 'view'))
+select load, count(*) as n_rows from arrived join (
+    select * from user_index where event_timestamp < timestamp '2024-01-30') as stored
+    using (id, feature_table, event_timestamp, created_timestamp)
+group by load"""
+)
+def stored_key_conflicts(spark, sf_dir):
+    """Old and new loads together against a stored index, by way of what ingest reads of it."""
+    rows = inputs.user_index(spark, sf_dir)
+    index = EntityIndex(spark, scratch_root(spark))
+    index.define({"user": "bigint"}, 0)
+    index.append_entity("user", rows.filter(F.col("event_timestamp") < F.lit("2024-01-30").cast("timestamp_ntz")), 0)
+    day = F.col("event_timestamp").cast("date").cast("string")
+    arrived = rows.filter(day.isin("2024-01-02", "2024-01-29", "2024-01-30") & F.col("feature_table").isin("click", "view"))
+    loads = sorted(tuple(r) for r in arrived.select("feature_table", day.alias("day")).distinct().collect())
+    numbers = spark.createDataFrame([(i, *load) for i, load in enumerate(loads)], "load bigint, feature_table string, day string")
+    staged = arrived.withColumn("day", day).join(numbers, ["feature_table", "day"]).withColumn("entity", F.lit("user"))
+    files = [SimpleNamespace(feature_table=table, id_types={"user": "bigint"}) for table, _ in loads]
+    stored = stored_keys_near(index, [(row, files[row.load]) for row in profile_of(staged)])
+    return checks.stored_key_loads(staged, stored)
+
+
 @query(
     """select cast(strftime(ts, '%Y%m%d') as integer) as load, count(*) as n_rows
 from events where value < 5 or event_type is null group by load"""
@@ -489,8 +574,7 @@ def loads_sharing_keys(spark, sf_dir):
         F.col("l_returnflag").alias("feature_table"),
         ((F.year("o_orderdate") - 1992) * 12 + F.month("o_orderdate")).cast("bigint").alias("load"),
     )
-    holders = checks.key_holders(rows, checks.repeated_keys(rows))
-    return checks.key_sharers(holders).select("load", F.bitmap_count("sharers").alias("n_sharers"))
+    return checks.key_sharers(checks.key_holders(rows)).select("load", F.bitmap_count("sharers").alias("n_sharers"))
 
 
 # Streaming
@@ -594,6 +678,68 @@ def stored_latest_view(spark, sf_dir):
     return spark.sql("select * from max_entity_user")
 
 
+@query(_LATEST)
+def published_view(spark, sf_dir):
+    """Publishes the index as a database of the catalog and asks its latest view."""
+    index = EntityIndex(spark, scratch_root(spark))
+    index.define({"user": "bigint"}, 0)
+    index.append_entity("user", inputs.user_index(spark, sf_dir), 0)
+    database = f"entity_lookup_{uuid.uuid4().hex}"
+    index.publish(database)
+    return spark.sql(f"select * from {database}.max_entity_user")
+
+
+_DIRECTORY = "concat('lake/event_type=', feature_table, '/day=', cast(cast(event_timestamp as date) as varchar))"
+
+
+@query(
+    f"""with {inputs.USER_INDEX},
+loads as (
+    select id, feature_table, created_timestamp, {_DIRECTORY} as parent, max(event_timestamp) as event_timestamp
+    from user_index group by all)
+select id, feature_table, event_timestamp, created_timestamp, parent from loads
+qualify row_number() over (partition by id order by created_timestamp desc, parent desc) = 1"""
+)
+def stream_late_files(spark, sf_dir):
+    """The latest view after older files came in behind newer ones."""
+    rows = late_index(spark, sf_dir).latest("user")
+    return rows.withColumn("parent", keys.parent_of(F.col("path"))).drop("path", "rk")
+
+
+@query(
+    """select case when value < 2 then concat('{broken ', event_id)
+            else concat('{"EventName": "s3:ObjectCreated:Put", "size": ', event_id, '}') end as text
+from events where value < 4"""
+)
+def stream_malformed(spark, sf_dir):
+    """What the index keeps of messages that are no notification."""
+    return malformed_index(spark, sf_dir).malformed().select("text")
+
+
+@query(
+    f"""with {inputs.USER_INDEX}
+select id, feature_table, event_timestamp, created_timestamp, {_DIRECTORY} as parent from user_index
+where feature_table <> 'click' or event_timestamp >= timestamp '2024-01-16'"""
+)
+def stream_with_removals(spark, sf_dir):
+    """What is left after files were removed, and some of them came back."""
+    index = removals_index(spark, sf_dir)
+    rows = index.live(index.entity("user"))
+    return rows.withColumn("parent", keys.parent_of(F.col("path"))).drop("path", "event_month", "batch_id")
+
+
+@query(
+    f"""with {inputs.USER_INDEX}
+select id, feature_table, event_timestamp, created_timestamp, {_DIRECTORY} as parent from user_index
+where feature_table <> 'click' or event_timestamp >= timestamp '2024-01-16'"""
+)
+def stored_after_compaction(spark, sf_dir):
+    """The same index after its closed batches were merged: removed rows are gone for good."""
+    index = removals_index(spark, sf_dir)
+    index.compact(index.last_batch() + 1)
+    return index.entity("user").withColumn("parent", keys.parent_of(F.col("path"))).drop("path", "event_month", "batch_id")
+
+
 _MESSAGES = """messages as (
     select ts, case when value < 3 then '{broken'
                     when value < 6 then concat('{"EventName": "s3:ObjectCreated:Put", "size": ', event_id, '}')
@@ -633,4 +779,4 @@ def queue_messages(spark, sf_dir):
     events = notifications.parse_notifications(messages)
     kinds = {"malformed": notifications.malformed, "removed": notifications.removed, "created": notifications.created}
     parts = [of(events).withColumn("kind", F.lit(kind)) for kind, of in kinds.items()]
-    return union_all(parts)
+    return union_all(parts).drop("text")

@@ -90,16 +90,16 @@ def written_files(spark: SparkSession, root: str) -> DataFrame:
     return files.distinct().select("event_type", "day", F.regexp_replace("uri", "^.*/lake/", "lake/").alias("key"))
 
 
-def write_notifications(files: DataFrame, folder: str) -> None:
-    """Appends a created notification per file."""
+def write_notifications(files: DataFrame, folder: str, event_name: str = "s3:ObjectCreated:Put") -> None:
+    """Appends a notification per file."""
     sent = F.struct(F.concat("day", F.lit("T00:00:00Z")).alias("eventTime"))
     files.select(
-        F.lit("s3:ObjectCreated:Put").alias("EventName"), F.col("key").alias("Key"), F.array(sent).alias("Records")
+        F.lit(event_name).alias("EventName"), F.col("key").alias("Key"), F.array(sent).alias("Records")
     ).write.mode("append").json(folder)
 
 
-def _stream(index: EntityIndex, registry: Registry, files: DataFrame, root: str) -> None:
-    write_notifications(files, f"{root}/notifications")
+def _stream(index: EntityIndex, registry: Registry, files: DataFrame, root: str, removed: bool = False, **options) -> None:
+    write_notifications(files, f"{root}/notifications", *(["s3:ObjectRemoved:Delete"] if removed else []))
     start_ingest(
         stream_notifications(index.spark, f"{root}/notifications"),
         index,
@@ -108,6 +108,7 @@ def _stream(index: EntityIndex, registry: Registry, files: DataFrame, root: str)
         f"{root}/checkpoint",
         trigger={"availableNow": True},
         bucket="lake",
+        **options,
     ).awaitTermination()
 
 
@@ -132,3 +133,74 @@ def irregular_index(spark: SparkSession, sf_dir: str) -> EntityIndex:
     index = EntityIndex(spark, f"{root}/index")
     _stream(index, event_registry(events, flagged="signup"), written_files(spark, f"{root}/data"), root)
     return index
+
+
+def late_index(spark: SparkSession, sf_dir: str) -> EntityIndex:
+    """Streams the files of the later days first, then those of the earlier days."""
+    root = scratch_root(spark)
+    events = inputs.table(spark, sf_dir, "events")
+    write_files(feature_rows(events), f"{root}/data")
+    files = written_files(spark, f"{root}/data")
+    index = EntityIndex(spark, f"{root}/index")
+    for arrived in (files.filter("day >= '2024-01-16'"), files.filter("day < '2024-01-16'")):
+        _stream(index, event_registry(events), arrived, root)
+    return index
+
+
+def removals_index(spark: SparkSession, sf_dir: str) -> EntityIndex:
+    """Streams all files, then the removal of all clicks, then the later clicks again."""
+    root = scratch_root(spark)
+    events = inputs.table(spark, sf_dir, "events")
+    write_files(feature_rows(events), f"{root}/data")
+    files = written_files(spark, f"{root}/data")
+    clicks = files.filter("event_type = 'click'")
+    index = EntityIndex(spark, f"{root}/index")
+    for arrived, removed in ((files, False), (clicks, True), (clicks.filter("day >= '2024-01-16'"), False)):
+        _stream(index, event_registry(events), arrived, root, removed, removals=True)
+    return index
+
+
+def malformed_index(spark: SparkSession, sf_dir: str) -> EntityIndex:
+    """Streams files, with broken and incomplete messages among their notifications."""
+    root = scratch_root(spark)
+    events = inputs.table(spark, sf_dir, "events")
+    write_files(feature_rows(events), f"{root}/data")
+    number = F.col("event_id").cast("string")
+    broken = F.when(F.col("value") < 2, F.concat(F.lit("{broken "), number)).otherwise(
+        F.concat(F.lit('{"EventName": "s3:ObjectCreated:Put", "size": '), number, F.lit("}"))
+    )
+    events.filter("value < 4").select(broken.alias("value")).write.mode("append").text(f"{root}/notifications")
+    index = EntityIndex(spark, f"{root}/index")
+    _stream(index, event_registry(events), written_files(spark, f"{root}/data").filter("event_type = 'view'"), root)
+    return index
+
+
+#: Feature tables with the same ids and times, their factor on the value, and how their
+#: files hold the times.
+SHARED = {"int96": (1, "INT96"), "micros": (2, None), "millis": (3, "TIMESTAMP_MILLIS")}
+
+
+def shared_files(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Writes the events as files of the `SHARED` feature tables; returns the root and their index."""
+    root = scratch_root(spark)
+    day = F.date_trunc("day", F.col("ts"))
+    rows = inputs.table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("user"), F.date_trunc("second", F.col("ts")).alias("event_ts"), day.alias("created_ts"), "value"
+    )
+    setting = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(setting)
+    for name, (factor, kind) in SHARED.items():
+        made = rows.withColumn("value", F.col("value") * factor).withColumn("day", F.col("created_ts").cast("date").cast("string"))
+        zoned = {c: F.timestamp_micros(to_epoch_micros(F.col(c).cast("timestamp_ntz"))) for c in ("event_ts", "created_ts")}
+        made = made.withColumns({c: F.unix_micros(t) if kind is None else t for c, t in zoned.items()})
+        try:
+            spark.conf.set(setting, kind or before)
+            made.withColumn("table", F.lit(name)).repartition("day").write.partitionBy("table", "day").mode("append").parquet(f"{root}/data/lake")
+        finally:
+            spark.conf.set(setting, before)
+    files = spark.read.schema("value double").parquet(f"{root}/data/lake").select(F.col("_metadata.file_path").alias("uri")).distinct()
+    keys = files.select(F.regexp_replace("uri", "^.*/lake/", "lake/").alias("path"))
+    keys = keys.select("path", F.regexp_extract("path", "table=([^/]*)/", 1).alias("feature_table"), F.regexp_extract("path", "day=([^/]*)/", 1).alias("day"))
+    times = [F.col(c).cast("timestamp_ntz").alias(n) for c, n in (("event_ts", "event_timestamp"), ("created_ts", "created_timestamp"))]
+    index = rows.select(F.col("user").alias("id"), *times, F.col("created_ts").cast("date").cast("string").alias("day")).join(keys, "day")
+    return f"{root}/data/", index.select("id", "feature_table", "event_timestamp", "created_timestamp", "path")
