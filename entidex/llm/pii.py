@@ -3,13 +3,19 @@
 Patterns find emails, IP addresses, card and phone numbers. Each distinct value is a
 protected entity. Corpus co-occurrence then tells how strongly a word reveals it:
 
-    disclosure(t, e) = PMI(t; e) / IC(e) = 1 - ln(df(t) / df(t near e)) / ln(N / df(e))
+    plain(t, e) = PMI(t; e) / IC(e) = 1 - ln(df(t) / df(t near e)) / ln(N / df(e))
 
-with df in documents and "near" within `RADIUS` words. It is 1 where a word never
-appears but beside the entity, so that reading the word is as good as reading the entity.
-Words at `GENERALISE` or above are generalised, words at `REMOVE` or above removed, in
-all documents. To be evidence, a word must stand beside the entity in `LEAST_CONTEXTS`
-different surroundings, so copies of one passage reveal nothing.
+with df in documents and "near" within `RADIUS` words of any place that names the entity.
+It is 1 where a word never appears but beside the entity, so that reading the word is as
+good as reading the entity. Few places are little evidence, so P(e | t) is smoothed: of the
+n different surroundings that t and e share, each is foretold by the n - 1 others and by
+one that knows P(e) = df(e) / N alone,
+
+    disclosure(t, e) = plain(t, e) - ln(n / (n - 1 + P(e))) / ln(N / df(e))
+
+A single passage, however often copied, thus reveals nothing (its disclosure is 0 at most), while
+two surroundings do where the entity is rare. Words whose disclosure is at `GENERALISE` or
+above are generalised, those of them whose plain one is at `REMOVE` removed, in all documents.
 """
 
 from __future__ import annotations
@@ -40,8 +46,8 @@ IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-#: Words a context reaches to either side, and surroundings that make evidence.
-RADIUS, LEAST_CONTEXTS = 8, 3
+#: Words a context reaches to either side.
+RADIUS = 8
 GENERALISE, REMOVE = 0.9, 1.0
 #: Most terms that are sent to every task; beyond, terms and documents meet in a join.
 SENT_TERMS = 200_000
@@ -99,8 +105,13 @@ def ordered(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     return sorted(spans, key=lambda s: (s[1], _ORDER[s[0]], s[2]))
 
 
-def contexts(text: str) -> Iterator[tuple[str, str, int, set[str]]]:
-    """(kind, value, hash of the surroundings, words near by) for each entity of a text."""
+def _side_key(side: list[str], near: list[str]) -> int:
+    """Hash of one side of an entity; a side cut short by the text's edge is taken with the other."""
+    return xxhash.xxh64_intdigest(" ".join(side if len(side) == RADIUS else near)) - 2**63
+
+
+def contexts(text: str) -> Iterator[tuple[str, str, int, int, set[str]]]:
+    """(kind, value, hashes of what is left and right, words near by) for each place of an entity."""
     found = base_spans(text)
     if not found:
         return
@@ -111,25 +122,39 @@ def contexts(text: str) -> Iterator[tuple[str, str, int, set[str]]]:
     starts = [w[0] for w in words]
     for kind, start, end in found:
         at, after = bisect_left(starts, start), bisect_left(starts, end)
-        near = [w[2] for w in words[max(0, at - RADIUS) : at] + words[after : after + RADIUS]]
+        left, right = [w[2] for w in words[max(0, at - RADIUS) : at]], [w[2] for w in words[after : after + RADIUS]]
+        near = left + right
         value = re.sub(r"[^0-9a-z@.]", "", text[start:end].lower())
-        yield kind, value, xxhash.xxh64_intdigest(" ".join(near)) - 2**63, set(near)
+        yield kind, value, _side_key(left, near), _side_key(right, near), set(near)
+
+
+def text_rows(text: str) -> list[dict]:
+    """Rows of `entity_rows` for one text; what the text counts for once is marked at its first place."""
+    out, met, entities = [], set(), {}
+    for kind, value, left, right, near in contexts(text):
+        if (kind, value, left, right) in met:
+            continue
+        met.add((kind, value, left, right))
+        first = (kind, value) not in entities
+        known = entities.setdefault((kind, value), set())
+        terms = [{"term": t, "fresh": int(t not in known)} for t in sorted(near)]
+        known |= near
+        out.append({"kind": kind, "value": value, "first": int(first), "left": left, "right": right, "terms": terms})
+    return out
 
 
 def entity_rows(docs: DataFrame, text_col: str) -> DataFrame:
-    """One row per document, entity and surroundings: kind, value, context, terms."""
-    schema = T.StructType.fromDDL("kind string, value string, context long, terms array<string>")
+    """One row per document, entity and surroundings: kind, value, left, right, terms.
+
+    `first` is 1 in one row of each document and entity, `fresh` in one of each term besides.
+    """
+    schema = T.StructType.fromDDL("kind string, value string, first long, left long, right long, terms array<struct<term string, fresh long>>")
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in text_chunks(batch.column(0)):
-                rows = [
-                    {"kind": k, "value": v, "context": c, "terms": sorted(near)}
-                    for text in texts
-                    if text
-                    for (k, v), (c, near) in {(k, v): (c, near) for k, v, c, near in contexts(text)}.items()
-                ]
+                rows = [row for text in texts if text for row in text_rows(text)]
                 yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
     return importable(docs).select(text_col).mapInArrow(tidied(run), schema)
@@ -155,18 +180,19 @@ def term_counts(docs: DataFrame, text_col: str, terms: frozenset | None) -> Data
 def disclosing_terms(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """`term`, `action` (generalise or remove) and `disclosure`: words that reveal an entity.
 
-    All documents count. Where no entity recurs in different surroundings there are none.
+    All documents count. Where no entity recurs in different surroundings there are none;
+    surroundings differ where both sides do, so that an edit to one side of a copy makes none.
     """
     folder, result = scratch(docs.sparkSession), scratch(docs.sparkSession)
     rows = written(entity_rows(docs, text_col), folder, "contexts")
-    entities = rows.groupBy("kind", "value").agg(F.count("*").alias("df_e"))
+    entities = rows.groupBy("kind", "value").agg(F.sum("first").alias("df_e"))
     near = (
-        rows.select("kind", "value", "context", F.explode("terms").alias("term"))
-        .groupBy("kind", "value", "term", "context")
-        .agg(F.count("*").alias("n"))
+        rows.select("kind", "value", "left", "right", F.inline("terms"))
         .groupBy("kind", "value", "term")
-        .agg(F.sum("n").alias("df_near"), F.count("*").alias("contexts"))
-        .filter(F.col("contexts") >= LEAST_CONTEXTS)
+        .agg(F.sum("fresh").alias("df_near"), F.count_distinct("left").alias("lefts"), F.count_distinct("right").alias("rights"))
+        .select("kind", "value", "term", "df_near", F.least("lefts", "rights").alias("contexts"))
+        # Loses nothing: with one surrounding the disclosure is 0 at most.
+        .filter("contexts > 1")
     )
     near = written(near.join(entities, ["kind", "value"]), folder, "near", few=True)
     total = docs.count()
@@ -177,14 +203,16 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text") -> DataFrame:
     else:
         df = term_counts(docs, text_col, None)
     information = F.log(F.lit(float(max(total, 1))) / F.col("df_e"))
-    disclosure = 1 - F.log(F.greatest(F.col("df"), F.col("df_near")) / F.col("df_near")) / information
+    plain = 1 - F.log(F.greatest(F.col("df"), F.col("df_near")) / F.col("df_near")) / information
+    smoothed = plain - F.log(F.col("contexts") / (F.col("contexts") - 1 + F.col("df_e") / F.lit(float(max(total, 1))))) / information
     revealing = (
         near.join(df, "term")
         .filter(information > 0)
-        .groupBy("term")
-        .agg(F.max(disclosure).alias("disclosure"))
+        .select("term", plain.alias("plain"), smoothed.alias("disclosure"))
         .filter(F.col("disclosure") >= GENERALISE)
-        .select("term", F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise").alias("action"), "disclosure")
+        .groupBy("term")
+        .agg(F.max("plain").alias("plain"), F.max("disclosure").alias("disclosure"))
+        .select("term", F.when(F.col("plain") >= REMOVE, "remove").otherwise("generalise").alias("action"), "disclosure")
     )
     found = written(revealing, result, "revealing", few=True)
     delete(docs.sparkSession, folder)

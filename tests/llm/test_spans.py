@@ -99,6 +99,31 @@ def test_terms_that_reveal_an_entity(spark):
     assert len(found) < 8
 
 
+def test_every_place_of_an_entity_counts():
+    """The words beside an earlier place, and each different surroundings of one document."""
+    around = [" ".join(f"{'abcdefgh'[i]}{'klmnopqr'[j]}word" for j in range(8)) for i in range(4)]
+    text = f"{around[0]} zorblax me@mail.org {around[1]} {around[2]} zorblax me@mail.org {around[3]}"
+    rows = pii.text_rows(text + " " + text)
+    assert [r["first"] for r in rows] == [1, 0, 0, 0][: len(rows)] and len({r["left"] for r in rows}) > 1
+    assert {"aqword", "dkword"} <= {t["term"] for r in rows for t in r["terms"]}
+    assert sum(t["fresh"] for r in rows for t in r["terms"] if t["term"] == "zorblax") == 1
+
+
+def test_rare_entities_reveal_too(spark):
+    """Two surroundings suffice, in two documents or in one; an edited copy is not a second one."""
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(400)]
+    some = lambda n: " ".join(rng.choices(words, k=n))
+    rows = [some(30) for _ in range(4000)]
+    rows += [f"{some(20)} twodocs x@mail.org {some(20)}" for _ in range(2)]
+    rows += [f"{some(20)} onedoc y@mail.org {some(40)} onedoc y@mail.org {some(20)}"]
+    before, after = some(20), some(20)
+    rows += [f"{before} copied z@mail.org {after}", f"{before} copied z@mail.org changed {after}"]
+    rows += [f"{some(20)} alone v@mail.org {some(20)}"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert by_id(pii.disclosing_terms(docs), "term", "action") == [("onedoc", "remove"), ("twodocs", "remove")]
+
+
 def test_joined_terms_give_the_same(spark, monkeypatch):
     docs = corpus(spark)
     sent, clean = by_id(pii.find_personal_data(docs), "doc_id", "spans"), by_id(pii.sanitise(docs), "doc_id", "text")
