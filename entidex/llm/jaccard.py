@@ -40,8 +40,8 @@ from entidex.storage import delete
 
 #: Words of a shingle; linked at 100 * intersection >= 80 * union.
 WORDS, SIMILAR = 5, 80
-#: Least size of the first ring and the factor between rings.
-FIRST_RING, RING = 5, 1.5
+#: Least size that links with another (4 with 5), of the first ring, and the factor between rings.
+SMALLEST, FIRST_RING, RING = 4, 5, 1.5
 #: Slices of a ring beyond the differences that linked texts may have there.
 SPARE = 1.3
 #: Rows of a list of texts that may be sent to every task; longer lists are joined by shuffle.
@@ -117,12 +117,15 @@ def slices_of(ring: int) -> int:
 def rings_of(size: int) -> list[tuple[int, int]]:
     """(ring, most differences from a linked text) of each ring a set goes into.
 
-    Sets below `FIRST_RING` link with equal sets alone, so they go nowhere.
+    Sets below `SMALLEST` link with equal sets alone, so they go nowhere; those between it
+    and the first ring link with larger ones alone, so they go into that ring.
     """
-    if size < FIRST_RING:
+    if size < SMALLEST:
         return []
-    ring = ring_of(size)
     largest = 5 * size // 4
+    if size < FIRST_RING:
+        return [(0, (size + largest) // 9)]
+    ring = ring_of(size)
     after = ring_start(ring + 1)
     out = [(ring, (size + min(largest, after - 1)) // 9)]
     if largest >= after:
@@ -190,7 +193,7 @@ def region_rows(docs: DataFrame, text_col: str, shards: int) -> DataFrame:
                 for text in texts:
                     shingles = shingler.set_of(text)
                     node = name_of(shingles)
-                    if len(shingles) < FIRST_RING or node in met:
+                    if len(shingles) < SMALLEST or node in met:
                         continue
                     met.add(node)
                     for ring, least, found in signatures(shingles):

@@ -89,6 +89,17 @@ def test_joins_by_shuffle_too(spark, monkeypatch):
     assert by_id_int(jaccard.join_texts(docs)) == plain(rows)
 
 
+def test_four_against_five_shingles(spark):
+    """The smallest sets that link without being equal, alone and as the middle of a chain."""
+    word = [f"s{i}" for i in range(40)]
+    texts = [" ".join(word[:8]), " ".join(word[:9]), " ".join(word[10:17]), " ".join(word[10:18])]
+    texts += [" ".join(word[20:29]), " ".join(word[20:28]), " ".join(["x", *word[20:28]]), " ".join(word[30:39]), " ".join([*word[30:38], "y", "z"])]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert by_id_int(jaccard.join_texts(docs)) == plain(rows)
+    assert [c for _, _, c in plain(rows)] == [0, 0, 2, 3, 4, 4, 4, 7, 8]
+
+
 def test_linked_sets_share_enough_slices():
     """The bound behind the regions, on random pairs at every size."""
     rng = np.random.default_rng(5)
