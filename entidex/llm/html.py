@@ -1,12 +1,15 @@
 """Main text of web pages by line-block distribution.
 
-A page is stripped of markup into lines, one per block element, white space inside a
-line as one space. Text inside elements that never hold the article (menus, headers,
+A page is stripped of markup into lines, one per block of text, white space inside a
+line as one space; a block element that closes without text is an empty line, tags around
+other blocks make none. Text inside elements that never hold the article (menus, headers,
 footers, sidebars, adverts, forms, scripts, reader comments) leaves an empty line, as do
 hidden parts; on pages with an article element so does all text outside. Each line
 counts its length without link text. Sums of these lengths over sliding windows of
 `WINDOW` lines form the distribution: a surge is where the sum rises above the
-threshold, a dive where it falls to nothing again; the text between them is kept.
+threshold, a dive where it falls to nothing again; the text between them is kept, and
+short blocks before the surge that no dive parts from it. On a page without any surge the
+highest sum is one.
 """
 
 from __future__ import annotations
@@ -37,6 +40,8 @@ MARKED = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments cookie cookies footer header login masthead menu nav navbar navigation newsletter notice notices pager pagination popup promo promoted related share sharing sidebar signup social sponsor sponsored subscribe toolbar widget disqus consent".split()
 )
 MAIN = frozenset(("article", "main"))
+#: Words that turn such a name into one of what is around or beside the part.
+AROUND = frozenset("has with without no not is layout".split())
 #: Elements that an opening tag of the same kind closes.
 SELF_CLOSING = frozenset("p li dt dd tr td th option".split())
 
@@ -47,7 +52,13 @@ TAG = re.compile(
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.IGNORECASE)
 
 
-def hidden(name: str, attributes: str) -> bool:
+def marked(names: str) -> bool:
+    """Whether a class or id names a part that never holds the article: `sidebar`, not `has-sidebar`."""
+    words = (set(re.findall(r"[a-z]+", name)) for name in names.split())
+    return any(not MARKED.isdisjoint(w) and AROUND.isdisjoint(w) for w in words)
+
+
+def hidden(name: str, attributes: str, by_class: bool = True) -> bool:
     """Whether an element never holds the article, from its name and attributes."""
     if name in OUTSIDE:
         return True
@@ -55,7 +66,7 @@ def hidden(name: str, attributes: str) -> bool:
         return False
     for key, *values in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), "".join(values).lower()
-        if key in ("class", "id") and not MARKED.isdisjoint(re.findall(r"[a-z]+", value)):
+        if key in ("class", "id") and by_class and marked(value):
             return True
         if key == "role" and value in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
             return True
@@ -64,26 +75,30 @@ def hidden(name: str, attributes: str) -> bool:
     return False
 
 
-def lines(page: str) -> tuple[list[tuple[str, int]], bool]:
+def lines(page: str, shown: frozenset = frozenset()) -> tuple[list[tuple[str, int]], bool]:
     """Lines of a page as (text, length without links), and whether an article element was met.
 
-    With an article element, text outside of it gives empty lines.
+    With an article element, text outside of it gives empty lines. Where all such elements lie
+    in parts hidden by their class or id, those parts are `shown` (starts of their tags).
     """
     out: list[tuple[str, int, bool]] = []
     pieces: list[str] = []
-    stack: list[tuple[str, bool]] = []
+    stack: list[tuple[str, bool, int]] = []
     state = {"links": 0, "linked": 0, "out": 0, "main": 0}
+    opened = False  # whether the last block tag opened an element
+    around: set[int] = set()  # hidden elements that an article element lies in
 
-    def flush() -> None:
+    def flush(closes: bool = False) -> None:
         text = " ".join(html.unescape("".join(pieces)).split())
-        out.append((text, max(0, len(text) - state["linked"]), state["main"] > 0))
+        if text or closes and opened:
+            out.append((text, max(0, len(text) - state["linked"]), state["main"] > 0))
         pieces.clear()
         state["linked"] = 0
 
     def leave(name: str) -> None:
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] == name:
-                for closed, was_hidden in stack[i:]:
+                for closed, was_hidden, _ in stack[i:]:
                     state["out"] -= was_hidden
                     state["main"] -= closed in MAIN
                     state["links"] -= closed == "a"
@@ -105,22 +120,27 @@ def lines(page: str) -> tuple[list[tuple[str, int]], bool]:
         if not name:
             continue
         if name not in INLINE:
-            flush()
+            flush(bool(tag.group(2)) or name == "hr")
+            opened = not tag.group(2)
         elif name == "br":
             pieces.append(" ")
         if tag.group(2):
             leave(name)
         elif name not in VOID and not tag.group(4).endswith("/"):
-            if name in SELF_CLOSING and any(open_name == name for open_name, _ in stack[-3:]):
+            if name in SELF_CLOSING and any(open_name == name for open_name, *_ in stack[-3:]):
                 leave(name)
-            gone = hidden(name, tag.group(4))
-            stack.append((name, gone))
+            gone = hidden(name, tag.group(4), tag.start() not in shown)
+            stack.append((name, gone, tag.start()))
+            if name in MAIN and state["out"]:
+                around |= {start for _, was_hidden, start in stack if was_hidden}
             state["out"] += gone
             state["main"] += name in MAIN
             state["links"] += name == "a"
     keep(page[at:])
     flush()
     has_main = any(inside and text for text, _, inside in out)
+    if not has_main and around - shown:
+        return lines(page, shown | around)
     return [(text, length) if inside or not has_main else ("", 0) for text, length, inside in out], has_main
 
 
@@ -128,14 +148,19 @@ def between(page_lines: list[tuple[str, int]], threshold: int) -> list[str]:
     """Texts between the surges and dives of the distribution."""
     lengths = [length for _, length in page_lines]
     sums = [sum(lengths[i : i + WINDOW]) for i in range(len(lengths))]
-    kept, i = [], 0
+    if sums and any(c.isalnum() for text, length in page_lines if length for c in text):
+        threshold = min(threshold, max(sums) - 1)
+    kept, i, end = [], 0, 0
     while i < len(sums):
         if sums[i] <= threshold:
             i += 1
             continue
         start = i
+        while start > end and sums[start - 1] > 0:
+            start -= 1
         while i < len(sums) and sums[i] > 0:
             i += 1
+        end = i
         kept += [text for text, _ in page_lines[start:i] if text]
     return kept
 

@@ -25,6 +25,22 @@ def test_page_without_article_uses_the_distribution():
     assert html.main_text(page) == "\n\n".join(f"Paragraph {i} with quite a few words that make up the main text of this page." for i in range(4))
 
 
+LONG = "A paragraph with quite a few words that make up the main text of this page, all of it."
+
+
+@pytest.mark.parametrize("page, blocks", [
+    (f"<div><div><h2>Title</h2></div></div><div><div><p>{LONG}</p></div></div><div><div><p>Short.</p></div></div>", ["Title", LONG, "Short."]),
+    (f"<div><p>One</p></div><div><p>Two</p></div><div><p>Three</p></div><div><p>Four</p></div><div><p>{LONG}</p></div>", ["One", "Two", "Three", "Four", LONG]),
+    ("<body><div><p>A whole short article.</p></div></body>", ["A whole short article."]),
+    (f"<div class='layout has-sidebar'><p>{LONG}</p><div class='sidebar'>Side</div></div>", [LONG]),
+    (f"<div class='content with-comments'><article><p>{LONG}</p></article></div>", [LONG]),
+    (f"<div class='widget'><article><p>{LONG}</p><div class='ad'>Buy</div></article></div><div class='related'>More</div>", [LONG]),
+    (f"<article><p>{LONG}</p></article><div class='related'><article>Teaser</article></div>", [LONG]),
+])
+def test_wrapped_and_short_blocks_stay(page, blocks):
+    assert html.main_text(page) == "\n\n".join(blocks)
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<html></html>", "<script>x</script>", "<article></article>", "<"])
 def test_pages_without_text(page):
     assert html.main_text(page) == ""
