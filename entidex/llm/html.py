@@ -4,8 +4,8 @@ A page is stripped of markup into lines, one per block of text, white space insi
 line as one space; a block element that closes without text is an empty line, tags around
 other blocks make none. Text inside elements that never hold the article (menus, headers,
 footers, sidebars, adverts, forms, scripts, reader comments) leaves an empty line, as do
-hidden parts; on pages with an article element so does all text outside. Each line
-counts its length without link text. Sums of these lengths over sliding windows of
+hidden parts. Each line counts its length without link text; inside an article element it
+weighs its whole length and `SURGE` more, and the element's bounds are dives. Sums of these lengths over sliding windows of
 `WINDOW` lines form the distribution: a surge is where the sum rises above the
 threshold, a dive where it falls to nothing again; the text between them is kept, and
 short blocks before the surge that no dive parts from it. On a page without any surge the
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from entidex.llm.common import map_texts
 
-#: Lines per window, and the sum that starts a run on pages without an article element.
+#: Lines per window, and the sum that starts a run.
 WINDOW, SURGE = 3, 80
 
 #: Fixed values of HTML: elements whose content is no markup, elements without content,
@@ -75,11 +75,9 @@ def hidden(name: str, attributes: str, by_class: bool = True) -> bool:
     return False
 
 
-def lines(page: str, shown: frozenset = frozenset()) -> tuple[list[tuple[str, int]], bool]:
-    """Lines of a page as (text, length without links), and whether an article element was met.
-
-    With an article element, text outside of it gives empty lines. Where all such elements lie
-    in parts hidden by their class or id, those parts are `shown` (starts of their tags).
+def lines(page: str, shown: frozenset = frozenset()) -> list[tuple[str, int]]:
+    """Lines of a page as (text, weight). Where all article elements lie in parts hidden by
+    their class or id, those parts are `shown` (starts of their tags).
     """
     out: list[tuple[str, int, bool]] = []
     pieces: list[str] = []
@@ -141,7 +139,14 @@ def lines(page: str, shown: frozenset = frozenset()) -> tuple[list[tuple[str, in
     has_main = any(inside and text for text, _, inside in out)
     if not has_main and around - shown:
         return lines(page, shown | around)
-    return [(text, length) if inside or not has_main else ("", 0) for text, length, inside in out], has_main
+    weighed: list[tuple[str, int]] = []
+    before = False
+    for text, length, inside in out:
+        if inside != before:
+            weighed += [("", 0)] * WINDOW
+        weighed.append((text, SURGE + len(text) if inside and text else length))
+        before = inside
+    return weighed
 
 
 def between(page_lines: list[tuple[str, int]], threshold: int) -> list[str]:
@@ -169,11 +174,7 @@ def main_text(page: str | None) -> str:
     """The article of a page: its blocks in order, joined by empty lines."""
     if not page:
         return ""
-    found, has_main = lines(page)
-    if has_main:
-        # Inside the article every run counts, link lines included.
-        found = [(text, len(text)) for text, _ in found]
-    return "\n\n".join(between(found, 0 if has_main else SURGE))
+    return "\n\n".join(between(lines(page), SURGE))
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:

@@ -41,6 +41,13 @@ def test_wrapped_and_short_blocks_stay(page, blocks):
     assert html.main_text(page) == "\n\n".join(blocks)
 
 
+def test_surges_choose_on_pages_with_article_elements():
+    """The body beside teaser cards stays, short lines beside an article do not."""
+    cards = "".join(f"<article><p>Card {i}</p><a href='/{i}'>Read on</a></article>" for i in range(3))
+    assert html.main_text(f"<div><p>{LONG}</p><p>{LONG}</p></div><div>{cards}</div>").count(LONG) == 2
+    assert html.main_text(f"<div>Home</div><article><p>{LONG}</p></article><div>Top</div>") == LONG
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<html></html>", "<script>x</script>", "<article></article>", "<"])
 def test_pages_without_text(page):
     assert html.main_text(page) == ""
