@@ -3,7 +3,7 @@
 Three plain patterns give the base findings. On top of them, texts that hold an
 assignment sign are lexed as source or configuration: names, string literals, bare
 values, operators. Name-literal pairs are read off the tokens, constants are propagated
-(`A = "x"; token = A`, and parts joined by `+`), and each literal is scored by how
+(`A = "x"; token = A`, and parts joined by `+`), in comments too, and each literal is scored by how
 sensitive the name is that it ends up under and by how random it looks.
 """
 
@@ -40,7 +40,7 @@ PLACEHOLDER = re.compile(r"(?i)(.)\1{5,}|change.?me|example|placeholder|your[-_
 LEAST_SCORE, LEAST_LENGTH = 1.0, 8
 
 TOKEN = re.compile(
-    r"""(?P<space>[\x20\t]+)|(?P<comment>//[^\n]*|\#(?=\s)[^\n]*)|(?P<line>\n)|(?P<op>:=|=>|==|!=|<=|>=|[=:+,;(){}\[\]|])"""
+    r"""(?P<space>[\x20\t]+)|(?P<comment>(?<!:)//|\#(?=\s)|(?<![^\n])\#)|(?P<line>\n)|(?P<op>:=|=>|==|!=|<=|>=|[=:+,;(){}\[\]|])"""
     r"""|(?P<text>(?<![A-Za-z0-9])(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'))"""
     r"""|(?P<word>[^\s"'=:+,;(){}\[\]|]+)|(?P<other>.)"""
 )
@@ -75,9 +75,14 @@ class Pair:
 
 
 def pairs(text: str) -> list[Pair]:
-    """Name-literal pairs of a text, in order, constants propagated."""
-    tokens = [(m.lastgroup, m.group(), m.start()) for m in TOKEN.finditer(text) if m.lastgroup not in ("space", "comment")]
+    """Name-literal pairs of a text, in order, constants propagated.
+
+    Comments are lexed like the rest; their constants hold in comments alone.
+    """
+    tokens = [(m.lastgroup, m.group(), m.start()) for m in TOKEN.finditer(text) if m.lastgroup != "space"]
     known: dict[str, tuple[str, tuple[tuple[int, int], ...]]] = {}
+    noted: dict[str, tuple[str, tuple[tuple[int, int], ...]]] = {}
+    commented = False
     out = []
 
     def operand(i: int, last: bool):
@@ -86,6 +91,8 @@ def pairs(text: str) -> list[Pair]:
         if kind == "text":
             return word[1:-1], ((at + 1, at + len(word) - 1),)
         if kind == "word":
+            if commented and word in noted:
+                return noted[word]
             if word in known:
                 return known[word]
             if not last or any(c.isdigit() for c in word):
@@ -93,12 +100,16 @@ def pairs(text: str) -> list[Pair]:
         return None
 
     for i in range(1, len(tokens) - 1):
+        if tokens[i - 1][0] in ("comment", "line"):
+            commented = tokens[i - 1][0] == "comment"
         if tokens[i][0] != "op" or tokens[i][1] not in ASSIGNS:
             continue
         kind, word, _ = tokens[i - 1]
         name = word[1:-1] if kind == "text" else word
         if kind not in ("text", "word") or not NAME.match(name):
             continue
+        if tokens[i][1] == ":" and text.startswith("//", tokens[i][2] + 1):
+            continue  # the scheme of a URL
         found = operand(i + 1, False)
         if found is None:
             continue
@@ -109,7 +120,7 @@ def pairs(text: str) -> list[Pair]:
             if more is None:
                 break
             value, spans, j = value + more[0], spans + more[1], j + 2
-        known[name] = value, spans
+        (noted if commented else known)[name] = value, spans
         out.append(Pair(name, value, spans))
     return out
 

@@ -66,6 +66,21 @@ def test_harmless_texts_have_no_literals(text):
     assert secrets.literal_spans(text) == []
 
 
+@pytest.mark.parametrize("text, literals", [
+    ("mirror=https://m.example.org db_pwd=Zx81kQp0aL", ["Zx81kQp0aL"]),
+    ("see http://a.org and ftp://b.org then auth_key: 'q8Zr71LmWx'", ["q8Zr71LmWx"]),
+    ("# db_pwd = Zx81kQp0aL\nx = 1", ["Zx81kQp0aL"]),
+    ("#db_pwd=Zx81kQp0aL", ["Zx81kQp0aL"]),
+    ('x = 1 // privateKey: "q8Zr71LmWx"', ["q8Zr71LmWx"]),
+    ('# base = "q8Zr71LmWx"\n# db_pwd = base', ["q8Zr71LmWx"]),
+    ('base = "q8Zr71LmWx"\n# base = "other"\ndb_pwd = base', ["q8Zr71LmWx"]),
+    ("secret://q8Zr71LmWx // a comment", []),
+    ("db_pwd = // Zx81kQp0aL", []),
+])
+def test_urls_and_comments(text, literals):
+    assert [text[s:e] for _, s, e in secrets.literal_spans(text)] == literals
+
+
 def test_removal_of_secrets(spark):
     docs = spark.createDataFrame([(1, 'x token = "abc123DEF456" y', 5), (2, None, 6)], "doc_id long, text string, spans int")
     assert by_id(secrets.remove_secrets(docs), "doc_id", "text", "spans") == [(1, "x [SECRET]\" y", 5), (2, None, 6)]
