@@ -480,39 +480,48 @@ def _large_areas(docs: DataFrame, text_col: str, nodes: DataFrame, members: Data
     return edges.unionByName(compared_blocks(docs, text_col, nodes, outs.unionByName(alls), folder, "large"))
 
 
-def join_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: `id_col`, `n_shingles`, `component_id` (least id reachable by links).
-
-    Equal sets are linked. A null, empty or blank text has no shingles and links with
-    nothing: its component is its own id. Of repeated ids the rows stand for themselves. A
-    null id is no name for a component but passes links on. Other columns are not read.
-    """
+def _joined(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows of `join_texts` as `id`, `text_key`, `n_shingles`, `component_id`, `first` (id and text_key of the group's row that stays)."""
     folder = scratch(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     all_rows = written(described(docs, "id", "text"), folder, "described")
-    nodes = all_rows.filter("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.min(F.struct("id", "text_key")).alias("one"), F.first("n_shingles").alias("n_shingles"))
+    nodes = all_rows.filter("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.min(F.struct("id", "text_key")).alias("one"), F.min(F.when(F.col("id").isNotNull(), F.struct("id", "text_key"))).alias("first"), F.first("n_shingles").alias("n_shingles"))
     nodes = written(nodes, folder, "nodes")
     work = scratch(docs.sparkSession)
     labels = written(linked_components(docs, "text", nodes, work), folder, "labels", few=True)
     delete(docs.sparkSession, work)
-    named = nodes.join(labels, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"), "id")
-    least = named.groupBy("comp").agg(F.min("id").alias("component_id"))
-    of = named.join(least, "comp").select("node", "component_id")
+    named = nodes.join(labels, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"), "id", "first")
+    least = named.groupBy("comp").agg(F.min("id").alias("component_id"), F.min("first").alias("first"))
+    of = named.select("node", "comp").join(least, "comp").select("node", "component_id", "first")
     out = all_rows.join(of, "node", "left")
-    return out.select(F.col("id").alias(id_col), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    return out.select("id", "text_key", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), F.when(F.col("n_shingles") > 0, F.col("first")).alias("first"))
+
+
+def join_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document: `id_col`, `n_shingles`, `component_id` (least id reachable by links).
+
+    Equal sets are linked. A null, empty or blank text has no shingles and links with
+    nothing: its component is its own id. Of repeated ids the rows stand for themselves. A
+    null id is no name for a component but passes links on. Other columns are not read.
+    """
+    found = _joined(docs, id_col, text_col)
+    return found.select(F.col("id").alias(id_col), "n_shingles", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with one row of each group: the one with the least id.
+    """`docs` with one row of each group: the one with the least id, then text hash.
 
     Rows without shingles are groups of their own and all stay, as do rows without id.
     Of rows that repeat an id and its text one stays.
     """
-    found = written(join_texts(docs, id_col, text_col), scratch(docs.sparkSession), "joined")
-    if not found.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1").isEmpty():
+    found = written(_joined(docs, id_col, text_col), scratch(docs.sparkSession), "joined")
+    if not found.filter("id is not null").groupBy("id").count().filter("count > 1").isEmpty():
         named = docs.filter(docs[id_col].isNotNull()).dropDuplicates([id_col, text_col])
         docs = named.unionByName(docs.filter(docs[id_col].isNull()))
-    dropped = found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("__dropped")).distinct()
+    # By id and text: another text of the same id may be the one row of its group.
+    other = (F.col("first.id") != F.col("id")) | (F.col("first.text_key") != F.col("text_key"))
+    dropped = found.filter(F.col("id").isNotNull() & other).select(F.col("id").alias("__dropped"), F.col("text_key").alias("__text_key")).distinct()
     if dropped.limit(SENT_ROWS + 1).count() <= SENT_ROWS:
         dropped = F.broadcast(dropped)
-    return docs.join(dropped, docs[id_col] == dropped["__dropped"], "left_anti")
+    same = docs[id_col].eqNullSafe(F.col("__dropped")) & F.xxhash64(docs[text_col]).eqNullSafe(F.col("__text_key"))
+    return docs.join(dropped, same, "left_anti")

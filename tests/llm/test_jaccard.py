@@ -132,3 +132,13 @@ def test_one_of_each_group_stays(spark):
     rows = corpus(6)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r.doc_id for r in jaccard.keep_one(docs).collect()) == sorted({c for _, _, c in plain(rows)})
+
+
+def test_repeated_ids_with_different_texts(spark):
+    """A text goes with its own group, not with another text of its id."""
+    text = lambda name: " ".join(f"{name}{i}" for i in range(20))
+    rows = [(1, text("a")), (2, text("a")), (2, text("b")), (3, text("b")), (4, text("c")), (4, text("c") + " and"), (None, text("a")), (5, None), (5, text("d"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = by_id(jaccard.keep_one(docs), "doc_id", "text")
+    assert [r for r in kept if r[0] != 4] == [(None, text("a")), (1, text("a")), (2, text("b")), (5, None), (5, text("d"))]
+    assert sum(r[0] == 4 for r in kept) == 1
