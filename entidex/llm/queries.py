@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entidex.llm import bpe, decontamination, html, jaccard, pii, pitman_yor, quality, rules, secrets, shards
-from entidex.llm.common import table
+from entidex.llm import bpe, clusters, codes, decontamination, html, jaccard, pii, pitman_yor, quality, rules, secrets, shards, urls
+from entidex.llm.common import scratch, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -244,3 +244,122 @@ select doc_id, size::bigint as size, text_crc32::bigint as text_crc32, 'rows' as
   (place - (shard * total + %(shards)d - 1) // %(shards)d)::bigint as slot, null::int as grown_shard, source
 from cut
 """ % {"seed": shards.SEED, "extra": shards.ROW_BYTES, "shards": SHARDS}
+
+#: The rules of op11 (host, path, verdict).
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the url of every page."""
+    rules_of = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge(table(spark, sf_dir, "pages"), rules_of)
+
+
+SQL["op11_url_filter"] = """
+with rules(rule_host, rule_path, rule_verdict) as (values %(rules)s
+), pages_of as (
+  select row_number() over () as r, page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest from pages
+), parts as (
+  select r, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+  from pages_of
+), fits as (
+  select * from parts join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+  qualify row_number() over (partition by r order by length(rule_host) + length(rule_path) desc, length(rule_host) desc, rule_verdict desc) = 1
+)
+select p.page_id, p.host, p.path, rule_host || rule_path as rule, coalesce(rule_verdict, '%(default)s') as verdict
+from parts p left join fits f using (r)
+""" % {"rules": ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES), "default": urls.DEFAULT}
+
+
+@query
+def op12_lloyd_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector, with the sums of the distances and the digest of its centroid."""
+    return clusters.with_inertia(*clusters.cluster(table(spark, sf_dir, "embeddings")))
+
+
+#: A vector's integers; whole vectors only; and the floor of a quotient in SQL.
+_INTEGERS = "list_transform(embedding, lambda x: greatest(-134217728, least(134217728, floor(%d * x::double)))::bigint)"
+_WHOLE = "embedding is not null and len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+_FLOOR = "((sum(x) - ((sum(x) %% count(*)) + count(*)) %% count(*)) / count(*))::bigint"
+_SQUARED = "list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint"
+
+SQL["op12_lloyd_clusters"] = (
+    f"""
+with kept as materialized (
+  select row_number() over () as r, vec_id, embedding, {_INTEGERS % clusters.SCALE} as v from embeddings where {_WHOLE}
+), c0 as materialized (
+  select (row_number() over (order by key, embedding) - 1)::int as c, v
+  from (select *, sha256('{clusters.SEED}:' || coalesce(vec_id::varchar, '')) as key from kept) qualify row_number() over (order by key, embedding) <= {clusters.CLUSTERS}
+)"""
+    + "".join(
+        f""", a{t} as materialized (
+  select r, c, d from (select p.r, c.c, {_SQUARED} as d from kept p, c{t} c) qualify row_number() over (partition by r order by d, c) = 1
+), m{t} as materialized (
+  select c, i, {_FLOOR.replace('%%', '%')} as x from (select c, unnest(v) as x, unnest(range(64)) as i from a{t} join kept using (r)) group by c, i
+), c{t + 1} as materialized (
+  select c, list(x order by i) as v from m{t} group by c union all select c, v from c{t} where c not in (select c from m{t})
+)"""
+        for t in range(clusters.ROUNDS)
+    )
+    + f""", a as materialized (
+  select r, c, d from (select p.r, c.c, {_SQUARED} as d from kept p, c{clusters.ROUNDS} c) qualify row_number() over (partition by r order by d, c) = 1
+)
+select vec_id, c as cluster, d as distance, (sum(d) over (partition by c))::bigint as cluster_inertia, (sum(d) over ())::bigint as inertia,
+  sha256(array_to_string(cc.v, ',')) as centroid_sha256
+from a join kept using (r) join c{clusters.ROUNDS} cc using (c)
+"""
+)
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code of every vector, its error, and the error of all vectors of its label."""
+    vectors = table(spark, sf_dir, "embeddings")
+    codebooks = codes.train(vectors)
+    coded = written(codes.encode(vectors, codebooks), scratch(spark), "coded")
+    text = F.array_join(F.transform("code", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return codes.with_label_error(coded).select("vec_id", text.alias("code"), "error", "label_error", F.lit(codes.codebook_digest(codebooks)).alias("codebooks_sha256"))
+
+
+SQL["op13_vector_codes"] = (
+    f"""
+with kept as materialized (
+  select row_number() over () as r, vec_id, label, embedding, {_INTEGERS % codes.SCALE} as w from embeddings where {_WHOLE}
+), parts as materialized (
+  select r, q, w[16 * q + 1:16 * q + 16] as v from (select r, w, unnest(range({codes.PARTS})) as q from kept)
+), c0 as materialized (
+  select q, e, v from parts join (
+    select r, row_number() over (order by vec_id, embedding) - 1 as e from kept qualify row_number() over (order by vec_id, embedding) <= {codes.ENTRIES}) using (r)
+)"""
+    + "".join(
+        f""", a{t} as materialized (
+  select r, q, (least_of).e as e, (least_of).d as d from (
+    select r, p.q, min({{'d': {_SQUARED}, 'e': c.e}}) as least_of from parts p join c{t} c on p.q = c.q group by r, p.q)
+)"""
+        + (
+            f""", m{t} as materialized (
+  select q, e, i, {_FLOOR.replace('%%', '%')} as x from (select q, e, unnest(v) as x, unnest(range(16)) as i from a{t} join parts using (r, q)) group by q, e, i
+), c{t + 1} as materialized (
+  select q, e, list(x order by i) as v from m{t} group by q, e union all select q, e, v from c{t} where (q, e) not in (select (q, e) from m{t})
+)"""
+            if t < codes.ROUNDS
+            else ""
+        )
+        for t in range(codes.ROUNDS + 1)
+    )
+    + f""", coded as (
+  select r, string_agg(lpad(lower(hex(e)), 2, '0'), '' order by q) as code, sum(d)::bigint as error from a{codes.ROUNDS} group by r
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+  (select sha256(string_agg(array_to_string(v, ','), ',' order by q, e)) from c{codes.ROUNDS}) as codebooks_sha256
+from coded join kept using (r)
+"""
+)
