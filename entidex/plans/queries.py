@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,13 +14,13 @@ from entidex.functions import keys, values
 from entidex.operators import checks, jobs, lookups
 from entidex.operators.extract import entity_rows, union_all
 from entidex.operators.latest import latest, latest_by_window, newest_event_per_load
-from entidex.operators.routes import matching_locations, routes_for_parents, routes_of
+from entidex.operators.routes import LocationPostings, matching_locations, routes_for_parents, routes_of
 from entidex.plans import inputs
-from entidex.plans.streamed import irregular_index, late_index, malformed_index, removals_index, shared_files, streamed_index
+from entidex.plans.streamed import irregular_index, late_index, malformed_index, removals_index, shared_files, state_index, streamed_index
 from entidex.schemas import ROW_KEY
 from entidex.sources import notifications
 from entidex.sources.feature_files import read_features
-from entidex.sources.registry import registered_sources
+from entidex.sources.registry import located_sources, registered_sources
 from entidex.storage import scratch_root
 from entidex.store import EntityIndex
 from entidex.streaming.ingest import profile_of, stored_keys_near
@@ -374,6 +375,23 @@ def route_for_parent(spark, sf_dir):
     return parents.join(routes, "parent", "left").withColumn("entities", _entities_as_text())
 
 
+@query(SQL["route_for_parent"])
+def route_after_registry_change(spark, sf_dir):
+    """The same routes by stored postings: kept for an earlier registry, then brought up to this one.
+
+    The earlier one lacks the sources of one brand and has those of another elsewhere.
+    """
+    registry = inputs.registry(spark, sf_dir)
+    config = F.when(F.col("config").contains("Brand#3"), F.replace("config", F.lit("lake/"), F.lit("pond/"))).otherwise(F.col("config"))
+    earlier = registry.data_sources.filter(~F.col("config").contains("Brand#2")).withColumn("config", config)
+    postings = LocationPostings(spark, scratch_root(spark))
+    postings.update(located_sources(replace(registry, data_sources=earlier)))
+    events = notifications.created(inputs.part_notifications(spark, sf_dir).withColumn("event_name", F.lit("")))
+    parents = events.select(keys.parent_of(F.col("key")).alias("parent")).distinct()
+    routes = routes_for_parents(parents, registry, postings=postings)
+    return parents.join(routes, "parent", "left").withColumn("entities", _entities_as_text())
+
+
 @query(
     f"""with parents as (select distinct {inputs.LOOKALIKE.format("user_id")} as parent from events),
 locations as (select 's3a://' || {inputs.LOOKALIKE.format("p_partkey")} || '/' as file_url from part)
@@ -740,6 +758,20 @@ def stored_after_compaction(spark, sf_dir):
     return index.entity("user").withColumn("parent", keys.parent_of(F.col("path"))).drop("path", "event_month", "batch_id")
 
 
+@query(
+    f"""with {inputs.USER_INDEX},
+loads as (
+    select id, feature_table, created_timestamp, {_DIRECTORY} as parent, max(event_timestamp) as event_timestamp
+    from user_index where feature_table <> 'click' or event_timestamp >= timestamp '2024-01-16' group by all)
+select id, feature_table, event_timestamp, created_timestamp, parent from loads
+qualify row_number() over (partition by id order by created_timestamp desc, parent desc) = 1"""
+)
+def latest_from_state(spark, sf_dir):
+    """The latest view as kept batch by batch: late files, files removed and some returned, and a replay."""
+    rows = state_index(spark, sf_dir).latest_from_state("user")
+    return rows.withColumn("parent", keys.parent_of(F.col("path"))).drop("path", "rk")
+
+
 _MESSAGES = """messages as (
     select ts, case when value < 3 then '{broken'
                     when value < 6 then concat('{"EventName": "s3:ObjectCreated:Put", "size": ', event_id, '}')

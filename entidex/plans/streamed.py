@@ -11,7 +11,7 @@ from entidex.sources.notifications import stream_notifications
 from entidex.sources.registry import Registry
 from entidex.storage import scratch_root
 from entidex.store import EntityIndex
-from entidex.streaming.ingest import start_ingest
+from entidex.streaming.ingest import ingest_batch, start_ingest
 
 
 def event_registry(events: DataFrame, flagged: str | None = None) -> Registry:
@@ -160,6 +160,26 @@ def removals_index(spark: SparkSession, sf_dir: str) -> EntityIndex:
     return index
 
 
+def state_index(spark: SparkSession, sf_dir: str) -> EntityIndex:
+    """Keeps the latest state over late files, the removal of all clicks with the return of some, and a replay of that."""
+    root = scratch_root(spark)
+    events = inputs.table(spark, sf_dir, "events")
+    write_files(feature_rows(events), f"{root}/data")
+    files = written_files(spark, f"{root}/data")
+    index, registry = EntityIndex(spark, f"{root}/index"), event_registry(events)
+
+    def told(files: DataFrame, kind: str, time: str) -> DataFrame:
+        return files.select(F.lit(f"s3:Object{kind}").alias("event_name"), "key", F.lit(time).cast("timestamp_ntz").alias("received_at"))
+
+    late = F.col("day") < "2024-01-16"
+    clicks = files.filter("event_type = 'click'")
+    returned = told(clicks, "Removed:Delete", "2024-02-03").unionByName(told(clicks.filter(~late), "Created:Put", "2024-02-04"))
+    batches = [told(files.filter(~late), "Created:Put", "2024-02-01"), told(files.filter(late), "Created:Put", "2024-02-02"), returned, returned]
+    for batch_id, events_of in zip((0, 1, 2, 2), batches):
+        ingest_batch(events_of, batch_id, index, registry, f"{root}/data/", bucket="lake", removals=True, keep_latest=True)
+    return index
+
+
 def malformed_index(spark: SparkSession, sf_dir: str) -> EntityIndex:
     """Streams files, with broken and incomplete messages among their notifications."""
     root = scratch_root(spark)

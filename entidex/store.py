@@ -4,6 +4,7 @@
     jobs/batch_id=<n>/                                 job log
     malformed/batch_id=<n>/                            messages that are no notification
     removals/batch_id=<n>/                             removed files, if they are kept
+    latest_<name>/of=<buckets>/bucket=<b>/whole=<0|1>/batch_id=<n>/    latest rows, if they are kept
     definitions/batch_id=<n>/                          entity name and id type, as first seen
 
 Index rows are partitioned by event month, so span lookups and key checks list
@@ -22,6 +23,7 @@ from pyspark.sql import types as T
 
 from entidex import storage
 from entidex.functions.keys import normalized
+from entidex.latest_state import LatestState
 from entidex.operators.latest import latest
 from entidex.operators.lookups import in_span, month_of
 from entidex.schemas import INDEX_COLUMNS, JOBS, MALFORMED, REMOVALS, entity_schema
@@ -32,7 +34,7 @@ _TYPES = T.StructType([T.StructField("entity", T.StringType()), T.StructField("i
 
 
 # What a batch may write.
-_WRITTEN = ("entity_*/event_month=*", "jobs", "definitions", "malformed", "removals")
+_WRITTEN = ("entity_*/event_month=*", "jobs", "definitions", "malformed", "removals", "latest_*/of=*/bucket=*/whole=*")
 
 
 def _escaped(name: str) -> str:
@@ -102,10 +104,33 @@ class EntityIndex:
         first, last = (t.year * 100 + t.month for t in (start, end))
         return in_span(self.entity(name, range(first, last + 1)), start, end)
 
+    def batches(self, name: str) -> set[int]:
+        """Numbers of the batches that an entity has rows of."""
+        table = storage.literal_path(self._table(f"entity_{name}"))
+        return {_number(path) for path in storage.matching(self.spark, f"{table}/event_month=*/batch_id=*")}
+
+    def batch_rows(self, name: str, batches: Container[int]) -> DataFrame:
+        """Index rows of some batches; only their folders are listed."""
+        table = self._table(f"entity_{name}")
+        schema = _both(entity_schema(self.entity_types()[name]), _PARTITIONS)
+        found = storage.matching(self.spark, f"{storage.literal_path(table)}/event_month=*/batch_id=*")
+        folders = [f for f in found if _number(f) in batches]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", table).parquet(*map(storage.literal_path, folders))
+
     def latest(self, name: str) -> DataFrame:
-        """Latest row per id of an entity."""
+        """Latest row per id of an entity, from all its rows."""
         return latest(self.entity(name))
 
+    def latest_from_state(self, name: str) -> DataFrame:
+        """The same (of live rows alone) from the state that ingest keeps with `keep_latest`: one row per id
+        and a few runs are read, however long the history is."""
+        state = LatestState(self, name)
+        if not state.exists:
+            raise ValueError(f"no latest state is kept of {name}")
+        return state.read()
+
     def jobs(self) -> DataFrame:
         return self._read("jobs", _both(JOBS, _BATCH))
 

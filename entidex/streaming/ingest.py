@@ -30,11 +30,12 @@ from pyspark.sql.streaming import StreamingQuery
 from entidex import storage
 from entidex.functions.keys import normalized, parent_of
 from entidex.functions.values import from_epoch_micros, to_epoch_micros
+from entidex.latest_state import BUCKETS, LatestState
 from entidex.operators import checks
 from entidex.operators.extract import union_all
 from entidex.operators.jobs import job_rows
 from entidex.operators.lookups import month_of
-from entidex.operators.routes import routes_for_parents
+from entidex.operators.routes import LocationPostings, routes_for_parents
 from entidex.schemas import ENTITY, ID_TYPES
 from entidex.sources import feature_files, notifications as source
 from entidex.sources.registry import Registry
@@ -87,6 +88,8 @@ def ingest_batch(
     bucket: str | None = None,
     literal: bool = False,
     removals: bool = False,
+    keep_latest: bool | int = False,
+    postings: LocationPostings | None = None,
     max_files: int = 10_000,
     clock: Callable[[], datetime] = datetime.now,
     **probing,
@@ -99,6 +102,10 @@ def ingest_batch(
     Malformed messages are kept with their text. With `removals`, removal events are kept
     too: a file that is removed later in the batch is refused, keys of files that were
     removed since they were loaded count as free, and `EntityIndex.live` leaves their rows out.
+    With `keep_latest`, the latest row per id is kept up to date for `latest_from_state`; a
+    number says into how many buckets a new state is dealt.
+    With `postings`, only locations that are new in the registry are cut into pieces, and a
+    batch looks up its own.
     """
     if not 0 < max_files <= checks.MAX_LOADS:
         raise ValueError(f"max_files must be within 1 and {checks.MAX_LOADS}")
@@ -115,7 +122,7 @@ def ingest_batch(
         first = batch_id * 2**32 + 1
         part_of = F.floor((F.col("seq") - first) / max_files).cast("int").alias("part")
         arrived = source.sequenced(wanted, batch_id, scratch)
-        routed = _routed(source.created(arrived), registry, root, literal)
+        routed = _routed(source.created(arrived), registry, root, literal, postings, scratch)
         if removals:
             routed = _without_removed_later(routed, source.removed(arrived), batch_id, index)
         routed.select("*", part_of).repartition("part").write.partitionBy("part").parquet(f"{scratch}/routed")
@@ -127,6 +134,9 @@ def ingest_batch(
             outcomes = spark.createDataFrame([(f.seq, f.key, f.problem, f.entities, f.feature_table) for f in files], OUTCOME)
             times = [F.lit(t).cast("timestamp_ntz") for t in (started, clock())]
             index.append_jobs(job_rows(_routeless_as_null(outcomes), *times), batch_id)
+        if keep_latest:
+            for entity in index.entity_types():
+                LatestState(index, entity, BUCKETS if keep_latest is True else keep_latest).merge(batch_id, scratch)
     finally:
         storage.delete(spark, scratch)
 
@@ -135,9 +145,11 @@ def _routeless_as_null(outcomes: DataFrame) -> DataFrame:
     return outcomes.withColumn("entities", F.when(F.size("entities") > 0, F.col("entities")))
 
 
-def _routed(events: DataFrame, registry: Registry, storage_root: str, literal: bool) -> DataFrame:
+def _routed(
+    events: DataFrame, registry: Registry, storage_root: str, literal: bool, postings: LocationPostings | None, scratch: str
+) -> DataFrame:
     events = events.withColumn("parent", parent_of(F.col("key")))
-    routes = routes_for_parents(events, registry, literal)
+    routes = routes_for_parents(events, registry, literal, postings, scratch)
     route = ["feature_table", "timestamp_column", "created_timestamp_column"]
     return events.join(routes, "parent", "left").select(
         "seq",

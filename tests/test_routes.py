@@ -1,10 +1,13 @@
+import shutil
+
 import pytest
 from feature_store import registry
 from pyspark.sql import functions as F
 
+from entidex.functions.patterns import anchors_of
 from entidex.operators import checks
-from entidex.operators.routes import candidate_locations, matching_locations, routes_for_parents, routes_of
-from entidex.sources.registry import Registry, read_registry, registered_sources
+from entidex.operators.routes import LocationPostings, candidate_locations, location_grams, matching_locations, pieces_met, routes_for_parents, routes_of
+from entidex.sources.registry import Registry, located_sources, read_registry, registered_sources
 
 
 def _routes(spark, reg, *parents, **options):
@@ -114,7 +117,8 @@ def test_pieces_that_are_no_anchor_stay_in_their_task(spark):
     """What is shuffled follows the batch's directories, not the registry."""
     locations = spark.range(2000).select(F.concat(F.lit("s3a://lake/some/where/table_"), F.lpad(F.col("id").cast("string"), 6, "0"), F.lit("/")).alias("file_url"))
     parents = spark.createDataFrame([("lake/some/where/table_000123",)], "parent string")
-    plan = candidate_locations(parents, locations)._jdf.queryExecution().executedPlan().toString()
+    wanted = F.broadcast(parents.select(F.explode(anchors_of(F.col("parent"))).alias("anchor")).distinct())
+    plan = pieces_met(location_grams(locations), wanted)._jdf.queryExecution().executedPlan().toString()
     lines = [line.strip(" :+-") for line in plan.splitlines()]
     semi = next(i for i, line in enumerate(lines) if line.startswith("BroadcastHashJoin [anchor") and "LeftSemi" in line)
     # Straight above the pieces: no exchange in between.
@@ -131,3 +135,39 @@ def test_shuffled_anchors_find_the_same(spark, monkeypatch):
     assert len(want) == 6
     monkeypatch.setattr(routes, "MAX_SENT", 0)
     assert sorted(map(tuple, matching_locations(parents, locations).collect())) == want
+
+
+def test_stored_postings_follow_the_registry(spark, tmp_path):
+    one = {"driver": "INT64"}
+    postings = LocationPostings(spark, str(tmp_path), slots=4)
+    first = [("lake/a_b", "under", one), ("lake/gone", "gone", one), ("lake/axb", "x", one)]
+    second = [("lake/a_b", "under", one), ("lake/axb", "x2", one), ("lake/new", "new", one)]
+    names = ["lake/a_b", "lake/gone", "lake/new", "lake/a", "lake/none", "."]
+    for reg, new in ((registry(spark, *first), 3), (registry(spark, *second), 1), (registry(spark, *first), 0)):
+        located = located_sources(reg)
+        assert postings.update(located) == new and postings.update(located) == 0
+        for literal in (False, True):
+            assert _routes(spark, reg, *names, postings=postings, literal=literal) == _routes(spark, reg, *names, literal=literal)
+
+
+def test_a_broken_off_update_is_made_again(spark, tmp_path):
+    located = located_sources(registry(spark, ("lake/a", "a", {"driver": "INT64"}), ("lake/b", "b", {"driver": "INT64"})))
+    postings = LocationPostings(spark, str(tmp_path))
+    assert postings.update(located.filter("id = 0")) == 1
+    assert postings.update(located) == 1
+    shutil.rmtree(tmp_path / "locations" / "version=1")  # written last
+    assert postings.known().count() == 1
+    assert postings.update(located) == 1
+    parents = spark.createDataFrame([("lake/a",), ("lake/b",), ("lake",)], "parent string")
+    found = matching_locations(parents, located, postings=postings)
+    assert sorted(map(tuple, found.collect())) == [("lake", "s3a://lake/a/"), ("lake", "s3a://lake/b/"), ("lake/a", "s3a://lake/a/"), ("lake/b", "s3a://lake/b/")]
+
+
+def test_postings_of_few_anchors_read_few_slots(spark, tmp_path):
+    located = spark.createDataFrame([(f"s3a://lake/team-{i:04d}/",) for i in range(300)], "file_url string")
+    postings = LocationPostings(spark, str(tmp_path))
+    postings.update(located)
+    anchors = spark.createDataFrame([(5,), (5 + 64,)], "anchor bigint")
+    assert {f.split("slot=")[1].split("/")[0] for f in postings.of(anchors).inputFiles()} == {str(s) for s in range(64)}
+    read = postings.of(anchors)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(slot" in read and "(slot#" in read
