@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entidex.functions import keys, values
+from entidex.id_files import IdFiles
 from entidex.operators import checks, jobs, lookups
 from entidex.operators.extract import entity_rows, union_all
 from entidex.operators.latest import latest, latest_by_window, newest_event_per_load
@@ -111,6 +112,18 @@ def paths_for_ids(spark, sf_dir):
     return lookups.paths_for_ids(inputs.user_index(spark, sf_dir), _buyers(spark, sf_dir))
 
 
+@query(SQL["paths_for_ids"])
+def paths_for_few_ids(spark, sf_dir):
+    """The same from a stored index that knows the id bounds of its files, of two batches."""
+    rows, half = inputs.user_index(spark, sf_dir), F.lit("2024-01-16").cast("timestamp_ntz")
+    index = EntityIndex(spark, scratch_root(spark), file_rows=1_000)
+    index.define({"user": "bigint"}, 0)
+    for batch, part in enumerate((F.col("event_timestamp") < half, F.col("event_timestamp") >= half)):
+        index.append_entity("user", rows.filter(part), batch)
+        IdFiles(index, "user").describe(batch)
+    return index.paths_for_ids("user", _buyers(spark, sf_dir))
+
+
 @query(
     """with wanted as (
     select distinct o_custkey as id, o_orderdate as event_timestamp
@@ -536,8 +549,18 @@ group by load"""
 )
 def stored_key_conflicts(spark, sf_dir):
     """Old and new loads together against a stored index, by way of what ingest reads of it."""
+    return _stored_key_conflicts(spark, sf_dir)
+
+
+@query(SQL["stored_key_conflicts"])
+def stored_key_conflicts_filtered(spark, sf_dir):
+    """The same where the index knows the id bounds of its files: others than those near the ids are not opened."""
+    return _stored_key_conflicts(spark, sf_dir, file_rows=1_000)
+
+
+def _stored_key_conflicts(spark, sf_dir, **described):
     rows = inputs.user_index(spark, sf_dir)
-    index = EntityIndex(spark, scratch_root(spark))
+    index = EntityIndex(spark, scratch_root(spark), **described)
     index.define({"user": "bigint"}, 0)
     index.append_entity("user", rows.filter(F.col("event_timestamp") < F.lit("2024-01-30").cast("timestamp_ntz")), 0)
     day = F.col("event_timestamp").cast("date").cast("string")
@@ -546,7 +569,9 @@ def stored_key_conflicts(spark, sf_dir):
     numbers = spark.createDataFrame([(i, *load) for i, load in enumerate(loads)], "load bigint, feature_table string, day string")
     staged = arrived.withColumn("day", day).join(numbers, ["feature_table", "day"]).withColumn("entity", F.lit("user"))
     files = [SimpleNamespace(feature_table=table, id_types={"user": "bigint"}) for table, _ in loads]
-    stored = stored_keys_near(index, [(row, files[row.load]) for row in profile_of(staged)])
+    if described:
+        IdFiles(index, "user").describe(0)
+    stored = stored_keys_near(index, [(row, files[row.load]) for row in profile_of(staged)], rows=staged)
     return checks.stored_key_loads(staged, stored)
 
 

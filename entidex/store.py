@@ -4,6 +4,7 @@
     jobs/batch_id=<n>/                                 job log
     malformed/batch_id=<n>/                            messages that are no notification
     removals/batch_id=<n>/                             removed files, if they are kept
+    files_<name>/event_month=<yyyymm>/batch_id=<n>/    bounds of the index files, if they are kept
     latest_<name>/of=<buckets>/bucket=<b>/whole=<0|1>/batch_id=<n>/    latest rows, if they are kept
     definitions/batch_id=<n>/                          entity name and id type, as first seen
 
@@ -23,9 +24,10 @@ from pyspark.sql import types as T
 
 from entidex import storage
 from entidex.functions.keys import normalized
+from entidex.id_files import IdFiles, among
 from entidex.latest_state import LatestState
 from entidex.operators.latest import latest
-from entidex.operators.lookups import in_span, month_of
+from entidex.operators.lookups import in_span, month_of, rows_for_ids
 from entidex.schemas import INDEX_COLUMNS, JOBS, MALFORMED, REMOVALS, entity_schema
 
 _PARTITIONS = T.StructType([T.StructField("event_month", T.IntegerType()), T.StructField("batch_id", T.LongType())])
@@ -34,7 +36,7 @@ _TYPES = T.StructType([T.StructField("entity", T.StringType()), T.StructField("i
 
 
 # What a batch may write.
-_WRITTEN = ("entity_*/event_month=*", "jobs", "definitions", "malformed", "removals", "latest_*/of=*/bucket=*/whole=*")
+_WRITTEN = ("entity_*/event_month=*", "jobs", "definitions", "malformed", "removals", "latest_*/of=*/bucket=*/whole=*", "files_*/event_month=*")
 
 
 def _escaped(name: str) -> str:
@@ -49,10 +51,15 @@ def _both(a: T.StructType, b: T.StructType) -> T.StructType:
     return T.StructType([*a.fields, *b.fields])
 
 
+#: Most rows of an index file.
+FILE_ROWS = 10_000_000
+
+
 class EntityIndex:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, file_rows: int = FILE_ROWS):
         self.spark = spark
         self.root = storage.qualified(spark, root)
+        self.file_rows = file_rows
 
     def _table(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -111,13 +118,30 @@ class EntityIndex:
 
     def batch_rows(self, name: str, batches: Container[int]) -> DataFrame:
         """Index rows of some batches; only their folders are listed."""
-        table = self._table(f"entity_{name}")
-        schema = _both(entity_schema(self.entity_types()[name]), _PARTITIONS)
-        found = storage.matching(self.spark, f"{storage.literal_path(table)}/event_month=*/batch_id=*")
-        folders = [f for f in found if _number(f) in batches]
-        if not folders:
+        found = storage.matching(self.spark, f"{storage.literal_path(self._table(f'entity_{name}'))}/event_month=*/batch_id=*")
+        return self.read_folders(name, [f for f in found if _number(f) in batches])
+
+    def read_folders(self, name: str, paths: list[str], id_type: str | None = None) -> DataFrame:
+        """Index rows of some folders and files of an entity."""
+        schema = _both(entity_schema(id_type or self.entity_types()[name]), _PARTITIONS)
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", table).parquet(*map(storage.literal_path, folders))
+        reader = self.spark.read.schema(schema).option("basePath", self._table(f"entity_{name}"))
+        return reader.parquet(*map(storage.literal_path, paths))
+
+    def rows_for_ids(self, name: str, ids: DataFrame, months: Container[int] | None = None) -> DataFrame:
+        """Index rows of the ids (column id), of some months if given.
+
+        Opens only files that can hold one of the ids, as far as `files_<name>` describes
+        them. Few ids go into the scan as well, where row groups without them are skipped.
+        """
+        rows = IdFiles(self, name).rows(ids, months)
+        few = among(ids)
+        return rows_for_ids(rows if few is None else rows.filter(few), ids)
+
+    def paths_for_ids(self, name: str, ids: DataFrame) -> DataFrame:
+        """Feature files that hold any of the ids."""
+        return self.rows_for_ids(name, ids).select("path").distinct()
 
     def latest(self, name: str) -> DataFrame:
         """Latest row per id of an entity, from all its rows."""
@@ -202,18 +226,19 @@ class EntityIndex:
     def append_entity(self, name: str, rows: DataFrame, batch_id: int) -> None:
         """Appends canonical rows.
 
-        Rebalancing gives each month few files of a good size, mostly of one feature
-        table each, and splits what is too big for one file. Sorted ids let a lookup
-        of ids skip pages.
+        Each month gets few files of a good size, mostly of one feature table and of a range
+        of ids each; what is too big for one file is split, also an id of very many rows.
+        Sorted ids and Bloom filters let a lookup of ids skip pages and row groups.
         """
-        (
-            rows.select(*INDEX_COLUMNS, *_partition_values(batch_id))
-            .hint("rebalance", F.col("event_month"), F.col("feature_table"))
-            .sortWithinPartitions("event_month", "batch_id", "id")
-            .write.mode("append")
-            .partitionBy("event_month", "batch_id")
-            .parquet(self._table(f"entity_{name}"))
-        )
+        ranged = rows.select(*INDEX_COLUMNS, *_partition_values(batch_id)).repartitionByRange("event_month", "feature_table", "id", "event_timestamp")
+        self._write_rows(ranged.sortWithinPartitions("event_month", "batch_id", "id"), self._table(f"entity_{name}"), "event_month", "batch_id")
+
+    def _write_rows(self, rows: DataFrame, path: str, *partitions: str) -> None:
+        writer = rows.write.mode("append").option("maxRecordsPerFile", self.file_rows)
+        if rows.schema["id"].dataType != T.BooleanType():
+            # Sized by the ids that there are; those of a dictionary are looked up there.
+            writer = writer.option("parquet.bloom.filter.enabled#id", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+        writer.partitionBy(*partitions).parquet(path)
 
     def append_jobs(self, jobs: DataFrame, batch_id: int) -> None:
         """Appends the job rows of one part, at most `max_files`, as one file."""
@@ -244,11 +269,10 @@ class EntityIndex:
                 closed = [f for f in folders if _number(f) < before_batch]
                 if len(closed) < least:
                     continue
-                schema = _both(entity_schema(id_type), _PARTITIONS)
-                reader = self.spark.read.schema(schema).option("basePath", table)
-                rows = self.live(reader.parquet(*map(storage.literal_path, closed)))
+                rows = self.live(self.read_folders(name, closed, id_type)).select(*INDEX_COLUMNS)
                 to = f"{aside}/entity_{name}/{month.rsplit('/', 1)[1]}/batch_id={max(map(_number, closed))}"
-                rows.select(*INDEX_COLUMNS).hint("rebalance", F.col("feature_table")).sortWithinPartitions("id").write.parquet(to)
+                ranged = rows.repartitionByRange("feature_table", "id", "event_timestamp").sortWithinPartitions("id")
+                self._write_rows(ranged, to)
         self._finish_compaction(aside)
 
     def _finish_compaction(self, aside: str) -> None:
@@ -257,10 +281,14 @@ class EntityIndex:
             if storage.exists(self.spark, f"{path}/_SUCCESS"):
                 month = path.rsplit("/", 1)[0]
                 place = self.root + month.split("/_compact", 1)[1]
+                files = IdFiles(self, place.rsplit("/", 2)[1].removeprefix("entity_"))
+                files.forget(_number(place), _number(path))
                 for old in storage.matching(self.spark, f"{storage.literal_path(place)}/batch_id=*"):
                     if _number(old) <= _number(path):
                         storage.delete(self.spark, old)
                 storage.move(self.spark, path, f"{place}/batch_id={_number(path)}")
+                if storage.exists(self.spark, files.root):
+                    files.describe(_number(path), {_number(place)})
         storage.delete(self.spark, aside)
 
 

@@ -30,6 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 from entidex import storage
 from entidex.functions.keys import normalized, parent_of
 from entidex.functions.values import from_epoch_micros, to_epoch_micros
+from entidex.id_files import IdFiles
 from entidex.latest_state import BUCKETS, LatestState
 from entidex.operators import checks
 from entidex.operators.extract import union_all
@@ -89,6 +90,7 @@ def ingest_batch(
     literal: bool = False,
     removals: bool = False,
     keep_latest: bool | int = False,
+    keep_files: bool = False,
     postings: LocationPostings | None = None,
     max_files: int = 10_000,
     clock: Callable[[], datetime] = datetime.now,
@@ -104,6 +106,8 @@ def ingest_batch(
     removed since they were loaded count as free, and `EntityIndex.live` leaves their rows out.
     With `keep_latest`, the latest row per id is kept up to date for `latest_from_state`; a
     number says into how many buckets a new state is dealt.
+    With `keep_files`, the id bounds of the index files are kept, for lookups and key checks
+    that open only files with their ids.
     With `postings`, only locations that are new in the registry are cut into pieces, and a
     batch looks up its own.
     """
@@ -134,6 +138,8 @@ def ingest_batch(
             outcomes = spark.createDataFrame([(f.seq, f.key, f.problem, f.entities, f.feature_table) for f in files], OUTCOME)
             times = [F.lit(t).cast("timestamp_ntz") for t in (started, clock())]
             index.append_jobs(job_rows(_routeless_as_null(outcomes), *times), batch_id)
+        for entity in index.entity_types() if keep_files else []:
+            IdFiles(index, entity).describe(batch_id)
         if keep_latest:
             for entity in index.entity_types():
                 LatestState(index, entity, BUCKETS if keep_latest is True else keep_latest).merge(batch_id, scratch)
@@ -301,7 +307,8 @@ def _check_rows(
         # Rows of several entities may repeat one of them; such rows are collapsed instead.
         refuse(checks.duplicate_key_loads(holders), checks.DUPLICATE_KEY, lambda f: len(f.entities) == 1)
 
-    stored = stored_keys_near(index, [(row, by_load[row.load]) for row in profile if not by_load[row.load].problem], removals)
+    unchecked = [(row, by_load[row.load]) for row in profile if not by_load[row.load].problem]
+    stored = stored_keys_near(index, unchecked, removals, staged)
     if stored is not None:
         refuse(checks.stored_key_loads(staged, stored), checks.STORED_KEY)
 
@@ -334,12 +341,13 @@ def profile_of(staged: DataFrame) -> list:
     )
 
 
-def stored_keys_near(index: EntityIndex, profile: list[tuple], removals: bool = False) -> DataFrame | None:
+def stored_keys_near(index: EntityIndex, profile: list[tuple], removals: bool = False, rows: DataFrame | None = None) -> DataFrame | None:
     """Keys of the stored index that the profiled rows could meet, or None without any.
 
     Per entity one scan, of the months that the rows have; of each month only the
     feature tables that have rows there, within their own bounds of both times. With
-    `removals`, keys of removed files are none.
+    `removals`, keys of removed files are none. With `rows` (entity, id), only files are
+    opened that can hold one of their ids, where the index knows what its files hold.
     """
     by_entity = defaultdict(list)
     for row, f in profile:
@@ -353,7 +361,12 @@ def stored_keys_near(index: EntityIndex, profile: list[tuple], removals: bool =
                 known = bounds.setdefault((f.feature_table, month), times)
                 bounds[f.feature_table, month] = [(min, max)[i % 2](a, b) for i, (a, b) in enumerate(zip(known, times))]
         id_type = loaded[0][1].id_types[entity]
-        table = index.entity(entity, {month for _, month in bounds}, id_type)
+        months = {month for _, month in bounds}
+        files = IdFiles(index, entity)
+        if rows is not None and files.kept():
+            table = files.rows(rows.filter(F.col("entity") == entity), months)
+        else:
+            table = index.entity(entity, months, id_type)
         names = [f"{side}_{c}" for c in TIMES for side in ("min", "max")]
         schema = "feature_table string, event_month int, " + ", ".join(f"{n} bigint" for n in names)
         # One row per feature table and month of a part's files.
