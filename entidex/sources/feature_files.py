@@ -111,49 +111,51 @@ def _footer_reader(store: dict[str, str], opener: Callable | None = None) -> Cal
             source.seek(size - 8 - length)
             return source.read(length + 8)
 
-    def footer(location: str, wanted: list[str]) -> tuple[str | None, str | None]:
+    def footer(location: str, wanted: list[str]) -> tuple[str | None, str | None, int]:
         for attempt in range(attempts):
             try:
                 end = tail(location)
                 break
             except FileNotFoundError:
-                return missing, None
+                return missing, None, 0
             except (pa.ArrowException, OSError):
                 if attempt + 1 == attempts:
                     raise
                 time.sleep(wait * 2**attempt)
         try:
             # What comes before the footer is not looked at.
-            schema = pq.ParquetFile(pa.BufferReader(b"PAR1" + (end or b""))).schema
+            file = pq.ParquetFile(pa.BufferReader(b"PAR1" + (end or b"")))
+            schema, n_rows = file.schema, file.metadata.num_rows
             columns = [schema.column(i) for i in range(len(schema))]
         except (pa.ArrowException, OSError):
-            return broken, None
+            return broken, None, 0
         types = {c.name: spark_type(c) for c in columns if c.path == c.name and c.name in wanted}
         # Columns that are no single values take part in the shape of a file only.
         for c in columns:
             root = c.path.split(".")[0]
             if c.path != c.name and root in wanted:
                 types[f"[{root}"] = types.get(f"[{root}", "") + f"{c.path}:{spark_type(c)};"
-        return None, json.dumps(types, sort_keys=True)
+        return None, json.dumps(types, sort_keys=True), n_rows
 
     def footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [footer(location, list(wanted)) for location, wanted in zip(batch["location"], batch["wanted"])]
-            problems, types = zip(*found) if found else ((), ())
-            yield pd.DataFrame({"file": batch["file"], "problem": problems, "types": types})
+            problems, types, n_rows = zip(*found) if found else ((), (), ())
+            yield pd.DataFrame({"file": batch["file"], "problem": problems, "types": types, "n_rows": n_rows})
 
     return footers
 
 
-def _footer_by_spark(spark: SparkSession, location: str, wanted: list[str]) -> tuple[str | None, str | None]:
+def _footer_by_spark(spark: SparkSession, location: str, wanted: list[str]) -> tuple[str | None, str | None, int]:
     try:
-        types = dict(spark.read.parquet(literal_path(location)).dtypes)
+        file = spark.read.parquet(literal_path(location))
+        types, n_rows = dict(file.dtypes), file.count()
     except READ_ERRORS as error:
         problem = read_problem(error)
         if problem is None:
             raise
-        return problem, None
-    return None, json.dumps({name: types[name] for name in wanted if name in types}, sort_keys=True)
+        return problem, None, 0
+    return None, json.dumps({name: types[name] for name in wanted if name in types}, sort_keys=True), n_rows
 
 
 def probe_footers(
@@ -162,8 +164,8 @@ def probe_footers(
     probe: str = "arrow",
     store: dict[str, str] | None = None,
     opener: Callable | None = None,
-) -> Iterator[tuple[int, str | None, dict[str, str] | None]]:
-    """(number, problem, types) of each (number, location, wanted): the types of the wanted columns.
+) -> Iterator[tuple[int, str | None, dict[str, str] | None, int]]:
+    """(number, problem, types, rows) of each (number, location, wanted): the types of the wanted columns.
 
     Reads footers only. Spark's own reader has no outcome per file: one missing or
     broken file fails the whole read, and a column that a file lacks turns into
@@ -179,10 +181,10 @@ def probe_footers(
         tasks = max(1, min(len(files) // 4, spark.sparkContext.defaultParallelism * 4))
         listed = spark.createDataFrame(files, "file bigint, location string, wanted array<string>")
         reader = _footer_reader(s3_settings(spark) if store is None else store, opener)
-        found = listed.repartition(tasks).mapInPandas(reader, "file bigint, problem string, types string")
+        found = listed.repartition(tasks).mapInPandas(reader, "file bigint, problem string, types string, n_rows bigint")
         footers = map(tuple, found.collect())
-    for number, problem, types in footers:
-        yield number, problem, types and json.loads(types)
+    for number, problem, types, n_rows in footers:
+        yield number, problem, types and json.loads(types), n_rows
 
 
 def _with_source(rows: DataFrame, files: list[tuple], columns: str, *selected: Column) -> DataFrame:
@@ -201,10 +203,12 @@ def _with_source(rows: DataFrame, files: list[tuple], columns: str, *selected: C
 def scan(spark: SparkSession, files: list[tuple[str, int, str]], types: dict[str, str]) -> DataFrame:
     """Only the columns in `types`, plus `__load` and `__feature_table` of the row's file.
 
-    files: (location, load, feature table), at most as many as a part holds.
+    files: (location, load, feature table), at most as many as a part holds. A file that breaks
+    while it is read gives the rows before that, one that is gone gives none: count them.
     """
     schema = ", ".join("`" + name.replace("`", "``") + f"` {kind}" for name, kind in types.items())
-    rows = spark.read.schema(schema).parquet(*[literal_path(location) for location, *_ in files])
+    reader = spark.read.schema(schema).option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
+    rows = reader.parquet(*[literal_path(location) for location, *_ in files])
     return _with_source(rows, files, "`__load` bigint, `__feature_table` string", *map(quoted, types))
 
 
@@ -264,7 +268,7 @@ def read_features(
         raise ValueError("no files to read")
     listed = [(i, location, wanted) for i, (_, location) in enumerate(files)]
     groups: dict[str, list[tuple[str, str]]] = defaultdict(list)
-    for i, problem, types in probe_footers(spark, listed, **probing):
+    for i, problem, types, _ in probe_footers(spark, listed, **probing):
         path, location = files[i]
         unusable = [c for c in times if not problem and types.get(c) not in TIME_COLUMN_TYPES]
         if problem or unusable:

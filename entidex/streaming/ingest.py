@@ -42,7 +42,7 @@ from entidex.sources import feature_files, notifications as source
 from entidex.sources.registry import Registry
 from entidex.store import EntityIndex
 
-STAGED = "piece string, load bigint, entity string, id bigint, feature_table string, event_timestamp timestamp_ntz, created_timestamp timestamp_ntz"
+STAGED = "piece int, load bigint, entity string, id bigint, feature_table string, event_timestamp timestamp_ntz, created_timestamp timestamp_ntz"
 
 OUTCOME = T.StructType(
     [
@@ -69,6 +69,7 @@ class _File:
     problem: str | None
     load: int = -1
     types: dict[str, str] = field(default_factory=dict)
+    n_rows: int = 0
 
     @property
     def names(self) -> list[str]:
@@ -185,9 +186,9 @@ def _ingest_part(
     loads = [f for f in files if f.load >= 0 and not f.problem]
     rows_of = {}
     if loads:
-        if _stage(spark, loads, f"{scratch}/staged"):
-            staged = spark.read.schema(STAGED).parquet(f"{scratch}/staged")
-            rows_of = _check_rows(spark, loads, staged, index, f"{scratch}/checks", removals)
+        staged, profile = _stage(spark, loads, f"{scratch}/staged", probing)
+        if profile:
+            rows_of = _check_rows(spark, loads, staged, profile, index, f"{scratch}/checks", removals)
             _append(spark, [f for f in loads if not f.problem], staged, rows_of, batch_id, index)
     _settle_repeats(files, rows_of)
 
@@ -222,16 +223,16 @@ def _check_footers(spark: SparkSession, loads: list[_File], probing: dict) -> No
     if not loads:
         return
     by_load = {f.load: f for f in loads}
-    wanted = {f.load: [*f.names, f.timestamp_column, f.created_timestamp_column] for f in loads}
-    files = [(f.load, f.location, wanted[f.load]) for f in loads]
-    for load, problem, types in feature_files.probe_footers(spark, files, **probing):
+    for load, problem, types, n_rows in _footers(spark, loads, probing):
         f = by_load[load]
         if problem:
-            f.problem = {feature_files.MISSING: checks.NO_FILE, feature_files.BROKEN: checks.UNREADABLE}[problem]
+            f.problem = _FILE_PROBLEMS[problem]
             continue
-        f.types = {name: kind for name, kind in types.items() if name in wanted[load]}
+        wanted = _columns_of(f)
+        f.n_rows = n_rows
+        f.types = {name: kind for name, kind in types.items() if name in wanted}
         allowed = {name: feature_files.ID_COLUMN_TYPES[kind] for name, kind in f.id_types.items()}
-        for name in wanted[f.load]:
+        for name in wanted:
             if name not in f.types:
                 f.problem = f"column missing: {name}"
             elif f.types[name] not in allowed.get(name, feature_files.TIME_COLUMN_TYPES):
@@ -240,30 +241,72 @@ def _check_footers(spark: SparkSession, loads: list[_File], probing: dict) -> No
                 break
 
 
-def _stage(spark: SparkSession, loads: list[_File], path: str, piece: str = "0") -> bool:
-    """Writes the key columns of the files to a table; returns whether any file was read.
+_FILE_PROBLEMS = {feature_files.MISSING: checks.NO_FILE, feature_files.BROKEN: checks.UNREADABLE}
 
-    Files with the same columns and types are one scan, whatever their feature table.
-    Normally all is one job. If a file breaks while it is read, the list is halved
-    until the broken files are alone.
+
+def _columns_of(f: _File) -> list[str]:
+    return [*f.names, f.timestamp_column, f.created_timestamp_column]
+
+
+def _footers(spark: SparkSession, loads: list[_File], probing: dict):
+    return feature_files.probe_footers(spark, [(f.load, f.location, _columns_of(f)) for f in loads], **probing)
+
+
+def _stage(spark: SparkSession, loads: list[_File], path: str, probing: dict) -> tuple[DataFrame, list]:
+    """Key columns of the files, written as a table, and its profile.
+
+    All files are read in one job, however many of them break. What was read of each is
+    counted and compared with its footer; those that fall short are read once more, in one
+    job, since the store may have failed for a moment. Then they are missing or unreadable.
     """
-    groups = defaultdict(list)
-    for f in loads:
-        groups[(f.timestamp_column, f.created_timestamp_column, *f.names, json.dumps(f.types))].append(f)
-    try:
-        union = union_all([_staged_group(spark, group) for group in groups.values()])
-        union.write.partitionBy("entity").parquet(f"{path}/piece={piece}")
-        return True
-    except feature_files.READ_ERRORS as error:
-        problem = feature_files.read_problem(error)
-        if problem is None:
-            raise
-        if len(loads) == 1:
-            loads[0].problem = checks.NO_FILE if problem == feature_files.MISSING else checks.UNREADABLE
-            return False
-        half = len(loads) // 2
-        staged = [_stage(spark, part, path, piece + side) for part, side in ((loads[:half], "0"), (loads[half:], "1"))]
-        return any(staged)
+    by_load = {f.load: f for f in loads}
+    staged = _write_staged(spark, loads, path, 0, probing)
+    profile = profile_of(staged)
+    if any(row.load is None for row in profile):
+        raise RuntimeError("rows of an unknown file: does the storage root redirect?")
+    short = _fallen_short(loads, profile)
+    if short:
+        again = _write_staged(spark, short, path, 1, probing)
+        # At most `max_files` rows.
+        numbers = F.broadcast(spark.createDataFrame([(f.load,) for f in short], "load bigint"))
+        staged = staged.join(numbers, "load", "left_anti").unionByName(again)
+        loads_again = {f.load for f in short}
+        profile = [row for row in profile if row.load not in loads_again] + profile_of(again)
+        broken = _fallen_short(short, profile)
+        for load, problem, *_ in _footers(spark, broken, probing) if broken else []:
+            by_load[load].problem = _FILE_PROBLEMS.get(problem, checks.UNREADABLE)
+    return staged, profile
+
+
+def _fallen_short(loads: list[_File], profile: list) -> list[_File]:
+    """Files of which not every row came out for each entity."""
+    counted = {(row.load, row.entity): row.n_rows for row in profile}
+    return [f for f in loads if not f.problem and any(counted.get((f.load, name), 0) != f.n_rows for name in f.names)]
+
+
+def _write_staged(spark: SparkSession, loads: list[_File], path: str, piece: int, probing: dict) -> DataFrame:
+    """Files with the same columns and types are one scan, whatever their feature table."""
+    while True:
+        left = [f for f in loads if not f.problem]
+        groups = defaultdict(list)
+        for f in left:
+            groups[(f.timestamp_column, f.created_timestamp_column, *f.names, json.dumps(f.types))].append(f)
+        if not left:
+            return spark.createDataFrame([], STAGED)
+        try:
+            union = union_all([_staged_group(spark, group) for group in groups.values()])
+            break
+        except feature_files.READ_ERRORS as error:
+            if feature_files.read_problem(error) != feature_files.MISSING:
+                raise
+            # A scan of named files does not start without one of them.
+            gone = {load: problem for load, problem, *_ in _footers(spark, left, probing) if problem}
+            if not gone:
+                raise
+            for f in left:
+                f.problem = _FILE_PROBLEMS.get(gone.get(f.load))
+    union.write.partitionBy("entity").parquet(f"{path}/piece={piece}")
+    return spark.read.schema(STAGED).option("basePath", path).parquet(f"{path}/piece={piece}")
 
 
 def _staged_group(spark: SparkSession, group: list[_File]) -> DataFrame:
@@ -281,7 +324,7 @@ def _staged_group(spark: SparkSession, group: list[_File]) -> DataFrame:
 
 
 def _check_rows(
-    spark: SparkSession, loads: list[_File], staged: DataFrame, index: EntityIndex, scratch: str, removals: bool
+    spark: SparkSession, loads: list[_File], staged: DataFrame, profile: list, index: EntityIndex, scratch: str, removals: bool
 ) -> dict[int, int]:
     """Sets the problems of loads by their rows; returns the number of rows per load."""
     by_load = {f.load: f for f in loads}
@@ -292,11 +335,8 @@ def _check_rows(
             if not f.problem and applies(f):
                 f.problem = problem
 
-    profile = profile_of(staged)
-    if any(row.load is None for row in profile):
-        raise RuntimeError("rows of an unknown file: does the storage root redirect?")
     for row in profile:
-        if row.n_null:
+        if row.n_null and not by_load[row.load].problem:
             by_load[row.load].problem = checks.NULL_KEY
 
     checks.key_holders(staged).write.parquet(f"{scratch}/holders")

@@ -1,3 +1,4 @@
+import os
 import random
 from datetime import datetime
 
@@ -442,3 +443,51 @@ def test_compaction(spark, store):
     os.rename(glob.glob(f"{month}/batch_id=*")[0], f"{aside}/batch_id=9")
     store.index.compact(0)
     assert live() == want and not os.path.exists(f"{store.root}/index/_compact")
+
+
+def _torn(store, key, ids):
+    path = f"{store.data}/{store.rows(key, ids)}"
+    content = bytearray(open(path, "rb").read())
+    content[40:400] = b"\xff" * 360
+    open(path, "wb").write(content)
+    return key
+
+
+def test_any_number_of_broken_files_takes_two_reads(spark, store, monkeypatch):
+    """Files that fall short of their footers are read once more; what was read of them is not loaded."""
+    from entidex.streaming import ingest
+
+    reg = registry(spark, TRIPS)
+    writes, real, gone = [], ingest._write_staged, store.rows("lake/trips/gone.parquet", [500])
+
+    def counted(spark, loads, path, piece, probing):
+        if piece == 0:
+            os.remove(f"{store.data}/{gone}")  # after its footer was read
+        writes.append(len(loads))
+        return real(spark, loads, path, piece, probing)
+
+    monkeypatch.setattr(ingest, "_write_staged", counted)
+    good = [store.rows(f"lake/trips/good-{i}.parquet", [i]) for i in range(4)]
+    torn = [_torn(store, f"lake/trips/torn-{i}.parquet", list(range(1000, 2000))) for i in range(5)]
+    empty = store.rows("lake/trips/empty.parquet", [])
+    _ingest(store, reg, *good, *torn, empty, gone)
+    assert writes == [11, 5]
+    assert dict(store.outcomes()) == {k: None for k in (*good, empty)} | {k: checks.UNREADABLE for k in torn} | {gone: checks.NO_FILE}
+    assert [r[0] for r in store.index_rows()] == [0, 1, 2, 3]
+
+
+def test_a_file_that_could_be_read_the_second_time(spark, store, monkeypatch):
+    from entidex.streaming import ingest
+
+    reg, real = registry(spark, TRIPS), ingest._write_staged
+    torn = _torn(store, "lake/trips/torn.parquet", list(range(1000, 2000)))
+
+    def mended(spark, loads, path, piece, probing):
+        if piece == 1:
+            store.rows(torn, list(range(1000, 2000)))
+        return real(spark, loads, path, piece, probing)
+
+    monkeypatch.setattr(ingest, "_write_staged", mended)
+    _ingest(store, reg, torn, store.rows("lake/trips/good.parquet", [1]))
+    assert [m for _, m in store.outcomes()] == [None, None]
+    assert len(store.index_rows()) == 1001
