@@ -12,6 +12,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,11 +41,17 @@ PLACEHOLDER = re.compile(r"(?i)(.)\1{5,}|change.?me|example|placeholder|your[-_
 #: Least score of a literal, and its least length.
 LEAST_SCORE, LEAST_LENGTH = 1.0, 8
 
+#: A constant that stands in a sum counts with at most so many literals and code points in all;
+#: longer sums end there. Literals written out in a sum, and a constant alone, have no bound.
+MOST_PARTS, LONGEST_SUM = 32, 512
+
 TOKEN = re.compile(
     r"""(?P<space>[\x20\t]+)|(?P<comment>(?<!:)//|\#(?=\s)|(?<![^\n])\#)|(?P<line>\n)|(?P<op>:=|=>|==|!=|<=|>=|[=:+,;(){}\[\]|])"""
-    r"""|(?P<text>(?<![A-Za-z0-9])(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'))"""
-    r"""|(?P<word>[^\s"'=:+,;(){}\[\]|]+)|(?P<other>.)"""
+    r"""|(?P<quote>(?<![A-Za-z0-9])["'])|(?P<word>[^\s"'=:+,;(){}\[\]|]+)|(?P<other>.)""",
+    re.DOTALL,
 )
+#: A quote with the backslashes before it, and the end of a line.
+MARK = re.compile(r"""(\\*)(["'])|\n""")
 NAME = re.compile(r"[A-Za-z_$@][\w.$-]*\Z", re.ASCII)
 ASSIGNS = {"=", ":", ":=", "=>"}
 
@@ -74,29 +82,64 @@ class Pair:
         self.name, self.value, self.spans = name, value, spans
 
 
-def pairs(text: str) -> list[Pair]:
+def closing_quotes(text: str) -> dict[int, int]:
+    """Where the literal ends that a quote would open: the next quote of its kind in its line that is not escaped.
+
+    Backslashes before a quote reach back to no other quote, so whether one is escaped does
+    not depend on where a literal began. One pass from the end finds all.
+    """
+    ends: dict[int, int] = {}
+    following: dict[str, int] = {}
+    for m in reversed(list(MARK.finditer(text))):
+        if m.group(2) is None:
+            following.clear()
+            continue
+        at, quote = m.end() - 1, m.group(2)
+        if quote in following:
+            ends[at] = following[quote]
+        if len(m.group(1)) % 2 == 0:
+            following[quote] = at
+    return ends
+
+
+def lexed(text: str) -> list[tuple[str, str, int]]:
+    """(kind, token, start) of a text but its blanks, in time linear in its length."""
+    ends, out, at = closing_quotes(text), [], 0
+    match, size = TOKEN.match, len(text)
+    while at < size:
+        m = match(text, at)
+        kind, start, at = m.lastgroup, at, m.end()
+        if kind == "space":
+            continue
+        if kind == "quote":
+            end = ends.get(start)
+            kind, at = ("other", at) if end is None else ("text", end + 1)
+        out.append((kind, text[start:at], start))
+    return out
+
+
+def pairs(text: str) -> Iterator[Pair]:
     """Name-literal pairs of a text, in order, constants propagated.
 
     Comments are lexed like the rest; their constants hold in comments alone.
     """
-    tokens = [(m.lastgroup, m.group(), m.start()) for m in TOKEN.finditer(text) if m.lastgroup != "space"]
+    tokens = lexed(text)
     known: dict[str, tuple[str, tuple[tuple[int, int], ...]]] = {}
     noted: dict[str, tuple[str, tuple[tuple[int, int], ...]]] = {}
     commented = False
-    out = []
 
     def operand(i: int, last: bool):
-        """Value and spans of the operand at token i; a bare word only where it may be a literal."""
+        """Value and spans of the operand at token i, and whether it is a constant; a bare word only where it may be a literal."""
         kind, word, at = tokens[i]
         if kind == "text":
-            return word[1:-1], ((at + 1, at + len(word) - 1),)
+            return word[1:-1], ((at + 1, at + len(word) - 1),), False
         if kind == "word":
             if commented and word in noted:
-                return noted[word]
+                return *noted[word], True
             if word in known:
-                return known[word]
+                return *known[word], True
             if not last or any(c.isdigit() for c in word):
-                return word, ((at, at + len(word)),)
+                return word, ((at, at + len(word)),), False
         return None
 
     for i in range(1, len(tokens) - 1):
@@ -113,16 +156,23 @@ def pairs(text: str) -> list[Pair]:
         found = operand(i + 1, False)
         if found is None:
             continue
-        value, spans = found
-        j = i + 2
+        value, spans, constant = found
+        values, n_places, length, places, j = [value], len(spans), len(value), [spans], i + 2
         while j + 1 < len(tokens) and tokens[j][:2] == ("op", "+"):
             more = operand(j + 1, True)
             if more is None:
                 break
-            value, spans, j = value + more[0], spans + more[1], j + 2
+            constant |= more[2]
+            n_places, length = n_places + len(more[1]), length + len(more[0])
+            if constant and (n_places > MOST_PARTS or length > LONGEST_SUM):
+                break
+            values.append(more[0])
+            places.append(more[1])
+            j += 2
+        if len(values) > 1:
+            value, spans = "".join(values), tuple(chain.from_iterable(places))
         (noted if commented else known)[name] = value, spans
-        out.append(Pair(name, value, spans))
-    return out
+        yield Pair(name, value, spans)
 
 
 def literal_spans(text: str) -> list[tuple[str, int, int]]:
@@ -130,10 +180,21 @@ def literal_spans(text: str) -> list[tuple[str, int, int]]:
     if "=" not in text and ":" not in text:
         return []
     found = set()
+    #: Pair, score and whether it was found, of long values by their spans' object: any number
+    #: of lines may assign the same one.
+    long: dict[int, tuple[Pair, float, bool]] = {}
     for pair in pairs(text):
         weight = name_score(pair.name)
-        if weight >= 0.5 and weight + literal_score(pair.value) - 0.5 >= LEAST_SCORE:
+        if weight < 0.5:
+            continue
+        is_long = len(pair.value) > LONGEST_SUM or len(pair.spans) > MOST_PARTS
+        _, score, done = long.get(id(pair.spans), (pair, None, False)) if is_long else (pair, None, False)
+        score = literal_score(pair.value) if score is None else score
+        good = weight + score - 0.5 >= LEAST_SCORE
+        if good and not done:
             found |= {("literal", s, e) for s, e in pair.spans if e > s}
+        if is_long:
+            long[id(pair.spans)] = pair, score, good or done
     return sorted(found, key=lambda s: s[1:])
 
 

@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import time
+import tracemalloc
 
 import pytest
 from conftest_llm import EDGE_ROWS, by_id
@@ -51,6 +53,86 @@ def test_long_runs_take_linear_time():
         secrets.scan(text)
 
 
+def plain_tokens(text):
+    """Kind, token and start, character by character; a literal is looked for from each quote anew."""
+    out, at = [], 0
+    while at < len(text):
+        c, start, before = text[at], at, text[at - 1] if at else "\n"
+        kind = "other"
+        if c in " \t":
+            at += 1
+            continue
+        if (text.startswith("//", at) and before != ":") or (c == "#" and (before == "\n" or text[at + 1 : at + 2].isspace())):
+            kind, at = "comment", at + (2 if c == "/" else 1)
+        elif c == "\n":
+            kind, at = "line", at + 1
+        elif text[at : at + 2] in (":=", "=>", "==", "!=", "<=", ">=") or c in "=:+,;(){}[]|":
+            kind, at = "op", at + (2 if text[at : at + 2] in (":=", "=>", "==", "!=", "<=", ">=") else 1)
+        elif c in "\"'":
+            end = None
+            if not (before.isascii() and before.isalnum()) or start == 0:
+                i = at + 1
+                while i < len(text) and text[i] != "\n":
+                    if text[i] == "\\":
+                        i += 1 if text[i + 1 : i + 2] == "\n" else 2
+                    elif text[i] == c:
+                        end = i + 1
+                        break
+                    else:
+                        i += 1
+            kind, at = ("other", at + 1) if end is None else ("text", end)
+        elif c.isspace():
+            at += 1
+        else:
+            kind = "word"
+            while at < len(text) and text[at] not in "\"'=:+,;(){}[]|" and not text[at].isspace():
+                at += 1
+        out.append((kind, text[start:at], start))
+    return out
+
+
+def test_lexing_like_a_plain_lexer():
+    rng = random.Random(8)
+    letters = ["a", "b1", '"', "'", "\\", "\\\\", '\\"', "#", "//", "/", ":", "=", "!", "<", "+", " ", "\t", "\n", "\r", "é", "|", "(", "$x"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 14)))
+        assert secrets.lexed(text) == plain_tokens(text), text
+
+
+HOSTILE = {
+    "doubling": 'x = "ab"\n' + "x = x + x\n" * 100_000,
+    "growing": 'token = "ab"\n' + 'token = token + "c1"\n' * 50_000,
+    "named growth": "".join(f'a{i} = a{i - 1} + "c{i}"\n' for i in range(50_000)),
+    "escaped quotes": "a = " + '\\"' * 500_000,
+    "quotes of both kinds": "a = " + "\"'" * 500_000,
+    "open quotes": ('"' + "\\" * 9) * 100_000,
+    "one long sum": "key = " + '"a" + ' * 170_000,
+    "sums of sums": "token = " + "b1 + " * 100_000 + "\n" + "token = token + token\n" * 10_000,
+    "one long literal": "token = '" + "a1" * 500_000 + "'\n" + "token = token + token\n" * 1_000,
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_hostile_texts_take_linear_time_and_space(name):
+    start = time.perf_counter()
+    secrets.scan(HOSTILE[name])
+    assert time.perf_counter() - start < 30
+    tracemalloc.start()  # which makes it ten times slower
+    secrets.scan(HOSTILE[name][:100_000])
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 100e6
+
+
+def test_sums_of_constants_end_at_their_bound():
+    text = 'x = "0123456789abcdef"\n' + "x = x + x\n" * 30 + 'password = "q8Zr71LmWx" + x'
+    found = [p for p in secrets.pairs(text)]
+    assert max(len(p.value) for p in found) <= secrets.LONGEST_SUM
+    assert found[-1].value == "q8Zr71LmWx"  # the sum would be longer
+    long = "ab12" * 1000
+    assert [p.value for p in secrets.pairs(f"x = '{long}'\ntoken = x\nkey = x + 'y1'")] == [long, long, long]
+
+
 def test_pairs_propagate_constants():
     text = 'base = "x9Kqhhh" + "77zzQ1"\ndb_password = base\n{"apiKey": "AB12cd34EF56"}\nexport CLIENT_SECRET=abc123DEF456 # note'
     found = {p.name: p.value for p in secrets.pairs(text)}
