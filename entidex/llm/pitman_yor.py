@@ -1,7 +1,9 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
 The vocabulary's restaurant, with a uniform base, is the parent of one restaurant per
-context; the context of a token is its previous token, hashed into `CONTEXTS` classes. A
+context; the context of a token is its previous token, by hash. There are as many classes of
+that hash as the texts have words by a rough count (`contexts_for`), so that most previous
+words have a restaurant of their own, however large the corpus is, up to `MOST_CONTEXTS`. A
 restaurant seats its customers (tokens) at tables by the Chinese-restaurant process;
 every table of a context is a customer of the parent. Gibbs sweeps reseat the customers
 of each dish given all others; the predictive probabilities of the sweeps after `BURN_IN`
@@ -11,9 +13,10 @@ Reseating dish w with n customers needs only how many tables are open: customer
 one with probability a / (i - 1 - d t + a), where t are the dish's tables and
 a = (theta + d T) P_parent(w). T, the tables of the whole restaurant, and P_parent are those
 of the sweep before. All dishes are thus independent within a sweep, words are dealt to
-shards by hash, and only `CONTEXTS` + 2 totals are exchanged. Sweeps are seeded, so a task
-replays the earlier ones from the totals instead of storing any seating; a lost executor
-costs nothing but that.
+shards by hash, and only the totals of the contexts are exchanged, as one array. Draws are
+hashes of the dish, the sweep and the customer's number, so the seating does not depend on
+the shards, and a task replays the earlier sweeps from their totals instead of storing any
+seating; a lost executor costs nothing but that.
 
 Tokens travel once: per chunk of texts and shard as one block of counts and postings
 (which document a token is of). Words that take a large share of a chunk keep their
@@ -37,13 +40,20 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from entidex.llm.common import importable, scratch, text_chunks, tidied, written
 from entidex.llm.jaccard import Shingler, mixed
 
-#: Context restaurants, and sweeps: all, and those whose probabilities are not averaged.
-CONTEXTS, SWEEPS, BURN_IN = 256, 4, 1
+#: Sweeps: all, and those whose probabilities are not averaged.
+SWEEPS, BURN_IN = 4, 1
+#: Code points of text per context restaurant; fewest and most of these. The most make an
+#: array of 8 MB, which the driver and every task hold once per sweep.
+CHARS_PER_CONTEXT, LEAST_CONTEXTS, MOST_CONTEXTS = 64, 1 << 8, 1 << 20
+#: Totals that are added up together, and code points of text per shard; most shards.
+SLICE, CHARS_PER_SHARD, MOST_SHARDS = 1 << 14, 8_000_000, 4096
 #: Concentration of every restaurant. Discounts come from counts of counts.
 CONCENTRATION = 1.0
 #: Customers of a dish that are seated one by one; beyond, by blocks of an eighth of
 #: those seated, within which the chance to open a table is held.
 ONE_BY_ONE = 64
+#: Draws that are made at once.
+DRAWS = 1_000_000
 #: Bytes of a chunk of texts, and the most texts in one.
 CHUNK_TEXT, CHUNK_ROWS = 4_000_000, 32_000
 #: Words a worker keeps with their hashes.
@@ -70,10 +80,16 @@ def run_starts(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.empty(0, np.int64)
 
 
+_KIND = np.uint32  # of a context's class
 _SHARD = "words binary, per_word binary, contexts binary, counts binary, keys binary, repeats binary, posts binary"
 
 
-def blocks(docs: DataFrame, id_col: str, text_col: str, shards: int) -> DataFrame:
+def contexts_for(n_chars: int) -> int:
+    """Classes of previous words for so much text: a power of two."""
+    return min(MOST_CONTEXTS, max(LEAST_CONTEXTS, 1 << (n_chars // CHARS_PER_CONTEXT).bit_length()))
+
+
+def blocks(docs: DataFrame, id_col: str, text_col: str, shards: int, classes: int = LEAST_CONTEXTS) -> DataFrame:
     """Rows of three kinds, each with the shard it is dealt to.
 
     docs: `part`, `ids`, `lengths`, `posts` (held-out flags) of a chunk. shard: the distinct
@@ -110,7 +126,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, shards: int) -> DataFram
                 before = np.empty_like(words)
                 before[1:] = words[:-1]
                 before[firsts] = START
-                contexts = (mixed(before) % np.uint64(CONTEXTS)).astype(np.uint8 if CONTEXTS <= 256 else np.uint16)
+                contexts = (mixed(before) % np.uint64(classes)).astype(_KIND)
                 doc = np.repeat(np.arange(len(texts), dtype=np.uint16), lengths)
                 order = np.lexsort((contexts, words))
                 words, contexts, doc = words[order], contexts[order], doc[order]
@@ -156,17 +172,14 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, shards: int) -> DataFram
     return importable(docs).select(id_col, text_col).mapInArrow(tidied(run), schema)
 
 
-_KIND = np.uint8 if CONTEXTS <= 256 else np.uint16
-
-
 def merged(dealt: DataFrame) -> DataFrame:
     """One row per shard with its keys over all chunks; other kinds as they are.
 
     words, per_word, contexts, counts: the shard's keys by (word, context) and their
     training counts. keys, repeats, posts, and `parts` (part, its number of keys and posts):
-    postings of each chunk. Also `totals`: training words, tokens, tokens per context.
+    postings of each chunk. Also training words and tokens, and keys met once and twice.
     """
-    fields = [*dealt.schema.fields, *T.StructType.fromDDL("parts binary, n_words bigint, n_tokens bigint, context_tokens array<bigint>, ones bigint, twos bigint").fields]
+    fields = [*dealt.schema.fields, *T.StructType.fromDDL("parts binary, n_words bigint, n_tokens bigint, ones bigint, twos bigint").fields]
     schema = T.StructType(fields)
     arrow = to_arrow_schema(schema)
 
@@ -202,7 +215,7 @@ def merged(dealt: DataFrame) -> DataFrame:
                     | dict(
                         kind="shard", shard=shard, words=packed(w[word_starts], np.uint64), per_word=packed(np.diff(np.append(word_starts, len(w))), np.uint32), contexts=packed(k, _KIND),
                         counts=packed(count, np.int64), keys=packed(number, np.uint32), repeats=b"".join(r["repeats"] for r in rows), posts=b"".join(r["posts"] for r in rows), parts=packed(parts, np.int64),
-                        n_words=int((word_count > 0).sum()), n_tokens=int(count.sum()), context_tokens=np.bincount(k, weights=count, minlength=CONTEXTS).astype(np.int64).tolist(),
+                        n_words=int((word_count > 0).sum()), n_tokens=int(count.sum()),
                         ones=int((count == 1).sum()), twos=int((count == 2).sum()),
                     )
                 ],
@@ -212,23 +225,45 @@ def merged(dealt: DataFrame) -> DataFrame:
     return dealt.mapInArrow(tidied(run), schema)
 
 
-def seat(customers: np.ndarray, a: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
+def uniform(seeds: np.ndarray, numbers) -> np.ndarray:
+    """The draw of each seed with a number, in [0, 1)."""
+    return (mixed(seeds + np.asarray(numbers, np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)) * 2.0**-53
+
+
+def successes(seeds: np.ndarray, first: int, draws: np.ndarray, chance: np.ndarray) -> np.ndarray:
+    """How many of each seed's next draws fall below its chance."""
+    out, ends, start = np.zeros(len(draws), np.int64), np.cumsum(draws), 0
+    while start < len(draws):
+        base = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + DRAWS, side="right")))
+        # A dish of very many draws takes several turns.
+        for low in range(0, int(draws[start]) if stop == start + 1 else 1, DRAWS):
+            n = np.minimum(draws[start:stop] - low, DRAWS) if stop == start + 1 else draws[start:stop]
+            starts = np.cumsum(n) - n
+            number = np.arange(int(n.sum())) - np.repeat(starts, n) + (first + low)
+            below = uniform(np.repeat(seeds[start:stop], n), number) < np.repeat(chance[start:stop], n)
+            out[start:stop] += np.add.reduceat(below, starts, dtype=np.int64)
+        start = stop
+    return out
+
+
+def seat(customers: np.ndarray, a: np.ndarray, discount: float, seeds: np.ndarray) -> np.ndarray:
     """Tables after seating the customers of each dish; a: (theta + d T) P_parent(dish)."""
     tables = np.minimum(customers, 1)
     several = np.flatnonzero(customers > 1)
     if not len(several):
         return tables
     order = several[np.argsort(-customers[several], kind="stable")]
-    n, weight, t = customers[order], a[order], np.ones(len(order))
+    n, weight, t, seeds = customers[order], a[order], np.ones(len(order)), seeds[order]
     seated, block = 1, 1
     active = len(order)
     while active:
         # Those with more customers come first: the active ones are a prefix.
         chance = weight[:active] / (seated - discount * t[:active] + weight[:active])
         if block == 1:
-            t[:active] += rng.random(active) < chance
+            t[:active] += uniform(seeds[:active], seated) < chance
         else:
-            t[:active] += rng.binomial(np.minimum(block, n[:active] - seated), chance)
+            t[:active] += successes(seeds[:active], seated, np.minimum(block, n[:active] - seated), chance)
         seated += block
         block = 1 if seated < ONE_BY_ONE else max(1, seated // 8)
         active = int(np.searchsorted(-n[:active], -seated, side="left"))
@@ -237,47 +272,51 @@ def seat(customers: np.ndarray, a: np.ndarray, discount: float, rng: np.random.G
 
 
 class Shard:
-    """The restaurants' dishes of one shard, replayed from the totals of each sweep."""
+    """The restaurants' dishes of one shard, replayed from the totals of each sweep.
+
+    model: scalars, the number of contexts and their tokens. Totals: tables of every
+    context, then customers and tables of the parent.
+    """
 
-    def __init__(self, shard: int, words: bytes, per_word: bytes, contexts: bytes, counts: bytes, model: dict):
-        self.number, self.model = shard, model
+    def __init__(self, words: bytes, per_word: bytes, contexts: bytes, counts: bytes, model: dict):
+        self.model = model
         self.words = np.frombuffer(words, np.uint64)
         per_word = np.frombuffer(per_word, np.uint32).astype(np.int64)
         self.word_of = np.repeat(np.arange(len(self.words)), per_word)
         self.starts = np.cumsum(per_word) - per_word
         self.contexts = np.frombuffer(contexts, _KIND).astype(np.int64)
         self.counts = np.frombuffer(counts, np.int64)
+        self.seeds = mixed(self.words)[self.word_of] + mixed(self.contexts.astype(np.uint64) + np.uint64(SEED))
         self.tables = np.minimum(self.counts, 1)
         self.word_count = np.add.reduceat(self.counts, self.starts) if len(self.starts) else np.empty(0, np.int64)
         self.customers = np.add.reduceat(self.tables, self.starts) if len(self.starts) else self.word_count
         self.parent_tables = np.minimum(self.customers, 1)
 
-    def totals(self) -> list[int]:
-        """Tables per context, then customers and tables of the parent."""
-        return [*np.bincount(self.contexts, weights=self.tables, minlength=CONTEXTS).astype(np.int64).tolist(), int(self.customers.sum()), int(self.parent_tables.sum())]
+    def add_totals(self, to: np.ndarray) -> None:
+        np.add.at(to, self.contexts, self.tables)
+        to[-2:] += self.customers.sum(), self.parent_tables.sum()
 
-    def parent(self, totals: list[int]) -> np.ndarray:
+    def parent(self, totals: np.ndarray) -> np.ndarray:
         """P_parent of each word, given the totals of its present seating."""
         m = self.model
         return (self.customers - m["d0"] * self.parent_tables + (CONCENTRATION + m["d0"] * totals[-1]) / (m["V"] + 1)) / (CONCENTRATION + totals[-2])
 
-    def sweep(self, number: int, totals: list[int]) -> None:
+    def back_off(self, totals: np.ndarray) -> np.ndarray:
+        return (CONCENTRATION + self.model["d1"] * totals[self.contexts]) * self.parent(totals)[self.word_of]
+
+    def sweep(self, number: int, totals: np.ndarray) -> None:
         """Reseats all customers; totals: of the seating before."""
-        m, rng = self.model, np.random.default_rng([SEED, number, self.number])
-        tables = np.array(totals[:CONTEXTS], np.float64)
-        a = (CONCENTRATION + m["d1"] * tables[self.contexts]) * self.parent(totals)[self.word_of]
-        self.tables = seat(self.counts, a, m["d1"], rng)
+        m, turn = self.model, mixed(np.array([number], np.uint64))[0]
+        self.tables = seat(self.counts, self.back_off(totals), m["d1"], mixed(self.seeds ^ turn))
         self.customers = np.add.reduceat(self.tables, self.starts) if len(self.starts) else self.customers
         base = np.full(len(self.words), (CONCENTRATION + m["d0"] * totals[-1]) / (m["V"] + 1))
-        self.parent_tables = seat(self.customers, base, m["d0"], rng)
+        self.parent_tables = seat(self.customers, base, m["d0"], mixed(self.words ^ turn))
 
-    def probabilities(self, totals: list[int]) -> np.ndarray:
+    def probabilities(self, totals: np.ndarray) -> np.ndarray:
         """P(word | context) of each key, given the totals of the present seating."""
-        m, tables, tokens = self.model, np.array(totals[:CONTEXTS], np.float64), np.array(self.model["C"], np.float64)
-        back_off = (CONCENTRATION + m["d1"] * tables[self.contexts]) * self.parent(totals)[self.word_of]
-        return (self.counts - m["d1"] * self.tables + back_off) / (CONCENTRATION + tokens[self.contexts])
+        return (self.counts - self.model["d1"] * self.tables + self.back_off(totals)) / (CONCENTRATION + self.model["C"][self.contexts])
 
-    def averaged(self, history: list[list[int]]) -> np.ndarray:
+    def averaged(self, history: list[np.ndarray]) -> np.ndarray:
         """Mean predictive probability of each key over the sweeps after burn-in."""
         total = np.zeros(len(self.counts))
         for number in range(1, len(history)):
@@ -287,43 +326,76 @@ class Shard:
         return total / max(1, len(history) - 1 - BURN_IN)
 
 
-_MODEL_COLUMNS = ("shard", "words", "per_word", "contexts", "counts")
+_MODEL_COLUMNS = ("words", "per_word", "contexts", "counts")
+
+
+_ADDED = "kind int, slice int, totals binary"
+
+
+def added(parts: DataFrame) -> dict[int, dict[int, np.ndarray]]:
+    """Arrays of totals by kind and slice, added up over all tasks."""
+    arrow = to_arrow_schema(T.StructType.fromDDL(_ADDED))
+
+    def add(rows: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(t, np.int64) for t in rows.column("totals").to_pylist())
+        return pa.Table.from_pylist([{"kind": rows.column("kind")[0].as_py(), "slice": rows.column("slice")[0].as_py(), "totals": total.tobytes()}], schema=arrow)
+
+    found: dict[int, dict[int, np.ndarray]] = {}
+    for r in parts.groupBy("kind", "slice").applyInArrow(add, _ADDED).collect():
+        found.setdefault(r["kind"], {})[r["slice"]] = np.frombuffer(r["totals"], np.int64)
+    return found
+
+
+def whole(slices: dict[int, np.ndarray], size: int) -> np.ndarray:
+    """One array of its slices; those that are not there are zero."""
+    out = np.zeros(size, np.int64)
+    for number, values in slices.items():
+        out[number * SLICE : number * SLICE + len(values)] = values
+    return out
 
 
-def fitted(stored: DataFrame) -> tuple[dict, list[list[int]]]:
-    """Scalars of the model, and the totals of the first seating and of every sweep.
+def fitted(stored: DataFrame, classes: int) -> tuple[dict, list[np.ndarray]]:
+    """The model, and the totals of the first seating and of every sweep.
 
-    Only `CONTEXTS` + 6 numbers per sweep reach the driver, summed by Spark.
+    Three arrays of a number per context reach the driver at a time, added up by Spark.
     """
     shards = stored.filter("kind = 'shard'")
     one = shards.agg(*(F.sum(c).alias(c) for c in ("n_words", "n_tokens", "ones", "twos"))).first()
-    tokens = {r["k"]: r["n"] for r in shards.select(F.posexplode("context_tokens").alias("k", "n")).groupBy("k").agg(F.sum("n").alias("n")).collect()}
     discount = lambda ones, twos: min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones else 0.5
-    model = {"V": one["n_words"] or 0, "N": one["n_tokens"] or 0, "C": [tokens.get(k, 0) for k in range(CONTEXTS)], "d1": discount(one["ones"] or 0, one["twos"] or 0), "d0": 0.5}
-    history: list[list[int]] = []
-    schema = "totals array<bigint>, ones bigint, twos bigint"
-    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+    model = {"V": one["n_words"] or 0, "N": one["n_tokens"] or 0, "d1": discount(one["ones"] or 0, one["twos"] or 0), "d0": 0.5}
+    history: list[np.ndarray] = []
+    arrow = to_arrow_schema(T.StructType.fromDDL(_ADDED))
+    context = stored.sparkSession.sparkContext
     for number in range(SWEEPS + 1):
+        known = context.broadcast((model, history))  # a few arrays of at most `MOST_CONTEXTS` numbers
 
-        def run(batches: Iterator[pa.RecordBatch], number=number) -> Iterator[pa.RecordBatch]:
-            total, ones, twos = np.zeros(CONTEXTS + 2, np.int64), 0, 0
+        def run(batches: Iterator[pa.RecordBatch], number=number, known=known) -> Iterator[pa.RecordBatch]:
+            model, history = known.value
+            total, tokens, met = np.zeros(classes + 2, np.int64), np.zeros(classes if number == 0 else 0, np.int64), np.zeros(2, np.int64)
             for batch in batches:
                 for r in batch.to_pylist():
                     shard = Shard(*(r[c] for c in _MODEL_COLUMNS), model)
                     for s in range(1, number + 1):
                         shard.sweep(s, history[s - 1])
-                    total += shard.totals()
-                    ones, twos = ones + int((shard.customers == 1).sum()), twos + int((shard.customers == 2).sum())
-            yield pa.RecordBatch.from_pylist([{"totals": total.tolist(), "ones": ones, "twos": twos}], schema=arrow)
-
-        # One row of totals per core.
-        model_rows = importable(shards).select(*_MODEL_COLUMNS).coalesce(stored.sparkSession.sparkContext.defaultParallelism)
-        states = model_rows.mapInArrow(tidied(run), schema)
-        summed = states.select(F.posexplode(F.concat("totals", F.array("ones", "twos"))).alias("k", "n")).groupBy("k").agg(F.sum("n").alias("n")).collect()
-        values = {r["k"]: r["n"] for r in summed}
+                    shard.add_totals(total)
+                    if number == 0:
+                        np.add.at(tokens, shard.contexts, shard.counts)
+                    met += int((shard.customers == 1).sum()), int((shard.customers == 2).sum())
+            for kind, values in enumerate((total, tokens, met)):
+                for start in range(0, len(values), SLICE):
+                    part = values[start : start + SLICE]
+                    if part.any():
+                        yield pa.RecordBatch.from_pylist([{"kind": kind, "slice": start // SLICE, "totals": part.tobytes()}], schema=arrow)
+
+        # One array per core.
+        model_rows = importable(shards).select(*_MODEL_COLUMNS).coalesce(context.defaultParallelism)
+        sums = added(model_rows.mapInArrow(tidied(run), _ADDED))
         if number == 0:
-            model["d0"] = discount(values.get(CONTEXTS + 2, 0), values.get(CONTEXTS + 3, 0))
-        history.append([values.get(k, 0) for k in range(CONTEXTS + 2)])
+            model["C"] = whole(sums.get(1, {}), classes)
+            ones, twos = whole(sums.get(2, {}), 2).tolist()
+            model["d0"] = discount(ones, twos)
+        history.append(whole(sums.get(0, {}), classes + 2))
+        known.unpersist()
     return model, history
 
 
@@ -341,22 +413,28 @@ def summed_by_doc(doc: np.ndarray, score: np.ndarray, base: np.ndarray, known: n
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: `id_col`, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    docs: a stored table, which tasks can read again alike. Tokens are the words, A-Z in
+    docs: a stored table, which tasks can read again alike. Scores do not depend on how the
+    table or the shuffle is partitioned (but for the last digits of sums). Tokens are the words, A-Z in
     lower case, and one end. base_score: smoothed unigram log10 probability; score: that of
     the model. A null or empty text is its end alone; a null id is held out; repeated rows
     repeat, and count as often; an empty table gives none; other columns are not read.
     """
     spark, folder = docs.sparkSession, scratch(docs.sparkSession)
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = blocks(docs, id_col, text_col, shards).repartitionById(shards, F.col("shard"))
+    n_chars = docs.agg(F.sum(F.char_length(F.col(text_col))).alias("n")).first()["n"] or 0
+    classes = contexts_for(n_chars)
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_SHARDS, n_chars // CHARS_PER_SHARD))
+    dealt = blocks(docs, id_col, text_col, shards, classes).repartitionById(shards, F.col("shard"))
     stored = written(merged(dealt), folder, "shards")
-    model, history = fitted(stored)
+    model, history = fitted(stored, classes)
+    known = spark.sparkContext.broadcast((model, history))
+    n_tokens = model["N"]
     floor = math.log10(model["N"] + SMOOTHING * (model["V"] + 1)) if model["N"] else math.log10(SMOOTHING)
     sums = to_arrow_schema(T.StructType.fromDDL(_SUMS))
     hot_schema = "word binary, contexts binary, score binary, base double, known int"
     hot_arrow = to_arrow_schema(T.StructType.fromDDL(hot_schema))
 
     def logs(r: dict) -> tuple[Shard, np.ndarray, np.ndarray]:
+        model, history = known.value
         shard = Shard(*(r[c] for c in _MODEL_COLUMNS), model)
         return shard, np.log10(shard.averaged(history)), np.log10(shard.word_count + SMOOTHING) - floor
 
@@ -399,7 +477,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     asked = hot.groupBy(F.col("home").alias("shard")).agg(F.collect_set("word").alias("hot"))
     asked = written(asked, folder, "hot-words", few=True)
     if not asked.isEmpty():
-        found = shard_rows.select(*_MODEL_COLUMNS).join(asked, "shard").mapInArrow(tidied(score_hot), hot_schema)
+        found = shard_rows.select("shard", *_MODEL_COLUMNS).join(asked, "shard").mapInArrow(tidied(score_hot), hot_schema)
         found = written(found.withColumnRenamed("contexts", "all_contexts"), folder, "hot-scores", few=True)
         both = hot.join(found, "word").select("part", "contexts", "repeats", "posts", "all_contexts", "score", "base", "known")
         from_shards = from_shards.unionByName(both.mapInArrow(tidied(sum_hot), _SUMS))
@@ -417,7 +495,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
         def finished() -> pa.RecordBatch:
             n = len(ids)
-            columns = [ids, pa.array(held), pa.array(lengths), pa.array(known.astype(np.int64)), pa.array(np.full(n, model["N"], np.int64)), pa.array(base), pa.array(score)]
+            columns = [ids, pa.array(held), pa.array(lengths), pa.array(known.astype(np.int64)), pa.array(np.full(n, n_tokens, np.int64)), pa.array(base), pa.array(score)]
             return pa.RecordBatch.from_arrays([c.cast(f.type) if c.type != f.type else c for c, f in zip(columns, out)], schema=out)
 
         for batch in batches:

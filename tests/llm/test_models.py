@@ -101,27 +101,94 @@ def test_edge_rows(edge, empty):
     assert py.score_texts(empty).collect() == []
 
 
-def test_hot_words_score_alike(spark):
-    """Whether a word's postings stay at the chunk or travel does not matter."""
-    rng = random.Random(10)
-    rows = [(i, " ".join(rng.choices(["the", "of", "a"], k=30) + [f"w{rng.randint(0, 300)}" for _ in range(20)])) for i in range(800)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
-    want = sorted((r.doc_id, round(r.score, 6), r.n_known, round(r.base_score, 6)) for r in py.score_texts(docs).collect())
+def words_and_rows(seed, n_rows=800):
+    rng = random.Random(seed)
+    return [(i, " ".join(rng.choices(["the", "of", "a"], k=30) + [f"w{rng.randint(0, 300)}" for _ in range(20)])) for i in range(n_rows)]
+
+
+def test_hot_words_and_partitions_score_alike(spark):
+    """Neither whether a word's postings stay at the chunk nor the number of shards matters."""
+    docs = spark.createDataFrame(words_and_rows(10), "doc_id long, text string").coalesce(2)
+    rows = lambda: sorted((r.doc_id, round(r.score, 6), r.n_known, round(r.base_score, 6)) for r in py.score_texts(docs).collect())
+    want = rows()
     assert not py.blocks(docs, "doc_id", "text", 8).filter("kind = 'hot'").isEmpty()
     spark.conf.set("spark.sql.shuffle.partitions", "60")  # too many shards for these few tokens to have hot words
     try:
         assert py.blocks(docs, "doc_id", "text", 60).filter("kind = 'hot'").isEmpty()
-        cold = sorted((r.doc_id, r.n_known, round(r.base_score, 6)) for r in py.score_texts(docs).collect())
+        cold = rows()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
-    assert cold == [(d, k, b) for d, _, k, b in want]
+    assert cold == want
+
+
+def plain_sampler(rows):
+    """Scores by dishes in dictionaries, customers seated one by one, with the operator's own draws."""
+    ids = lambda text: [*py.Shingler().words(text or "").tolist(), int(py.END)]
+    classes = py.contexts_for(sum(len(t or "") for _, t in rows))
+    class_of = lambda word: int(py.mixed(np.array([word], np.uint64))[0]) % classes
+    tokens = [(i, [(w, class_of(p)) for w, p in zip(ids(t), [int(py.START), *ids(t)])]) for i, t in rows]
+    counts = Counter(k for i, keys in tokens if not held(i) for k in keys)
+    words, n_of = {w for w, _ in counts}, Counter()
+    for (w, u), n in counts.items():
+        n_of[u] += n
+    ones, twos = (sum(n == x for n in counts.values()) for x in (1, 2))
+    discount = lambda a, b: min(0.95, max(0.05, a / (a + 2 * b))) if a else 0.5
+    d1, theta = discount(ones, twos), py.CONCENTRATION
+    tables = dict.fromkeys(counts, 1)
+    customers = Counter(w for w, _ in counts)
+    d0 = discount(*(sum(n == x for n in customers.values()) for x in (1, 2)))
+    roots, total = dict.fromkeys(customers, 1), Counter()
+    u64 = lambda x: np.array([x % 2**64], np.uint64)
+
+    def seated(n, a, d, seed):
+        t = 1
+        for i in range(1, n):
+            t += bool(py.uniform(seed, i)[0] < a / (i - d * t + a))
+        return t
+
+    keys = {k for _, ks in tokens for k in ks}
+    for number in range(py.SWEEPS + 1):
+        of = Counter()
+        for (w, u), t in tables.items():
+            of[u] += t
+        c, r = sum(customers.values()), sum(roots.values())
+        base = (theta + d0 * r) / (len(words) + 1)
+        parent = lambda w: (customers[w] - d0 * roots.get(w, 0) + base) / (theta + c)
+        if number > py.BURN_IN:
+            for w, u in keys:
+                total[w, u] += (counts[w, u] - d1 * tables.get((w, u), 0) + (theta + d1 * of[u]) * parent(w)) / (theta + n_of[u])
+        if number == py.SWEEPS:
+            break
+        turn = py.mixed(u64(number + 1))[0]
+        a_of = {(w, u): (theta + d1 * of[u]) * parent(w) for w, u in counts}
+        tables = {(w, u): seated(n, a_of[w, u], d1, py.mixed((py.mixed(u64(w)) + py.mixed(u64(u + py.SEED))) ^ turn)) for (w, u), n in counts.items()}
+        customers = Counter()
+        for (w, _), t in tables.items():
+            customers[w] += t
+        roots = {w: seated(n, base, d0, py.mixed(u64(w) ^ turn)) for w, n in customers.items()}
+    return {i: sum(math.log10(total[k] / (py.SWEEPS - py.BURN_IN)) for k in ks) for i, ks in tokens}
+
+
+def test_scores_like_a_plain_sampler(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choices([f"w{j}" for j in range(40)], k=rng.randint(0, 25)))) for i in range(60)] + [(60, None), (61, "unknown words w1")]
+    got = {r.doc_id: r.score for r in py.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = plain_sampler(rows)
+    assert set(got) == set(want)
+    for i in got:
+        assert got[i] == pytest.approx(want[i], rel=1e-9)
+
+
+def test_contexts_grow_with_the_text():
+    assert [py.contexts_for(n) for n in (0, 10_000, 2_400_000, 24_000_000, 10**13)] == [256, 256, 65_536, 524_288, py.MOST_CONTEXTS]
 
 
 def test_seating_follows_the_process():
     """Mean number of tables against one-by-one seating, below and above the blocks."""
     rng = np.random.default_rng(3)
+    seeds = rng.integers(0, 2**64, 400, np.uint64)
     for n, a, d in ((2, 0.5, 0.5), (40, 0.3, 0.7), (3000, 0.8, 0.6)):
-        got = py.seat(np.full(400, n), np.full(400, a), d, rng)
+        got = py.seat(np.full(400, n), np.full(400, a), d, seeds)
         want = []
         for _ in range(200):
             t = 1
@@ -130,7 +197,15 @@ def test_seating_follows_the_process():
             want.append(t)
         assert got.min() >= 1 and got.max() <= n
         assert got.mean() == pytest.approx(np.mean(want), rel=0.12)
-    assert py.seat(np.array([0, 1]), np.array([1.0, 1.0]), 0.5, rng).tolist() == [0, 1]
+    assert py.seat(np.array([0, 1]), np.array([1.0, 1.0]), 0.5, seeds[:2]).tolist() == [0, 1]
+
+
+@pytest.mark.parametrize("at_once", [1, 7, py.DRAWS])
+def test_draws_do_not_depend_on_how_many_are_made_at_once(monkeypatch, at_once):
+    monkeypatch.setattr(py, "DRAWS", at_once)
+    seeds, draws, chance = np.arange(5, dtype=np.uint64), np.array([1, 9, 30, 2, 8]), np.array([0.5, 0.2, 0.7, 1.0, 0.0])
+    want = [sum(bool(py.uniform(seeds[i : i + 1], 100 + j)[0] < chance[i]) for j in range(draws[i])) for i in range(5)]
+    assert py.successes(seeds, 100, draws, chance).tolist() == want
 
 
 def test_probabilities_sum_to_one(spark):
@@ -139,15 +214,15 @@ def test_probabilities_sum_to_one(spark):
     rows = [(i, " ".join(rng.choices([f"w{j}" for j in range(12)], k=40))) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     stored = py.written(py.merged(py.blocks(docs, "doc_id", "text", 4).repartitionById(4, F.col("shard"))), scratch(spark), "shards")
-    model, history = py.fitted(stored)
+    model, history = py.fitted(stored, 256)
     sums = Counter()
     for r in stored.filter("kind = 'shard'").collect():
-        shard = py.Shard(*(bytes(r[c]) if c != "shard" else r[c] for c in py._MODEL_COLUMNS), model)
+        shard = py.Shard(*(bytes(r[c]) for c in py._MODEL_COLUMNS), model)
         for s in range(1, len(history)):
             shard.sweep(s, history[s - 1])
         parent = shard.parent(history[-1])
         theta, tokens_of = py.CONCENTRATION, np.array(model["C"], float)
-        tables = np.array(history[-1][: py.CONTEXTS], float)
+        tables = np.array(history[-1][:256], float)
         back = (theta + model["d1"] * tables) / (theta + tokens_of)
         for c in np.flatnonzero(tokens_of):
             sums[c] += back[c] * parent.sum()
