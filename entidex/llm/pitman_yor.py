@@ -46,7 +46,7 @@ SWEEPS, BURN_IN = 4, 1
 #: array of 8 MB, which the driver and every task hold once per sweep.
 CHARS_PER_CONTEXT, LEAST_CONTEXTS, MOST_CONTEXTS = 64, 1 << 8, 1 << 20
 #: Totals that are added up together, and code points of text per shard; most shards.
-SLICE, CHARS_PER_SHARD, MOST_SHARDS = 1 << 14, 8_000_000, 4096
+SLICE, CHARS_PER_SHARD, MOST_SHARDS = 1 << 14, 4_000_000, 4096
 #: Concentration of every restaurant. Discounts come from counts of counts.
 CONCENTRATION = 1.0
 #: Customers of a dish that are seated one by one; beyond, by blocks of an eighth of
@@ -72,7 +72,16 @@ def held_out(doc_id) -> bool:
 
 
 def packed(values: np.ndarray, kind) -> bytes:
-    return np.ascontiguousarray(values, dtype=kind).tobytes()
+    """Numbers as bytes: their first bytes, then their second ones and so on, compressed."""
+    raw = np.ascontiguousarray(values, dtype=kind)
+    planes = raw.view(np.uint8).reshape(-1, raw.itemsize).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, kind) -> np.ndarray:
+    kind, size = np.dtype(kind), int.from_bytes(data[:8], "little")
+    planes = pa.decompress(data[8:], decompressed_size=size, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel()
 
 
 def run_starts(values: np.ndarray) -> np.ndarray:
@@ -148,7 +157,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, shards: int, classes: in
                     is_hot[a:b] = True
                     ka, kb = np.searchsorted(key_starts, [a, b])
                     rows.append(
-                        row(kind="hot", shard=(part + h) % shards, home=home_of(words[a]), part=part, words=packed(words[a : a + 1], np.uint64), contexts=packed(contexts[key_starts[ka:kb]], contexts.dtype), repeats=packed(repeats[ka:kb], np.uint32), posts=packed(doc[a:b], np.uint16))
+                        row(kind="hot", shard=(part + h) % shards, home=home_of(words[a]), part=part, words=words[a : a + 1].tobytes(), contexts=packed(contexts[key_starts[ka:kb]], contexts.dtype), repeats=packed(repeats[ka:kb], np.uint32), posts=packed(doc[a:b], np.uint16))
                     )
                 # Shards are ranges of the hash, in which the keys are sorted.
                 shard = (words[key_starts] >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
@@ -193,10 +202,11 @@ def merged(dealt: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_pylist([{f.name: r.get(f.name) for f in arrow}], schema=arrow)
         for shard in sorted(held):
             rows = sorted(held.pop(shard), key=lambda r: r["part"])
-            words = [np.repeat(np.frombuffer(r["words"], np.uint64), np.frombuffer(r["per_word"], np.uint32)) for r in rows]
-            contexts = [np.frombuffer(r["contexts"], _KIND) for r in rows]
-            counts = np.concatenate([np.frombuffer(r["counts"], np.uint32) for r in rows]).astype(np.int64)
+            words = [np.repeat(unpacked(r["words"], np.uint64), unpacked(r["per_word"], np.uint32)) for r in rows]
+            contexts = [unpacked(r["contexts"], _KIND) for r in rows]
+            counts = np.concatenate([unpacked(r["counts"], np.uint32) for r in rows]).astype(np.int64)
             sizes = [len(w) for w in words]
+            repeats, posts = np.concatenate([unpacked(r["repeats"], np.uint32) for r in rows]), [unpacked(r["posts"], np.uint16) for r in rows]
             w, k = np.concatenate(words), np.concatenate(contexts)
             order = np.lexsort((k, w))
             w, k = w[order], k[order]
@@ -208,13 +218,13 @@ def merged(dealt: DataFrame) -> DataFrame:
             w, k = w[starts], k[starts]
             word_starts = run_starts(w)
             word_count = np.add.reduceat(count, word_starts)
-            parts = np.array([(r["part"], size, len(r["posts"]) // 2) for r, size in zip(rows, sizes)], np.int64)
+            parts = np.array([(r["part"], size, len(own)) for r, size, own in zip(rows, sizes, posts)], np.int64)
             yield pa.RecordBatch.from_pylist(
                 [
                     {f.name: None for f in arrow}
                     | dict(
                         kind="shard", shard=shard, words=packed(w[word_starts], np.uint64), per_word=packed(np.diff(np.append(word_starts, len(w))), np.uint32), contexts=packed(k, _KIND),
-                        counts=packed(count, np.int64), keys=packed(number, np.uint32), repeats=b"".join(r["repeats"] for r in rows), posts=b"".join(r["posts"] for r in rows), parts=packed(parts, np.int64),
+                        counts=packed(count, np.int64), keys=packed(number, np.uint32), repeats=packed(repeats, np.uint32), posts=packed(np.concatenate(posts), np.uint16), parts=packed(parts, np.int64),
                         n_words=int((word_count > 0).sum()), n_tokens=int(count.sum()),
                         ones=int((count == 1).sum()), twos=int((count == 2).sum()),
                     )
@@ -280,12 +290,12 @@ class Shard:
 
     def __init__(self, words: bytes, per_word: bytes, contexts: bytes, counts: bytes, model: dict):
         self.model = model
-        self.words = np.frombuffer(words, np.uint64)
-        per_word = np.frombuffer(per_word, np.uint32).astype(np.int64)
+        self.words = unpacked(words, np.uint64)
+        per_word = unpacked(per_word, np.uint32).astype(np.int64)
         self.word_of = np.repeat(np.arange(len(self.words)), per_word)
         self.starts = np.cumsum(per_word) - per_word
-        self.contexts = np.frombuffer(contexts, _KIND).astype(np.int64)
-        self.counts = np.frombuffer(counts, np.int64)
+        self.contexts = unpacked(contexts, _KIND).astype(np.int64)
+        self.counts = unpacked(counts, np.int64)
         self.seeds = mixed(self.words)[self.word_of] + mixed(self.contexts.astype(np.uint64) + np.uint64(SEED))
         self.tables = np.minimum(self.counts, 1)
         self.word_count = np.add.reduceat(self.counts, self.starts) if len(self.starts) else np.empty(0, np.int64)
@@ -442,9 +452,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         for batch in batches:
             for r in batch.to_pylist():
                 shard, score, base = logs(r)
-                keys, repeats, posts = np.frombuffer(r["keys"], np.uint32), np.frombuffer(r["repeats"], np.uint32), np.frombuffer(r["posts"], np.uint16)
+                keys, repeats, posts = unpacked(r["keys"], np.uint32), unpacked(r["repeats"], np.uint32), unpacked(r["posts"], np.uint16)
                 key_at = post_at = 0
-                for part, n_keys, n_posts in np.frombuffer(r["parts"], np.int64).reshape(-1, 3).tolist():
+                for part, n_keys, n_posts in unpacked(r["parts"], np.int64).reshape(-1, 3).tolist():
                     key = np.repeat(keys[key_at : key_at + n_keys], repeats[key_at : key_at + n_keys]).astype(np.int64)
                     doc = posts[post_at : post_at + n_posts].astype(np.int64)
                     key_at, post_at = key_at + n_keys, post_at + n_posts
@@ -458,15 +468,15 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 shard, score, base = logs(r)
                 for place in np.searchsorted(shard.words, wanted).tolist():
                     own = slice(*np.searchsorted(shard.word_of, [place, place + 1]))
-                    row = {"word": packed(shard.words[place : place + 1], np.uint64), "contexts": packed(shard.contexts[own], _KIND), "score": packed(score[own], np.float64), "base": float(base[place]), "known": int(shard.word_count[place] > 0)}
+                    row = {"word": shard.words[place : place + 1].tobytes(), "contexts": packed(shard.contexts[own], _KIND), "score": packed(score[own], np.float64), "base": float(base[place]), "known": int(shard.word_count[place] > 0)}
                     yield pa.RecordBatch.from_pylist([row], schema=hot_arrow)
 
     def sum_hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                place = np.searchsorted(np.frombuffer(r["all_contexts"], _KIND), np.frombuffer(r["contexts"], _KIND))
-                score = np.repeat(np.frombuffer(r["score"], np.float64)[place], np.frombuffer(r["repeats"], np.uint32))
-                doc = np.frombuffer(r["posts"], np.uint16).astype(np.int64)
+                place = np.searchsorted(unpacked(r["all_contexts"], _KIND), unpacked(r["contexts"], _KIND))
+                score = np.repeat(unpacked(r["score"], np.float64)[place], unpacked(r["repeats"], np.uint32))
+                doc = unpacked(r["posts"], np.uint16).astype(np.int64)
                 row = {"part": r["part"]} | summed_by_doc(doc, score, np.full(len(doc), r["base"]), np.full(len(doc), r["known"]))
                 yield pa.RecordBatch.from_pylist([row], schema=sums)
 
@@ -505,13 +515,13 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     if ids is not None:
                         yield finished()
                     part, ids = r["part"].as_py(), batch.column("ids")[i].values
-                    lengths, held = np.frombuffer(r["lengths"].as_py(), np.int64), np.frombuffer(r["posts"].as_py(), np.uint8).astype(bool)
+                    lengths, held = unpacked(r["lengths"].as_py(), np.int64), unpacked(r["posts"].as_py(), np.uint8).astype(bool)
                     score, base, known = np.zeros(len(ids)), np.zeros(len(ids)), np.zeros(len(ids))
                     continue
-                met = np.frombuffer(r["posts"].as_py(), np.uint16)
-                score[met] += np.frombuffer(r["score"].as_py(), np.float64)
-                base[met] += np.frombuffer(r["base"].as_py(), np.float64)
-                known[met] += np.frombuffer(r["known"].as_py(), np.uint32)
+                met = unpacked(r["posts"].as_py(), np.uint16)
+                score[met] += unpacked(r["score"].as_py(), np.float64)
+                base[met] += unpacked(r["base"].as_py(), np.float64)
+                known[met] += unpacked(r["known"].as_py(), np.uint32)
         if ids is not None:
             yield finished()
 
