@@ -121,7 +121,8 @@ def replace_texts(docs: DataFrame, text_col: str, make: Callable[[], Callable[[l
                 arrays = [new if i == at else part.column(i) for i in range(part.num_columns)]
                 yield pa.RecordBatch.from_arrays([a.cast(f.type) if a.type != f.type else a for a, f in zip(arrays, arrow)], schema=arrow)
 
-    return importable(docs).mapInArrow(tidied(run), docs.schema)
+    # A dot in a column's name would be taken for a field of it.
+    return importable(docs).toDF(*(f"c{i}" for i in range(len(docs.columns)))).mapInArrow(tidied(run), docs.schema)
 
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"

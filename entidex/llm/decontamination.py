@@ -330,7 +330,11 @@ def digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of `docs` whose text holds no window of any item, with their own columns."""
+    """The rows of `docs` whose text holds no window of any item, with their own columns.
+
+    A null or empty text holds none and stays; repeated rows stay or go alike; an item that
+    is null or empty has no window; empty tables of items keep all rows.
+    """
     keyed = docs.select(F.sha2(text_col, 256).alias("text_key"), F.col(text_col).alias("text_of")).filter("text_of is not null")
     folder = scratch(docs.sparkSession)
     found = phrase_matches(keyed, items, "text_key", "text_of", item_id, item_text, folder=folder)

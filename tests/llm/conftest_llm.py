@@ -19,7 +19,7 @@ EDGE_ROWS = [
     (8, "Ünïcödé \U0001f600 漢字 text\x00with odd characters   and more of them", "fr", "t", 0),
 ]
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-CLASHING = ("spans", "ids", "decoded", "kept", "score", "shard", "slot", "node", "region", "k0", "t", "w", "key", "id", "part", "text_key", "stratum")
+CLASHING = ("spans", "ids", "decoded", "kept", "score", "shard", "slot", "node", "region", "k0", "t", "w", "key", "id", "part", "text_key", "stratum", "a.b", "doc_id.x")
 
 
 def by_id(frame, *columns):
