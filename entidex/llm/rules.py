@@ -189,16 +189,14 @@ def assess(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: st
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that no rule rejects, with their own columns, whatever their names.
 
-    Cutoffs are learnt from the counts of labelled documents alone. A null or empty text has
-    no words and goes; repeated rows are judged alike, each by itself; a null stratum is one
-    of its own; an empty table gives none, and without labels only the base rules hold.
+    A null or empty text has no words and goes; repeated rows are judged alike, each by
+    itself; a null stratum is one of its own; an empty table gives none, and without labels
+    only the base rules hold. All documents are counted twice: picking the labelled ones
+    first would shuffle their texts wherever the labels are too many to be broadcast.
     """
     folder = scratch(docs.sparkSession)
-    rated = labels.select(F.col(id_col).alias("rated_id")).distinct()
-    chosen = docs.select(F.col(id_col), F.col(stratum).alias("stratum_of"), F.col(text_col).alias("text_of"))
-    labelled = chosen.join(rated, F.col(id_col) == F.col("rated_id"), "left_semi")
-    counted = written(features(labelled, id_col, "stratum_of", text_col="text_of"), folder, "counted")
-    cutoffs = written(certified_cutoffs(counted, labels, "stratum_of", id_col), scratch(docs.sparkSession), "cutoffs", few=True)
+    counted = written(features(docs, id_col, stratum, text_col=text_col), folder, "counted")
+    cutoffs = written(certified_cutoffs(counted, labels, stratum, id_col), scratch(docs.sparkSession), "cutoffs", few=True)
     delete(docs.sparkSession, folder)
     plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
     at = dict(zip(docs.columns, plain.columns))
