@@ -5,6 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import datetime, timedelta
+from itertools import count
 from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +19,11 @@ from entidex.operators.extract import entity_rows, union_all
 from entidex.operators.latest import latest, latest_by_window, newest_event_per_load
 from entidex.operators.routes import LocationPostings, matching_locations, routes_for_parents, routes_of
 from entidex.plans import inputs
-from entidex.plans.streamed import irregular_index, late_index, malformed_index, removals_index, shared_files, state_index, streamed_index
+from entidex.plans.streamed import clocked_index, irregular_index, late_index, malformed_index, removals_index, shared_files, state_index, streamed_index
 from entidex.schemas import ROW_KEY
 from entidex.sources import notifications
 from entidex.sources.feature_files import read_features
-from entidex.sources.registry import located_sources, registered_sources
+from entidex.sources.registry import TABLES, located_sources, read_registry, registered_sources
 from entidex.storage import scratch_root
 from entidex.store import EntityIndex
 from entidex.streaming.ingest import profile_of, stored_keys_near
@@ -376,6 +378,15 @@ def registry_routes(spark, sf_dir):
     return routes_of(sources, []).withColumn("entities", _entities_as_text())
 
 
+@query(SQL["registry_routes"])
+def registry_as_stored(spark, sf_dir):
+    """The same from a registry that is written and read back as Parquet tables."""
+    root, registry = scratch_root(spark), inputs.registry(spark, sf_dir)
+    for name in TABLES:
+        getattr(registry, name).write.parquet(f"{root}/{name}")
+    return routes_of(registered_sources(read_registry(spark, root)), []).withColumn("entities", _entities_as_text())
+
+
 @query(
     f"""with {inputs.REGISTRY}, {inputs.PART_NOTIFICATIONS}, {inputs.ROUTES}
 select parent, feature_table, timestamp_column, created_timestamp_column, entities, n_candidates
@@ -661,6 +672,18 @@ def stream_jobs(spark, sf_dir):
     )
 
 
+@query(
+    """select timestamp '2024-02-01 08:00:00' as started, timestamp '2024-02-01 08:00:30' as ended, 'success' as status,
+       concat('lake/event_type=signup/day=', cast(cast(ts as date) as varchar)) as parent
+from events where event_type = 'signup' group by cast(ts as date)"""
+)
+def job_times(spark, sf_dir):
+    """When the files of one part were begun and done, by a local clock."""
+    ticks = (datetime(2024, 2, 1, 8) + timedelta(seconds=30 * i) for i in count())
+    log = clocked_index(spark, sf_dir, lambda: next(ticks)).jobs()
+    return log.select("started", "ended", "status", keys.parent_of(F.col("path")).alias("parent"))
+
+
 _IRREGULAR = """attempts as (
     select event_type as feature_table, cast(ts as date) as day,
            case event_type

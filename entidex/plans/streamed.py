@@ -180,6 +180,19 @@ def state_index(spark: SparkSession, sf_dir: str) -> EntityIndex:
     return index
 
 
+def clocked_index(spark: SparkSession, sf_dir: str, clock) -> EntityIndex:
+    """One batch of the files of one type, loaded by the given clock."""
+    root = scratch_root(spark)
+    events = inputs.table(spark, sf_dir, "events")
+    write_files(feature_rows(events).filter("event_type = 'signup'"), f"{root}/data")
+    index = EntityIndex(spark, f"{root}/index")
+    told = written_files(spark, f"{root}/data").select(
+        F.lit("s3:ObjectCreated:Put").alias("event_name"), "key", F.lit("2024-02-01").cast("timestamp_ntz").alias("received_at")
+    )
+    ingest_batch(told, 0, index, event_registry(events), f"{root}/data/", bucket="lake", clock=clock)
+    return index
+
+
 def malformed_index(spark: SparkSession, sf_dir: str) -> EntityIndex:
     """Streams files, with broken and incomplete messages among their notifications."""
     root = scratch_root(spark)

@@ -249,7 +249,7 @@ class EntityIndex:
         messages.select(*MALFORMED.fieldNames()).write.mode("append").parquet(f"{self._table('malformed')}/batch_id={batch_id}")
 
     def append_removals(self, removed: DataFrame, batch_id: int) -> None:
-        removed.select(*REMOVALS.fieldNames()).coalesce(1).write.mode("append").parquet(f"{self._table('removals')}/batch_id={batch_id}")
+        removed.select(*REMOVALS.fieldNames()).hint("rebalance").write.mode("append").parquet(f"{self._table('removals')}/batch_id={batch_id}")
 
     def compact(self, before_batch: int, least: int = 2) -> None:
         """Merges the folders of closed batches, those below `before_batch`, month by month.
