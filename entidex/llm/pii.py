@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 
 from entidex.llm.common import SPANS, importable, map_texts, replace_texts, scratch, span_array, span_digest, text_chunks, tidied, written
 from entidex.storage import delete
+from entidex.operators.extract import quoted
 
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("generalise", "remove")
@@ -303,7 +304,7 @@ def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
     # Too many terms for every task: each text brings its own, packed in front of it.
     own = _own_terms(docs, text_col, terms).select(F.col("key").alias("__key"), F.to_json(F.struct("own")).alias("__own"))
     packed = docs.withColumn("__key", F.sha2(text_col, 256)).join(own, "__key", "left")
-    packed = packed.withColumn(text_col, F.when(F.col(text_col).isNotNull(), F.concat(F.coalesce("__own", F.lit('{"own":[]}')), F.lit("\n"), F.col(text_col)))).select(*docs.columns)
+    packed = packed.withColumn(text_col, F.when(F.col(text_col).isNotNull(), F.concat(F.coalesce("__own", F.lit('{"own":[]}')), F.lit("\n"), F.col(text_col)))).select(*map(quoted, docs.columns))
 
     def apply(texts: list) -> list:
         import json

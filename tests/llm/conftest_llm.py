@@ -24,5 +24,5 @@ CLASHING = ("spans", "ids", "decoded", "kept", "score", "shard", "slot", "node",
 
 def by_id(frame, *columns):
     """Rows as a sorted list of tuples, nulls first."""
-    rows = [tuple(r[c] for c in columns) for r in frame.select(*columns).collect()]
+    rows = [tuple(r[c] for c in columns) for r in frame.select(*(f"`{c}`" for c in columns)).collect()]
     return sorted(rows, key=lambda r: tuple((v is not None, str(v)) for v in r))
