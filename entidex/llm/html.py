@@ -4,18 +4,24 @@ A page is stripped of markup into lines, one per block of text, white space insi
 line as one space; a block element that closes without text is an empty line, tags around
 other blocks make none. Text inside elements that never hold the article (menus, headers,
 footers, sidebars, adverts, forms, scripts, reader comments) leaves an empty line, as do
-hidden parts. Each line counts its length without link text; inside an article element it
-weighs its whole length and `SURGE` more, and the element's bounds are dives. Sums of these lengths over sliding windows of
+hidden parts, but not within an article element. Each line counts its length without link text, wherever it stands; the bounds
+of an article element are dives. Sums of these lengths over sliding windows of
 `WINDOW` lines form the distribution: a surge is where the sum rises above the
 threshold, a dive where it falls to nothing again; the text between them is kept, and
 short blocks before the surge that no dive parts from it. On a page without any surge the
 highest sum is one.
+
+A page is read in time linear in its length, whatever its tags look like.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Iterator
+from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,10 +51,12 @@ AROUND = frozenset("has with without no not is layout".split())
 #: Elements that an opening tag of the same kind closes.
 SELF_CLOSING = frozenset("p li dt dd tr td th option".split())
 
-TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[A-Za-z/!?][^<>]*\Z",
-    re.DOTALL | re.IGNORECASE,
-)
+#: What opens with `<`: a comment, an element whose content is no markup, a tag's name, other markup.
+COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.DOTALL)
+RAW_TAG = re.compile("<(" + "|".join(RAW) + r")\b[^>]*>.*?(?:</\1\s*>|\Z)", re.DOTALL | re.IGNORECASE)
+TAG_NAME = re.compile(r"<(/?)([A-Za-z][^\s/<>\"']*)")
+OTHER = re.compile(r"<[!?/][^>]*(?:>|\Z)")
+CUT = re.compile(r"<[A-Za-z][^<>]*\Z")
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.IGNORECASE)
 
 
@@ -75,63 +83,112 @@ def hidden(name: str, attributes: str, by_class: bool = True) -> bool:
     return False
 
 
+class Tags:
+    """Tags of a page in order, as (start, end, closes, name, attributes); no name where it is other markup."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {c: page.rfind(c) for c in "\"'>"}
+        self.marks = [m.start() for m in re.finditer("[\"'>]", page)]
+        self.dead: set[int] = set()  # quotes from which no tag ends
+
+    def end_of(self, at: int) -> int | None:
+        """Place of the `>` that ends a tag whose name ends at `at`; those in quotes are none of it.
+
+        A quote that is never closed is a character like others. Searches that found none
+        leave their quotes behind, so that no later one goes the same way.
+        """
+        seen = []
+        i = bisect_left(self.marks, at)
+        while i < len(self.marks):
+            place = self.marks[i]
+            mark = self.page[place]
+            if mark == ">":
+                return place
+            if place in self.dead:
+                break
+            seen.append(place)
+            i = i + 1 if place == self.last[mark] else bisect_left(self.marks, self.page.index(mark, place + 1)) + 1
+        self.dead.update(seen)
+        return None
+
+    def __iter__(self) -> Iterator[tuple[int, int, bool, str, str]]:
+        page, at = self.page, self.page.find("<")
+        while at >= 0:
+            end = at + 1
+            other = COMMENT.match(page, at) or at < self.last[">"] and RAW_TAG.match(page, at)
+            named = None if other else TAG_NAME.match(page, at)
+            close = self.end_of(named.end()) if named else None
+            if close is not None:
+                end = close + 1
+                yield at, end, bool(named.group(1)), named.group(2).lower(), page[named.end() : close]
+            elif other := other or OTHER.match(page, at) or CUT.match(page, at):
+                end = other.end()
+                yield at, end, False, "", ""
+            at = page.find("<", end)
+
+
 def lines(page: str, shown: frozenset = frozenset()) -> list[tuple[str, int]]:
-    """Lines of a page as (text, weight). Where all article elements lie in parts hidden by
+    """Lines of a page as (text, length without links). Where all article elements lie in parts hidden by
     their class or id, those parts are `shown` (starts of their tags).
     """
     out: list[tuple[str, int, bool]] = []
     pieces: list[str] = []
     stack: list[tuple[str, bool, int]] = []
-    state = {"links": 0, "linked": 0, "out": 0, "main": 0}
+    depth: Counter[str] = Counter()  # open elements by name
+    hiding: list[int] = []  # starts of the open hidden elements
+    state = {"links": 0, "linked": 0, "main": 0}
     opened = False  # whether the last block tag opened an element
     around: set[int] = set()  # hidden elements that an article element lies in
 
     def flush(closes: bool = False) -> None:
         text = " ".join(html.unescape("".join(pieces)).split())
-        if text or closes and opened:
+        if text or closes and opened and not (hiding and state["main"]):
             out.append((text, max(0, len(text) - state["linked"]), state["main"] > 0))
         pieces.clear()
         state["linked"] = 0
 
     def leave(name: str) -> None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == name:
-                for closed, was_hidden, _ in stack[i:]:
-                    state["out"] -= was_hidden
-                    state["main"] -= closed in MAIN
-                    state["links"] -= closed == "a"
-                del stack[i:]
-                return
+        closed = None
+        while depth[name] and closed != name:
+            closed, was_hidden, _ = stack.pop()
+            depth[closed] -= 1
+            if was_hidden:
+                hiding.pop()
+            state["main"] -= closed in MAIN
+            state["links"] -= closed == "a"
 
     at = 0
 
     def keep(text: str) -> None:
-        if text and not state["out"]:
+        if text and not hiding:
             pieces.append(text)
             if state["links"]:
                 state["linked"] += len(text)
 
-    for tag in TAG.finditer(page):
-        keep(page[at : tag.start()])
-        at = tag.end()
-        name = (tag.group(3) or "").lower()
+    for start, end, closes, name, attributes in Tags(page):
+        keep(page[at:start])
+        at = end
         if not name:
             continue
         if name not in INLINE:
-            flush(bool(tag.group(2)) or name == "hr")
-            opened = not tag.group(2)
+            flush(closes or name == "hr")
+            opened = not closes
         elif name == "br":
             pieces.append(" ")
-        if tag.group(2):
+        if closes:
             leave(name)
-        elif name not in VOID and not tag.group(4).endswith("/"):
+        elif name not in VOID and not attributes.endswith("/"):
             if name in SELF_CLOSING and any(open_name == name for open_name, *_ in stack[-3:]):
                 leave(name)
-            gone = hidden(name, tag.group(4), tag.start() not in shown)
-            stack.append((name, gone, tag.start()))
-            if name in MAIN and state["out"]:
-                around |= {start for _, was_hidden, start in stack if was_hidden}
-            state["out"] += gone
+            gone = hidden(name, attributes, start not in shown)
+            stack.append((name, gone, start))
+            depth[name] += 1
+            if name in MAIN:
+                # What hides an element already noted is noted too.
+                around.update(takewhile(lambda s: s not in around, reversed(hiding)))
+            if gone:
+                hiding.append(start)
             state["main"] += name in MAIN
             state["links"] += name == "a"
     keep(page[at:])
@@ -139,14 +196,14 @@ def lines(page: str, shown: frozenset = frozenset()) -> list[tuple[str, int]]:
     has_main = any(inside and text for text, _, inside in out)
     if not has_main and around - shown:
         return lines(page, shown | around)
-    weighed: list[tuple[str, int]] = []
+    parted: list[tuple[str, int]] = []
     before = False
     for text, length, inside in out:
         if inside != before:
-            weighed += [("", 0)] * WINDOW
-        weighed.append((text, SURGE + len(text) if inside and text else length))
+            parted += [("", 0)] * WINDOW
+        parted.append((text, length))
         before = inside
-    return weighed
+    return parted
 
 
 def between(page_lines: list[tuple[str, int]], threshold: int) -> list[str]:

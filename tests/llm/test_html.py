@@ -1,5 +1,6 @@
 import html as library
 import re
+import time
 
 import pytest
 from conftest_llm import by_id
@@ -42,9 +43,10 @@ def test_wrapped_and_short_blocks_stay(page, blocks):
 
 
 def test_surges_choose_on_pages_with_article_elements():
-    """The body beside teaser cards stays, short lines beside an article do not."""
+    """The body beside teaser cards stays, the cards and short lines beside an article do not."""
     cards = "".join(f"<article><p>Card {i}</p><a href='/{i}'>Read on</a></article>" for i in range(3))
-    assert html.main_text(f"<div><p>{LONG}</p><p>{LONG}</p></div><div>{cards}</div>").count(LONG) == 2
+    for page in (f"<div><p>{LONG}</p><p>{LONG}</p></div><div>{cards}</div>", f"<div>{cards}</div><div><p>{LONG}</p><p>{LONG}</p></div>"):
+        assert html.main_text(page) == f"{LONG}\n\n{LONG}"
     assert html.main_text(f"<div>Home</div><article><p>{LONG}</p></article><div>Top</div>") == LONG
 
 
@@ -64,6 +66,38 @@ def test_long_page_takes_linear_time():
     html.main_text("<article>" + "<" * 50_000 + "\"'" * 20_000)
 
 
+HOSTILE = ["<a ", '<a "', '<a ">"', "<a<", "<a '\">", '</a "', "<script ", "<!-- ", "<div hidden><article>", "<div class=ad><article>x", '<a class="', "<b>x</i>"]
+
+
+@pytest.mark.parametrize("piece", HOSTILE)
+@pytest.mark.parametrize("tail", ["", ">", '"', "</p>" * 50_000])
+def test_hostile_pages_take_linear_time(piece, tail):
+    page = piece * (500_000 // len(piece)) + tail
+    start = time.process_time()
+    html.main_text(page)
+    assert time.process_time() - start < 5
+
+
+def test_closing_tags_over_deep_nesting_take_linear_time():
+    start = time.process_time()
+    assert html.main_text("<div>" * 100_000 + LONG + "</p></b>" * 100_000) == LONG
+    assert time.process_time() - start < 5
+
+
+@pytest.mark.parametrize("tag, text", [
+    ('<p title="a > b">', LONG),
+    ("<p title='a > \"b\"'>", LONG),
+    ('<p title="never closed>', LONG),
+    ("<p title=it's>", LONG),
+    ("<p\nclass=x\t>", LONG),
+    ("1 < 2 and ", "1 < 2 and " + LONG),
+    ("a <b", "a"),
+])
+def test_ends_of_tags(tag, text):
+    rest = "" if tag == "a <b" else LONG
+    assert html.main_text(f"{tag}{rest}") == text
+
+
 def test_rows(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, 7), (1, "u", PAGE, 7), (2, None, None, 8), (None, "v", "", 9)], "page_id long, url string, html string, text int")
     size = len(html.main_text(PAGE))
