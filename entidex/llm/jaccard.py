@@ -48,8 +48,11 @@ SPARE = 1.3
 SENT_ROWS = 1_000_000
 #: Partners that meet a pivot in one task; more are dealt over several.
 PARTNERS = 1_000
-#: Shingles of the sets that are compared with one another in one place.
-BLOCK = 1_000_000
+#: Shingles of an area that is compared whole, and of the sets that are compared with one
+#: another in one place of a larger one.
+AREA, BLOCK = 10_000, 250_000
+#: Shingles (with all repeats over sets) whose slices one task sorts, about 30 MB; more make more shards.
+SHARD_SHINGLES = 4_000_000
 #: Pivots per area and round after the first, which takes one; another round follows if
 #: this one left at most a share outside.
 PIVOTS, PROGRESS = 4, 0.7
@@ -197,6 +200,8 @@ def region_rows(docs: DataFrame, text_col: str, shards: int) -> DataFrame:
                         continue
                     met.add(node)
                     for ring, least, found in signatures(shingles):
+                        # Slices of one set that look alike in 32 bits count once.
+                        least = max(1, least - len(found) + len(np.unique(found.astype(np.uint32))))
                         made.append(found)
                         nodes.append(np.full(len(found), node, np.int64))
                         rings.append(np.full(len(found), ring, np.uint8))
@@ -403,7 +408,8 @@ def linked_components(docs: DataFrame, text_col: str, nodes: DataFrame, folder:
     `n_shingles`; one row each.
     """
     spark = docs.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = nodes.agg(F.sum("n_shingles")).first()[0] or 0
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD_SHINGLES))
     rows = viable(written(region_rows(docs, text_col, shards), folder, "regions"), folder)
     # Overlapping regions make one area; no link leaves it.
     least = rows.groupBy("region").agg(F.min("node").alias("v"))
@@ -414,10 +420,10 @@ def linked_components(docs: DataFrame, text_col: str, nodes: DataFrame, folder:
     members = written(members.join(weight, "area"), folder, "members", few=True)
 
     # Small areas are compared whole, each in one place.
-    small = members.filter(F.col("weight") <= BLOCK)
+    small = members.filter(F.col("weight") <= AREA)
     targets = small.select("node", F.col("area").alias("g"), F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(2).alias("side"), F.col("node").alias("mark"))
     edges = compared_blocks(docs, text_col, nodes, targets, folder, "small")
-    large = members.filter(F.col("weight") > BLOCK)
+    large = members.filter(F.col("weight") > AREA)
     if not large.isEmpty():
         edges = edges.unionByName(_large_areas(docs, text_col, nodes, written(large, folder, "large", few=True), folder))
     return components(edges, folder, "all")

@@ -70,6 +70,7 @@ def corpus(seed):
 @pytest.mark.parametrize("seed, block, pivots", [(1, 1_000_000, 4), (2, 300, 4), (3, 2000, 1)])
 def test_matches_brute_force(spark, monkeypatch, seed, block, pivots):
     """Areas whole, and areas cut by pivots and windows."""
+    monkeypatch.setattr(jaccard, "AREA", block)
     monkeypatch.setattr(jaccard, "BLOCK", block)
     monkeypatch.setattr(jaccard, "PIVOTS", pivots)
     monkeypatch.setattr(jaccard, "PARTNERS", 7)
