@@ -50,7 +50,7 @@ SENT_ROWS = 1_000_000
 PARTNERS = 1_000
 #: Shingles of an area that is compared whole, and of the sets that are compared with one
 #: another in one place of a larger one.
-AREA, BLOCK = 10_000, 250_000
+AREA, BLOCK = 10_000, 1_000_000
 #: Shingles (with all repeats over sets) whose slices one task sorts, about 30 MB; more make more shards.
 SHARD_SHINGLES = 4_000_000
 #: Pivots per area and round after the first, which takes one; another round follows if
