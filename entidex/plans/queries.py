@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from entidex.functions import keys, values
 from entidex.id_files import IdFiles
+from entidex.id_sets import IdSets
 from entidex.operators import checks, jobs, lookups
 from entidex.operators.extract import entity_rows, union_all
 from entidex.operators.latest import latest, latest_by_window, newest_event_per_load
@@ -86,6 +87,34 @@ def entity_ids(spark, sf_dir):
     return lookups.entity_ids(inputs.user_index(spark, sf_dir))
 
 
+def _id_sets(spark, sf_dir):
+    """Sets of the ids of two batches, which share most of them, and of their negatives far apart."""
+    rows = inputs.user_index(spark, sf_dir)
+    apart = rows.withColumn("id", F.col("id") * -100_003)
+    index, half = EntityIndex(spark, scratch_root(spark)), F.lit("2024-01-16").cast("timestamp_ntz")
+    index.define({"user": "bigint"}, 0)
+    for batch, part in enumerate((rows.filter(F.col("event_timestamp") < half), rows.filter(F.col("event_timestamp") >= half).unionByName(apart))):
+        index.append_entity("user", part, batch)
+        IdSets(index, "user").keep(batch)
+    return IdSets(index, "user")
+
+
+@query(f"with {inputs.USER_INDEX} select id from user_index union select id * -100003 as id from user_index")
+def entity_ids_from_sets(spark, sf_dir):
+    """All ids from the sets that each batch keeps of them."""
+    return _id_sets(spark, sf_dir).ids()
+
+
+@query(
+    f"""with {inputs.USER_INDEX}
+select feature_table, count(distinct id) as n_ids
+from (select feature_table, id from user_index union all select feature_table, id * -100003 from user_index) group by feature_table"""
+)
+def n_ids_from_sets(spark, sf_dir):
+    """Number of ids per feature table from the same sets."""
+    return _id_sets(spark, sf_dir).counts()
+
+
 @query(
     f"""with {inputs.USER_INDEX} select * from user_index
 where event_timestamp between timestamp '{SPAN[0]}' and timestamp '{SPAN[1]}'"""

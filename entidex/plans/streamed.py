@@ -180,7 +180,7 @@ def state_index(spark: SparkSession, sf_dir: str) -> EntityIndex:
     return index
 
 
-def clocked_index(spark: SparkSession, sf_dir: str, clock) -> EntityIndex:
+def clocked_index(spark: SparkSession, sf_dir: str, clock, **options) -> EntityIndex:
     """One batch of the files of one type, loaded by the given clock."""
     root = scratch_root(spark)
     events = inputs.table(spark, sf_dir, "events")
@@ -189,7 +189,7 @@ def clocked_index(spark: SparkSession, sf_dir: str, clock) -> EntityIndex:
     told = written_files(spark, f"{root}/data").select(
         F.lit("s3:ObjectCreated:Put").alias("event_name"), "key", F.lit("2024-02-01").cast("timestamp_ntz").alias("received_at")
     )
-    ingest_batch(told, 0, index, event_registry(events), f"{root}/data/", bucket="lake", clock=clock)
+    ingest_batch(told, 0, index, event_registry(events), f"{root}/data/", bucket="lake", clock=clock, **options)
     return index
 
 

@@ -6,6 +6,7 @@
     removals/batch_id=<n>/                             removed files, if they are kept
     files_<name>/event_month=<yyyymm>/batch_id=<n>/    bounds of the index files, if they are kept
     latest_<name>/of=<buckets>/bucket=<b>/whole=<0|1>/batch_id=<n>/    latest rows, if they are kept
+    ids_<name>/batch_id=<n>/                           sets of ids, if they are kept
     definitions/batch_id=<n>/                          entity name and id type, as first seen
 
 Index rows are partitioned by event month, so span lookups and key checks list
@@ -36,7 +37,7 @@ _TYPES = T.StructType([T.StructField("entity", T.StringType()), T.StructField("i
 
 
 # What a batch may write.
-_WRITTEN = ("entity_*/event_month=*", "jobs", "definitions", "malformed", "removals", "latest_*/of=*/bucket=*/whole=*", "files_*/event_month=*")
+_WRITTEN = ("entity_*/event_month=*", "jobs", "definitions", "malformed", "removals", "latest_*/of=*/bucket=*/whole=*", "files_*/event_month=*", "ids_*")
 
 
 def _escaped(name: str) -> str:

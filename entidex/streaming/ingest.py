@@ -31,6 +31,7 @@ from entidex import storage
 from entidex.functions.keys import normalized, parent_of
 from entidex.functions.values import from_epoch_micros, to_epoch_micros
 from entidex.id_files import IdFiles
+from entidex.id_sets import IdSets
 from entidex.latest_state import BUCKETS, LatestState
 from entidex.operators import checks
 from entidex.operators.extract import union_all
@@ -92,6 +93,7 @@ def ingest_batch(
     removals: bool = False,
     keep_latest: bool | int = False,
     keep_files: bool = False,
+    keep_ids: bool = False,
     postings: LocationPostings | None = None,
     max_files: int = 10_000,
     clock: Callable[[], datetime] = datetime.now,
@@ -109,6 +111,7 @@ def ingest_batch(
     number says into how many buckets a new state is dealt.
     With `keep_files`, the id bounds of the index files are kept, for lookups and key checks
     that open only files with their ids.
+    With `keep_ids`, the sets of ids are kept, from which `IdSets` lists and counts them.
     With `postings`, only locations that are new in the registry are cut into pieces, and a
     batch looks up its own.
     """
@@ -141,6 +144,8 @@ def ingest_batch(
             index.append_jobs(job_rows(_routeless_as_null(outcomes), *times), batch_id)
         for entity in index.entity_types() if keep_files else []:
             IdFiles(index, entity).describe(batch_id)
+        for entity in index.entity_types() if keep_ids else []:
+            IdSets(index, entity).keep(batch_id)
         if keep_latest:
             for entity in index.entity_types():
                 LatestState(index, entity, BUCKETS if keep_latest is True else keep_latest).merge(batch_id, scratch)
