@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from entidex import storage
 from entidex.functions.patterns import anchors_of, containing_pattern, grams_of
-from entidex.sources.registry import Registry, located_sources, registered_sources
+from entidex.sources.registry import Registry, live_tables, located_sources, table_entities
 from entidex.storage import scratch_root
 
 _GROUP = ["feature_table", "timestamp_column", "created_timestamp_column"]
@@ -131,10 +131,15 @@ class LocationPostings:
 
 def routes_of(sources: DataFrame, keys: list[str]) -> DataFrame:
     """One row per route: entities that share `keys`, feature table and time columns."""
+    return _entities(sources, [*keys, *_GROUP])
+
+
+def _entities(sources: DataFrame, keys: list[str]) -> DataFrame:
+    """The distinct `entities` of each group of rows that share `keys`, by name and type."""
     return (
-        sources.select(*keys, "entity_name", "entity_type", *_GROUP)
+        sources.select(*keys, "entity_name", "entity_type")
         .distinct()
-        .groupBy(*keys, *_GROUP)
+        .groupBy(*keys)
         .agg(
             F.sort_array(
                 F.collect_list(F.struct(F.col("entity_name").alias("name"), F.col("entity_type").alias("type")))
@@ -152,13 +157,26 @@ def routes_for_parents(
     creation time column), NULL first, is taken; `n_candidates` counts them all. With
     `postings`, these are brought up to the registry first, and then looked up.
     """
+    folder = f"{scratch or scratch_root(parents.sparkSession)}/routes"
     located = located_sources(registry)
     if postings is not None:
         postings.update(located)
     matched = located.join(matching_locations(parents, located, literal, postings, scratch), "file_url")
-    candidates = routes_of(registered_sources(registry, matched), ["parent"])
-    return (
-        candidates.groupBy("parent")
-        .agg(F.min(F.struct(*_GROUP, "entities")).alias("route"), F.count("*").alias("n_candidates"))
+    # The first route is chosen among feature tables; only then their many entities are gathered.
+    with_entities = table_entities(registry).select("table").distinct()
+    tables = live_tables(registry, matched).select("parent", "table", *_GROUP).distinct().join(with_entities, "table", "left_semi")
+    tables = _staged(tables, folder, "tables")
+    first = (
+        tables.select("parent", *_GROUP)
+        .distinct()
+        .groupBy("parent")
+        .agg(F.min(F.struct(*_GROUP)).alias("route"), F.count("*").alias("n_candidates"))
         .select("parent", "route.*", "n_candidates")
     )
+    first = _staged(first, folder, "first")
+    same = [tables[c].eqNullSafe(first[c]) for c in _GROUP]
+    chosen = _staged(tables.join(first, [tables["parent"] == first["parent"], *same]).select(tables["parent"], "table"), folder, "chosen")
+    if chosen.limit(MAX_SENT + 1).count() <= MAX_SENT:
+        chosen = F.broadcast(chosen)
+    entities = _entities(table_entities(registry).join(chosen, "table"), ["parent"])
+    return first.join(entities, "parent").select("parent", *_GROUP, "entities", "n_candidates")

@@ -42,25 +42,36 @@ def located_sources(registry: Registry) -> DataFrame:
     ).filter(F.col("file_url").isNotNull())
 
 
+def live_tables(registry: Registry, located: DataFrame | None = None) -> DataFrame:
+    """One row per located source and live feature table of it in an active project.
+
+    Columns: those of `located` but its id, then `table` (id of the feature table) and
+    `feature_table` (its name). A flag that is NULL counts as not live. Projects that
+    share a name are one project, active if any of them is.
+    """
+    located = located_sources(registry) if located is None else located
+    active = registry.projects.filter(~F.col("archived")).select(F.col("name").alias("project_name"))
+    tables = registry.feature_tables.filter(~F.col("is_deleted")).join(active, "project_name", "left_semi")
+    named = tables.select(F.col("batch_source_id").alias("id"), F.col("id").alias("table"), F.col("name").alias("feature_table"))
+    return located.join(named, "id").drop("id")
+
+
+def table_entities(registry: Registry) -> DataFrame:
+    """(table, entity_name, entity_type) of the entities of every feature table."""
+    entities = registry.entities_v2.select(
+        F.col("id").alias("entity_v2_id"), F.col("name").alias("entity_name"), F.col("type").alias("entity_type")
+    )
+    of = registry.feature_tables_entities_v2.select(F.col("feature_table_id").alias("table"), "entity_v2_id")
+    return of.join(entities, "entity_v2_id").drop("entity_v2_id")
+
+
 def registered_sources(registry: Registry, located: DataFrame | None = None) -> DataFrame:
     """One row per (source, entity) of live feature tables in active projects.
 
     Columns: file_url, entity_name, entity_type, feature_table, timestamp_column,
-    created_timestamp_column. A flag that is NULL counts as not live. With `located`,
-    only those of the located sources, whose further columns are kept.
+    created_timestamp_column. With `located`, only those of the located sources, whose
+    further columns are kept.
     """
-    located = located_sources(registry) if located is None else located
-    kept = [F.col(f"ds.{c}") for c in located.columns if c != "id"]
-    return (
-        located.alias("ds")
-        .join(registry.feature_tables.filter(~F.col("is_deleted")).alias("ft"), F.col("ds.id") == F.col("batch_source_id"))
-        .join(registry.projects.filter(~F.col("archived")).alias("pr"), F.col("project_name") == F.col("pr.name"))
-        .join(registry.feature_tables_entities_v2.alias("fte"), F.col("ft.id") == F.col("feature_table_id"))
-        .join(registry.entities_v2.alias("en"), F.col("entity_v2_id") == F.col("en.id"))
-        .select(
-            *kept,
-            F.col("en.name").alias("entity_name"),
-            F.col("en.type").alias("entity_type"),
-            F.col("ft.name").alias("feature_table"),
-        )
-    )
+    tables = live_tables(registry, located)
+    kept = [c for c in tables.columns if c not in ("table", "feature_table")]
+    return tables.join(table_entities(registry), "table").select(*kept, "entity_name", "entity_type", "feature_table")

@@ -1,4 +1,5 @@
 import shutil
+from dataclasses import replace
 
 import pytest
 from feature_store import registry
@@ -171,3 +172,28 @@ def test_postings_of_few_anchors_read_few_slots(spark, tmp_path):
     assert {f.split("slot=")[1].split("/")[0] for f in postings.of(anchors).inputFiles()} == {str(s) for s in range(64)}
     read = postings.of(anchors)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(slot" in read and "(slot#" in read
+
+
+def test_entities_are_gathered_of_the_chosen_route_alone(spark, tmp_path):
+    reg = registry(
+        spark,
+        ("lake/a/x", "b", {f"other_{i}": "INT64" for i in range(20)}),
+        ("lake/a/y", "a", {"driver": "INT64"}),
+        ("lake/a/z", "0", {}),
+    )
+    route = _routes(spark, reg, "lake/a", scratch=str(tmp_path))["lake/a"]
+    # A table without entities is no route.
+    assert (route.feature_table, route.n_candidates, [e.name for e in route.entities]) == ("a", 2, ["driver"])
+    assert spark.read.parquet(f"{tmp_path}/routes/chosen").count() == 1
+
+
+def test_null_columns_of_a_route_find_its_entities(spark):
+    reg = registry(spark, ("lake/a", None, {"driver": "INT64"}), ("lake/a", "t", {"car": "INT64"}))
+    route = _routes(spark, reg, "lake/a")["lake/a"]
+    assert (route.feature_table, route.n_candidates, [e.name for e in route.entities]) == (None, 2, ["driver"])
+
+
+def test_projects_of_one_name_do_not_multiply_sources(spark):
+    reg = registry(spark, ("lake/a", "t", {"driver": "INT64"}))
+    again = replace(reg, projects=reg.projects.unionByName(reg.projects))
+    assert registered_sources(again).count() == registered_sources(reg).count() == 1
