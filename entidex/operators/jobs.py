@@ -8,11 +8,17 @@ from pyspark.sql import functions as F
 SUCCESS, FAILED = "success", "failed"
 
 
-def job_rows(outcomes: DataFrame, started: Column, ended: Column) -> DataFrame:
+def names_of(entities: str) -> Column:
+    """Names of a route's entities, in their order."""
+    return F.transform(entities, lambda e: e["name"])
+
+
+def job_rows(outcomes: DataFrame, started: Column, ended: Column, names: Column | None = None) -> DataFrame:
     """Job rows of files with the columns seq, key, problem, entities, feature_table.
 
     `problem` says why the file was refused; NULL means it was loaded. Without a
-    route, entity names and feature table are NULL.
+    route, entity names and feature table are NULL. With `names`, these are the entity
+    names, such as those found once per route, and `entities` is not read.
     """
     return outcomes.select(
         F.col("seq").alias("id"),
@@ -20,7 +26,7 @@ def job_rows(outcomes: DataFrame, started: Column, ended: Column) -> DataFrame:
         ended.alias("ended"),
         F.when(F.col("problem").isNull(), SUCCESS).otherwise(FAILED).alias("status"),
         F.col("problem").alias("status_msg"),
-        F.transform("entities", lambda e: e["name"]).alias("entity_names"),
+        (names_of("entities") if names is None else names).alias("entity_names"),
         F.col("feature_table"),
         F.col("key").alias("path"),
     )

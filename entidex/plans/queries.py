@@ -470,19 +470,23 @@ def type_check(spark, sf_dir):
     return entities.select("id", "type", values.id_type(F.col("type")).alias("id_type"))
 
 
-def _outcomes(spark, sf_dir):
+def _outcomes(spark, sf_dir, entity_names):
     events = notifications.created(inputs.part_notifications(spark, sf_dir)).withColumn(
         "parent", keys.parent_of(F.col("key"))
     )
-    routes = routes_for_parents(events, inputs.registry(spark, sf_dir))
     route = ["feature_table", "timestamp_column", "created_timestamp_column"]
-    return events.join(routes, "parent", "left").withColumn("problem", checks.route_problem("entities", *route))
+    # Found once per route: many files share one, and its entities may be many.
+    routes = routes_for_parents(events, inputs.registry(spark, sf_dir)).select(
+        "parent", "feature_table", checks.route_problem("entities", *route).alias("problem"), entity_names.alias("entity_names"), F.lit(True).alias("routed")
+    )
+    unrouted = F.when(F.col("routed").isNull(), checks.NO_ROUTE)
+    return events.join(routes, "parent", "left").withColumn("problem", F.coalesce("problem", unrouted))
 
 
-def _job_log(spark, sf_dir):
+def _job_log(spark, sf_dir, entity_names):
     started = F.col("received_at")
     ended = values.from_epoch_micros(values.to_epoch_micros(started) + 1000 * F.length("key"))
-    return jobs.job_rows(_outcomes(spark, sf_dir), started, ended)
+    return jobs.job_rows(_outcomes(spark, sf_dir, entity_names), started, ended, F.col("entity_names"))
 
 
 _JOBS = f"""{inputs.REGISTRY}, {inputs.PART_NOTIFICATIONS}, {inputs.ROUTES},
@@ -500,12 +504,12 @@ jobs as (
 
 @query(f"with {_JOBS} select * from jobs")
 def job_log(spark, sf_dir):
-    return _job_log(spark, sf_dir).withColumn("entity_names", F.array_join("entity_names", ","))
+    return _job_log(spark, sf_dir, F.array_join(jobs.names_of("entities"), ","))
 
 
 @query(f"with {_JOBS} select id, status_msg, path from jobs where status = 'failed'")
 def job_failures(spark, sf_dir):
-    return jobs.failures(_job_log(spark, sf_dir)).select("id", "status_msg", "path")
+    return jobs.failures(_job_log(spark, sf_dir, jobs.names_of("entities"))).select("id", "status_msg", "path")
 
 
 @query(
@@ -521,7 +525,7 @@ group by feature_table, status, status_msg"""
 def job_summary(spark, sf_dir):
     """Files that arrive within an hour are one part here, and share their times."""
     hour = F.date_trunc("hour", F.col("started")).cast("timestamp_ntz")
-    log = _job_log(spark, sf_dir).withColumn("started", hour)
+    log = _job_log(spark, sf_dir, jobs.names_of("entities")).withColumn("started", hour)
     return jobs.job_summary(log.withColumn("ended", F.timestamp_add("SECOND", F.lit(90), F.col("started"))))
 
 

@@ -1,7 +1,9 @@
 import random
 from datetime import datetime
 
-from entidex.operators import checks
+from pyspark.sql import functions as F
+
+from entidex.operators import checks, jobs
 
 ROWS = "load bigint, entity string, id bigint, feature_table string, event_timestamp timestamp_ntz, created_timestamp timestamp_ntz"
 T = datetime(2024, 1, 1)
@@ -68,3 +70,9 @@ def test_random_loads_like_one_by_one(spark):
 def test_largest_load_number(spark):
     last = checks.MAX_LOADS - 1
     assert _refused(spark, [(0, 1), (last, 1)]) == {last}
+
+
+def test_job_rows_take_names_found_once_per_route(spark):
+    outcomes = spark.createDataFrame([(1, "k", None, "a,b", "t", T)], "seq bigint, key string, problem string, names string, feature_table string, at timestamp_ntz")
+    row = jobs.job_rows(outcomes, F.col("at"), F.col("at"), F.col("names")).first()
+    assert (row.id, row.status, row.entity_names, row.path) == (1, "success", "a,b", "k")
