@@ -14,14 +14,22 @@ from entidex.store import EntityIndex
 from entidex.streaming.ingest import ingest_batch, start_ingest
 
 
+def _kept(frame: DataFrame, path: str) -> DataFrame:
+    """The frame, written and read again, so that what reads it several times computes it once."""
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def event_registry(events: DataFrame, flagged: str | None = None) -> Registry:
     """One source per event type and day; the event types are the feature tables.
 
-    All have the entity `user`; with `flagged`, that one also has the entity `big`.
+    All have the entity `user`; with `flagged`, that one also has the entity `big`. The
+    days are kept as a table: each batch reads the registry several times, the events are
+    read once.
     """
     spark = events.sparkSession
-    days = events.select("event_type", F.col("ts").cast("date").cast("string").alias("day")).distinct()
-    days = days.withColumn("id", F.xxhash64("event_type", "day"))
+    days = events.select("event_type", F.col("ts").cast("date").alias("day")).distinct().withColumn("day", F.col("day").cast("string"))
+    days = _kept(days.withColumn("id", F.xxhash64("event_type", "day")), f"{scratch_root(spark)}/days")
     entities = F.when(F.col("event_type") == flagged, F.sequence(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     url = [F.lit('{"file_url": "s3a://lake/event_type='), "event_type", F.lit("/day="), "day", F.lit('/"}')]
     return Registry(
@@ -87,7 +95,8 @@ def written_files(spark: SparkSession, root: str) -> DataFrame:
     """Event type, day and key of all files."""
     files = spark.read.parquet(f"{root}/lake").select("event_type", "day", F.col("_metadata.file_path").alias("uri"))
     # The names need no escapes, so a URI ends in the key.
-    return files.distinct().select("event_type", "day", F.regexp_replace("uri", "^.*/lake/", "lake/").alias("key"))
+    keyed = files.distinct().select("event_type", "day", F.regexp_replace("uri", "^.*/lake/", "lake/").alias("key"))
+    return _kept(keyed, f"{root}/files")
 
 
 def write_notifications(files: DataFrame, folder: str, event_name: str = "s3:ObjectCreated:Put") -> None:
@@ -119,8 +128,9 @@ def streamed_index(spark: SparkSession, sf_dir: str) -> EntityIndex:
     write_files(feature_rows(events), f"{root}/data")
     files = written_files(spark, f"{root}/data")
     index = EntityIndex(spark, f"{root}/index")
+    registry = event_registry(events)
     for arrived in (files, files.filter(F.col("event_type") == "click")):
-        _stream(index, event_registry(events), arrived, root)
+        _stream(index, registry, arrived, root)
     return index
 
 
@@ -142,8 +152,9 @@ def late_index(spark: SparkSession, sf_dir: str) -> EntityIndex:
     write_files(feature_rows(events), f"{root}/data")
     files = written_files(spark, f"{root}/data")
     index = EntityIndex(spark, f"{root}/index")
+    registry = event_registry(events)
     for arrived in (files.filter("day >= '2024-01-16'"), files.filter("day < '2024-01-16'")):
-        _stream(index, event_registry(events), arrived, root)
+        _stream(index, registry, arrived, root)
     return index
 
 
@@ -155,8 +166,9 @@ def removals_index(spark: SparkSession, sf_dir: str) -> EntityIndex:
     files = written_files(spark, f"{root}/data")
     clicks = files.filter("event_type = 'click'")
     index = EntityIndex(spark, f"{root}/index")
+    registry = event_registry(events)
     for arrived, removed in ((files, False), (clicks, True), (clicks.filter("day >= '2024-01-16'"), False)):
-        _stream(index, event_registry(events), arrived, root, removed, removals=True)
+        _stream(index, registry, arrived, root, removed, removals=True)
     return index
 
 

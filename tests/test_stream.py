@@ -6,6 +6,7 @@ import pytest
 from feature_store import NOW, Store, registry
 
 from entidex.operators import checks
+from entidex.plans.streamed import event_registry
 from entidex.sources import notifications as source
 from entidex.streaming.ingest import ingest_batch, start_ingest
 
@@ -228,3 +229,12 @@ def test_features_of_files_of_many_shapes(spark, store):
     untimed = store.put("lake/trips/untimed.parquet", driver=[1], ev=[NOW])
     with pytest.raises(ValueError, match="no usable time column cr"):
         read_features(spark.createDataFrame([(untimed,)], "path string"), f"{store.data}/", ["driver"], "ev", "cr")
+
+
+def test_the_registry_of_events_does_not_read_them_again(spark, tmp_path):
+    rows = [("click", datetime(2024, 1, 1, 5)), ("click", datetime(2024, 1, 1, 6)), ("view", None)]
+    spark.createDataFrame(rows, "event_type string, ts timestamp_ntz").write.parquet(f"{tmp_path}/events")
+    registry = event_registry(spark.read.parquet(f"{tmp_path}/events"))
+    for table in (registry.data_sources, registry.feature_tables, registry.feature_tables_entities_v2):
+        assert table.count() == 2
+        assert not [f for f in table.inputFiles() if str(tmp_path / "events") in f]
