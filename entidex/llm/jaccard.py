@@ -17,14 +17,16 @@ corpus would tell nothing apart. The space is cut in three steps instead, each e
    made pivots, and all others are compared with them: most fall into the cell of a pivot,
    at 0.2 or less. Rounds of pivots are repeated on what is left outside the largest
    component as long as that helps. The rest is compared with the texts of other
-   components within the triangle-inequality window |d(x, p) - d(y, p)| <= 0.2 of the area's
-   first pivot: bands of that width, each replicated to its neighbours, in blocks.
+   components within the triangle-inequality windows of the area's first pivot,
+   |d(x, p) - d(y, p)| <= 0.2, and of the empty set: cells of that width, whose members stay
+   together in blocks, to which the rest is sent.
 
 Texts with the same set count as one throughout. Nothing is sampled or capped.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,8 +53,8 @@ PARTNERS = 1_000
 #: Shingles of an area that is compared whole, and of the sets that are compared with one
 #: another in one place of a larger one.
 AREA, BLOCK = 10_000, 1_000_000
-#: Shingles (with all repeats over sets) whose slices one task sorts, about 30 MB; more make more shards.
-SHARD_SHINGLES = 4_000_000
+#: Bytes of texts whose slices one task sorts, about 20 MB (60 where words have one letter); more make more shards.
+SHARD_BYTES = 16_000_000
 #: Pivots per area and round after the first, which takes one; another round follows if
 #: this one left at most a share outside.
 PIVOTS, PROGRESS = 4, 0.7
@@ -159,43 +161,35 @@ def signatures(shingles: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
     return out
 
 
-def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per document: id, text_key, node (name of the set), n_shingles."""
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *T.StructType.fromDDL("text_key bigint, node bigint, n_shingles bigint").fields])
-    arrow = to_arrow_schema(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
-        for batch in batches:
-            nodes, sizes = [], []
-            for text in batch.column(2):
-                shingles = shingler.set_of(text.as_py())
-                sizes.append(len(shingles))
-                nodes.append(name_of(shingles) if len(shingles) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(arrow.field(0).type), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())], schema=arrow)
-
-    return importable(docs).select(F.col(id_col), F.xxhash64(text_col).alias("text_key"), F.col(text_col)).mapInArrow(tidied(run), schema)
-
-
-_BLOCKS = "shard int, signatures binary, nodes binary, rings binary, least binary"
+_BLOCKS = "shard int, signatures binary, starts binary, nodes binary, rings binary, least binary"
+_DESCRIBED = "text_key bigint, node bigint, n_shingles bigint"
+_REGIONS = "region bigint, ring int, least int"
 
 
-def region_rows(docs: DataFrame, text_col: str, shards: int) -> DataFrame:
-    """`region`, `ring`, `node`, `least`: members of every slice that several sets share.
+def surveyed(docs: DataFrame, id_col: str, text_col: str, shards: int) -> DataFrame:
+    """Two kinds of rows, by one reading of the texts.
 
+    One row per document: id, text_key, node (name of the set), n_shingles; region is null.
+    And `region`, `ring`, `node`, `least`: members of every slice that several sets share.
     Signatures travel as blocks, one per chunk of texts and shard, not as rows.
     """
-    arrow = to_arrow_schema(T.StructType.fromDDL(_BLOCKS))
+    id_field = T.StructField("id", docs.schema[id_col].dataType)
+    sent = T.StructType([*T.StructType.fromDDL(_BLOCKS).fields, id_field, *T.StructType.fromDDL(_DESCRIBED).fields])
+    arrow = to_arrow_schema(sent)
+    n_block = len(T.StructType.fromDDL(_BLOCKS))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
-            for _, texts in text_chunks(batch.column(0)):
+            for start, texts in text_chunks(batch.column(3)):
+                names, sizes = [], []
                 made, nodes, rings, leasts = [], [], [], []
                 met = set()
                 for text in texts:
                     shingles = shingler.set_of(text)
-                    node = name_of(shingles)
+                    node = name_of(shingles) if len(shingles) else None
+                    names.append(node)
+                    sizes.append(len(shingles))
                     if len(shingles) < SMALLEST or node in met:
                         continue
                     met.add(node)
@@ -203,35 +197,39 @@ def region_rows(docs: DataFrame, text_col: str, shards: int) -> DataFrame:
                         # Slices of one set that look alike in 32 bits count once.
                         least = max(1, least - len(found) + len(np.unique(found.astype(np.uint32))))
                         made.append(found)
-                        nodes.append(np.full(len(found), node, np.int64))
-                        rings.append(np.full(len(found), ring, np.uint8))
-                        leasts.append(np.full(len(found), least, np.int32))
-                if not made:
-                    continue
-                made, nodes, rings, leasts = map(np.concatenate, (made, nodes, rings, leasts))
-                shard = (made >> np.uint64(40)) % np.uint64(shards)
-                order = np.argsort(shard, kind="stable")
-                made, nodes, rings, leasts, shard = (x[order] for x in (made, nodes, rings, leasts, shard))
-                cuts = np.searchsorted(shard, np.arange(shards + 1))
-                rows = [
-                    {"shard": s, "signatures": made[a:b].astype(np.uint32).tobytes(), "nodes": nodes[a:b].tobytes(), "rings": rings[a:b].tobytes(), "least": leasts[a:b].astype(np.uint32).tobytes()}
-                    for s, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
-                    if a < b
-                ]
-                yield pa.RecordBatch.from_pylist(rows, schema=arrow)
-
-    blocks = importable(docs).select(text_col).mapInArrow(tidied(sign), _BLOCKS)
-    schema = "region bigint, ring int, node bigint, least int"
-    out = to_arrow_schema(T.StructType.fromDDL(schema))
+                        nodes.append(node)
+                        rings.append(ring)
+                        # Asking for fewer shared slices loses no link.
+                        leasts.append(min(least, 65535))
+                id_part, key_part, dealt = (batch.column(i).slice(start, len(texts)) for i in range(3))
+                empty = [pa.nulls(len(texts), f.type) for f in list(arrow)[1:n_block]]
+                own = [id_part.cast(arrow.field(n_block).type), key_part, pa.array(names, pa.int64()), pa.array(sizes, pa.int64())]
+                yield pa.RecordBatch.from_arrays([dealt, *empty, *own], schema=arrow)
+                if made:
+                    yield pa.RecordBatch.from_pylist(blocks_of(made, np.array(nodes, np.int64), np.array(rings, np.uint8), np.array(leasts, np.uint16), shards), schema=arrow)
+
+    # Described rows are dealt evenly, by id and text.
+    dealt = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit(1)), F.lit(shards)).cast("int")
+    blocks = importable(docs).select(F.col(id_col), F.xxhash64(text_col).alias("text_key"), dealt.alias("dealt"), F.col(text_col)).mapInArrow(tidied(sign), sent)
+    schema = T.StructType([id_field, *T.StructType.fromDDL(f"{_DESCRIBED}, {_REGIONS}").fields])
+    out = to_arrow_schema(schema)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple]] = {}
         for batch in batches:
-            for row in batch.to_pylist():
+            described = batch.filter(batch.column(1).is_null())
+            if described.num_rows:
+                nothing = [pa.nulls(described.num_rows, f.type) for f in list(out)[4:]]
+                yield pa.RecordBatch.from_arrays([*described.columns[n_block:], *nothing], schema=out)
+            for row in batch.filter(batch.column(1).is_valid()).select(arrow.names[:n_block]).to_pylist():
                 held.setdefault(row.pop("shard"), []).append(tuple(row.values()))
         for shard in list(held):
-            made, nodes, rings, leasts = (np.concatenate([np.frombuffer(b[i], kind) for b in held[shard]]) for i, kind in enumerate((np.uint32, np.int64, np.uint8, np.uint32)))
-            del held[shard]
+            blocks = held.pop(shard)
+            made, nodes, rings, leasts = (np.concatenate([np.frombuffer(b[i], kind) for b in blocks]) for i, kind in ((0, np.uint32), (2, np.int64), (3, np.uint8), (4, np.uint16)))
+            starts = np.concatenate([np.unpackbits(np.frombuffer(b[1], np.uint8), count=len(b[0]) // 4) for b in blocks])
+            of = np.cumsum(starts, dtype=np.int64) - 1
+            del blocks, starts
+            nodes, rings, leasts = nodes[of], rings[of], leasts[of]
             order = np.lexsort((nodes, made, rings))
             made, nodes, rings, leasts = made[order], nodes[order], rings[order], leasts[order]
             same = (made[1:] == made[:-1]) & (rings[1:] == rings[:-1])
@@ -240,24 +238,47 @@ def region_rows(docs: DataFrame, text_col: str, shards: int) -> DataFrame:
             same = (made[1:] == made[:-1]) & (rings[1:] == rings[:-1])
             shared = np.append(same, False) | np.append(False, same)
             region = (np.int64(shard) << 40) | (rings[shared].astype(np.int64) << 32) | made[shared].astype(np.int64)
-            columns = [region, rings[shared].astype(np.int32), nodes[shared], leasts[shared].astype(np.int32)]
+            columns = {"region": region, "ring": rings[shared].astype(np.int32), "node": nodes[shared], "least": leasts[shared].astype(np.int32)}
             for at in range(0, len(region), 200_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 200_000]) for c in columns], schema=out)
+                n = len(region[at : at + 200_000])
+                yield pa.RecordBatch.from_arrays([pa.array(columns[f.name][at : at + n]) if f.name in columns else pa.nulls(n, f.type) for f in out], schema=out)
 
     return blocks.repartitionById(shards, F.col("shard")).mapInArrow(tidied(meet), schema)
 
 
+def blocks_of(made: list[np.ndarray], nodes: np.ndarray, rings: np.ndarray, leasts: np.ndarray, shards: int) -> list[dict]:
+    """Signatures of sets by shard; name, ring and bound of a set stand once per block.
+
+    starts: bits, set where the signatures of the next set begin.
+    """
+    by_ring = np.argsort(rings, kind="stable")
+    made, nodes, rings, leasts = [made[i] for i in by_ring], nodes[by_ring], rings[by_ring], leasts[by_ring]
+    of = np.repeat(np.arange(len(made)), [len(x) for x in made])
+    made = np.concatenate(made)
+    shard = ((made >> np.uint64(40)) % np.uint64(shards)).astype(np.uint16 if shards <= 1 << 16 else np.uint32)
+    order = np.argsort(shard, kind="stable")
+    made, of, shard = made[order].astype(np.uint32), of[order], shard[order]
+    starts = np.append(True, (shard[1:] != shard[:-1]) | (of[1:] != of[:-1]))
+    of = of[starts]
+    cuts, sets = (np.searchsorted(x, np.arange(shards + 1)).tolist() for x in (shard, shard[starts]))
+    return [
+        {"shard": s, "signatures": made[a:b].tobytes(), "starts": np.packbits(starts[a:b]).tobytes(), "nodes": nodes[of[x:y]].tobytes(), "rings": rings[of[x:y]].tobytes(), "least": leasts[of[x:y]].tobytes()}
+        for s, (a, b, x, y) in enumerate(zip(cuts[:-1], cuts[1:], sets[:-1], sets[1:]))
+        if a < b
+    ]
+
+
 def viable(rows: DataFrame, folder: str) -> DataFrame:
     """Region rows of sets that share enough slices, one region per set of members."""
-    for step in range(2):
-        enough = rows.groupBy("ring", "node").agg(F.count("*").alias("shares"), F.first("least").alias("needs")).filter("shares >= needs").select("ring", "node")
-        rows = rows.join(enough, ["ring", "node"])
-        several = rows.groupBy("region").agg(F.count("*").alias("members"), F.bit_xor(F.xxhash64("node")).alias("content")).filter("members > 1")
-        if step:
-            # Of regions with the same members one is enough.
-            several = several.groupBy("content", "members").agg(F.min("region").alias("region"))
-        rows = written(rows.join(several.select("region"), "region"), folder, f"viable-{step}")
-    return rows
+    shares, members = (F.count("*").over(Window.partitionBy(*by)) for by in (("ring", "node"), ("region",)))
+    enough = lambda rows: rows.withColumn("shares", shares).filter("shares >= least").drop("shares")
+    rows = written(enough(rows).withColumn("members", members).filter("members > 1").drop("members"), folder, "viable-0")
+    # Of regions with the same members one is enough. As both sides of the join take all columns
+    # of the same rows, one shuffle serves both.
+    rows = enough(rows).filter("region is not null").repartition("region")
+    several = rows.groupBy("region").agg(F.count("*").alias("members"), F.bit_xor(F.xxhash64("ring", "node", "least")).alias("content")).filter("members > 1")
+    one = several.groupBy("content", "members").agg(F.min("region").alias("region")).select("region")
+    return written(rows.join(one, "region"), folder, "viable-1")
 
 
 def delivered(docs: DataFrame, text_col: str, nodes: DataFrame, targets: DataFrame, folder: str, name: str) -> DataFrame:
@@ -401,16 +422,13 @@ def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
     return labels
 
 
-def linked_components(docs: DataFrame, text_col: str, nodes: DataFrame, folder: str) -> DataFrame:
+def linked_components(docs: DataFrame, text_col: str, nodes: DataFrame, rows: DataFrame, folder: str) -> DataFrame:
     """`node`, `comp` of every set that has a link to a different set (and of some that have none).
 
     docs: `id` and the text. nodes: `node`, `one` (id and text_key of one of its texts),
-    `n_shingles`; one row each.
+    `n_shingles`; one row each. rows: the members of regions.
     """
-    spark = docs.sparkSession
-    total = nodes.agg(F.sum("n_shingles")).first()[0] or 0
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD_SHINGLES))
-    rows = viable(written(region_rows(docs, text_col, shards), folder, "regions"), folder)
+    rows = viable(rows, folder)
     # Overlapping regions make one area; no link leaves it.
     least = rows.groupBy("region").agg(F.min("node").alias("v"))
     area = components(rows.join(least, "region").select(F.col("node").alias("u"), "v"), folder, "areas").withColumnRenamed("comp", "area")
@@ -468,34 +486,51 @@ def _large_areas(docs: DataFrame, text_col: str, nodes: DataFrame, members: Data
         edges = linked if edges is None else edges.unionByName(linked)
         step += 1
 
-    # What is outside meets all members of other components within its window: distances
-    # to the pivot are cut into bands as wide as the threshold, and bands meet their neighbours.
-    width = (100 - SIMILAR) / 100 + 1e-9
-    now = now.join(known, "node").withColumn("band", F.floor(F.col("distance") / width).cast("int"))
-    blocks = now.groupBy("area", "band").agg(F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("all_blocks"), F.ceil(F.sum(F.when(F.col("comp") != F.col("main"), F.col("n_shingles"))) / BLOCK).cast("int").alias("out_blocks"))
-    blocks = written(blocks, folder, "blocks", few=True)
-    near = F.explode(F.array(*(F.col("band") + d for d in (-1, 0, 1))))
-    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    place = lambda band, block: (F.col(band) * F.lit(1 << 24) + block).cast("int")
-    own = now.join(blocks, ["area", "band"]).withColumn("all_block", F.pmod(F.xxhash64("node"), "all_blocks")).withColumn("out_block", F.pmod(F.xxhash64("node"), "out_blocks"))
-    there = blocks.select("area", F.col("band").alias("to"), F.col("all_blocks").alias("to_all"), F.col("out_blocks").alias("to_out"))
-    outs = own.filter("comp != main").withColumn("to", near).join(there, ["area", "to"]).withColumn("to_block", spread("to_all"))
-    outs = outs.select("node", F.col("area").alias("g"), place("band", F.col("out_block")).alias("a"), place("to", F.col("to_block")).alias("b"), F.lit(0).alias("side"), F.col("comp").alias("mark"))
-    alls = own.withColumn("to", near).join(there.filter("to_out > 0"), ["area", "to"]).withColumn("to_block", spread("to_out"))
-    alls = alls.select("node", F.col("area").alias("g"), place("to", F.col("to_block")).alias("a"), place("band", F.col("all_block")).alias("b"), F.lit(1).alias("side"), F.col("comp").alias("mark"))
-    return edges.unionByName(compared_blocks(docs, text_col, nodes, outs.unionByName(alls), folder, "large"))
+    # What is outside meets the members of other components within its windows. Distances to
+    # the pivot and sizes are cut into cells as wide as links reach, and cells meet their neighbours.
+    width, ratio = (100 - SIMILAR) / 100 + 1e-9, math.log(100 / SIMILAR) + 1e-9
+    cell = ["area", "class", "band"]
+    now = now.join(known, "node").withColumn("band", F.floor(F.col("distance") / width).cast("int")).withColumn("class", F.floor(F.log("n_shingles") / ratio).cast("int"))
+    cells = now.groupBy(cell).agg(F.sum("n_shingles").alias("weight"), F.sum(F.when(F.col("comp") != F.col("main"), F.col("n_shingles"))).alias("out_weight"))
+    cells = written(cells, folder, "cells", few=True)
+    near = lambda name: F.explode(F.array(*(F.col(name) + d for d in (-1, 0, 1))))
+    pairs = cells.filter("out_weight > 0").select("area", F.col("class").alias("from_class"), F.col("band").alias("from_band"), "out_weight")
+    pairs = pairs.withColumn("class", near("from_class")).withColumn("band", near("from_band")).join(cells.select(cell), cell)
+    # Members stay together in blocks: small cells are packed, in order, and large ones are cut.
+    light = F.when(2 * F.col("weight") < BLOCK, F.col("weight")).otherwise(0)
+    before = F.sum(light).over(Window.partitionBy("area").orderBy("class", "band")) - light
+    number = F.when(light > 0, F.floor(2 * before / BLOCK)).otherwise((8 * F.col("class") + F.col("band") + 1) * F.lit(1 << 20))
+    blocks = cells.join(pairs.select(cell).distinct(), cell).withColumn("first", number.cast("int")).withColumn("parts", F.when(light > 0, 1).otherwise(F.ceil(F.col("weight") / BLOCK)).cast("int"))
+    blocks = written(blocks.select(*cell, "first", "parts"), folder, "blocks", few=True)
+    # A member goes into one block; what is outside goes to all blocks within its windows.
+    aims = pairs.join(blocks, cell).withColumn("a", F.explode(F.sequence("first", F.col("first") + F.col("parts") - 1)))
+    aims = aims.select("area", F.col("from_class").alias("class"), F.col("from_band").alias("band"), "a", "out_weight").distinct()
+    aims = written(aims, folder, "aims", few=True)
+    places = aims.groupBy("area", "a").agg(F.ceil(F.sum("out_weight") / BLOCK).cast("int").alias("places"))
+    part = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    outs = now.filter("comp != main").join(aims.drop("out_weight"), cell).join(places, ["area", "a"]).withColumn("b", part("places")).withColumn("side", F.lit(0))
+    alls = now.join(blocks, cell).withColumn("a", F.col("first") + part("parts")).join(places, ["area", "a"])
+    alls = alls.withColumn("b", F.explode(F.sequence(F.lit(0), F.col("places") - 1))).withColumn("side", F.lit(1))
+    target = ["node", F.col("area").alias("g"), "a", "b", F.col("comp").alias("mark"), "side"]
+    # One text is enough where it comes from both sides.
+    targets = outs.select(target).unionByName(alls.select(target)).groupBy("node", "g", "a", "b", "mark").agg(F.when(F.min("side") < F.max("side"), 2).otherwise(F.min("side")).alias("side"))
+    return edges.unionByName(compared_blocks(docs, text_col, nodes, targets, folder, "large"))
 
 
 def _joined(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows of `join_texts` as `id`, `text_key`, `n_shingles`, `component_id`, `first` (id and text_key of the group's row that stays)."""
-    folder = scratch(docs.sparkSession)
+    spark = docs.sparkSession
+    folder, work = scratch(spark), scratch(spark)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    all_rows = written(described(docs, "id", "text"), folder, "described")
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD_BYTES))
+    survey = written(surveyed(docs, "id", "text", shards), work, "survey")
+    all_rows = written(survey.filter("region is null").select("id", "text_key", "node", "n_shingles"), folder, "described")
     nodes = all_rows.filter("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.min(F.struct("id", "text_key")).alias("one"), F.min(F.when(F.col("id").isNotNull(), F.struct("id", "text_key"))).alias("first"), F.first("n_shingles").alias("n_shingles"))
     nodes = written(nodes, folder, "nodes")
-    work = scratch(docs.sparkSession)
-    labels = written(linked_components(docs, "text", nodes, work), folder, "labels", few=True)
-    delete(docs.sparkSession, work)
+    rows = survey.filter("region is not null").select("region", "ring", "node", "least")
+    labels = written(linked_components(docs, "text", nodes, rows, work), folder, "labels", few=True)
+    delete(spark, work)
     named = nodes.join(labels, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"), "id", "first")
     least = named.groupBy("comp").agg(F.min("id").alias("component_id"), F.min("first").alias("first"))
     of = named.select("node", "comp").join(least, "comp").select("node", "component_id", "first")

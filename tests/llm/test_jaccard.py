@@ -83,6 +83,61 @@ def by_id_int(frame):
     return sorted((r.doc_id, r.n_shingles, r.component_id) for r in frame.collect())
 
 
+def test_texts_of_one_block_travel_once(spark, monkeypatch):
+    """What pivots leave outside meets the others in one place where the area fits into one."""
+    sent = {}
+    compared = jaccard.compared_blocks
+
+    def recorded(docs, text_col, nodes, targets, folder, name):
+        sent[name] = targets.groupBy("node").count().collect()
+        return compared(docs, text_col, nodes, targets, folder, name)
+
+    monkeypatch.setattr(jaccard, "compared_blocks", recorded)
+    monkeypatch.setattr(jaccard, "AREA", 1000)
+    rng = random.Random(7)
+    words = [f"h{i}" for i in range(60)]
+    # Sizes of one class and distances of several bands from any of them.
+    texts = [" ".join(words[i : i + 50] + [f"w{rng.randint(0, 10**6)}" for _ in range(rng.choice((1, 2, 12)))]) for i in (0, 2, 4, 6, 8, 10) for _ in range(12)]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert by_id_int(jaccard.join_texts(docs)) == plain(rows)
+    assert sent["large"] and {r["count"] for r in sent["large"]} == {1}
+
+
+@pytest.mark.parametrize("seed", [8, 9])
+def test_windows_of_sizes_and_distances_lose_no_link(spark, monkeypatch, seed):
+    """Links across cells, cut and packed, with no pivot after the first."""
+    monkeypatch.setattr(jaccard, "AREA", 100)
+    monkeypatch.setattr(jaccard, "BLOCK", 400)
+    monkeypatch.setattr(jaccard, "PROGRESS", 0.0)
+    rng = random.Random(seed)
+    hub = [f"h{i}" for i in range(100)]
+    texts = []
+    for _ in range(25):
+        start = rng.randint(0, 40)
+        base = hub[start : start + rng.randint(10, 60)] + [f"w{rng.randint(0, 10**6)}" for _ in range(rng.randint(0, 60))]
+        texts += [" ".join(base + [f"x{rng.randint(0, 10**6)}" for _ in range(rng.randint(0, len(base) // 4))]) for _ in range(4)]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert by_id_int(jaccard.join_texts(docs)) == plain(rows)
+
+
+def test_one_reading_describes_and_signs(spark):
+    """Documents and the slices that sets share come from one reading of the texts."""
+    text = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    rows = [("a", text("a", 40)), ("b", text("a", 40) + " z"), ("b", text("b", 30)), (None, text("b", 30)), ("c", " "), ("d", None), ("e", "one two")]
+    docs = spark.createDataFrame(rows, "name string, body string").repartition(2)
+    found = jaccard.surveyed(docs, "name", "body", 5).collect()
+    described = sorted(((r.id, r.n_shingles) for r in found if r.region is None), key=str)
+    assert described == sorted(((i, len(shingles(t))) for i, t in rows), key=str)
+    assert all((r.node is None) == (r.n_shingles == 0) for r in found if r.region is None)
+    names = {jaccard.name_of(jaccard.Shingler().set_of(t)) for _, t in rows[:2]}
+    members = [r for r in found if r.region is not None]
+    assert {r.node for r in members} == names and all(r.id is None for r in members)
+    a, b = ({x: np.unique(made.astype(np.uint32)) for x, _, made in jaccard.signatures(jaccard.Shingler().set_of(t))} for _, t in rows[:2])
+    assert len(members) == 2 * sum(len(np.intersect1d(a[x], b[x])) for x in a.keys() & b.keys())
+
+
 def test_joins_by_shuffle_too(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "SENT_ROWS", 0)
     rows = corpus(4)[:150]
