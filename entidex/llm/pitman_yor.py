@@ -56,8 +56,6 @@ ONE_BY_ONE = 64
 DRAWS = 1_000_000
 #: Bytes of a chunk of texts, and the most texts in one.
 CHUNK_TEXT, CHUNK_ROWS = 4_000_000, 32_000
-#: Words a worker keeps with their hashes.
-KEPT_WORDS = 100_000
 #: Smoothing of the base score; documents whose id hashes to 0 of `FOLDS` are held out.
 SMOOTHING, FOLDS = 0.1, 10
 SEED = 7
@@ -74,8 +72,8 @@ def held_out(doc_id) -> bool:
 def packed(values: np.ndarray, kind) -> bytes:
     """Numbers as bytes: their first bytes, then their second ones and so on, compressed."""
     raw = np.ascontiguousarray(values, dtype=kind)
-    planes = raw.view(np.uint8).reshape(-1, raw.itemsize).T.tobytes()
-    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+    planes = np.ascontiguousarray(raw.view(np.uint8).reshape(-1, raw.itemsize).T)
+    return planes.size.to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
 
 
 def unpacked(data: bytes, kind) -> np.ndarray:
@@ -120,60 +118,73 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, shards: int, classes: in
         return {name: values.get(name) for name in names}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, task, n = Shingler(KEPT_WORDS), TaskContext.get().partitionId(), 0
+        task, n = TaskContext.get().partitionId(), 0
+        start_class = mixed(np.array([START])) % np.uint64(classes)
         for batch in batches:
             cut = (batch.slice(a, CHUNK_ROWS) for a in range(0, batch.num_rows, CHUNK_ROWS))
             for rows_of, start, texts in ((c, s, t) for c in cut for s, t in text_chunks(c.column(1), CHUNK_TEXT)):
                 part = (task << 24) | n
                 n += 1
-                ids = rows_of.column(0).slice(start, len(texts))
-                held = np.array([held_out(i) for i in ids.to_pylist()], bool)
-                texts = [np.append(shingler.words(t or ""), END) for t in texts]
-                lengths = np.array([len(t) for t in texts])
-                words = np.concatenate(texts)
+                ids = rows_of.column(0).slice(start, len(texts)).to_pylist()
+                held = np.array([held_out(i) for i in ids], bool)
+                hashes, place, lengths = Shingler.places(texts)
+                lengths = lengths + 1  # with the end
                 firsts = np.cumsum(lengths) - lengths
-                before = np.empty_like(words)
-                before[1:] = words[:-1]
-                before[firsts] = START
-                contexts = (mixed(before) % np.uint64(classes)).astype(_KIND)
-                doc = np.repeat(np.arange(len(texts), dtype=np.uint16), lengths)
-                order = np.lexsort((contexts, words))
-                words, contexts, doc = words[order], contexts[order], doc[order]
-                word_starts = run_starts(words)
-                key_starts = np.flatnonzero(np.append(True, (words[1:] != words[:-1]) | (contexts[1:] != contexts[:-1])))
-                repeats = np.diff(np.append(key_starts, len(words)))
+                # A token is its word's number here, by hash, until its key is known.
+                words, number_of = np.unique(np.append(hashes, END), return_inverse=True)
+                token = np.full(int(lengths.sum()), number_of[-1], np.uint64)
+                is_word = np.ones(len(token), bool)
+                is_word[firsts + lengths - 1] = False
+                token[is_word] = number_of[place]
+                context = np.empty_like(token)
+                context[1:] = (mixed(words) % np.uint64(classes))[token[:-1]]
+                context[firsts] = start_class
+                # Word, context and document as one number: at most 21, 20 and 15 bits in a
+                # chunk of many texts; a longer text stands alone and takes none for documents.
+                doc_bits, context_bits = (np.uint64((most - 1).bit_length()) for most in (len(texts), classes))
+                token = ((token << context_bits | context) << doc_bits) | np.repeat(np.arange(len(texts), dtype=np.uint64), lengths)
+                token.sort()
+                doc = (token & ((np.uint64(1) << doc_bits) - np.uint64(1))).astype(np.uint16)
+                token >>= doc_bits
+                key_starts = run_starts(token)
+                keys = token[key_starts]
+                contexts = (keys & ((np.uint64(1) << context_bits) - np.uint64(1))).astype(_KIND)
+                word = keys >> context_bits
+                first_key = run_starts(word)
+                per_word = np.diff(np.append(first_key, len(word)))
+                repeats = np.diff(np.append(key_starts, len(token)))
                 training = np.add.reduceat((~held)[doc].astype(np.int64), key_starts)
                 yield pa.RecordBatch.from_pylist(
-                    [row(kind="docs", shard=part % shards, part=part, ids=ids.to_pylist(), lengths=packed(lengths, np.int64), posts=packed(held, np.uint8))], schema=arrow
+                    [row(kind="docs", shard=part % shards, part=part, ids=ids, lengths=packed(lengths, np.int64), posts=packed(held, np.uint8))], schema=arrow
                 )
                 # Words of a large share stay, but for their counts.
-                sizes = np.diff(np.append(word_starts, len(words)))
-                home_of = lambda w: int((int(w) >> 32) * shards >> 32)
-                hot = np.flatnonzero(sizes * 4 * shards > len(words)) if len(words) > 1000 * shards else np.empty(0, np.int64)
-                is_hot = np.zeros(len(words), bool)
+                word_starts = key_starts[first_key]
+                sizes = np.diff(np.append(word_starts, len(token)))
+                shard = ((words >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+                is_hot = (sizes * 4 * shards > len(token)) & (len(token) > 1000 * shards)
                 rows = []
-                for h in hot.tolist():
-                    a, b = int(word_starts[h]), int(word_starts[h] + sizes[h])
-                    is_hot[a:b] = True
-                    ka, kb = np.searchsorted(key_starts, [a, b])
+                for h in np.flatnonzero(is_hot).tolist():
+                    a, ka = int(word_starts[h]), int(first_key[h])
+                    b, kb = a + int(sizes[h]), ka + int(per_word[h])
                     rows.append(
-                        row(kind="hot", shard=(part + h) % shards, home=home_of(words[a]), part=part, words=words[a : a + 1].tobytes(), contexts=packed(contexts[key_starts[ka:kb]], contexts.dtype), repeats=packed(repeats[ka:kb], np.uint32), posts=packed(doc[a:b], np.uint16))
+                        row(kind="hot", shard=(part + h) % shards, home=int(shard[h]), part=part, words=words[h : h + 1].tobytes(), contexts=packed(contexts[ka:kb], contexts.dtype), repeats=packed(repeats[ka:kb], np.uint32), posts=packed(doc[a:b], np.uint16))
                     )
+                if rows:
+                    doc = doc[~np.repeat(is_hot, sizes)]
                 # Shards are ranges of the hash, in which the keys are sorted.
-                shard = (words[key_starts] >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
                 cuts = np.searchsorted(shard, np.arange(shards + 1))
-                sent = np.where(is_hot[key_starts], 0, repeats)
-                edges = np.append(key_starts, len(words))
-                for s, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+                key_cuts = np.append(first_key, len(word))[cuts]
+                sent = np.where(np.repeat(is_hot, per_word), 0, repeats)
+                post_cuts = np.append(0, np.cumsum(sent))[key_cuts]
+                places = (x.tolist() for x in (cuts, key_cuts, post_cuts))
+                for s, ((u, v), (a, b), (i, j)) in enumerate(zip(*(zip(x[:-1], x[1:]) for x in places))):
                     if a == b:
                         continue
-                    span = slice(int(edges[a]), int(edges[b]))
-                    own, starts = words[key_starts[a:b]], run_starts(words[key_starts[a:b]])
                     rows.append(
                         row(
-                            kind="shard", shard=s, part=part, words=packed(own[starts], np.uint64), per_word=packed(np.diff(np.append(starts, b - a)), np.uint32),
-                            contexts=packed(contexts[key_starts[a:b]], contexts.dtype), counts=packed(training[a:b], np.uint32), repeats=packed(sent[a:b], np.uint32),
-                            posts=packed(doc[span][~is_hot[span]], np.uint16),
+                            kind="shard", shard=s, part=part, words=packed(words[u:v], np.uint64), per_word=packed(per_word[u:v], np.uint32),
+                            contexts=packed(contexts[a:b], contexts.dtype), counts=packed(training[a:b], np.uint32), repeats=packed(sent[a:b], np.uint32),
+                            posts=packed(doc[i:j], np.uint16),
                         )
                     )
                 yield pa.RecordBatch.from_pylist(rows, schema=arrow)
@@ -181,6 +192,22 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, shards: int, classes: in
     return importable(docs).select(id_col, text_col).mapInArrow(tidied(run), schema)
 
 
+def ordered(number: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order by word number, then context, and where a key differs from the one before."""
+    bits = [int(x.max()).bit_length() for x in (number, contexts)]
+    place_bits = (len(number) - 1).bit_length()
+    if sum(bits) + place_bits > 64:
+        order = np.lexsort((contexts, number))
+        n, k = number[order], contexts[order]
+        return order, np.append(True, (n[1:] != n[:-1]) | (k[1:] != k[:-1]))
+    # Word, context and place as one number sort several times faster.
+    key = (number.astype(np.uint64) << np.uint64(bits[1]) | contexts) << np.uint64(place_bits) | np.arange(len(number), dtype=np.uint64)
+    key.sort()
+    order = (key & np.uint64((1 << place_bits) - 1)).astype(np.int64)
+    key >>= np.uint64(place_bits)
+    return order, np.append(True, key[1:] != key[:-1])
+
+
 def merged(dealt: DataFrame) -> DataFrame:
     """One row per shard with its keys over all chunks; other kinds as they are.
 
@@ -202,20 +229,19 @@ def merged(dealt: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_pylist([{f.name: r.get(f.name) for f in arrow}], schema=arrow)
         for shard in sorted(held):
             rows = sorted(held.pop(shard), key=lambda r: r["part"])
-            words = [np.repeat(unpacked(r["words"], np.uint64), unpacked(r["per_word"], np.uint32)) for r in rows]
-            contexts = [unpacked(r["contexts"], _KIND) for r in rows]
+            per_word = np.concatenate([unpacked(r["per_word"], np.uint32) for r in rows])
             counts = np.concatenate([unpacked(r["counts"], np.uint32) for r in rows]).astype(np.int64)
-            sizes = [len(w) for w in words]
+            contexts = [unpacked(r["contexts"], _KIND) for r in rows]
+            sizes = [len(k) for k in contexts]
             repeats, posts = np.concatenate([unpacked(r["repeats"], np.uint32) for r in rows]), [unpacked(r["posts"], np.uint16) for r in rows]
-            w, k = np.concatenate(words), np.concatenate(contexts)
-            order = np.lexsort((k, w))
-            w, k = w[order], k[order]
-            first = np.append(True, (w[1:] != w[:-1]) | (k[1:] != k[:-1]))
-            number = np.empty(len(w), np.uint32)
+            w, number_of = np.unique(np.concatenate([unpacked(r["words"], np.uint64) for r in rows]), return_inverse=True)
+            order, first = ordered(np.repeat(number_of, per_word), np.concatenate(contexts))
+            number = np.empty(len(order), np.uint32)
             number[order] = np.cumsum(first) - 1
             starts = np.flatnonzero(first)
             count = np.add.reduceat(counts[order], starts)
-            w, k = w[starts], k[starts]
+            own = order[starts]
+            w, k = w[np.repeat(number_of, per_word)[own]], np.concatenate(contexts)[own]
             word_starts = run_starts(w)
             word_count = np.add.reduceat(count, word_starts)
             parts = np.array([(r["part"], size, len(own)) for r, size, own in zip(rows, sizes, posts)], np.int64)
@@ -260,13 +286,20 @@ def successes(seeds: np.ndarray, first: int, draws: np.ndarray, chance: np.ndarr
 def seat(customers: np.ndarray, a: np.ndarray, discount: float, seeds: np.ndarray) -> np.ndarray:
     """Tables after seating the customers of each dish; a: (theta + d T) P_parent(dish)."""
     tables = np.minimum(customers, 1)
+    order = largest_first(customers)
+    tables[order] = seat_several(customers[order], a[order], discount, seeds[order])
+    return tables
+
+
+def largest_first(customers: np.ndarray) -> np.ndarray:
+    """Dishes of more than one customer, those with most first."""
     several = np.flatnonzero(customers > 1)
-    if not len(several):
-        return tables
-    order = several[np.argsort(-customers[several], kind="stable")]
-    n, weight, t, seeds = customers[order], a[order], np.ones(len(order)), seeds[order]
-    seated, block = 1, 1
-    active = len(order)
+    return several[np.argsort(-customers[several], kind="stable")]
+
+
+def seat_several(n: np.ndarray, weight: np.ndarray, discount: float, seeds: np.ndarray) -> np.ndarray:
+    """The same as `seat` for dishes of n customers, those with most first, none with one alone."""
+    t, fewer, seated, block, active = np.ones(len(n)), -n, 1, 1, len(n)
     while active:
         # Those with more customers come first: the active ones are a prefix.
         chance = weight[:active] / (seated - discount * t[:active] + weight[:active])
@@ -276,28 +309,34 @@ def seat(customers: np.ndarray, a: np.ndarray, discount: float, seeds: np.ndarra
             t[:active] += successes(seeds[:active], seated, np.minimum(block, n[:active] - seated), chance)
         seated += block
         block = 1 if seated < ONE_BY_ONE else max(1, seated // 8)
-        active = int(np.searchsorted(-n[:active], -seated, side="left"))
-    tables[order] = t.astype(np.int64)
-    return tables
+        active = int(np.searchsorted(fewer[:active], -seated, side="left"))
+    return t.astype(np.int64)
 
 
 class Shard:
     """The restaurants' dishes of one shard, replayed from the totals of each sweep.
 
     model: scalars, the number of contexts and their tokens. Totals: tables of every
-    context, then customers and tables of the parent.
+    context, then customers and tables of the parent. wanted: the words whose
+    dishes alone are served; each dish is seated by itself, so these are seated as among all.
     """
 
-    def __init__(self, words: bytes, per_word: bytes, contexts: bytes, counts: bytes, model: dict):
+    def __init__(self, words: bytes, per_word: bytes, contexts: bytes, counts: bytes, model: dict, wanted: np.ndarray | None = None):
         self.model = model
         self.words = unpacked(words, np.uint64)
         per_word = unpacked(per_word, np.uint32).astype(np.int64)
-        self.word_of = np.repeat(np.arange(len(self.words)), per_word)
-        self.starts = np.cumsum(per_word) - per_word
         self.contexts = unpacked(contexts, _KIND).astype(np.int64)
         self.counts = unpacked(counts, np.int64)
-        self.seeds = mixed(self.words)[self.word_of] + mixed(self.contexts.astype(np.uint64) + np.uint64(SEED))
+        if wanted is not None:
+            of_word = np.isin(self.words, wanted)
+            own = np.repeat(of_word, per_word)
+            self.words, per_word, self.contexts, self.counts = self.words[of_word], per_word[of_word], self.contexts[own], self.counts[own]
+        self.word_of = np.repeat(np.arange(len(self.words)), per_word)
+        self.starts = np.cumsum(per_word) - per_word
         self.tables = np.minimum(self.counts, 1)
+        # Keys that a sweep reseats: a single customer has its table.
+        self.several = largest_first(self.counts)
+        self.seeds = mixed(self.words)[self.word_of[self.several]] + mixed(self.contexts[self.several].astype(np.uint64) + np.uint64(SEED))
         self.word_count = np.add.reduceat(self.counts, self.starts) if len(self.starts) else np.empty(0, np.int64)
         self.customers = np.add.reduceat(self.tables, self.starts) if len(self.starts) else self.word_count
         self.parent_tables = np.minimum(self.customers, 1)
@@ -311,13 +350,13 @@ class Shard:
         m = self.model
         return (self.customers - m["d0"] * self.parent_tables + (CONCENTRATION + m["d0"] * totals[-1]) / (m["V"] + 1)) / (CONCENTRATION + totals[-2])
 
-    def back_off(self, totals: np.ndarray) -> np.ndarray:
-        return (CONCENTRATION + self.model["d1"] * totals[self.contexts]) * self.parent(totals)[self.word_of]
+    def back_off(self, totals: np.ndarray, keys=slice(None)) -> np.ndarray:
+        return (CONCENTRATION + self.model["d1"] * totals[self.contexts[keys]]) * self.parent(totals)[self.word_of[keys]]
 
     def sweep(self, number: int, totals: np.ndarray) -> None:
         """Reseats all customers; totals: of the seating before."""
         m, turn = self.model, mixed(np.array([number], np.uint64))[0]
-        self.tables = seat(self.counts, self.back_off(totals), m["d1"], mixed(self.seeds ^ turn))
+        self.tables[self.several] = seat_several(self.counts[self.several], self.back_off(totals, self.several), m["d1"], mixed(self.seeds ^ turn))
         self.customers = np.add.reduceat(self.tables, self.starts) if len(self.starts) else self.customers
         base = np.full(len(self.words), (CONCENTRATION + m["d0"] * totals[-1]) / (m["V"] + 1))
         self.parent_tables = seat(self.customers, base, m["d0"], mixed(self.words ^ turn))
@@ -443,30 +482,30 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     hot_schema = "word binary, contexts binary, score binary, base double, known int"
     hot_arrow = to_arrow_schema(T.StructType.fromDDL(hot_schema))
 
-    def logs(r: dict) -> tuple[Shard, np.ndarray, np.ndarray]:
+    def logs(r: dict, wanted: np.ndarray | None = None) -> tuple[Shard, np.ndarray, np.ndarray]:
         model, history = known.value
-        shard = Shard(*(r[c] for c in _MODEL_COLUMNS), model)
+        shard = Shard(*(r[c] for c in _MODEL_COLUMNS), model, wanted)
         return shard, np.log10(shard.averaged(history)), np.log10(shard.word_count + SMOOTHING) - floor
 
     def score_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
                 shard, score, base = logs(r)
+                base, met = base[shard.word_of], (shard.word_count > 0)[shard.word_of]
                 keys, repeats, posts = unpacked(r["keys"], np.uint32), unpacked(r["repeats"], np.uint32), unpacked(r["posts"], np.uint16)
                 key_at = post_at = 0
                 for part, n_keys, n_posts in unpacked(r["parts"], np.int64).reshape(-1, 3).tolist():
-                    key = np.repeat(keys[key_at : key_at + n_keys], repeats[key_at : key_at + n_keys]).astype(np.int64)
+                    key, times = keys[key_at : key_at + n_keys], repeats[key_at : key_at + n_keys]
                     doc = posts[post_at : post_at + n_posts].astype(np.int64)
                     key_at, post_at = key_at + n_keys, post_at + n_posts
-                    word = shard.word_of[key]
-                    yield pa.RecordBatch.from_pylist([{"part": part} | summed_by_doc(doc, score[key], base[word], shard.word_count[word] > 0)], schema=sums)
+                    yield pa.RecordBatch.from_pylist([{"part": part} | summed_by_doc(doc, *(np.repeat(v[key], times) for v in (score, base, met)))], schema=sums)
 
     def score_hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
                 wanted = np.unique(np.frombuffer(b"".join(r["hot"]), np.uint64))
-                shard, score, base = logs(r)
-                for place in np.searchsorted(shard.words, wanted).tolist():
+                shard, score, base = logs(r, wanted)
+                for place in range(len(shard.words)):
                     own = slice(*np.searchsorted(shard.word_of, [place, place + 1]))
                     row = {"word": shard.words[place : place + 1].tobytes(), "contexts": packed(shard.contexts[own], _KIND), "score": packed(score[own], np.float64), "base": float(base[place]), "known": int(shard.word_count[place] > 0)}
                     yield pa.RecordBatch.from_pylist([row], schema=hot_arrow)

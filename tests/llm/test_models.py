@@ -241,3 +241,69 @@ def test_model_beats_its_base_on_held_out_texts(spark):
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
     both = {r.held_out: r.perplexity for r in py.perplexity(scored).collect()}
     assert both[False] < both[True]
+
+
+def test_words_of_many_texts_at_once_are_those_of_each():
+    strange = ["", None, " \t\n ", "One oNE one", "a\x0bb\x0cc\rd\x00e\x1cf\x85g\u00a0h \U0001f600 \u6f22\u5b57 \udc80", "end ", " start", "ÄÖ Äö"]
+    for texts in (strange, strange[::-1], [""], [None, ""], [" "], ["x"]):
+        hashes, place, lengths = py.Shingler.places(texts)
+        want = [py.Shingler().words(t or "").tolist() for t in texts]
+        assert lengths.tolist() == [len(w) for w in want]
+        assert hashes[place].tolist() == sum(want, [])
+        assert len(hashes) == len(set(hashes.tolist()))
+
+
+@pytest.mark.parametrize("most", [5, 2**32 - 1])
+def test_keys_are_ordered_alike_whatever_their_numbers(most):
+    rng = np.random.default_rng(5)
+    number, contexts = rng.integers(0, 4, 300) * (2**40 if most > 5 else 1), rng.integers(0, 5, 300).astype(np.uint32)
+    contexts[7] = most
+    order, first = py.ordered(number, contexts)
+    want = sorted(range(300), key=lambda i: (number[i], contexts[i], i))
+    assert order.tolist() == want
+    keys = [(number[i], contexts[i]) for i in want]
+    assert first.tolist() == [i == 0 or keys[i] != keys[i - 1] for i in range(300)]
+
+
+def shard_of(n_words=50, n_contexts=400, seed=8):
+    """A shard's columns, its model, and the totals of its first seating and three sweeps."""
+    rng = np.random.default_rng(seed)
+    per_word = rng.integers(1, 120, n_words)
+    contexts = np.concatenate([np.sort(rng.choice(n_contexts, n, replace=False)) for n in per_word])
+    counts = np.where(rng.random(len(contexts)) < 0.1, rng.integers(0, 300, len(contexts)), 1)
+    words = np.sort(rng.integers(0, 2**64, n_words, np.uint64))
+    columns = [py.packed(v, k) for v, k in ((words, np.uint64), (per_word, np.uint32), (contexts, np.uint32), (counts, np.int64))]
+    model = {"V": n_words, "N": int(counts.sum()), "d1": 0.7, "d0": 0.4, "C": np.bincount(contexts, counts, n_contexts)}
+    history, shard = [], py.Shard(*columns, model)
+    for number in range(4):
+        if number:
+            shard.sweep(number, history[-1])
+        history.append(np.zeros(n_contexts + 2, np.int64))
+        shard.add_totals(history[-1])
+    return columns, model, history, words
+
+
+def test_words_alone_are_seated_as_among_all():
+    """Frequent words are replayed by themselves, not with their whole shard."""
+    columns, model, history, words = shard_of()
+    shard = py.Shard(*columns, model)
+    every = shard.averaged(history)
+    wanted = words[[3, 20, 49]]
+    alone = py.Shard(*columns, model, wanted)
+    assert alone.words.tolist() == wanted.tolist()
+    own = np.isin(shard.words[shard.word_of], wanted)
+    assert alone.averaged(history).tolist() == every[own].tolist()
+    assert alone.contexts.tolist() == shard.contexts[own].tolist()
+    assert alone.word_count.tolist() == shard.word_count[[3, 20, 49]].tolist()
+
+
+def test_sweeps_work_on_keys_of_several_customers_alone(monkeypatch):
+    """Seeds are hashed for the draws that are made, not for each key that keeps its one table."""
+    columns, model, history, words = shard_of()
+    shard, hashed, drawn, mixed, uniform = py.Shard(*columns, model), [], [], py.mixed, py.uniform
+    monkeypatch.setattr(py, "mixed", lambda x: hashed.append(len(x)) or mixed(x))
+    monkeypatch.setattr(py, "uniform", lambda seeds, numbers: drawn.append(len(seeds)) or uniform(seeds, numbers))
+    shard.sweep(1, history[0])
+    several = int((shard.counts > 1).sum())
+    assert 0 < several < len(shard.counts) / 5
+    assert sum(hashed) - sum(drawn) <= several + len(words) + 1
