@@ -11,8 +11,10 @@ corpus would tell nothing apart. The space is cut in three steps instead, each e
    texts of sizes a and b differ in at most (a + b) / 9 shingles, each of which spoils one
    slice, so of the k slices that a text fills at least k - (a + b) / 9 are the very same
    in the other. Texts with the same slice form a region; a text that shares fewer
-   filled slices than that bound with anyone has no link and goes. Regions with common
-   texts make an area, which no link leaves.
+   filled slices than that bound with anyone has no link and goes. Of its s shared slices
+   a text keeps the s - bound + 1 that the fewest texts have: two linked texts keep the
+   rarest of those they share, and a passage of many texts no longer holds them together.
+   Regions with common texts make an area, which no link leaves.
 3. Pivots. A small area is compared whole in one place. In a large one some texts are
    made pivots, and all others are compared with them: most fall into the cell of a pivot,
    at 0.2 or less. Rounds of pivots are repeated on what is left outside the largest
@@ -53,6 +55,8 @@ PARTNERS = 1_000
 #: Shingles of an area that is compared whole, and of the sets that are compared with one
 #: another in one place of a larger one.
 AREA, BLOCK = 10_000, 1_000_000
+#: Sets of one side of a place, of all and at least, that have a shingle counted by matrices; rows of such a matrix.
+FREQUENT, LEAST_FREQUENT, LEFT_ROWS = 1 / 16, 16, 256
 #: Bytes of texts whose slices one task sorts, about 20 MB (60 where words have one letter); more make more shards.
 SHARD_BYTES = 16_000_000
 #: Pivots per area and round after the first, which takes one; another round follows if
@@ -291,13 +295,22 @@ def blocks_of(made: list[np.ndarray], nodes: np.ndarray, rings: np.ndarray, leas
 
 
 def viable(rows: DataFrame, folder: str) -> DataFrame:
-    """Region rows of sets that share enough slices, one region per set of members."""
-    shares, members = (F.count("*").over(Window.partitionBy(*by)) for by in (("ring", "node"), ("region",)))
-    enough = lambda rows: rows.withColumn("shares", shares).filter("shares >= least").drop("shares")
-    rows = written(enough(rows).withColumn("members", members).filter("members > 1").drop("members"), folder, "viable-0")
+    """Region rows of sets that share enough slices, one region per set of members.
+
+    Each set stays in its rarest regions alone, as many as leave out one less than the least
+    number it must share: of the regions of two linked sets the rarest is among these on both
+    sides. So a slice that many texts share joins only those that have too little besides.
+    """
+    per_set, shares = Window.partitionBy("ring", "node"), F.count("*").over(Window.partitionBy("ring", "node"))
+    members = F.count("*").over(Window.partitionBy("region"))
+    rows = rows.withColumn("shares", shares).filter("shares >= least").drop("shares")
+    rows = written(rows.withColumn("members", members).filter("members > 1"), folder, "viable-0")
+    # The order is the same for all sets, as `members` belongs to the region.
+    place = F.row_number().over(per_set.orderBy("members", "region"))
+    rows = rows.withColumn("place", place).withColumn("shares", shares).filter("shares >= least and place <= shares - least + 1")
     # Of regions with the same members one is enough. As both sides of the join take all columns
     # of the same rows, one shuffle serves both.
-    rows = enough(rows).filter("region is not null").repartition("region")
+    rows = rows.select("region", "ring", "node", "least").filter("region is not null").repartition("region")
     several = rows.groupBy("region").agg(F.count("*").alias("members"), F.bit_xor(F.xxhash64("ring", "node", "least")).alias("content")).filter("members > 1")
     one = several.groupBy("content", "members").agg(F.min("region").alias("region")).select("region")
     return written(rows.join(one, "region"), folder, "viable-1")
@@ -367,7 +380,8 @@ def links_within(left: list[tuple[int, int, np.ndarray]], right: list[tuple[int,
     """Links between two lists of (node, mark, set), as few as hold them together.
 
     Sets of one mark already hang together. Intersections are counted by a merged list of
-    all shingles of `right`: no pair without a common shingle costs anything.
+    the shingles of `right`: no pair without a common shingle costs anything. Shingles that many
+    sets of `right` have, as near copies do, are counted by a product of matrices instead.
     """
     root = {mark: mark for _, mark, _ in [*left, *right]}
 
@@ -381,17 +395,31 @@ def links_within(left: list[tuple[int, int, np.ndarray]], right: list[tuple[int,
     owners = np.repeat(np.arange(len(right)), sizes)
     order = np.argsort(values, kind="stable")
     values, owners = values[order], owners[order]
+    first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    counts = np.diff(first, append=len(values))
+    # At least a share FREQUENT of the matrix's entries is set: it stays in proportion to the sets.
+    often = counts >= max(LEAST_FREQUENT, len(right) * FREQUENT)
+    frequent = values[first[often]]
+    dense = np.repeat(often, counts)
+    has = np.zeros((len(right), len(frequent)), np.float32)
+    has[owners[dense], np.searchsorted(frequent, values[dense])] = 1
+    values, owners = values[~dense], owners[~dense]
     out = []
-    for node, mark, shingles in left:
-        low, high = np.searchsorted(values, shingles, "left"), np.searchsorted(values, shingles, "right")
-        n = high - low
-        at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
-        both = np.bincount(owners[at], minlength=len(right))
-        for i in np.flatnonzero(100 * both >= SIMILAR * (len(shingles) + sizes - both)).tolist():
-            a, b = find(mark), find(right[i][1])
-            if a != b:
-                root[a] = b
-                out.append((node, right[i][0]))
+    for at in range(0, len(left), LEFT_ROWS):
+        part = left[at : at + LEFT_ROWS]
+        asked = np.zeros((len(part), len(frequent)), np.float32)
+        for row, (_, _, shingles) in zip(asked, part):
+            row[np.isin(frequent, shingles, assume_unique=True)] = 1
+        # Counts are exact in 32 bits, up to 2^24.
+        for (node, mark, shingles), many in zip(part, (asked @ has.T).astype(np.int64)):
+            low, high = np.searchsorted(values, shingles, "left"), np.searchsorted(values, shingles, "right")
+            n = high - low
+            both = many + np.bincount(owners[np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())], minlength=len(right))
+            for i in np.flatnonzero(100 * both >= SIMILAR * (len(shingles) + sizes - both)).tolist():
+                a, b = find(mark), find(right[i][1])
+                if a != b:
+                    root[a] = b
+                    out.append((node, right[i][0]))
     return out
 
 

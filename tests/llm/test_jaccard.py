@@ -104,6 +104,72 @@ def test_texts_of_one_block_travel_once(spark, monkeypatch):
     assert sent["large"] and {r["count"] for r in sent["large"]} == {1}
 
 
+def test_a_common_passage_makes_no_large_area(spark, monkeypatch):
+    """Pairs of near copies that all quote one passage are compared pair by pair."""
+    sent = {}
+    compared = jaccard.compared_blocks
+
+    def recorded(docs, text_col, nodes, targets, folder, name):
+        sent[name] = sorted(r["count"] for r in targets.groupBy("g").count().collect())
+        return compared(docs, text_col, nodes, targets, folder, name)
+
+    monkeypatch.setattr(jaccard, "compared_blocks", recorded)
+    monkeypatch.setattr(jaccard, "AREA", 1000)
+    rng = random.Random(11)
+    passage, texts = [f"p{i}" for i in range(100)], []
+    for _ in range(40):
+        own = [f"w{rng.randint(0, 10**6)}" for _ in range(200)]
+        texts += [" ".join(passage + own), " ".join(passage + own + ["x"])]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert by_id_int(jaccard.join_texts(docs)) == plain(rows)
+    assert sent == {"small": [2] * 40}
+
+
+@pytest.mark.parametrize("seed", [12, 13])
+def test_linked_sets_keep_a_common_region(spark, tmp_path, seed):
+    rows = corpus(seed)
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    found = jaccard.surveyed(docs, "id", "text", 5).filter("region is not null").select("region", "ring", "node", "least")
+    regions = {}
+    for r in jaccard.viable(found, str(tmp_path)).collect():
+        regions.setdefault(r.node, set()).add(r.region)
+    sets = {jaccard.name_of(s): s for s in (jaccard.Shingler().set_of(t) for _, t in rows) if len(s)}
+    linked = 0
+    for a, x in sets.items():
+        for b, y in sets.items():
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if a < b and 100 * both >= 80 * (len(x) + len(y) - both):
+                linked += 1
+                assert regions[a] & regions[b]
+    assert linked > 50
+
+
+@pytest.mark.parametrize("least", [2, 16, 10**9])
+def test_frequent_shingles_are_counted_too(monkeypatch, least):
+    """Counts by matrices, by both ways and by merged lists hold the same sets together."""
+    monkeypatch.setattr(jaccard, "LEAST_FREQUENT", least)
+    monkeypatch.setattr(jaccard, "LEFT_ROWS", 7)
+    rng = random.Random(14)
+    texts = [t for size, edits in ((60, 5), (200, 6), (30, 3)) for t in family(rng, size, edits, 40)] + family(rng, 12, 1, 3)
+    sets = [(i, i, jaccard.Shingler().set_of(t)) for i, t in enumerate(texts)]
+    for left, right in ((sets, sets), (sets[::2], sets[1::2]), (sets[:1], sets[120:])):
+        meets = {(x, y) for x, _, a in left for y, _, b in right if 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))}
+        found = jaccard.links_within(left, right)
+        assert set(found) <= meets
+        joined = lambda pairs: groups(len(sets), pairs)
+        assert joined(found) == joined(meets)
+
+
+def groups(n, pairs):
+    """Least member of the group of each of n items under the pairs."""
+    least = list(range(n))
+    for _ in range(n):
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    return least
+
+
 @pytest.mark.parametrize("seed", [8, 9])
 def test_windows_of_sizes_and_distances_lose_no_link(spark, monkeypatch, seed):
     """Links across cells, cut and packed, with no pivot after the first."""
