@@ -55,8 +55,9 @@ PARTNERS = 1_000
 #: Shingles of an area that is compared whole, and of the sets that are compared with one
 #: another in one place of a larger one.
 AREA, BLOCK = 10_000, 1_000_000
-#: Sets of one side of a place, of all and at least, that have a shingle counted by matrices; rows of such a matrix.
-FREQUENT, LEAST_FREQUENT, LEFT_ROWS = 1 / 16, 16, 256
+#: Sets of one side of a place, of all and at least, that have a shingle counted by matrices;
+#: entries of such a matrix and counts that are held at once besides those of that side.
+FREQUENT, LEAST_FREQUENT, COUNTS = 1 / 4, 16, 500_000
 #: Bytes of texts whose slices one task sorts, about 20 MB (60 where words have one letter); more make more shards.
 SHARD_BYTES = 16_000_000
 #: Pivots per area and round after the first, which takes one; another round follows if
@@ -404,17 +405,17 @@ def links_within(left: list[tuple[int, int, np.ndarray]], right: list[tuple[int,
     has = np.zeros((len(right), len(frequent)), np.float32)
     has[owners[dense], np.searchsorted(frequent, values[dense])] = 1
     values, owners = values[~dense], owners[~dense]
-    out = []
-    for at in range(0, len(left), LEFT_ROWS):
-        part = left[at : at + LEFT_ROWS]
+    out, rows = [], max(1, COUNTS // max(len(right), len(frequent)))
+    for at in range(0, len(left), rows):
+        part = left[at : at + rows]
         asked = np.zeros((len(part), len(frequent)), np.float32)
         for row, (_, _, shingles) in zip(asked, part):
             row[np.isin(frequent, shingles, assume_unique=True)] = 1
         # Counts are exact in 32 bits, up to 2^24.
-        for (node, mark, shingles), many in zip(part, (asked @ has.T).astype(np.int64)):
+        for (node, mark, shingles), many in zip(part, asked @ has.T):
             low, high = np.searchsorted(values, shingles, "left"), np.searchsorted(values, shingles, "right")
             n = high - low
-            both = many + np.bincount(owners[np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())], minlength=len(right))
+            both = many.astype(np.int64) + np.bincount(owners[np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())], minlength=len(right))
             for i in np.flatnonzero(100 * both >= SIMILAR * (len(shingles) + sizes - both)).tolist():
                 a, b = find(mark), find(right[i][1])
                 if a != b:

@@ -149,7 +149,7 @@ def test_linked_sets_keep_a_common_region(spark, tmp_path, seed):
 def test_frequent_shingles_are_counted_too(monkeypatch, least):
     """Counts by matrices, by both ways and by merged lists hold the same sets together."""
     monkeypatch.setattr(jaccard, "LEAST_FREQUENT", least)
-    monkeypatch.setattr(jaccard, "LEFT_ROWS", 7)
+    monkeypatch.setattr(jaccard, "COUNTS", 700)
     rng = random.Random(14)
     texts = [t for size, edits in ((60, 5), (200, 6), (30, 3)) for t in family(rng, size, edits, 40)] + family(rng, 12, 1, 3)
     sets = [(i, i, jaccard.Shingler().set_of(t)) for i, t in enumerate(texts)]
